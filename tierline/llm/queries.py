@@ -11,6 +11,7 @@ from tierline.llm.common import documents
 from tierline.llm.exact_dedup import exact_dedup
 from tierline.llm.gif import store_bytes
 from tierline.llm.mixing import mix_sources
+from tierline.llm.minhash import near_duplicates
 from tierline.llm.packing import pack_documents
 from tierline.llm.secrets import KINDS, scan_secrets
 from tierline.llm.sharding import hypergeometric_shuffle
@@ -29,6 +30,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), shingle=3, percent=85)
+
+
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = documents(spark, sf_dir).select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
@@ -67,7 +72,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), tokenizer_path(), capacity=1024, end_id=0)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mix_sources, op3_shards, op5_gif, op6_repeated_passages, op7_exact_dedup, op8_secrets, op9_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mix_sources, op2_near_dedup, op3_shards, op5_gif, op6_repeated_passages, op7_exact_dedup, op8_secrets, op9_packing)}
 
 #: A-Z in lower case and nothing else, as DuckDB has it.
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
