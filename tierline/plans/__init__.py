@@ -1,6 +1,6 @@
 """Marts and other queries; importing this package registers all of them."""
 
-from tierline.plans import customer_marts  # noqa: F401
+from tierline.plans import customer_marts, merchant_marts, risk_marts  # noqa: F401
 from tierline.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
