@@ -3,15 +3,11 @@
 Anchors, short runs of words, are hashed at the positions of a document that lie in a difference cover modulo a period. Two
 equal windows anywhere in the corpus contain, at the same offset, an anchor at which both positions are in the cover; so
 only windows around repeated anchors can repeat, and only these are hashed in full and compared by first occurrence.
-
-Both rounds send packed arrays to buckets by hash. A block of texts sends each hash once, with its first place; a hash that a
-block has itself seen twice needs no other block to be known as repeated, so a passage that a third of all documents share
-sends one entry a block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,115 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm.common import NO_ID, partitions_for
-from tierline.llm.words import U, Words, blocks, mix, runs
+from tierline.llm.places import BY_DOCUMENT, PACKED, PLACE, gather, later, packed_batch, resolve, send, several
+from tierline.llm.words import Words, blocks, runs
 
 #: A perfect difference cover: each residue modulo 13 is a difference of two of these (fixed values).
 PERIOD, COVER = 13, (0, 1, 3, 9)
-#: Bytes of text handled at once, and of text whose hashes one bucket takes.
-BLOCK, BUCKET = 4 << 20, 12 << 20
-
-PLACE = np.dtype([("doc", "<i8"), ("twin", "<i8"), ("at", "<i4")])
-_PACKED = "bucket int, known boolean, keys binary, places binary"
-
-
-def _pack(bucket: int, known: bool, keys: np.ndarray, places: np.ndarray) -> tuple:
-    """Fields of a place one after the other, so that compression sees that documents repeat."""
-    return bucket, known, keys.tobytes(), b"".join(np.ascontiguousarray(places[f]).tobytes() for f in PLACE.names)
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    n = len(data) // PLACE.itemsize
-    out, at = np.empty(n, PLACE), 0
-    for f in PLACE.names:
-        size = PLACE[f].itemsize * n
-        out[f] = np.frombuffer(data[at : at + size], PLACE[f])
-        at += size
-    return out
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "known", "keys", "places"])
-
-
-def _send(keys: np.ndarray, places: np.ndarray, buckets: int, all_repeat: bool) -> list[tuple]:
-    """Rows for the buckets. keys: uint64, of shape (n, words a key).
-
-    Of equal keys the first place goes to the key's bucket. The others are already known to repeat, and so is the first if
-    all_repeat; places known to repeat go to any bucket, which only hands them on. The key of a known first place still goes
-    to its bucket, with doc NO_ID and at -1.
-    """
-    order = np.lexsort((places["twin"], places["at"], places["doc"], *keys.T[::-1]))
-    keys, places = keys[order], places[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
-    firsts = places[new].copy()
-    known = places[~new]
-    if all_repeat:
-        several = np.diff(np.append(np.flatnonzero(new), len(keys))) > 1
-        known = np.concatenate([known, firsts[several]])
-        firsts["doc"][several], firsts["twin"][several], firsts["at"][several] = NO_ID, 0, -1
-    out = []
-    keys = keys[new]
-    to = (keys[:, 0] >> U(20)) % U(buckets)
-    order = np.lexsort((firsts["at"], firsts["doc"], to))
-    keys, firsts, to = keys[order], firsts[order], to[order]
-    edges = np.searchsorted(to, np.arange(buckets + 1, dtype=np.uint64))
-    out += [_pack(b, False, keys[i:j], firsts[i:j]) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if i < j]
-    if len(known):
-        out.append(_pack(int(mix(known["doc"][:1].astype(np.uint64))[0] % U(buckets)), True, keys[:0], np.sort(known)))
-    return out
-
-
-def _resolve(width: int, judge: Callable[[np.ndarray, np.ndarray], np.ndarray]):
-    """In each bucket: which of the places repeat. One row a document: doc, twin, ats."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, places = [], []
-        for batch in batches:
-            for known, k, p in zip(*[batch.column(i).to_pylist() for i in (1, 2, 3)], strict=True):
-                if known:
-                    yield from _by_document(_unpack(p))
-                else:
-                    keys.append(np.frombuffer(k, np.uint64).reshape(-1, width))
-                    places.append(_unpack(p))
-        if keys:
-            k, p = np.concatenate(keys), np.concatenate(places)
-            del keys, places
-            order = np.lexsort((p["twin"], p["at"], p["doc"], *k.T[::-1]))
-            k, p = k[order], p[order]
-            new = np.ones(len(k), bool)
-            new[1:] = (k[1:] != k[:-1]).any(axis=1)
-            yield from _by_document(p[judge(new, p)])
-
-    return run
-
-
-def _several(new: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Anchors: all places of a key that has several, or whose block had several."""
-    edges = np.append(np.flatnonzero(new), len(new))
-    count = np.diff(edges)
-    seen = np.add.reduceat((places["at"] < 0).astype(np.int64), edges[:-1]) > 0 if len(new) else count > 0
-    return np.repeat((count > 1) | seen, count) & (places["at"] >= 0)
-
-
-def _later(new: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Windows: all places but the first of each key."""
-    return ~new
-
-
-def _by_document(places: np.ndarray) -> Iterator[pa.RecordBatch]:
-    if not len(places):
-        return
-    places = np.sort(places)
-    new = np.ones(len(places), bool)
-    new[1:] = (places["doc"][1:] != places["doc"][:-1]) | (places["twin"][1:] != places["twin"][:-1])
-    edges = np.append(np.flatnonzero(new), len(places))
-    ats = np.ascontiguousarray(places["at"])
-    for low in range(0, len(edges) - 1, 10_000):
-        own = edges[low : low + 10_001]
-        lists = [ats[i:j].tobytes() for i, j in zip(own[:-1], own[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(places["doc"][own[:-1]]), pa.array(places["twin"][own[:-1]]), pa.array(lists, pa.binary())], names=["doc", "twin", "ats"])
+#: Bytes of text handled at once, and of text whose anchors, or all of whose windows, one bucket takes.
+BLOCK, BUCKET, WINDOW_BUCKET = 4 << 20, 24 << 20, 12 << 20
 
 
 def _places(batch: pa.RecordBatch, words: Words, which: np.ndarray, texts: np.ndarray, ats: np.ndarray) -> np.ndarray:
@@ -147,7 +41,7 @@ def _anchors(window: int, anchor: int, buckets: int):
             use = np.flatnonzero(in_cover[at % PERIOD] & (at + anchor <= size) & (size >= window))
             if len(use):
                 keys = runs(words.hashes, anchor)[use]
-                yield _batch(_send(keys[:, None], _places(batch, words, use, of, at), buckets, True))
+                yield packed_batch(send(keys[:, None], _places(batch, words, use, of, at), buckets, True))
 
     return run
 
@@ -165,7 +59,7 @@ def _windows(window: int, buckets: int):
             use = np.flatnonzero((np.cumsum(near)[:-1] > 0) & (at + window <= words.counts[of]))
             if len(use):
                 keys = np.stack([runs(words.hashes, window, salt)[use] for salt in (1, 1 << 40)], axis=1)
-                yield _batch(_send(keys, _places(batch, words, use, of, at), buckets, False))
+                yield packed_batch(send(keys, _places(batch, words, use, of, at), buckets, False))
 
     return run
 
@@ -202,7 +96,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, text: str = "text", key: s
     key, or before it in the same row. A null key is the smallest; rows that share a key are ordered by position, then by a
     hash of the text; rows that repeat both key and text are one document and are treated alike. A null text has no words. A
     document of fewer words than the window loses none. An empty table gives an empty result; other columns are not read.
-    window must be above PERIOD. Windows are compared by 128 bits of hash.
+    window must be above PERIOD. Windows are compared by 96 bits of hash.
     """
     if window <= PERIOD:
         raise ValueError(f"a window of {window} words is not above the period, {PERIOD}")
@@ -212,21 +106,22 @@ def remove_repeats(docs: DataFrame, window: int = 20, text: str = "text", key: s
         size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
         buckets = partitions_for(spark, size, BUCKET)
     rows = docs.select(
-        F.coalesce(F.col(key), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("twin"), F.coalesce(F.col(text), F.lit("")).alias("text")
+        F.coalesce(F.col(key), F.lit(NO_ID)).alias("doc"), F.hash(text).alias("twin"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
     parts = spark.conf.get("spark.sql.shuffle.partitions")
     dealt = rows.repartition(max(int(parts), buckets), "doc", "twin")
-    places = "doc long, twin long, ats binary"
 
     def marked(found: DataFrame, how: str) -> DataFrame:
         gathered = found.groupBy("doc", "twin").agg(F.collect_list("ats").alias("marks"))
         return dealt.join(gathered, ["doc", "twin"], how).select("doc", "twin", "text", "marks")
 
-    def resolved(sent: DataFrame, width: int, judge) -> DataFrame:
-        return sent.repartition(buckets, "bucket").mapInArrow(_resolve(width, judge), places)
+    def resolved(sent: DataFrame, width: int, judge, buckets: int) -> DataFrame:
+        found = sent.repartition(buckets, "bucket").mapInArrow(resolve(width, judge, buckets), PACKED)
+        return found.repartition(buckets, "bucket").mapInArrow(gather, BY_DOCUMENT)
 
-    anchors = resolved(rows.mapInArrow(_anchors(window, anchor, buckets), _PACKED), 1, _several)
-    repeats = resolved(marked(anchors, "inner").mapInArrow(_windows(window, buckets), _PACKED), 2, _later)
+    anchors = resolved(rows.mapInArrow(_anchors(window, anchor, buckets), PACKED), 1, several, buckets)
+    more = buckets * BUCKET // WINDOW_BUCKET
+    repeats = resolved(marked(anchors, "inner").mapInArrow(_windows(window, more), PACKED), 2, later, more)
     run, schema = _rewrite(window, "doc")
     kept = marked(repeats, "left").mapInArrow(run, schema)
     return kept.select(_id("doc").alias(key), "n_words", "n_removed", "kept_text")
