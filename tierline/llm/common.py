@@ -19,12 +19,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the cluster's checkpoint folder, so that lost executors cost nothing twice."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where it names none, as in tests."""
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        shared = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the shared checkpoint folder, so that a lost executor takes nothing with it."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -31,9 +31,9 @@ def small_star(edges: DataFrame, total: int) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """links (a, b) of long ids, in either order and with repeats: (id, component) for each id that has a link to another.
+    """links (a, b) of long ids, in either order and with repeats: (id, component) for each id that is not its component's.
 
-    component is the least id reachable. The two stars in turn end in one star a component, after a number of rounds that
+    component is the least id reachable; links of an id to itself do not count. The two stars in turn end in one star a component, after a number of rounds that
     grows as the logarithm squared at most. A node with very many links is looked up by broadcast, never gathered.
     """
     edges = _edges(links.select(F.greatest("a", "b"), F.least("a", "b")))

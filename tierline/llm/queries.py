@@ -11,8 +11,10 @@ from tierline.llm.common import documents
 from tierline.llm.exact_dedup import exact_dedup
 from tierline.llm.gif import store_bytes
 from tierline.llm.mixing import mix_sources
+from tierline.llm.lines import dedup_lines
 from tierline.llm.minhash import near_duplicates
 from tierline.llm.packing import pack_documents
+from tierline.llm.quality import classify, train
 from tierline.llm.secrets import KINDS, scan_secrets
 from tierline.llm.sharding import hypergeometric_shuffle
 from tierline.llm.substring import remove_repeats
@@ -41,6 +43,11 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(documents(spark, sf_dir), threshold=2)
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents(spark, sf_dir).select("doc_id", F.encode("text", "UTF-8").alias("payload"))
     stored = store_bytes(rows, "doc_id", "payload")
@@ -72,7 +79,18 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), tokenizer_path(), capacity=1024, end_id=0)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mix_sources, op2_near_dedup, op3_shards, op5_gif, op6_repeated_passages, op7_exact_dedup, op8_secrets, op9_packing)}
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their labels, by doc_id."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    return documents(spark, sf_dir).join(labels, "doc_id")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = train(labelled(spark, sf_dir), "text", "quality", "doc_id")
+    return classify(documents(spark, sf_dir), model)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mix_sources, op2_near_dedup, op3_shards, op4_line_dedup, op5_gif, op6_repeated_passages, op7_exact_dedup, op8_secrets, op9_packing, op10_quality)}
 
 #: A-Z in lower case and nothing else, as DuckDB has it.
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
