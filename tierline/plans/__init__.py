@@ -1,6 +1,6 @@
 """Marts and other queries; importing this package registers all of them."""
 
-from tierline.plans import control_queries, customer_marts, merchant_marts, risk_marts, stream_queries  # noqa: F401
+from tierline.plans import control_queries, customer_marts, merchant_marts, model_queries, risk_marts, storage_queries, stream_queries  # noqa: F401
 from tierline.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
