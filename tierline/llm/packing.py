@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import functools
+import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +26,39 @@ def token_ids(path: str) -> TokenIds:
     return TokenIds(path)
 
 
+#: Latin letters, perhaps after a space, and plain marks behind them: two pieces to any byte-level BPE of this family.
+_PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?|]*)")
+#: Two white-space characters in a row: what they are cut into depends on what is around them.
+_RUN = re.compile(r"\s\s")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in such vocabularies: itself, or, if not printable, from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class _Known(dict):
+    """Ids by part, learned when first asked for; it starts afresh when it is full."""
+
+    def __init__(self, learn: Callable[[str], bytes]):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) > REMEMBERED:
+            self.clear()
+        found = self[part] = self.learn(part)
+        return found
+
+
 class TokenIds:
     """Ids of whole texts by a byte-level BPE tokenizer file, as little-endian 32-bit bytes.
 
-    A single space between two other characters that are not white space always starts a new piece of such a tokenizer, so a
-    text's ids are those of its space-separated parts, and parts repeat.
+    A space or newline between two characters that are not white space always parts pieces of such a tokenizer, a space as
+    the begin of the next piece, a newline as a piece of its own. So a text's ids are those of its parts, and parts repeat.
+    Parts of Latin letters go to the vocabulary model directly, all others through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -37,34 +67,48 @@ class TokenIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, parts: list[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        for part in parts:  # one by one: for texts this short, a batch's threads cost more than they save
-            self.known[part] = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def parts(self, text: str) -> list[str]:
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.heads = _Known(self._learn)  # parts at the begin of a line
+        self.parts = _Known(lambda part: self._learn(" " + part))  # parts after a space, which the key lacks
+        self.marks = _Known(self._whole)
+        self.newline = self._whole("\n")
+        words = [" Ab", " caf\u00e9s", "Zu"]  # does this file cut as assumed?
+        self.direct = all(self._word(w) == self._whole(w) for w in words) and self._whole("a b\nc") == self._whole("a") + self._whole(" b") + self.newline + self._whole("c")
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        shown = word.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _learn(self, part: str) -> bytes:
+        plain = _PLAIN.fullmatch(part)
+        if not plain:
+            return self._whole(part)
+        return self._word(plain[1]) + self.marks[plain[2]] if plain[2] else self._word(plain[1])
+
+    def _line(self, line: str) -> bytes:
+        parts = line.split(" ")
+        head = self.heads[parts[0]]
+        del parts[0]
+        return head + b"".join(map(self.parts.__getitem__, parts))
+
+    def text(self, text: str) -> bytes:
+        if not self.direct:
+            return self._whole(text)
+        if not _RUN.search(text):
+            return self.newline.join(map(self._line, text.split("\n")))
         parts = text.split(" ")
-        out = [parts[0]]
+        joined = [parts[0]]  # join the parts between which no piece need start
         for part in parts[1:]:
-            if out[-1][-1:].isspace() or (not out[-1] and len(out) == 1):
-                out[-1] += " " + part
+            if joined[-1][-1:].isspace() or not joined[-1]:
+                joined[-1] += " " + part
             else:
-                out.append(" " + part)
-        return out
-
-    def many(self, texts: list[str]) -> list[bytes]:
-        split = [self.parts(x) for x in texts]
-        known = self.known
-        new = {p for parts in split for p in parts if p not in known}
-        if new:
-            self._learn(sorted(new))
-            if not all(p in self.known for parts in split for p in parts):  # it started afresh
-                self._learn(sorted({p for parts in split for p in parts}))
-        get = self.known.__getitem__
-        return [b"".join(map(get, parts)) for parts in split]
+                joined.append(part)
+        return self.heads[joined[0]] + b"".join(map(self.parts.__getitem__, joined[1:]))
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 0, text: str = "text", key: str = "doc_id", with_ids: bool = False) -> DataFrame:
@@ -81,7 +125,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: i
             for low in range(0, batch.num_rows, 64):
                 part = batch.slice(low, 64)
                 rows = []
-                for k, ids in zip(part.column(0).to_pylist(), tokens.many([x or "" for x in part.column(1).to_pylist()]), strict=True):
+                for k, ids in zip(part.column(0).to_pylist(), [tokens.text(x or "") for x in part.column(1).to_pylist()], strict=True):
                     ids += end
                     for at in range(0, len(ids), 4 * capacity):
                         own = ids[at : at + 4 * capacity]
