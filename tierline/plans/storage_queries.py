@@ -52,10 +52,10 @@ def schema_evolution(r: Roles) -> DataFrame:
 
 @query("snk8_compacted_days", "SELECT cob_dt, count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS amount FROM account_txn WHERE cob_dt BETWEEN DATE '2001-05-31' AND DATE '2001-06-30' GROUP BY cob_dt HAVING count(*) >= 5")
 def compacted(r: Roles) -> DataFrame:
-    """Days of five rows or more, each row in a file of its own, as compaction leaves them."""
+    """Days of five rows or more, in many small files, as compaction leaves them."""
     folder = _shared(r)
     full = _week(r).withColumn("k", F.count("*").over(_by_day())).where("k >= 5").drop("k")
-    full.repartition(1024, "txn_id").write.partitionBy("cob_dt").parquet(f"{folder}/many")
+    full.repartition(16, "txn_id").write.partitionBy("cob_dt").parquet(f"{folder}/many")
     writes.compact(r.spark, f"{folder}/many", f"{folder}/few")
     return r.spark.read.parquet(f"{folder}/few").groupBy("cob_dt").agg(F.count("*").alias("n"), zero(F.sum("amount")).alias("amount"))
 
