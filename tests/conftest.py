@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
 
     folder = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[4]").config("spark.driver.memory", "4g").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+        SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', '4')}]").config("spark.driver.memory", "4g").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.sql.warehouse.dir", str(folder / "warehouse")).config("spark.checkpoint.dir", str(folder / "checkpoint")).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
