@@ -12,8 +12,8 @@ from tierline.llm.lines import dedup_lines
 from tierline.llm.minhash import near_duplicates
 from tierline.llm.mixing import mix_sources
 from tierline.llm.packing import pack_documents
-from tierline.llm.quality import classify, train
-from tierline.llm.queries import labelled, tokenizer_path
+from tierline.llm.quality import classify
+from tierline.llm.queries import quality_model, tokenizer_path
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, Callable[[str], str]]:
@@ -24,9 +24,8 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, Callable[[str], str]]:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of good quality. The classifier is fitted on a bounded sample of the labelled ones."""
-    model = train(labelled(spark, sf_dir), "text", "quality", "doc_id")
     rows, of = _numbered(docs)
-    told = classify(rows, model, of("text"), of("source"), of("lang"), tuple(rows.columns))
+    told = classify(rows, quality_model(spark, sf_dir), of("text"), of("source"), of("lang"), tuple(rows.columns))
     return told.where("kept").select(*rows.columns).toDF(*docs.columns)
 
 

@@ -179,7 +179,7 @@ def test_gif_interlaced_frames():
     rows = np.arange(20, dtype=np.uint8).repeat(3).reshape(20, 3)
     order = np.concatenate([np.arange(a, 20, b) for a, b in ((0, 8), (4, 8), (2, 4), (1, 2))])
     image = bytearray(gif.encode([(0, 0, rows[order])], (3, 20), np.zeros((256, 3), np.uint8)))
-    at = image.index(b"\x2c", 800)
+    at = image.index(b"\x2c", 781)
     image[at + 9] |= 0x40
     assert (gif.decode(bytes(image))[0].indexes == rows).all()
 
@@ -211,7 +211,7 @@ def test_keys_are_parsed():
     token = ".".join(urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=") for x in ({"alg": "HS256"}, {"sub": 1})) + ".c2lnbmF0dXJl"
     for text, kind in ((b64encode(rsa).decode(), "der"), (pkcs8.hex(), "der"), (b64encode(ssh).decode(), "ssh"), (token, "token")):
         assert (3, kind, 3 + len(text)) in secrets.find_spans("é: " + text + " end"), kind
-    assert secrets.confirmed_spans(token.replace("eyJhbGciOiJIUzI1NiJ9", "eyJhbGciOiJIUzI1NiI5")) == [] and secrets.confirmed_spans("A" * 64) == []
+    assert secrets.confirmed_spans(token[: token.index(".") - 3] + "AAA" + token[token.index(".") :]) == [] and secrets.confirmed_spans("A" * 64) == []
 
 
 def test_base_spans_are_the_plain_patterns():
@@ -240,7 +240,7 @@ def quality_texts(n, seed=1):
 def test_quality_of_held_out_documents(spark):
     rows = [(i, t, f"h{i % 4}" if i % 10 else None, "en", q) for i, (t, q) in enumerate(quality_texts(600))]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, quality int")
-    model = train(docs.where("doc_id % 2 = 0"), "text", "quality", "doc_id", sample=200)
+    model = train(docs, docs.where("doc_id % 2 = 0").select("doc_id", "quality"), sample=200)
     told = classify(docs.where("doc_id % 2 = 1"), model, carry=("doc_id", "quality")).collect()
     assert len(told) == 300 and sum(r["kept"] == (r["quality"] == 1) for r in told) / 300 > 0.97
     again = classify(docs.where("doc_id % 2 = 1"), model, carry=("doc_id", "text")).collect()
@@ -258,7 +258,7 @@ def test_sparse_sections_shrink_toward_their_site(spark):
 
 def test_quality_edge_cases(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, source string, lang string, quality int")
-    model = train(empty, "text", "quality", "doc_id")
+    model = train(empty, empty)
     assert classify(empty, model).count() == 0 and 0 < model.prior < 1
     odd = spark.createDataFrame([(None, None, None, None), (1, "", "", ""), (1, "a " * 100_000, "s", "p")], "doc_id long, text string, source string, lang string")
     assert classify(odd, fit(np.zeros((2, len(FEATURES))), np.array([0.0, 1.0]))).count() == 3

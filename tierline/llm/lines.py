@@ -197,10 +197,10 @@ def _neighbours(threshold: int):
     """In each task: the lines that have an earlier one within the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        own_batches = [b for b in batches if b.num_rows]
+        if not own_batches:
             return
-        table = table.combine_chunks()
+        table = pa.Table.from_batches(own_batches).combine_chunks()
         key, tile, side, doc, twin, at = (table.column(i).to_numpy() for i in range(6))
         lines = table.column(6).to_pylist()
         sizes = np.fromiter(map(len, lines), np.int64, len(lines))

@@ -21,7 +21,7 @@ from tierline.llm.common import durable, lookup
 from tierline.llm.words import Words, blocks
 
 BLOCK = 2 << 20
-#: Labelled rows that the model is fitted on, at most: those with the least hash of key and text.
+#: Labels that the model is fitted on, at most: those with the least hash.
 SAMPLE = 20_000
 
 FEATURES = (
@@ -125,11 +125,16 @@ def feature_rows(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
     return rows.mapInArrow(run, f"{kinds}, x array<double>")
 
 
-def train(labelled: DataFrame, text: str, label: str, key: str, sample: int = SAMPLE) -> Model:
-    """A model of label (0 or 1; other rows are left out), fitted on sample rows at most, the same in each run."""
-    known = labelled.where(F.col(label).isin(0, 1)).select(F.col(label).cast("int").alias("y"), F.col(text).alias("text"), F.xxhash64(key, text).alias("h"))
-    some = known.orderBy("h", "y").limit(sample) if known.count() > sample else known
-    got = feature_rows(some, "text", ["y", "h"]).toPandas().sort_values(["h", "y"])
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", key: str = "doc_id", sample: int = SAMPLE) -> Model:
+    """A model of label (0 or 1; other rows of labels are left out), fitted on the documents of sample labels at most.
+
+    The labels of least hash are taken, the same in each run; so few are broadcast, and no text shuffles. Without labels, the
+    model knows an even prior only.
+    """
+    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key), F.col(label).cast("int").alias("y"))
+    some = known.orderBy(F.xxhash64(key, "y"), key, "y").limit(sample)
+    rows = docs.select(F.col(key), F.col(text).alias("text")).join(F.broadcast(some), key).withColumn("h", F.xxhash64(key, "text"))
+    got = feature_rows(rows, "text", ["y", "h"]).toPandas().sort_values(["h", "y"])
     x = np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES))
     return fit(x, got["y"].to_numpy(float))
 

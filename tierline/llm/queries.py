@@ -14,7 +14,7 @@ from tierline.llm.mixing import mix_sources
 from tierline.llm.lines import dedup_lines
 from tierline.llm.minhash import near_duplicates
 from tierline.llm.packing import pack_documents
-from tierline.llm.quality import classify, train
+from tierline.llm.quality import Model, classify, train
 from tierline.llm.secrets import KINDS, scan_secrets
 from tierline.llm.sharding import hypergeometric_shuffle
 from tierline.llm.substring import remove_repeats
@@ -79,15 +79,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), tokenizer_path(), capacity=1024, end_id=0)
 
 
-def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with their labels, by doc_id."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    return documents(spark, sf_dir).join(labels, "doc_id")
+def quality_model(spark: SparkSession, sf_dir: str) -> Model:
+    """Fitted on a bounded sample of the labelled documents."""
+    return train(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = train(labelled(spark, sf_dir), "text", "quality", "doc_id")
-    return classify(documents(spark, sf_dir), model)
+    return classify(documents(spark, sf_dir), quality_model(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mix_sources, op2_near_dedup, op3_shards, op4_line_dedup, op5_gif, op6_repeated_passages, op7_exact_dedup, op8_secrets, op9_packing, op10_quality)}
