@@ -140,10 +140,10 @@ def _compare(percent: int):
     """Tiles of one comparison each: rows (key, tile, side, id, component, n, map); pairs that may be links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        own_batches = [b for b in batches if b.num_rows]
+        if not own_batches:
             return
-        table = table.combine_chunks()
+        table = pa.Table.from_batches(own_batches).combine_chunks()
         key, tile, side, ident, component, n = (table.column(i).to_numpy() for i in range(6))
         maps = table.column(6)
         order = np.lexsort((ident, n, side, tile, key))
@@ -225,7 +225,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, text:
     firsts = linked.join(classes.select("id", *same), ["id", *same], "left_semi")
     members = firsts.select(F.explode("bands").alias("key"), "id", "n")
     buckets = durable(members.groupBy("key").agg(F.min("id").alias("center"), F.count("*").alias("size")).where("size > 1"))
-    filled = durable(lookup(members, buckets, ["key"], "size", classes.count() * bands_for(percent)).drop("size"))
+    filled = durable(members.join(buckets.drop("size"), "key"))  # a skewed join, which Spark splits
     stars = filled.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     run, schema = _sets(shingle)
     sets = durable(rows.join(filled.select("id").distinct(), "id", "left_semi").mapInArrow(run, schema))
