@@ -312,12 +312,13 @@ def role_masks(r: Roles) -> DataFrame:
     return privacy.masked_copy(r.account_txn, ["txn_id", "channel", "dc", "cob_dt", "amount"], privacy.policy_for(roles, "auditor"))
 
 
-@query("prj1_serving_slice", "SELECT txn_id, customer_id, amount FROM account_txn WHERE cob_dt = DATE '2001-06-30'")
+@query("prj1_serving_slice", "SELECT event_id, customer_id, amount FROM event WHERE CAST(ts + INTERVAL 7 HOUR AS DATE) = DATE '2024-01-15'")
 def serving_slice(r: Roles) -> DataFrame:
     """The rows of the day asked for, never of the newest; a missing day is an error."""
     from tierline.sources.tables import serve_slice
 
-    return serve_slice(r.account_txn, DAY).select("txn_id", "customer_id", "amount")
+    days = r.event.withColumn("cob_dt", business_date(F.col("ts")))
+    return serve_slice(days, dt.date(2024, 1, 15)).select("event_id", "customer_id", "amount")
 
 
 @query("fn1_scalar_functions", """SELECT txn_id, CAST(floor(date_diff('month', CAST(cob_dt AS DATE), DATE '2001-12-31')) AS INTEGER) AS m, strftime(cob_dt, '%Y-%m') AS month, greatest(amount, 1000.00::DECIMAL(18,2)) AS at_least, CAST(year(cob_dt) AS INTEGER) AS y,

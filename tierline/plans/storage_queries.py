@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import money, zero
-from tierline.functions.time import business_window
+from tierline.functions.time import business_date, business_window
 from tierline.plans.registry import query
 from tierline.plans.roles import DAY, Roles
 from tierline.plans.stream_queries import _shared
@@ -50,22 +50,16 @@ def schema_evolution(r: Roles) -> DataFrame:
     return r.spark.table(table).select("txn_id", "amount", "note", "cob_dt")
 
 
-@query("snk8_compacted_days", "SELECT cob_dt, count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS amount FROM account_txn WHERE cob_dt BETWEEN DATE '2001-05-31' AND DATE '2001-06-30' GROUP BY cob_dt HAVING count(*) >= 5")
+@query("snk8_compacted_days", "SELECT CAST(ts + INTERVAL 7 HOUR AS DATE) AS cob_dt, count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS amount FROM event GROUP BY 1")
 def compacted(r: Roles) -> DataFrame:
-    """Days of five rows or more, in many small files, as compaction leaves them."""
+    """Payments by day, each day in many small files, as compaction leaves them."""
     folder = _shared(r)
-    full = _week(r).withColumn("k", F.count("*").over(_by_day())).where("k >= 5").drop("k")
-    full.repartition(16, "txn_id").write.partitionBy("cob_dt").parquet(f"{folder}/many")
+    days = r.event.select("event_id", "amount", business_date(F.col("ts")).alias("cob_dt"))
+    days.repartition(16, "event_id").write.partitionBy("cob_dt").parquet(f"{folder}/many")
     writes.compact(r.spark, f"{folder}/many", f"{folder}/few")
     return r.spark.read.parquet(f"{folder}/few").groupBy("cob_dt").agg(F.count("*").alias("n"), zero(F.sum("amount")).alias("amount"))
 
 
-def _by_day():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("cob_dt")
-
-
 @query("snk10_log_rerun", "SELECT cob_dt, 'volume' AS suite, 'rows' AS check_name, CASE WHEN count(*) >= 5 THEN 'PASS' ELSE 'FAIL' END AS status, CAST(count(*) AS VARCHAR) AS detail FROM account_txn WHERE cob_dt BETWEEN DATE '2001-05-31' AND DATE '2001-06-30' GROUP BY cob_dt")
 def log_rerun(r: Roles) -> DataFrame:
     """A suite logged twice is in the log once."""
