@@ -46,36 +46,32 @@ def _widths(count: int, least: int) -> np.ndarray:
 def lzw_encode(data: bytes, least: int = 8) -> bytes:
     """The LZW code stream of samples below 2 ** least, the first and the last code included.
 
-    The table is a tree of dicts by next sample; a node has its own code under None.
+    The table is a dict from a code and the sample behind it (as code << 8 | sample) to the code of both.
     """
     clear = 1 << least
     codes: list[int] = []
     turns: list[int] = []
     add = codes.append
     rest = iter(data)
-    node: dict | None = None
-    sample = next(rest, None)
-    while sample is not None:  # one turn from clear code to clear code
+    here = next(rest, None)
+    while here is not None:  # one turn from clear code to clear code
         begin = len(codes)
-        roots: list[dict] = [{None: i} for i in range(clear)]
-        node = roots[sample]
-        sample, free = None, clear + 2
+        table: dict[int, int] = {}
+        free, after = clear + 2, None
         for x in rest:
-            below = node.get(x)
-            if below is not None:
-                node = below
+            key = here << 8 | x
+            if key in table:
+                here = table[key]
                 continue
-            add(node[None])
+            add(here)
             if free == TABLE - 1:
-                sample = x
+                after = x
                 break
-            node[x] = {None: free}
+            table[key] = free
             free += 1
-            node = roots[x]
-        if sample is None:
-            add(node[None])
-        else:
-            add(clear)
+            here = x
+        add(here if after is None else clear)
+        here = after
         turns.append(len(codes) - begin)
     codes.append(clear + 1)
     turns = [*turns[:-1], turns[-1] + 1] if turns else [1]
