@@ -186,8 +186,10 @@ def rfm_segment(r: Roles) -> DataFrame:
     out = r.customer.select("customer_id").join(facts, "customer_id", "left").select(
         "customer_id", F.date_diff(F.lit(DAY), F.coalesce("last_day", F.lit(NEVER))).alias("recency"), F.coalesce("n", F.lit(0)).alias("frequency"), zero(F.col("s")).alias("monetary")
     )
+    out = base = out.persist()  # one row a customer, which each rank reads three times
     for name, order in (("r", -F.col("recency")), ("f", F.col("frequency")), ("m", F.col("monetary"))):
-        out = ntile(out, 5, [order, F.col("customer_id")], name, slices=8)
+        ranks = ntile(base, 5, [order, F.col("customer_id")], name, slices=8).select("customer_id", name)
+        out = out.join(ranks, "customer_id")
     return out.withColumn("segment", ladder(F.col("r") + F.col("f") + F.col("m"), RFM_STEPS, "Unknown"))
 
 
