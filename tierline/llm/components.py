@@ -5,41 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import durable, lookup
+from tierline.llm.common import durable
 
 
 def _least(near: DataFrame) -> DataFrame:
-    """near (u, v): the least m of each u and its neighbours, and how many links it has."""
-    return durable(near.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("links")).withColumn("m", F.least("u", "m")))
+    """near (u, v): the least m of each u and its neighbours."""
+    return durable(near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
 
 
 def _edges(pairs: DataFrame) -> DataFrame:
     return durable(pairs.toDF("a", "b").where("a <> b").distinct())
 
 
-def large_star(edges: DataFrame, total: int) -> DataFrame:
+def large_star(edges: DataFrame) -> DataFrame:
     """Link the larger neighbours of each node to the least of the node and all its neighbours."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    return _edges(lookup(both.where("v > u"), _least(both), ["u"], "links", total).select("v", "m"))
+    return _edges(both.where("v > u").join(_least(both), "u").select("v", "m"))
 
 
-def small_star(edges: DataFrame, total: int) -> DataFrame:
+def small_star(edges: DataFrame) -> DataFrame:
     """Link each node and its smaller neighbours to the least of these."""
     near = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
     least = _least(near)
-    return _edges(lookup(near, least, ["u"], "links", total).select("v", "m").union(least.select("u", "m")))
+    return _edges(near.join(least, "u").select("v", "m").union(least.select("u", "m")))
 
 
 def components(links: DataFrame) -> DataFrame:
     """links (a, b) of long ids, in either order and with repeats: (id, component) for each id that is not its component's.
 
     component is the least id reachable; links of an id to itself do not count. The two stars in turn end in one star a component, after a number of rounds that
-    grows as the logarithm squared at most. A node with very many links is looked up by broadcast, never gathered.
+    grows as the logarithm squared at most. A node with very many links is a skewed
+    join, which Spark splits; its links are never gathered.
     """
     edges = _edges(links.select(F.greatest("a", "b"), F.least("a", "b")))
     state = (edges.count(), None)
     while state[0]:
-        edges = small_star(large_star(edges, 2 * state[0]), 2 * state[0])
+        edges = small_star(large_star(edges))
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == state:
             break
