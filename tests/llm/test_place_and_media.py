@@ -214,6 +214,34 @@ def test_keys_are_parsed():
     assert secrets.confirmed_spans(token[: token.index(".") - 3] + "AAA" + token[token.index(".") :]) == [] and secrets.confirmed_spans("A" * 64) == []
 
 
+def test_keys_end_where_their_lengths_say():
+    field = lambda b: len(b).to_bytes(4, "big") + b
+    number = lambda n: der(2, bytes([1]) + random.Random(n).randbytes(n - 1))
+    ed = der(0x30, der(2, b"\0"), der(0x30, der(6, bytes.fromhex("2b6570"))), der(4, der(4, random.Random(1).randbytes(32))))
+    rsa = [der(0x30, der(2, b"\0"), *[number(n + k) for n in (64, 3, 64, 32, 32, 32, 32, 32)]) for k in range(3)]
+    public = field(b"ssh-ed25519") + field(random.Random(2).randbytes(32))
+    private = b"openssh-key-v1\0" + field(b"none") * 2 + field(b"") + (1).to_bytes(4, "big") + field(public) + field(random.Random(3).randbytes(136))
+    cut = private[: len(private) // 3 * 3 - 3]
+    assert len(ed) == 48 and len({len(x) % 3 for x in rsa}) == 3
+    for data, kind in ((ed, "der"), *((x, "der") for x in rsa), (public, "ssh"), (private, "ssh"), (cut, "ssh")):
+        one = b64encode(data).decode()
+        for wide, newline in ((64, "\n"), (64, "\r\n"), (10**6, "\n")):
+            body = newline.join(one[i : i + wide] for i in range(0, len(one), wide))
+            for before, after in (
+                ("-----BEGIN PRIVATE KEY-----" + newline, newline + "-----END PRIVATE KEY-----"), ("-----BEGIN X-----", "-----END X-----"),
+                ("é ", " is it"), ("", ""), ("here:" + newline, newline), ("x" * 40 + newline, newline + newline),
+            ):
+                assert secrets.confirmed_spans(before + body + after) == [(len(before), kind, len(before + body))], (kind, wide, before)
+            if data != cut:  # of a key that is cut off, no length says where it ends
+                for after in ("Next", "The-next line of prose", "a\nb\nc"):
+                    assert secrets.confirmed_spans(body + newline + after) == [(0, kind, len(body))], (kind, wide, after)
+        assert secrets.confirmed_spans("a" + one) == []
+    two = b64encode(ed).decode() + "\n" + b64encode(rsa[0]).decode().rstrip("=")
+    assert [k for _, k, _ in secrets.confirmed_spans(two + "\nend")] == ["der", "der"]
+    zeros = "\n".join(["A" * 76] * 20_000)
+    assert secrets.confirmed_spans(zeros) == [] and secrets.confirmed_spans(zeros.replace("A" * 76, "MII" + "A" * 73)) == []
+
+
 def test_base_spans_are_the_plain_patterns():
     text = 'Password = "hunter22" token: ab secret: token: abcdefgh api_key=KEYKEY AKIA' + "A" * 15 + " AKIA" + "B" * 16 + " " + "0af" * 8 + " passwd:'x.y=z/+_-1'"
     got = [(k, text[a:b]) for a, k, b in secrets.base_spans(text)]

@@ -2,7 +2,8 @@
 
 Beside the plain patterns (assign, access, hex), runs of base64 or hex are decoded, and a span is reported only if the bytes
 parse: DER keys whose nested lengths fill their parents exactly, SSH keys whose length-prefixed fields do, and tokens whose
-signed header is a JSON object that names its algorithm.
+signed header is a JSON object that names its algorithm. Where a key of base64 ends, its own lengths tell: what follows it on
+the next line (the end mark of a PEM file, or prose) may look like base64 too.
 """
 
 from __future__ import annotations
@@ -27,6 +28,10 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 #: Base64 of at least 32 characters, also over lines as in key files; and hex of either case.
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
+#: The characters of one line of a run.
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+#: The marks of PEM files begin and end so; with spaces in their place, a key may stand beside them on one line.
+_DASHES = re.compile(r"-{5,}")
 _HEX_RUN = re.compile(r"(?:[0-9A-Fa-f]{2}){24,}")
 #: Object identifiers of key algorithms, as DER has them: RSA, EC, Ed25519, X25519, DSA, RSA-PSS.
 _KEY_OIDS = {bytes.fromhex(x) for x in ("2a864886f70d010101", "2a8648ce3d0201", "2b6570", "2b656e", "2a8648ce380401", "2a864886f70d01010a")}
@@ -121,6 +126,70 @@ def is_signed_token(token: str) -> bool:
     return header["alg"].lower() == "none" or raw[2] not in (None, b"")
 
 
+def _chars(size: int) -> int:
+    """Characters of base64 of so many bytes, without padding."""
+    return -(-size * 4 // 3)
+
+
+def _field_ends(data: bytes, at: int, most: int = 2**32) -> list[int]:
+    """Where the length-prefixed fields from at on end, as far as they are whole."""
+    out: list[int] = []
+    while at + 4 <= len(data) and len(out) < most:
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+        if at > len(data):
+            break
+        out.append(at)
+    return out
+
+
+def _key_at(plain: str, at: int, edges: dict[int, int]) -> tuple[str, int] | None:
+    """Kind and end of the key that starts at a place of plain and ends at one of edges; None if there is none."""
+    if plain[at] == "M":  # a sequence: its length is in its first bytes
+        head = _base64(plain[at : at + 8]) or b""
+        if len(head) < 2 or head[0] != 0x30:
+            return None
+        more = head[1] & 0x7F if head[1] & 0x80 else 0
+        if more > 4:
+            return None
+        end = at + _chars(2 + more + (int.from_bytes(head[2 : 2 + more], "big") if more else head[1]))
+        return ("der", end) if end in edges and is_der_key(_base64(plain[at:end]) or b"") else None
+    private = plain.startswith("b3BlbnNzaC1rZXktdjEA", at)
+    if not private:
+        head = _base64(plain[at : at + 44]) if plain.startswith("AAAA", at) else None
+        if not head or head[4 : 4 + head[3]] not in _SSH_NAMES:
+            return None
+    rest = plain[at:]
+    data = _base64(rest[:-1] if len(rest) % 4 == 1 else rest) or b""
+    if not private:
+        return next((("ssh", at + _chars(n)) for n in reversed(_field_ends(data, 0)[1:]) if at + _chars(n) in edges), None)
+    ends = _field_ends(data, 15, 3)
+    if len(ends) < 3:
+        return None
+    # After cipher, derivation and its options: the number of keys, each public key, and the private ones in one field.
+    count = int.from_bytes(data[ends[2] : ends[2] + 4], "big")
+    ends = _field_ends(data, ends[2] + 4, count + 1)
+    end = at + _chars(ends[-1]) if len(ends) == count + 1 else -1
+    return "ssh", end if end in edges else len(plain)  # one that is cut off goes to the end of the run
+
+
+def _keys_of_run(run: re.Match) -> Iterator[tuple[int, str, int]]:
+    """Keys in a run of base64, from the start of a line to the end of a line."""
+    lines = list(_LINE.finditer(run[0]))
+    plain = "".join(x[0] for x in lines).replace("-", "+").replace("_", "/")
+    starts, edges, at = [], {}, 0
+    for x in lines:
+        starts.append((at, run.start() + x.start()))
+        at += len(x[0])
+        edges[at] = run.start() + x.end()
+    edges[at] = run.end()  # with padding
+    done = 0
+    for at, place in starts:
+        found = _key_at(plain, at, edges) if at >= done else None
+        if found:
+            kind, done = found
+            yield place, kind, edges[done]
+
+
 def base_spans(text: str) -> list[tuple[int, str, int]]:
     out = []
     low = text.lower()
@@ -136,11 +205,10 @@ def confirmed_spans(text: str) -> list[tuple[int, str, int]]:
     out = []
     if "eyJ" in text:
         out += [(m.start(), "token", m.end()) for m in _TOKEN.finditer(text) if is_signed_token(m[0])]
-    for m in _BASE64.finditer(text):
-        data = _base64(m[0])
-        kind = data and ("der" if is_der_key(data) else "ssh" if is_ssh_key(data) else None)
-        if kind:
-            out.append((m.start(), kind, m.end()))
+    keys = {}
+    for x in (text, _DASHES.sub(lambda m: " " * len(m[0]), text)) if "-----" in text else (text,):
+        keys |= {span[0]: span for m in _BASE64.finditer(x) for span in _keys_of_run(m)}
+    out += keys.values()
     for m in _HEX_RUN.finditer(text):
         data = bytes.fromhex(m[0])
         kind = "der" if is_der_key(data) else "ssh" if is_ssh_key(data) else None
