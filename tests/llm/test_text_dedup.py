@@ -243,3 +243,25 @@ def test_line_dedup_edge_cases(make_docs):
     docs = make_docs([line, line + "!", line, line, None, "\n\n"], ids=[2, 1, None, 7, 8, 9])
     got = sorted((str(r["doc_id"]), r["n_removed"], r["kept_text"], r["n_chars"]) for r in dedup_lines(docs, carry=("n_chars",)).collect())
     assert got == [("1", 1, "", 44), ("2", 1, "", 43), ("7", 1, "", 43), ("8", 0, "", 0), ("9", 0, "\n\n", 2), ("None", 0, line, 43)]
+
+
+@pytest.mark.parametrize("least", [20, 1, 0])
+def test_line_dedup_honours_the_minimum(make_docs, least):
+    import random
+
+    rng = random.Random(least)
+    texts = ["All rights reserved.\nAll rights reserved\nSign up for our news"] * 3 + ["Sign up for our new.\n😀😀😀😀😀\n😀😀", "😀😀😀😀😀\nSign in for our news"]
+    texts += ["\n".join("".join(rng.choices("abcdefgh", k=rng.randint(0, 9))) for _ in range(3)) for _ in range(12)]
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["kept_text"]) for r in dedup_lines(make_docs(texts).repartition(3), least=least).collect()}
+    want = plain_lines(texts, least=least)
+    assert [got[i] for i in range(len(texts))] == want and want[1][1] == (2 if least == 20 else 3)
+
+
+def test_short_lines_within_the_threshold_share_a_key():
+    from itertools import product
+
+    lines = ["".join(x) for n in range(5) for x in product("ab", repeat=n)] + ["abcdef", "bcde", "abcd", "aXbcYd"]
+    keys, owners = segment_keys(lines, 2)
+    of = [set(keys[owners == i].tolist()) for i in range(len(lines))]
+    for i, a in enumerate(lines):
+        assert all(of[i] & of[j] for j, b in enumerate(lines) if plain_distance(a, b) <= 2)

@@ -9,6 +9,7 @@ others are sent in full, compared key by key, in tiles, and verified by banded b
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -104,7 +105,11 @@ def _whole(least: int, buckets: int):
 
 
 def segment_keys(lines: list[str], threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and their line's number. Two lines within the threshold share a key; lines are longer than the threshold."""
+    """Keys and their line's number. Two lines within the threshold share a key.
+
+    A line of fewer than 2 * threshold + 1 code points has segments without any; it, and the lines that may be near it, have
+    what is left without up to threshold of their code points as keys instead: lines within the threshold share one of those.
+    """
     sizes = np.fromiter(map(len, lines), np.int64, len(lines))
     begins = np.cumsum(sizes) - sizes
     codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
@@ -133,6 +138,10 @@ def segment_keys(lines: list[str], threshold: int) -> tuple[np.ndarray, np.ndarr
                 value = (sums[x + size[ok]] - sums[x]) * unpowers[x]
                 keys.append(mix(mix(value + U(i)) ^ length[ok].astype(np.uint64)))
                 owners.append(ok)
+    for k in np.flatnonzero(sizes <= 3 * threshold).tolist():
+        left = {"".join(x) for n in range(threshold + 1) for x in combinations(lines[k], max(0, len(lines[k]) - n))}
+        keys.append(np.frombuffer(b"".join(xxhash.xxh3_64_digest(x.encode()) for x in left), np.uint64))
+        owners.append(np.full(len(left), k))
     return np.concatenate(keys or [np.empty(0, np.uint64)]), np.concatenate(owners or [np.empty(0, np.int64)])
 
 
@@ -268,13 +277,11 @@ def dedup_lines(docs: DataFrame, threshold: int = 2, least: int = 20, text: str
 
     Lines are what newlines part. A line is removed if an earlier line, in a row with a smaller key or before it in the same
     row, is within threshold edits (insert, delete or replace a code point) of it; so of each line the first stays. Lines of
-    fewer than least bytes always stay: so short, threshold edits make another line. A null key is the smallest; rows that
+    fewer than least bytes always stay, whatever least is, and count for no other line. A null key is the smallest; rows that
     share a key are ordered by line number, then by a hash of the text; rows that repeat both are one document, treated
     alike. A null text is one empty line, and becomes empty. An empty table gives an empty result. Columns of docs that are
     not named are not read, and carried ones must not have the names of the result's own or doc, twin, text or marks.
     """
-    if least < 4 * (2 * threshold + GRAM):
-        least = 4 * (2 * threshold + GRAM)  # so that every segment has a code point
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = partitions_for(spark, size, BUCKET)
