@@ -265,3 +265,20 @@ def test_short_lines_within_the_threshold_share_a_key():
     of = [set(keys[owners == i].tolist()) for i in range(len(lines))]
     for i, a in enumerate(lines):
         assert all(of[i] & of[j] for j, b in enumerate(lines) if plain_distance(a, b) <= 2)
+
+
+def test_rows_that_repeat_key_and_text_keep_the_first(make_docs):
+    line, near = "The quick brown fox jumps over the lazy dog", "The quick brown fox jumps over the lazy cat"
+    other = "Another line that nothing else in here comes near"
+    words = " ".join(f"w{i}" for i in range(30))
+    for ids in ([None, None], [5, 5]):
+        for parts in (1, 2):
+            rows = dedup_lines(make_docs([line, line], ids=ids).repartition(parts)).collect()
+            assert [(r["n_removed"], r["kept_text"]) for r in rows] == [(0, line)] * 2
+            text = f"{line}\n{other}\n{line}"
+            rows = dedup_lines(make_docs([text, text, near.replace("cat", "dot")], ids=[*ids, 7]).repartition(parts)).collect()
+            assert sorted((r["n_removed"], r["kept_text"]) for r in rows) == [(1, "")] + [(1, f"{line}\n{other}")] * 2
+            rows = remove_repeats(make_docs([words, words], ids=ids).repartition(parts)).collect()
+            assert [(r["n_removed"], r["kept_text"]) for r in rows] == [(0, words)] * 2
+            rows = remove_repeats(make_docs([words + " " + words, words + " " + words, words], ids=[*ids, 7]).repartition(parts)).collect()
+            assert sorted((r["n_removed"], r["kept_text"]) for r in rows) == [(30, ""), (30, words), (30, words)]

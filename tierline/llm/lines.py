@@ -180,12 +180,16 @@ def _segments(least: int, threshold: int, buckets: int):
 
 
 def _attach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, twin, text, tasks) to one row a task, with its line."""
+    """(doc, twin, text, tasks) to one row a task, with its line; rows that repeat the one before are the same document."""
+    last = None
     for batch in batches:
         for low in range(0, batch.num_rows, 64):
             part = batch.slice(low, 64)
             rows = []
             for doc, twin, text, tasks in zip(*[part.column(i).to_pylist() for i in range(4)], strict=True):
+                if (doc, twin, text) == last:
+                    continue
+                last = doc, twin, text
                 lines = text.split("\n")
                 rows += [(t["key"], t["tile"], t["side"], doc, twin, t["at"], lines[t["at"]]) for t in tasks]
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.string()]

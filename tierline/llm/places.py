@@ -55,6 +55,17 @@ def packed_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "known", "keys", "places"])
 
 
+def _distinct(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted by key and place, each pair once: rows that repeat both doc and text have the same places, and are no repeats."""
+    order = np.lexsort((places["twin"], places["at"], places["doc"], *keys.T[::-1]))
+    keys, places = keys[order], places[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
+    for f in PLACE.names:
+        new[1:] |= places[f][1:] != places[f][:-1]
+    return (keys, places) if new.all() else (keys[new], places[new])
+
+
 def send(keys: np.ndarray, places: np.ndarray, buckets: int, all_repeat: bool, with_keys: bool = False) -> list[tuple]:
     """Rows for the buckets. keys: uint64, of shape (n, 1), or (n, 2), of which the second counts by its low half only.
 
@@ -64,8 +75,7 @@ def send(keys: np.ndarray, places: np.ndarray, buckets: int, all_repeat: bool, w
     """
     if keys.shape[1] == 2:
         keys = np.stack([keys[:, 0], keys[:, 1] & U(0xFFFFFFFF)], axis=1)
-    order = np.lexsort((places["twin"], places["at"], places["doc"], *keys.T[::-1]))
-    keys, places = keys[order], places[order]
+    keys, places = _distinct(keys, places)
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
     firsts = places[new].copy()
@@ -106,8 +116,7 @@ def resolve(width: int, judge: Callable[[np.ndarray, np.ndarray], np.ndarray], b
         if keys:
             k, p = np.concatenate(keys), np.concatenate(places)
             del keys, places
-            order = np.lexsort((p["twin"], p["at"], p["doc"], *k.T[::-1]))
-            k, p = k[order], p[order]
+            k, p = _distinct(k, p)
             new = np.ones(len(k), bool)
             new[1:] = (k[1:] != k[:-1]).any(axis=1)
             found = judge(new, p)
@@ -144,7 +153,7 @@ def several(new: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def later(new: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Windows: all places but the first of each key."""
+    """Windows: all places but the first of each key. Places of a key are distinct."""
     return ~new
 
 
