@@ -1,9 +1,13 @@
-"""What the corpus operators share: durable intermediate tables and joins that stand hot keys."""
+"""What the corpus operators share: durable intermediate tables, joins that stand hot keys, and names that cannot clash."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +24,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where it names none, as in tests."""
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only in local mode, as in tests."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
@@ -33,6 +40,23 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables, wherever Spark keeps it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def told_apart(df: DataFrame, name: str) -> DataFrame:
+    """A durable copy of df with a number in name that no two rows share, whatever they hold: partition and place in it."""
+    return durable(df).withColumn(name, F.monotonically_increasing_id())
+
+
+def plain_names(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """The columns of df under names (c0, c1, ...) that an operator's own cannot clash with, and the name of each."""
+    of = {c: f"c{i}" for i, c in enumerate(columns)}
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in of.items()]), of
+
+
 def lookup(left: DataFrame, right: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
     """Join left to right, which has one row a key and in weight the number of left rows with that key.
 
@@ -49,3 +73,13 @@ def lookup(left: DataFrame, right: DataFrame, keys: list[str], weight: str, tota
 def partitions_for(spark: SparkSession, amount: float, each: float) -> int:
     """Enough partitions for amount at each a partition, and no fewer than the session's own number."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(-(-amount // each)))
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers are used again, and would else keep the most that any task took."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it decides itself
+        pass

@@ -12,12 +12,14 @@ import base64
 import binascii
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierline.llm.common import give_back
+
 #: In the order in which spans that start together are told.
 KINDS = ("assign", "access", "hex", "token", "der", "ssh")
 _ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -25,7 +27,8 @@ _ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 #: A run is matched whole, so a run of fewer characters holds no longer one.
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+#: Parts of base64 with dots between them, matched once; a token begins at the first "eyJ" ('{"') of a part.
+_PARTS = re.compile(r"[A-Za-z0-9_.-]+")
 #: Base64 of at least 32 characters, also over lines as in key files; and hex of either case.
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
 #: The characters of one line of a run.
@@ -35,7 +38,11 @@ _DASHES = re.compile(r"-{5,}")
 _HEX_RUN = re.compile(r"(?:[0-9A-Fa-f]{2}){24,}")
 #: Object identifiers of key algorithms, as DER has them: RSA, EC, Ed25519, X25519, DSA, RSA-PSS.
 _KEY_OIDS = {bytes.fromhex(x) for x in ("2a864886f70d010101", "2a8648ce3d0201", "2b6570", "2b656e", "2a8648ce380401", "2a864886f70d01010a")}
-_SSH_NAMES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521", b"sk-ssh-ed25519@openssh.com")
+#: Kinds of public keys and the number of their fields, the name included.
+_SSH_FIELDS = {b"ssh-rsa": 3, b"ssh-dss": 5, b"ssh-ed25519": 2, b"ecdsa-sha2-nistp256": 3, b"ecdsa-sha2-nistp384": 3, b"ecdsa-sha2-nistp521": 3, b"sk-ssh-ed25519@openssh.com": 3}
+_SSH_PRIVATE = b"openssh-key-v1\0"
+#: (at, size) to so many bytes of a key, or fewer where it ends.
+Read = Callable[[int, int], bytes]
 
 
 def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
@@ -82,23 +89,40 @@ def is_der_key(data: bytes) -> bool:
 
 
 def is_ssh_key(data: bytes) -> bool:
-    """A public key blob, or a private key file of the OpenSSH form."""
-    if data.startswith(b"openssh-key-v1\0"):
-        return _fields(data[15:], 3, whole=False)
-    n = int.from_bytes(data[:4], "big")
-    return data[4 : 4 + n] in _SSH_NAMES and _fields(data, 2, whole=True)
-
-
-def _fields(data: bytes, least: int, whole: bool) -> bool:
-    at = count = 0
-    while at + 4 <= len(data):
-        size = int.from_bytes(data[at : at + 4], "big")
-        if at + 4 + size > len(data):
+    """A public key blob, or a private key file of the OpenSSH form, to the last byte."""
+    return ssh_key_end(lambda at, size: data[at : at + size], len(data)) == len(data) > 0
+
+
+def _field_ends(read: Read, at: int, most: int, total: int) -> list[int]:
+    """Where the length-prefixed fields from at on end, most of them, as far as they are whole."""
+    out: list[int] = []
+    while at + 4 <= total and len(out) < most:
+        at += 4 + int.from_bytes(read(at, 4), "big")
+        if at > total:
             break
-        at, count = at + 4 + size, count + 1
-        if not whole and count == least:
-            return True
-    return count >= least and at == len(data)
+        out.append(at)
+    return out
+
+
+def ssh_key_end(read: Read, total: int, begin: int = 0) -> int | None:
+    """Where the key at begin ends, by its own nested lengths; None if they do not parse. Only lengths and names are read."""
+    if read(begin, len(_SSH_PRIVATE)) != _SSH_PRIVATE:
+        n = _SSH_FIELDS.get(read(begin + 4, min(64, int.from_bytes(read(begin, 4), "big"))))
+        ends = _field_ends(read, begin, n, total) if n else []
+        return ends[-1] if ends and len(ends) == n else None
+    # Cipher, key derivation and its options; the number of keys; each public key; all private ones in one padded field.
+    ends = _field_ends(read, begin + len(_SSH_PRIVATE), 3, total)
+    if len(ends) < 3:
+        return None
+    at = ends[2] + 4
+    for _ in range(int.from_bytes(read(ends[2], 4), "big")):
+        whole = _field_ends(read, at, 1, total)
+        if not whole or read(at + 4, 4) == _SSH_PRIVATE[:4] or ssh_key_end(read, whole[0], at + 4) != whole[0]:
+            return None
+        at = whole[0]
+    whole = _field_ends(read, at, 1, total)
+    size = whole[0] - at - 4 if whole else 0
+    return whole[0] if at > ends[2] + 4 and size > 0 and size % 8 == 0 else None
 
 
 def _base64(run: str) -> bytes | None:
@@ -131,15 +155,15 @@ def _chars(size: int) -> int:
     return -(-size * 4 // 3)
 
 
-def _field_ends(data: bytes, at: int, most: int = 2**32) -> list[int]:
-    """Where the length-prefixed fields from at on end, as far as they are whole."""
-    out: list[int] = []
-    while at + 4 <= len(data) and len(out) < most:
-        at += 4 + int.from_bytes(data[at : at + 4], "big")
-        if at > len(data):
-            break
-        out.append(at)
-    return out
+def _reader(plain: str, begin: int) -> Read:
+    """Bytes of the base64 that starts at begin, decoded where they are asked for."""
+
+    def read(at: int, size: int) -> bytes:
+        low = begin + at // 3 * 4
+        own = plain[low : low + (at % 3 + size + 2) // 3 * 4]
+        return (_base64(own[: len(own) - (len(own) % 4 == 1)]) or b"")[at % 3 : at % 3 + size]
+
+    return read
 
 
 def _key_at(plain: str, at: int, edges: dict[int, int]) -> tuple[str, int] | None:
@@ -152,24 +176,31 @@ def _key_at(plain: str, at: int, edges: dict[int, int]) -> tuple[str, int] | Non
         if more > 4:
             return None
         end = at + _chars(2 + more + (int.from_bytes(head[2 : 2 + more], "big") if more else head[1]))
-        return ("der", end) if end in edges and is_der_key(_base64(plain[at:end]) or b"") else None
-    private = plain.startswith("b3BlbnNzaC1rZXktdjEA", at)
-    if not private:
-        head = _base64(plain[at : at + 44]) if plain.startswith("AAAA", at) else None
-        if not head or head[4 : 4 + head[3]] not in _SSH_NAMES:
+        if end not in edges or _reader(plain, at)(2 + more, 1) not in (b"\x02", b"\x30"):
             return None
-    rest = plain[at:]
-    data = _base64(rest[:-1] if len(rest) % 4 == 1 else rest) or b""
-    if not private:
-        return next((("ssh", at + _chars(n)) for n in reversed(_field_ends(data, 0)[1:]) if at + _chars(n) in edges), None)
-    ends = _field_ends(data, 15, 3)
-    if len(ends) < 3:
+        return ("der", end) if is_der_key(_base64(plain[at:end]) or b"") else None
+    if not plain.startswith(("AAAA", "b3BlbnNzaC1rZXktdjEA"), at):
         return None
-    # After cipher, derivation and its options: the number of keys, each public key, and the private ones in one field.
-    count = int.from_bytes(data[ends[2] : ends[2] + 4], "big")
-    ends = _field_ends(data, ends[2] + 4, count + 1)
-    end = at + _chars(ends[-1]) if len(ends) == count + 1 else -1
-    return "ssh", end if end in edges else len(plain)  # one that is cut off goes to the end of the run
+    rest = len(plain) - at
+    size = ssh_key_end(_reader(plain, at), (rest - (rest % 4 == 1)) * 3 // 4)
+    end = at + _chars(size) if size else -1
+    return ("ssh", end) if end in edges else None
+
+
+def _tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Where signed tokens begin and end: three parts, of which the first holds "eyJ". Each part is looked at once."""
+    for run in _PARTS.finditer(text):
+        parts = run[0].split(".") if "eyJ" in run[0] else []
+        at, n = run.start(), 0
+        while n + 2 < len(parts):
+            from_ = parts[n].find("eyJ")
+            size = 3
+            if from_ >= 0 and len(parts[n]) > from_ + 3 and parts[n + 1] and is_signed_token(".".join((parts[n][from_:], *parts[n + 1 : n + 3]))):
+                yield at + from_, at + sum(map(len, parts[n : n + 3])) + 2
+            else:
+                size = 1
+            at += sum(len(p) + 1 for p in parts[n : n + size])
+            n += size
 
 
 def _keys_of_run(run: re.Match) -> Iterator[tuple[int, str, int]]:
@@ -204,7 +235,7 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 def confirmed_spans(text: str) -> list[tuple[int, str, int]]:
     out = []
     if "eyJ" in text:
-        out += [(m.start(), "token", m.end()) for m in _TOKEN.finditer(text) if is_signed_token(m[0])]
+        out += [(a, "token", b) for a, b in _tokens(text)]
     keys = {}
     for x in (text, _DASHES.sub(lambda m: " " * len(m[0]), text)) if "-----" in text else (text,):
         keys |= {span[0]: span for m in _BASE64.finditer(x) for span in _keys_of_run(m)}
@@ -225,7 +256,8 @@ def find_spans(text: str) -> list[tuple[int, str, int]]:
 def scan_secrets(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key and spans, an array of (kind, start, end), for each row of df; null text: no spans. Rows stay where they are.
 
-    The text is scanned whole, whatever its length. Equal rows give equal rows; other columns are not read.
+    The text is scanned whole, whatever its length. Equal rows give equal rows; an empty table gives an empty result; other
+    columns are not read, whatever their names.
     """
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
@@ -233,6 +265,7 @@ def scan_secrets(df: DataFrame, text: str = "text", key: str = "doc_id") -> Data
         for batch in batches:
             found = [[{"kind": k, "start": a, "end": b} for a, k, b in find_spans(x)] if x else [] for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(span))], names=[key, "spans"])
+        give_back()
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(F.col(key), F.col(text)).mapInArrow(run, f"`{key}` {kind}, spans array<struct<kind: string, start: long, end: long>>")
