@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.llm.common import durable
+from tierline.llm.common import durable, plain_names
 
 
 def capacities(total: int, parts: int) -> np.ndarray:
@@ -38,18 +38,27 @@ def split_draw(rng: np.random.Generator, room: np.ndarray, rows: int) -> np.ndar
 
 
 def _hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
-    """One draw; numpy takes populations below 10^9 only, so larger ones are split in halves first."""
+    """One exact draw. numpy takes populations below 10^9 only; larger ones are drawn by inversion around the mode.
+
+    The chances of neighbouring counts have a rational ratio, so running products to both sides of the mode give all of
+    them, up to a factor; ten standard deviations away they are below what a double can add to one.
+    """
     if good == 0 or draws == 0:
         return 0
     if bad == 0:
         return draws
-    if good + bad < 10**9:
-        return int(rng.hypergeometric(good, bad, draws))
-    # A population this large: the normal law, whose error is far below one row in its standard deviation.
     n = good + bad
-    mean = draws * (good / n)
-    deviation = (mean * (bad / n) * ((n - draws) / max(1, n - 1))) ** 0.5
-    return int(min(max(round(rng.normal(mean, deviation)), max(0, draws - bad)), min(draws, good)))
+    if n < 10**9:
+        return int(rng.hypergeometric(good, bad, draws))
+    low, high = max(0, draws - bad), min(draws, good)
+    mode = min(high, max(low, (draws + 1) * (good + 1) // (n + 2)))
+    reach = int(10 * (draws / n * (1 - draws / n) * good / n * bad) ** 0.5) + 60
+    above = np.arange(mode, min(high, mode + reach), dtype=float)  # from x to x + 1
+    below = np.arange(mode, max(low, mode - reach), -1, dtype=float)  # from x to x - 1
+    rise = np.cumprod((good - above) * (draws - above) / ((above + 1) * (bad - draws + above + 1)))
+    fall = np.cumprod(below * (bad - draws + below) / ((good - below + 1) * (draws - below + 1)))
+    sums = np.cumsum(np.concatenate([fall[::-1], [1.0], rise]))
+    return int(mode - len(fall) + min(len(sums) - 1, np.searchsorted(sums, rng.random() * sums[-1], "right")))
 
 
 def matrix_row(counts: np.ndarray, room: np.ndarray, which: int, seed: int) -> np.ndarray:
@@ -65,12 +74,14 @@ def matrix_row(counts: np.ndarray, room: np.ndarray, which: int, seed: int) -> n
 def hypergeometric_shuffle(df: DataFrame, shards: int, seed: int = 1, rows_a_slice: int | None = None) -> DataFrame:
     """All rows and columns of df with shard (0 to shards - 1; counts at most one apart) and slot (gapless from 0 in it).
 
-    Columns named shard or slot are replaced. Rows are placed whatever they hold: nulls, ties and repeated rows are rows
-    like others. An empty table gives an empty result. A slice has about rows_a_slice rows, by default 20 times the root of
-    the row count (4,096 at least), so that both its rows and the number of slices grow with the root of the input. Reruns
-    over the same partitions agree; a lost executor's rows are redone from the durable copy, with the same draws.
+    Columns of df may have any names; those called shard or slot are replaced. Rows are placed whatever they hold: nulls,
+    ties and repeated rows are rows like others. An empty table gives an empty result. A slice has about rows_a_slice rows,
+    by default 20 times the root of the row count (4,096 at least), so that both its rows and the number of slices grow with
+    the root of the input. Reruns over the same partitions agree; a lost executor's rows are redone from the durable copy,
+    with the same draws.
     """
-    rows = durable(df.drop("shard", "slot", "_to", "_row"))
+    spare = df.drop("shard", "slot")
+    rows = durable(plain_names(spare, spare.columns)[0])
     counted = {r[0]: r[1] for r in rows.groupBy(F.spark_partition_id().alias("p")).count().collect()}
     counts = np.zeros(max(counted, default=-1) + 1, np.int64)
     for p, n in counted.items():
@@ -96,14 +107,15 @@ def hypergeometric_shuffle(df: DataFrame, shards: int, seed: int = 1, rows_a_sli
             n = batch.num_rows
             extra = [pa.array(to[at : at + n]), pa.array((np.int64(p) << np.int64(40)) + np.arange(at, at + n))]
             at += n
-            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*names, "_to", "_row"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*names, "to", "row"])
 
-    schema = T.StructType([*rows.schema.fields, T.StructField("_to", T.IntegerType()), T.StructField("_row", T.LongType())])
+    schema = T.StructType([*rows.schema.fields, T.StructField("to", T.IntegerType()), T.StructField("row", T.LongType())])
     sent = rows.mapInArrow(send, schema)
-    first = F.element_at(F.array(*map(F.lit, starts)), F.col("_to") + 1) if len(starts) <= 64 else None
-    again = Window.partitionBy("_to").orderBy(F.xxhash64("_row", F.lit(seed)), "_row")
-    placed = sent.withColumn("_rank", F.row_number().over(again) - 1)
-    if first is None:
-        known = df.sparkSession.createDataFrame(list(enumerate(starts)), "_to int, _first long")
-        placed, first = placed.join(F.broadcast(known), "_to"), F.col("_first")
-    return placed.select(*names, (F.floor(F.col("_to") / F.lit(slices))).cast("int").alias("shard"), (first + F.col("_rank")).cast("long").alias("slot"))
+    first = F.element_at(F.array(*map(F.lit, starts)), F.col("to") + 1) if len(starts) <= 64 else None
+    again = Window.partitionBy("to").orderBy(F.xxhash64("row", F.lit(seed)), "row")
+    placed = sent.withColumn("rank", F.row_number().over(again) - 1)
+    if first is None:  # as many rows as slices, of which there are few: they grow with the root of the input
+        known = df.sparkSession.createDataFrame(list(enumerate(starts)), "to int, first long")
+        placed, first = placed.join(F.broadcast(known), "to"), F.col("first")
+    placed = placed.select(*names, (F.floor(F.col("to") / F.lit(slices))).cast("int").alias("shard"), (first + F.col("rank")).cast("long").alias("slot"))
+    return placed.toDF(*spare.columns, "shard", "slot")
