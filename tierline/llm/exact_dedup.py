@@ -1,21 +1,28 @@
 """Exact duplicates by two-pass Bloom filtering, in DataFrame functions only.
 
-Pass 1 counts how many documents set each cell of a counting Bloom filter and keeps, as 4 KB bitmaps, the cells that at
-least two have set. Pass 2 probes these bitmaps: a document with a cell that is not in them has a text of its own and
-passes straight through. Only the others, possibly repeated, are grouped by their digest. Texts never shuffle.
+The filter is a blocked Bloom filter: a digest belongs to one block of 64 cells and sets a few of them, its pattern. Pass 1
+counts patterns by block, summed in each partition first, and keeps of every block the cells of the patterns that came twice or
+more. Pass 2 probes these blocks: a document with a cell that is not in its block has a text of its own and passes straight
+through. Only the others, possibly repeated, are grouped by their digest. Texts never shuffle, and neither do digests that no
+other document has.
+
+The filter is built and probed for one range of digests after the other, each as large as one broadcast may be. The digests
+are written once, sorted within their files, so that a range reads its own part of each file only.
 """
 
 from __future__ import annotations
 
 import string
+import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import durable, lookup
+from tierline.llm.common import durable, lookup, remove_folder, shared_folder
 
-#: Bits of one bitmap, as Spark's bitmap functions have it.
-BITMAP_BITS = 32768
+#: Cells of a block, as bits of a long; rows a block; and bytes that a block takes where it is broadcast, at most.
+CELLS, ROWS_A_BLOCK, BLOCK_BYTES = 64, 8, 64
 
 
 def fold_case(text: Column) -> Column:
@@ -24,52 +31,56 @@ def fold_case(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
-def _cells(digest: str, hashes: int, maps: Column) -> tuple[Column, Column]:
-    """The bitmap that a digest belongs to, and its cells in it."""
-    first = F.xxhash64(digest)
-    return F.pmod(first, maps), F.array(*[F.pmod(F.xxhash64(digest, F.lit(i)), F.lit(BITMAP_BITS)) for i in range(hashes)])
+def placed(digests: DataFrame, blocks: int, hashes: int) -> DataFrame:
+    """digests with the block of each and its pattern, of hashes cells or fewer."""
+    cell = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64("digest", F.lit(i)), F.lit(CELLS)).cast("int"))
+    pattern = reduce(lambda a, b: a.bitwiseOR(b), [cell(i) for i in range(hashes)])
+    return digests.withColumns({"block": F.pmod(F.xxhash64("digest", F.lit(hashes)), F.lit(blocks)), "pattern": pattern})
 
 
-def repeated_cells(digests: DataFrame, hashes: int, maps: int) -> DataFrame:
-    """Pass 1: (map, bits), a bitmap of the cells that two or more rows of digests have set."""
-    which, cells = _cells("digest", hashes, F.lit(maps))
-    counted = digests.select(which.alias("map"), F.explode(cells).alias("cell")).groupBy("map", "cell").count()
-    twice = counted.where(F.col("count") > 1)
-    return twice.groupBy("map").agg(F.bitmap_construct_agg("cell").alias("bits"))
+def repeated_cells(digests: DataFrame) -> DataFrame:
+    """Pass 1: (block, cells), the cells of all patterns that two or more rows have. Blocks without such are left out."""
+    counted = digests.groupBy("block", "pattern").count()
+    return counted.where(F.col("count") > 1).groupBy("block").agg(F.bit_or("pattern").alias("cells"))
 
 
-def probe(digests: DataFrame, bitmaps: DataFrame, hashes: int, maps: int, broadcast_bytes: int) -> DataFrame:
-    """Pass 2: digests with maybe, which is false only for a digest that no other row has."""
-    which, cells = _cells("digest", hashes, F.lit(maps))
-    small = maps * BITMAP_BITS // 8 <= broadcast_bytes
-    joined = digests.withColumn("map", which).join(F.broadcast(bitmaps) if small else bitmaps, "map", "left")
-    set_ = [F.getbit(F.conv(F.hex(F.substring("bits", (c / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint"), F.pmod(c, F.lit(8)).cast("int")) for c in (F.get(cells, F.lit(i)) for i in range(hashes))]
-    found = set_[0]
-    for bit in set_[1:]:
-        found = found * bit
-    return joined.withColumn("maybe", F.coalesce(found, F.lit(0)) == 1).drop("map", "bits")
+def probe(digests: DataFrame, filter_: DataFrame) -> DataFrame:
+    """Pass 2: digests with maybe, which is false only for a digest that no other row has. The filter's size is bounded."""
+    joined = digests.join(F.broadcast(filter_), "block", "left")
+    maybe = F.coalesce(F.col("cells").bitwiseAND(F.col("pattern")) == F.col("pattern"), F.lit(False))
+    return joined.select("id", "digest", maybe.alias("maybe"))
 
 
-def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", cells_per_row: int = 16, hashes: int = 3, broadcast_bytes: int = 16 << 20) -> DataFrame:
+def filtered(rows: DataFrame, hashes: int, broadcast_bytes: int) -> tuple[DataFrame, int]:
+    """rows (id, digest) with maybe, and their number: both passes, range by range."""
+    spark = rows.sparkSession
+    folder = f"{shared_folder(spark)}/exact-{uuid.uuid4().hex}"
+    rows.withColumn("range", F.xxhash64("digest")).sortWithinPartitions("range").write.parquet(folder)
+    digests = spark.read.schema("id long, digest binary, `range` long").parquet(folder)
+    total = digests.count()
+    ranges = -(-total * BLOCK_BYTES // ROWS_A_BLOCK // broadcast_bytes) or 1
+    edges = [-(2**63) + 2**64 * i // ranges for i in range(ranges)] + [2**63]
+    blocks = -(-total // ROWS_A_BLOCK // ranges) or 1
+    out = []
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
+        own = placed(digests.where(F.col("range").between(low, high - 1)), blocks, hashes)
+        out.append(durable(probe(own, repeated_cells(own))))
+    remove_folder(spark, folder)
+    return reduce(DataFrame.unionByName, out), total
+
+
+def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", hashes: int = 3, broadcast_bytes: int = 64 << 20) -> DataFrame:
     """One row for each row of docs: key, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after fold_case; null counts as the empty text. Of equal texts the row with the largest
     key stays (keep_id; null is the smallest key, so keep_id is null only where all keys are). Rows that repeat both text
     and key count in group_size and are all kept, as nothing tells them apart. An empty table gives an empty result; other
-    columns of docs are not read, whatever their names. The filter has cells_per_row cells for each row; it is broadcast
-    while its size, known beforehand, is at most broadcast_bytes, and else joined by bitmap.
+    columns of docs are not read, whatever their names. broadcast_bytes bounds the part of the filter that is broadcast at
+    once: larger tables take more ranges of digests, one after the other, and nothing else changes.
     """
-    row = docs.select(F.col(key).alias("id"), F.unhex(F.sha2(fold_case(F.coalesce(F.col(text), F.lit(""))), 256)).alias("digest"))
-    digests = durable(row)
-    total = digests.count()
-    maps = -(-total * cells_per_row // BITMAP_BITS) or 1
-    if maps * BITMAP_BITS // 8 <= broadcast_bytes:
-        probed = probe(digests, repeated_cells(digests, hashes, maps), hashes, maps, broadcast_bytes)
-    else:  # one digest may hold a third of all rows: probe each digest of a partition once, and hot ones by broadcast
-        distinct = digests.groupBy("digest").agg(F.count("*").alias("rows"))
-        known = durable(probe(distinct, repeated_cells(digests, hashes, maps), hashes, maps, broadcast_bytes))
-        probed = lookup(digests, known, ["digest"], "rows", total).drop("rows")
-    probed = durable(probed)
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.unhex(F.sha2(fold_case(body), 256)).alias("digest"))
+    probed, total = filtered(rows, hashes, broadcast_bytes)
     maybe = probed.where("maybe").drop("maybe")
     groups = durable(maybe.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")))
     found = lookup(maybe, groups, ["digest"], "group_size", total)
