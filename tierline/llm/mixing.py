@@ -15,34 +15,37 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import NO_ID, WORD, durable
+from tierline.llm.common import NO_ID, WORD, durable, told_apart
 
 EDGE = 1e-9
 
 
 def water_fill(sizes: Sequence[float], weights: Sequence[float], most: float) -> list[float]:
-    """Share the sum of sizes by weights; a share stops at most times its size, and the others share the excess."""
-    out, open_ = [0.0] * len(sizes), list(range(len(sizes)))
-    left = float(sum(sizes))
-    while open_:
-        unit = left / sum(weights[i] for i in open_)
-        above = [i for i in open_ if unit * weights[i] > most * sizes[i]]
-        for i in above or open_:
-            out[i] = most * sizes[i] if above else unit * weights[i]
-        if not above:
+    """Share the sum of sizes by weights; a share stops at most times its size, and the others share the excess.
+
+    A share is reached by a level: weight * level, or most * size where that is less. Shares stop in the order of size over
+    weight, so one pass in that order finds the level.
+    """
+    out = [0.0] * len(sizes)
+    left, open_weight = float(sum(sizes)), float(sum(weights))
+    order = sorted(range(len(sizes)), key=lambda i: sizes[i] / weights[i])
+    for n, i in enumerate(order):
+        if left / open_weight * weights[i] <= most * sizes[i]:
+            for k in order[n:]:
+                out[k] = left / open_weight * weights[k]
             break
-        left -= sum(out[i] for i in above)
-        open_ = [i for i in open_ if i not in set(above)]
+        out[i] = most * sizes[i]
+        left, open_weight = left - out[i], open_weight - weights[i]
     return out
 
 
-def flight(chances: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def flight(chances: np.ndarray, sizes: np.ndarray, seed: Sequence[int] = (1,)) -> np.ndarray:
     """Chances moved to 0 or 1, all but two at most, with sum(chances) and sum(chances * sizes) kept.
 
     Three open documents at a time: the null space of their two constraints is one line, along which a step to either side
-    closes one of them; which side is drawn so that every chance keeps its expectation.
+    closes one of them; which side is drawn so that every chance keeps its expectation. Equal seeds give equal draws.
     """
-    rng = np.random.default_rng(len(chances))
+    rng = np.random.default_rng([*seed])
     draws = rng.random(2 * len(chances) + 4).tolist()
     p, s = chances.tolist(), sizes.tolist()
     active: list[int] = []
@@ -73,7 +76,7 @@ def flight(chances: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.array(p)
 
 
-def land(chances: np.ndarray, sizes: np.ndarray, held: int = 10) -> np.ndarray:
+def land(chances: np.ndarray, sizes: np.ndarray, seed: Sequence[int] = (1,), held: int = 10) -> np.ndarray:
     """The landing problem of a source: the flight of all but its held smallest documents, then a search over what is open.
 
     Of all ways to close these and the one or two that the flight left, it takes the one with the least error in tokens, a
@@ -82,7 +85,7 @@ def land(chances: np.ndarray, sizes: np.ndarray, held: int = 10) -> np.ndarray:
     out = chances.copy()
     open_ = np.flatnonzero((chances > EDGE) & (chances < 1 - EDGE))
     flown = open_[: max(0, len(open_) - held)]
-    out[flown] = flight(chances[flown], sizes[flown])
+    out[flown] = flight(chances[flown], sizes[flown], seed)
     open_ = np.flatnonzero((out > EDGE) & (out < 1 - EDGE))
     ways = np.arange(2 ** len(open_))[:, None] >> np.arange(len(open_)) & 1
     tokens, rows = np.abs((ways - out[open_]) @ sizes[open_].astype(float)), np.abs((ways - out[open_]).sum(axis=1))
@@ -91,18 +94,31 @@ def land(chances: np.ndarray, sizes: np.ndarray, held: int = 10) -> np.ndarray:
     return np.round(out)
 
 
-def mix_sources(docs: DataFrame, size: Column | None = None, source: str = "source", key: str = "doc_id", weights: Sequence[float] = (5, 2, 1), most: float = 3.0, chunk: int = 1000, seed: int = 1) -> DataFrame:
-    """One row for each row of docs: key, source, size, source_size, target, chance, copies, taken.
+#: Sources that a mix may have, at most: one row for each is on the driver and is broadcast.
+SOURCES = 100_000
+
+
+def mix_sources(docs: DataFrame, size: Column | None = None, source: str = "source", key: str = "doc_id", weights: Sequence[float] = (5, 2, 1), most: float = 3.0, chunk: int = 1000, seed: int = 1, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each row of docs: key, source, size, source_size, target, chance, copies, taken, and the columns in carry.
 
     Sources by code point, null (a source of its own) last, have the weights in turn; targets share the sum of all sizes
-    (water_fill). size is by default the number of words (null: 0). copies is how often the mix takes the document, taken is
-    copies * size. Rows are told apart by key and, where it is null or repeated, by their order in it; ties of equal rows
-    may fall either way, but reruns agree. An empty table gives an empty result. Other columns are not read. One row a
-    source comes to the driver: sources are what a mix is configured by.
+    (water_fill). size is by default the number of words of a column text (null: 0). copies is how often the mix takes the
+    document, taken is copies * size. Rows are told apart by their number in a durable copy, so null, repeated and equal keys
+    are rows like others, and a chunk holds about `chunk` rows whatever they are. Reruns over the same files agree. An empty
+    table gives an empty result. Other columns are not read; of those in carry, one that is called like a column of the
+    result's own gives way to it. One row a source comes to the driver: sources are what a mix is configured by, and more
+    than SOURCES of them raise an error.
     """
+    own = (key, source, "size", "source_size", "target", "chance", "copies", "taken")
+    carry = tuple(c for c in carry if c not in own)
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)) if size is None else size
-    thin = durable(docs.select(F.coalesce(F.col(key), F.lit(NO_ID)).alias("id"), F.col(source).alias("source"), size.cast("long").alias("size")))
-    totals = thin.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).collect()
+    held = [f"c{i}" for i in range(len(carry))]
+    whole = told_apart(docs.select(F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_ID)).alias("id"), F.col(f"`{source}`").alias("source"), size.cast("long").alias("size"), *[F.col(f"`{c}`").alias(h) for c, h in zip(carry, held, strict=True)]), "row")
+    thin = whole.select("id", "source", "size", "row")
+    thin = durable(thin) if carry else thin  # it is read several times, and what is carried may be large
+    totals = thin.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).limit(SOURCES + 1).collect()
+    if len(totals) > SOURCES:
+        raise ValueError(f"more than {SOURCES} sources: group them first")
     totals.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     targets = water_fill([r["size"] for r in totals], [weights[i % len(weights)] for i in range(len(totals))], most)
     plan = [(r["source"], i, int(r["size"]), t, int(r["rows"])) for i, (r, t) in enumerate(zip(totals, targets, strict=True))]
@@ -112,7 +128,7 @@ def mix_sources(docs: DataFrame, size: Column | None = None, source: str = "sour
     aside = thin.withColumnRenamed("source", "_source")
     told = aside.join(F.broadcast(known), F.col("_source").eqNullSafe(F.col("source")))
     told = told.select(
-        "id", "source", "size", "which", "source_size", "target", "rows", F.floor(rate + EDGE).cast("int").alias("whole"),
+        "id", "row", "source", "size", "which", "source_size", "target", "rows", F.floor(rate + EDGE).cast("int").alias("whole"),
         F.when((part < EDGE) | (part > 1 - EDGE), 0.0).otherwise(part).alias("chance"),
     ).withColumn("open", F.col("chance"))
     done = [told.where("open = 0")]
@@ -121,8 +137,8 @@ def mix_sources(docs: DataFrame, size: Column | None = None, source: str = "sour
     turn = 0
     while True:
         last = groups <= chunk
-        mixed = rest.withColumn("chunk", F.pmod(F.xxhash64("id", "size", F.lit(seed + turn)), F.greatest(F.lit(1), F.ceil(F.col("rows") / F.lit(chunk)))).cast("long"))
-        moved = mixed.groupBy("which", "chunk").applyInPandas(_fly(chunk), mixed.schema).drop("chunk")
+        mixed = rest.withColumn("chunk", F.pmod(F.xxhash64("row", F.lit(seed + turn)), F.greatest(F.lit(1), F.ceil(F.col("rows") / F.lit(chunk)))).cast("long"))
+        moved = mixed.groupBy("which", "chunk").applyInPandas(_fly(chunk, seed, turn), mixed.schema).drop("chunk")
         moved = durable(moved)
         settled = (F.col("open") == 0) | (F.col("open") == 1)
         done.append(moved.where(settled))
@@ -135,16 +151,20 @@ def mix_sources(docs: DataFrame, size: Column | None = None, source: str = "sour
     for x in done[1:]:
         out = out.unionByName(x)
     copies = (F.col("whole") + F.col("open").cast("int")).alias("copies")
-    return out.select(F.nullif(F.col("id"), F.lit(NO_ID)).alias(key), F.col("source").alias(source), "size", "source_size", "target", "chance", copies).withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
+    out = out.select("row", F.nullif(F.col("id"), F.lit(NO_ID)).alias("id"), "source", "size", "source_size", "target", "chance", copies).withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
+    if carry:  # by the number of the row: one row a side, whatever the keys are
+        out = out.join(whole.select("row", *held), "row")
+    return out.select(*[F.col(c).alias(n) for c, n in zip(("id", "source", "size", "source_size", "target", "chance", "copies", "taken", *held), (*own, *carry), strict=True)])
 
 
-def _fly(chunk: int):
+def _fly(chunk: int, seed: int, turn: int):
     """A chunk's flight; a source with no more rows than one chunk lands at once, as it has this one chunk only."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["size", "id", "open"], ascending=[False, True, True], na_position="first", kind="stable").reset_index(drop=True)
+        rows = rows.sort_values(["size", "id", "row"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         close = land if rows["rows"].iloc[0] <= chunk else flight
-        rows["open"] = close(rows["open"].to_numpy(float), rows["size"].to_numpy())
+        draws = (seed, turn, int(rows["which"].iloc[0]), int(rows["chunk"].iloc[0]))
+        rows["open"] = close(rows["open"].to_numpy(float), rows["size"].to_numpy(), draws)
         return rows
 
     return run
