@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +11,8 @@ from pyspark.sql import types as T
 from tierline.functions import privacy, time
 from tierline.functions.columns import ladder, ratio
 from tierline.operators import checks, drift, ranking, reconcile, scd
-from tierline.sources import specs, tables, writes
+from tierline.plans import layers
+from tierline.sources import catalogues, specs, tables, writes
 from tierline.streaming import events as ev
 
 D = dt.date
@@ -42,11 +44,12 @@ def test_ladders_and_ratios(spark):
 
 
 @pytest.mark.parametrize("n", [0, 1, 4, 5, 7, 23])
-def test_ntile_is_sparks_own(spark, n):
+def test_ntile_is_sparks_own(spark, n, monkeypatch):
     from pyspark.sql import Window
 
     df = spark.range(n).select("id", (F.col("id") % 3).alias("v")).repartition(3)
-    got = ranking.ntile(df, 5, [F.col("v"), F.col("id")], "t", slices=4).withColumn("want", F.ntile(5).over(Window.orderBy("v", "id")))
+    monkeypatch.setattr(ranking, "SLICE_ROWS", 6)  # several slices
+    got = ranking.ntile(df, 5, [F.col("v"), F.col("id")], "t").withColumn("want", F.ntile(5).over(Window.orderBy("v", "id")))
     assert got.count() == n and got.where("t <> want").isEmpty()
     assert rows(ranking.global_row_number(df, [F.desc("v"), F.col("id")], slices=3), "rn") == [(i + 1,) for i in range(n)]
 
@@ -79,10 +82,14 @@ def test_scd2_loads_and_reruns(spark):
     assert rows(two, *columns) == want == rows(again, *columns)
     assert rows(scd.as_of(two, D(2026, 1, 1)), "customer_id", "segment") == [(1, "A"), (2, "A"), (3, "A")]
     assert rows(checks.scd2_integrity(two, ["customer_id"])) == [(5, 3, 0, 3, 0)] and scd.overlaps(two, ["customer_id"]).isEmpty()
+    load = lambda source, day: scd.apply_scd2(two, source, ["customer_id"], ["segment"], day, "sk")
     with pytest.raises(ValueError, match="empty"):
-        scd.check_load(two, second.limit(0), D(2026, 1, 3))
+        load(second.limit(0), D(2026, 1, 3))
     with pytest.raises(ValueError, match="before"):
-        scd.check_load(two, second, D(2026, 1, 1))
+        load(second, D(2026, 1, 1))
+    doubled = second.unionByName(spark.createDataFrame([(1, "C", "z"), (4, "D", "d")], CUSTOMER))
+    assert rows(checks.scd2_integrity(load(doubled, D(2026, 1, 3)), ["customer_id"])) == [(6, 3, 0, 3, 0)]
+    assert rows(load(doubled, D(2026, 1, 3)).where("is_current = 1"), "customer_id", "segment") == [(1, "C"), (2, "A"), (4, "D")]
 
 
 def test_latest_change_and_guarded_merge(spark):
@@ -173,6 +180,41 @@ def test_drift(spark):
     assert other["drifted"] and other["ks"] == pytest.approx(0.5, abs=0.01) and other["mean_shift"] == pytest.approx(1)
 
 
+def test_quantiles_are_exact(spark):
+    values = [float(i * i % 101) for i in range(457)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(5)
+    at = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    assert ranking.quantiles(df, "v", at) == pytest.approx(np.quantile(values, at).tolist())
+    assert ranking.quantiles(df.limit(0), "v", at) == [None] * 6 and ranking.slices_for(10**9) == 256 and ranking.slices_for(1) == 1
+
+
+def test_merchants_with_a_steady_cash_flow_are_told_to_save(spark):
+    """Failed payments are no revenue; a month that grew asks for a loan, an even one for savings, an uneven or empty one for neither."""
+    from types import SimpleNamespace
+
+    from tierline.plans.merchant_marts import merchant_360
+
+    paid = [(1, D(2001, 6, 20), "100", "SUCCESS"), (1, D(2001, 6, 21), "900", "FAILED"), (1, D(2001, 5, 10), "50", "SUCCESS")]
+    paid += [(2, D(2001, 6, d), "10", "SUCCESS") for d in (1, 5, 9)] + [(2, D(2001, 5, d), "12", "SUCCESS") for d in (10, 20, 30)]
+    paid += [(3, D(2001, 5, 20), "500", "SUCCESS"), (3, D(2001, 5, 21), "1", "SUCCESS"), (3, D(2001, 5, 22), "1", "SUCCESS"), (4, D(2001, 6, 1), "70", "FAILED")]
+    cards = spark.createDataFrame(paid, "merchant_id int, cob_dt date, a string, status string").withColumn("amount", F.col("a").cast("decimal(18,2)"))
+    places = spark.createDataFrame([(1, "Hanoi")], "branch_id int, city string")
+    merchants = spark.createDataFrame([(i, f"Shop {i}", 1, 5) for i in range(1, 6)], "merchant_id int, merchant_name string, branch_id int, mcc int")
+    got = {r["merchant_id"]: r for r in merchant_360(SimpleNamespace(card_txn=cards, merchant=merchants, branch=places)).collect()}
+    assert {k: r["advisory_product_hint"] for k, r in got.items()} == {1: "WORKING_CAPITAL_LOAN", 2: "SAVINGS", 3: "EXTRA_POS", 4: "EXTRA_POS", 5: "EXTRA_POS"}
+    assert (got[1]["revenue_90d"], got[1]["active_days_90d"], got[4]["active_days_90d"], got[5]["active_days_90d"]) == (150, 3, 1, 0) and got[4]["cash_flow_cv"] is None
+
+
+def test_catalogues_hold_together(spark):
+    held = {d.name: d for d in catalogues.dimensions()}
+    assert len(held) == 12 and sum(bool(d.tracked) for d in held.values()) == 6
+    for d in held.values():
+        assert set(d.tracked) | set(d.required) <= set(d.columns) and all(c in d.columns and (k == held[p].key or k in held[p].columns) for c, p, k in d.parents)
+        assert list(layers.SNAPSHOTS[d.name][1]) == [d.key, *d.columns]
+        assert any(c.kind == "unique" for c in catalogues.rules(d))
+    assert [s.problems() for s in catalogues.streams()] == [[]] * 7 and len(catalogues.consolidations()) == 3 and len(catalogues.QUARANTINE) == 18
+
+
 def test_load_specs():
     assert [s.problems() for s in specs.bank_catalogue()] == [[]] * 23
     assert len(specs.LoadSpec("t", "t", "sometimes").problems()) == 1 and specs.LoadSpec("t", "t", "incremental").problems()
@@ -226,8 +268,8 @@ def records(spark, values):
 def test_envelopes_are_split(spark):
     batch = records(spark, [envelope("1", "c"), envelope("2", "d"), None, "not json", envelope("3", "x"), envelope(None), envelope("4", ts="soon"), envelope("x9")])
     checked = ev.validate(batch, SPEC)
-    assert rows(ev.valid(checked, SPEC).where("id IS NOT NULL"), "id", "__cdc_operation") == [(1, "INSERT"), (2, "DELETE")]
-    assert rows(ev.dead_letters(checked, "t"), "kafka_offset", "error_type") == [(3, "UNPARSEABLE_PAYLOAD"), (4, "INVALID_OPERATION"), (5, "MISSING_PRIMARY_KEY"), (6, "INVALID_TIMESTAMP")]
+    assert rows(ev.valid(checked, SPEC), "id", "__cdc_operation") == [(1, "INSERT"), (2, "DELETE")]
+    assert rows(ev.dead_letters(checked, "t"), "kafka_offset", "error_type") == [(3, "PARSE_ERROR"), (4, "INVALID_OPERATION"), (5, "MISSING_PRIMARY_KEY"), (6, "INVALID_TIMESTAMP"), (7, "MISSING_PRIMARY_KEY")]
     assert all(r["error_message"] for r in ev.dead_letters(checked, "t").collect())
 
 
@@ -251,6 +293,23 @@ def test_stream_job_survives_a_restart(spark, tmp_path):
     assert rows(spark.read.parquet(where[0] + "/enriched").na.fill("-"), "id", "dim_tier") == [(1, "gold"), (2, "-"), (4, "-")]
 
 
+def test_a_batch_that_was_not_enriched_is_enriched_later(spark, tmp_path):
+    """The dimension is away for the first run: its rows are in the log, and in the second run's enriched table."""
+    source, where = str(tmp_path / "in"), (str(tmp_path / "out"), str(tmp_path / "check"))
+    spec = ev.StreamSpec("t", ("id",), dict(SPEC.columns), ("id",), "10 minutes", "dim", ("id",))
+
+    def away():
+        raise RuntimeError("no dimension")
+
+    records(spark, [envelope("1"), envelope("2")]).write.parquet(source)
+    ev.run_cdc(ev.file_stream(spark, source), spec, *where, away).awaitTermination()
+    assert rows(spark.read.parquet(where[0] + "/log"), "id") == [(1,), (2,)]
+    records(spark, [envelope("4")]).write.mode("append").parquet(source)
+    dim = lambda: spark.createDataFrame([(1, "gold")], "id long, tier string")
+    ev.run_cdc(ev.file_stream(spark, source), spec, *where, dim).awaitTermination()
+    assert rows(spark.read.parquet(where[0] + "/enriched").na.fill("-"), "id", "dim_tier") == [(1, "gold"), (2, "-"), (4, "-")]
+
+
 def test_streamed_minutes_equal_batch_minutes(spark, tmp_path):
     schema = "merchant_id int, ts timestamp, status string, amount decimal(18,2)"
     base = dt.datetime(2026, 1, 1)

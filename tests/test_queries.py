@@ -33,5 +33,25 @@ def test_query(spark, duck, name):
     assert got == sorted([plain(x[columns.index(c)]) for c in sorted(columns)] for x in found.fetchall())
 
 
+#: Columns that would hold of nothing, or prove nothing, were all their values one; and what each must take.
+BOTH = {
+    "m1_customer_360": {"has_credit_card": 2, "has_savings": 2, "is_digital_active": 2, "churn_flag": 2, "cross_sell_credit_card_flag": 2, "aum_bucket": 4, "rfm_segment": 5},
+    "m7_merchant_360": {"advisory_product_hint": 2}, "m9_churn_rules": {"churn_risk": 4}, "m10_cross_sell": {"primary_opportunity": 3}, "m11_campaign_target": {"campaign_type": 5},
+    "m12_fraud_risk": {"night_flag": 2, "high_amount_flag": 2, "neg_balance_flag": 2, "anomaly_flag": 2, "is_fraud": 2}, "m18_merchant_ranking": {"txn_count": 2},
+    "m13_aml_monitoring": {"high_value_flag": 2, "structuring_flag": 2, "velocity_flag": 2, "multi_channel_flag": 2, "geo_velocity_flag": 2, "alert_generated": 2, "is_fraud": 2, "risk_level": 4},
+}
+
+
+@pytest.mark.parametrize("name", sorted(BOTH))
+def test_each_branch_is_taken(name):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    for p in sorted(Path(FOLDER.replace("0.001", "0.01")).glob("*.parquet")):
+        con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")
+    con.execute(f"CREATE TABLE result AS {entry.oracle_sql()[name]}")
+    for column, least in BOTH[name].items():
+        assert len(con.execute(f"SELECT DISTINCT {column} FROM result").fetchall()) >= least, column
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

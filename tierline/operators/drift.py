@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierline.operators.ranking import quantiles, slices_for
+from tierline.sources.shared import durable
+
 #: Added to each bin's share, and the limits of a drift (fixed values).
 EPSILON, PSI_LIMIT, KS_LIMIT, SHIFT_LIMIT = 1e-4, 0.2, 0.1, 0.1
 
@@ -12,8 +15,7 @@ EPSILON, PSI_LIMIT, KS_LIMIT, SHIFT_LIMIT = 1e-4, 0.2, 0.1, 0.1
 def breakpoints(baseline: DataFrame, column: str, bins: int = 10) -> list[float]:
     """Inner quantiles of the baseline, exact, without repeats: a few numbers, whatever the table's size."""
     at = [i / bins for i in range(1, bins)]
-    row = baseline.agg(F.percentile(F.col(column).cast("double"), F.array(*map(F.lit, at))).alias("q")).first()
-    return sorted(set(row["q"] or []))
+    return sorted({q for q in quantiles(baseline, column, at) if q is not None})
 
 
 def bin_counts(df: DataFrame, column: str, points: list[float]) -> DataFrame:
@@ -35,11 +37,12 @@ def psi(baseline: DataFrame, current: DataFrame, column: str, bins: int = 10) ->
     return joined.crossJoin(F.broadcast(totals)).agg(F.sum((q - p) * F.log(q / p)).alias("psi"))
 
 
-def ks(baseline: DataFrame, current: DataFrame, column: str, slices: int = 64) -> DataFrame:
+def ks(baseline: DataFrame, current: DataFrame, column: str) -> DataFrame:
     """One row: ks, the largest distance of the two distributions. Prefix sums over range partitions: no task sorts all values."""
     tag = lambda df, a, b: df.where(F.col(column).isNotNull()).select(F.col(column).alias("v"), F.lit(a).alias("a"), F.lit(b).alias("b"))
     values = tag(baseline, 1, 0).unionByName(tag(current, 0, 1)).groupBy("v").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    parts = values.repartitionByRange(slices, "v").withColumn("_part", F.spark_partition_id())
+    values = durable(values)
+    parts = values.repartitionByRange(slices_for(values.count()), "v").withColumn("_part", F.spark_partition_id())
     sums = parts.groupBy("_part").agg(F.sum("a").alias("pa"), F.sum("b").alias("pb"))
     upto = Window.orderBy("_part")
     before = sums.select("_part", (F.sum("pa").over(upto) - F.col("pa")).alias("ba"), (F.sum("pb").over(upto) - F.col("pb")).alias("bb"))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -42,3 +43,14 @@ def evaluation(scored: DataFrame, label: str) -> DataFrame:
     tp, fp, fn = F.count_if(y & p), F.count_if(~y & p), F.count_if(y & ~p)
     rate = lambda a, b: F.try_divide(a.cast("double"), b.cast("double"))
     return scored.agg(F.count("*").alias("rows"), rate(F.count_if(y == p), F.count("*")).alias("accuracy"), rate(tp, tp + fp).alias("precision"), rate(tp, tp + fn).alias("recall"), rate(2 * tp, 2 * tp + fp + fn).alias("f1"))
+
+
+def auc(scored: DataFrame, label: str) -> float:
+    """The area under the ROC curve, by Spark's evaluator; 0.5 says nothing."""
+    return BinaryClassificationEvaluator(rawPredictionCol="probability", labelCol=label, metricName="areaUnderROC", numBins=0).evaluate(scored.select("probability", F.col(label).cast("double").alias(label)))
+
+
+def importances(model: PipelineModel) -> list[tuple[str, float]]:
+    """What each input adds to the trees; the sum is 1."""
+    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
+    return [(c.removesuffix("_filled").removesuffix("_index"), float(x)) for c, x in zip(assembler.getInputCols(), model.stages[-1].featureImportances.toArray(), strict=True)]

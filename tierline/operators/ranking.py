@@ -30,12 +30,16 @@ def split_points(df: DataFrame, order: Sequence[Column], slices: int) -> list:
     return rows[step::step][: slices - 1]
 
 
-def ranked(df: DataFrame, order: Sequence[Column], name: str = "rn", slices: int = 64) -> DataFrame:
+def ranked(df: DataFrame, order: Sequence[Column], name: str = "rn", slices: int | None = None, of: DataFrame | None = None) -> DataFrame:
     """As global_row_number, for ascending order columns, with partitions that do not depend on how a shuffle is redone.
 
     The slice of a row is the number of split points at or below it, so a rerun of any task puts each row where it was.
+    Slices follow from the number of rows unless they are given. of is a table with the same values of the order columns
+    that is cheaper to read twice than df, such as a durable copy of what df was made from.
     """
-    points = split_points(df, order, slices)
+    of = df if of is None else of
+    slices = slices_for(of.count()) if slices is None else slices
+    points = split_points(of, order, slices)
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
     kinds = df.select(key.alias("k")).schema["k"].dataType
     slice_ = F.lit(0)
@@ -43,7 +47,7 @@ def ranked(df: DataFrame, order: Sequence[Column], name: str = "rn", slices: int
         fixed = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(p, kinds.fields, strict=True)])
         slice_ = slice_ + F.when(key >= fixed, 1).otherwise(0)
     rows = df.withColumn("_slice", slice_)
-    counts = rows.groupBy("_slice").agg(F.count("*").alias("_rows"))
+    counts = of.groupBy(slice_.alias("_slice")).agg(F.count("*").alias("_rows"))
     before = counts.select("_slice", (F.sum("_rows").over(Window.orderBy("_slice")) - F.col("_rows")).alias("_before"))
     local = rows.withColumn("_local", F.row_number().over(Window.partitionBy("_slice").orderBy(*order)))
     return local.join(F.broadcast(before), "_slice").withColumn(name, F.col("_before") + F.col("_local")).drop("_slice", "_local", "_before")
@@ -57,8 +61,30 @@ def tile_of(rank: Column, rows: Column, tiles: int) -> Column:
     return F.when(r < wide, F.floor(r / (base + 1)) + 1).otherwise(extra + F.floor((r - wide) / F.greatest(base, F.lit(1))) + 1).cast("int")
 
 
-def ntile(df: DataFrame, tiles: int, order: Sequence[Column], name: str, slices: int = 64) -> DataFrame:
-    """NTILE(tiles) OVER (ORDER BY order) on a table of any size."""
-    total = F.broadcast(df.agg(F.count("*").alias("_total")))
-    numbered = ranked(df, order, "_rank", slices).crossJoin(total)
-    return numbered.withColumn(name, tile_of(F.col("_rank"), F.col("_total"), tiles)).drop("_rank", "_total")
+#: Rows of a slice, and slices of a table, at most: each slice is one comparison a row.
+SLICE_ROWS, SLICES = 250_000, 256
+
+
+def slices_for(rows: int) -> int:
+    return min(SLICES, max(1, -(-rows // SLICE_ROWS)))
+
+
+def ntile(df: DataFrame, tiles: int, order: Sequence[Column], name: str, rows: int | None = None, of: DataFrame | None = None) -> DataFrame:
+    """NTILE(tiles) OVER (ORDER BY order) on a table of any size; rows is its number of rows, counted if not given."""
+    rows = (df if of is None else of).count() if rows is None else rows
+    return ranked(df, order, "_rank", slices_for(rows), of).withColumn(name, tile_of(F.col("_rank"), F.lit(rows), tiles)).drop("_rank")
+
+
+def quantiles(df: DataFrame, column: str, at: Sequence[float]) -> list[float | None]:
+    """Exact quantiles, between two values in proportion: the values at the wanted ranks, of which there are two each at most.
+
+    Only these come to the driver; no task holds more than a slice of the column.
+    """
+    rows = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
+    n = rows.count()
+    if not n:
+        return [None] * len(at)
+    spots = [q * (n - 1) for q in at]
+    wanted = sorted({int(s) + k for s in spots for k in (1, 2) if int(s) + k <= n})
+    found = {r["rn"]: r["v"] for r in ranked(rows, [F.col("v")], "rn", slices_for(n)).where(F.col("rn").isin(wanted)).collect()}
+    return [found[int(s) + 1] + (s - int(s)) * (found.get(int(s) + 2, found[int(s) + 1]) - found[int(s) + 1]) for s in spots]

@@ -66,11 +66,37 @@ def outliers(r: Roles) -> DataFrame:
     return checks.outliers(r.account_txn, "amount", ["channel"], 1.7).select("txn_id", "channel", "amount")
 
 
-@query("dq10_iqr_outliers", "WITH q AS (SELECT quantile_cont(CAST(amount AS DOUBLE), 0.25) AS a, quantile_cont(CAST(amount AS DOUBLE), 0.75) AS b FROM account_txn) SELECT txn_id, amount FROM account_txn, q WHERE CAST(amount AS DOUBLE) < a - (b - a) * 0.3 OR CAST(amount AS DOUBLE) > b + (b - a) * 0.3")
+@query("dq10_iqr_outliers", "WITH q AS (SELECT CAST(quantile_disc(amount, 0.25) AS DOUBLE) AS a, CAST(quantile_disc(amount, 0.75) AS DOUBLE) AS b FROM account_txn) SELECT txn_id, amount FROM account_txn, q WHERE CAST(amount AS DOUBLE) < a - (b - a) * 0.3 OR CAST(amount AS DOUBLE) > b + (b - a) * 0.3")
 def iqr_outliers(r: Roles) -> DataFrame:
     return checks.iqr_outliers(r.account_txn, "amount", 0.3).select("txn_id", "amount")
 
 
+@query("ag5_quartiles", "SELECT channel, quantile_disc(amount, 0.25) AS q1, quantile_disc(amount, 0.5) AS q2, quantile_disc(amount, 0.75) AS q3 FROM account_txn GROUP BY channel")
+def channel_quartiles(r: Roles) -> DataFrame:
+    return checks.quartiles(r.account_txn, "amount", ["channel"])
+
+
+@query(
+    "dq11_column_anomalies",
+    """WITH x AS (SELECT min(amount) AS a, max(amount) AS b, max(hour) AS h FROM account_txn)
+    SELECT 'amount' AS column_name, CASE WHEN a < 5000 OR b > 100000000 THEN 'WARN' ELSE 'PASS' END AS status, concat_ws('; ', CASE WHEN a < 5000 THEN 'below 5000' END, CASE WHEN b > 100000000 THEN 'above 100000000' END) AS details FROM x
+    UNION ALL SELECT 'hour', CASE WHEN h > 23 THEN 'WARN' ELSE 'PASS' END, CASE WHEN h > 23 THEN 'above 23' ELSE '' END FROM x UNION ALL SELECT 'channel', 'WARN', 'type string, not int' UNION ALL SELECT 'nothing', 'FAIL', 'not found'""",
+)
+def column_anomalies(r: Roles) -> DataFrame:
+    return checks.column_anomalies(r.account_txn, {"amount": ("decimal", 5000, 100_000_000), "hour": ("int", 0, 23), "channel": ("int", None, None), "nothing": (None, 0, 1)})
+
+
+@query(
+    "dq13_partition_freshness",
+    """SELECT 'account_txn' AS table_name, max(cob_dt) AS newest, CAST(DATE '2001-08-04' - max(cob_dt) AS INTEGER) AS age_days, CASE WHEN DATE '2001-08-04' - max(cob_dt) <= 1 THEN 'PASS' ELSE 'FAIL' END AS status FROM account_txn
+    UNION ALL SELECT 'card_txn', max(cob_dt), CAST(DATE '2001-08-04' - max(cob_dt) AS INTEGER), CASE WHEN DATE '2001-08-04' - max(cob_dt) <= 1 THEN 'PASS' ELSE 'FAIL' END FROM card_txn UNION ALL SELECT 'loan', NULL, NULL, 'WARN'""",
+)
+def partition_freshness(r: Roles) -> DataFrame:
+    today = dt.date(2001, 8, 4)
+    parts = [checks.partition_freshness(df, name, today) for name, df in (("account_txn", r.account_txn), ("card_txn", r.card_txn), ("loan", r.loan))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("dq12_freshness", "SELECT 'account_txn' AS table_name, CAST(epoch(TIMESTAMP '2001-08-10 00:00:00' - (CAST(max(cob_dt) AS TIMESTAMP) + INTERVAL 17 HOUR)) AS DOUBLE) / 3600.0 AS age_hours, CASE WHEN epoch(TIMESTAMP '2001-08-10 00:00:00' - (CAST(max(cob_dt) AS TIMESTAMP) + INTERVAL 17 HOUR)) / 3600.0 > 48 THEN 'FAIL' ELSE 'PASS' END AS status FROM account_txn")
 def freshness(r: Roles) -> DataFrame:
     return checks.freshness(r.account_txn, "account_txn", "cob_dt", dt.datetime(2001, 8, 10), 48)

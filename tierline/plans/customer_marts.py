@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.functions.columns import flag, ladder, ratio, zero
+from tierline.functions.columns import flag, ladder, money, ratio, zero
 from tierline.functions.privacy import first_token
-from tierline.functions.time import business_window
+from tierline.functions.time import business_date, business_window
 from tierline.operators.ranking import ntile
 from tierline.plans.registry import query
 from tierline.plans.roles import DAY, Roles
+from tierline.sources.shared import durable
 
 NEVER = dt.date(1900, 1, 1)
 
@@ -24,78 +25,147 @@ def top_channel(txns: DataFrame, by: str, channel: str, name: str) -> DataFrame:
     return counts.groupBy(by).agg(first.alias(name))
 
 
+#: Role amounts are in thousands, the bounds below are not.
+UNIT = 1000
+#: Least assets of each bucket, from the top; all others are MASS.
+AUM_STEPS = [(5_000_000_000, "VIP"), (1_000_000_000, "PRIORITY"), (100_000_000, "AFFLUENT")]
+#: Least totals of the three scores for each segment, from the top; all others are Lost.
+RFM_STEPS = [(13, "Champions"), (10, "Loyal Customers"), (7, "Potential Loyalists"), (5, "New Customers"), (3, "At Risk"), (2, "Hibernating")]
+#: Idle days beyond which a customer is at each risk, from the top; all others are Active.
+CHURN_STEPS = [(90, "High"), (60, "Medium"), (30, "Low")]
+#: Transactions that are no spending.
+GIVEN_BACK = ("REFUND", "REVERSAL")
+NEVER_TS = "TIMESTAMP_NTZ'1900-01-01 00:00:00'"
+
+_ACTIVITY_SQL = """activity AS (
+        SELECT customer_id, count(*) FILTER (cob_dt >= DATE '2001-05-31') AS n30, coalesce(sum(spent) FILTER (cob_dt >= DATE '2001-05-31'), 0) AS s30, max(txn_ts) FILTER (cob_dt >= DATE '2001-05-31') AS last30,
+               count(*) FILTER (cob_dt >= DATE '2001-04-01') AS n90, coalesce(sum(spent) FILTER (cob_dt >= DATE '2001-04-01'), 0) AS s90, max(txn_ts) FILTER (cob_dt >= DATE '2001-04-01') AS last90, max(txn_ts) AS last365
+        FROM (SELECT customer_id, cob_dt, txn_ts, abs(amount) AS spent FROM account_txn
+              UNION ALL SELECT customer_id, cob_dt, txn_ts, CASE WHEN txn_type NOT IN ('REFUND', 'REVERSAL') THEN amount END FROM card_txn WHERE status = 'SUCCESS')
+        WHERE cob_dt BETWEEN DATE '2000-06-30' AND DATE '2001-06-30' GROUP BY customer_id)"""
+_DAYS_SINCE_SQL = "CAST(DATE '2001-06-30' - CAST(coalesce({}, TIMESTAMP '1900-01-01 00:00:00') + INTERVAL 7 HOUR AS DATE) AS INTEGER)"
+_RFM_SQL = f"""rfm_base AS (SELECT customer_id, {_DAYS_SINCE_SQL.format("last90")} AS recency_days, coalesce(n90, 0) AS frequency, CAST(coalesce(s90, 0) AS DECIMAL(18,2)) AS monetary FROM dim_customer LEFT JOIN activity USING (customer_id)),
+    rfm_scores AS (SELECT *, CAST(ntile(5) OVER (ORDER BY recency_days DESC, customer_id) AS INTEGER) AS r_score, CAST(ntile(5) OVER (ORDER BY frequency, customer_id) AS INTEGER) AS f_score, CAST(ntile(5) OVER (ORDER BY monetary, customer_id) AS INTEGER) AS m_score FROM rfm_base),
+    rfm AS (SELECT *, r_score + f_score + m_score AS rfm_score, CASE WHEN r_score + f_score + m_score >= 13 THEN 'Champions' WHEN r_score + f_score + m_score >= 10 THEN 'Loyal Customers' WHEN r_score + f_score + m_score >= 7 THEN 'Potential Loyalists'
+                   WHEN r_score + f_score + m_score >= 5 THEN 'New Customers' WHEN r_score + f_score + m_score >= 3 THEN 'At Risk' WHEN r_score + f_score + m_score >= 2 THEN 'Hibernating' ELSE 'Lost' END AS rfm_segment FROM rfm_scores)"""
+_HOLDINGS_SQL = """held_accounts AS (SELECT customer_id, count(*) AS total_accounts, coalesce(sum(balance) FILTER (status = 'ACTIVE'), 0) AS deposits FROM dim_account GROUP BY customer_id),
+    held_loans AS (SELECT customer_id, count(*) AS total_loans, sum(outstanding) AS owed FROM loan GROUP BY customer_id),
+    holdings AS (SELECT customer_id, coalesce(total_accounts, 0) AS total_accounts, coalesce(total_loans, 0) AS total_loans, CAST(coalesce(deposits, 0) AS DECIMAL(18,2)) AS deposits, CAST(coalesce(owed, 0) AS DECIMAL(18,2)) AS owed,
+                 CAST(coalesce(deposits, 0) + coalesce(owed, 0) AS DECIMAL(18,2)) AS aum_total,
+                 CASE WHEN (coalesce(deposits, 0) + coalesce(owed, 0)) * 1000 >= 5000000000 THEN 'VIP' WHEN (coalesce(deposits, 0) + coalesce(owed, 0)) * 1000 >= 1000000000 THEN 'PRIORITY' WHEN (coalesce(deposits, 0) + coalesce(owed, 0)) * 1000 >= 100000000 THEN 'AFFLUENT' ELSE 'MASS' END AS aum_bucket
+                 FROM dim_customer LEFT JOIN held_accounts USING (customer_id) LEFT JOIN held_loans USING (customer_id))"""
+
+
+def activity(r: Roles, days: int = 365) -> DataFrame:
+    """One row a customer with transactions in the last days: counts, spending and last instants of 30, 90 and all days."""
+    account = business_window(r.account_txn, DAY, days).select("customer_id", "cob_dt", "txn_ts", F.abs("amount").alias("spent"))
+    card = business_window(r.card_txn, DAY, days).where("status = 'SUCCESS'").select("customer_id", "cob_dt", "txn_ts", F.when(~F.col("txn_type").isin(*GIVEN_BACK), F.col("amount")).alias("spent"))
+    since = lambda n: F.col("cob_dt") >= F.lit(DAY - dt.timedelta(days=n))
+    figures = [x for n in (30, 90) for x in (F.count_if(since(n)).alias(f"n{n}"), F.sum(F.when(since(n), F.col("spent"))).alias(f"s{n}"), F.max(F.when(since(n), F.col("txn_ts"))).alias(f"last{n}"))]
+    return account.unionByName(card).groupBy("customer_id").agg(*figures, F.max("txn_ts").alias("last365"))
+
+
+def days_since(ts: str) -> Column:
+    """Business days from an instant to DAY; without one, from the start of 1900."""
+    return F.date_diff(F.lit(DAY), business_date(F.coalesce(F.col(ts), F.expr(NEVER_TS))))
+
+
+def rfm_scores(r: Roles, facts: DataFrame) -> DataFrame:
+    """customer_id, recency_days, frequency, monetary, the three scores (worst first, so that 5 is best; ties by customer), their sum and segment.
+
+    The three ntiles run over slices of one durable table of a row a customer, one after the other and without joins.
+    """
+    base = r.customer.select("customer_id").join(facts, "customer_id", "left").select("customer_id", days_since("last90").alias("recency_days"), F.coalesce("n90", F.lit(0)).alias("frequency"), zero(F.col("s90")).alias("monetary"))
+    out = base = durable(base)
+    rows = base.count()
+    for name, order in (("r_score", -F.col("recency_days")), ("f_score", F.col("frequency")), ("m_score", F.col("monetary"))):
+        out = ntile(out, 5, [order, F.col("customer_id")], name, rows, of=base)
+    total = F.col("r_score") + F.col("f_score") + F.col("m_score")
+    return out.withColumns({"rfm_score": total, "rfm_segment": ladder(total, RFM_STEPS, "Lost")})
+
+
+def holdings(r: Roles) -> DataFrame:
+    """One row a customer: numbers of accounts and loans, deposits, debt, assets and their bucket."""
+    accounts = r.account.groupBy("customer_id").agg(F.count("*").alias("a"), F.sum(F.when(F.col("status") == "ACTIVE", F.col("balance"))).alias("d"))
+    loans = r.loan.groupBy("customer_id").agg(F.count("*").alias("l"), F.sum("outstanding").alias("o"))
+    rows = r.customer.select("customer_id").join(accounts, "customer_id", "left").join(loans, "customer_id", "left")
+    rows = rows.select("customer_id", F.coalesce("a", F.lit(0)).alias("total_accounts"), F.coalesce("l", F.lit(0)).alias("total_loans"), zero(F.col("d")).alias("deposits"), zero(F.col("o")).alias("owed"))
+    rows = rows.withColumn("aum_total", money(F.col("deposits") + F.col("owed")))
+    return rows.withColumn("aum_bucket", ladder(F.col("aum_total") * UNIT, AUM_STEPS, "MASS"))
+
+
+def card_holdings(r: Roles) -> DataFrame:
+    """One row a customer that has cards."""
+    active = lambda kind: F.count_if((F.col("card_type") == kind) & (F.col("status") == "ACTIVE"))
+    return r.card.groupBy("customer_id").agg(F.count("*").alias("cards"), active("CREDIT").alias("credit"), active("DEBIT").alias("debit"), F.max(F.when(F.col("card_type") == "CREDIT", F.col("credit_limit"))).alias("max_credit_limit"))
+
+
 @query(
     "m1_customer_360",
-    """
-    WITH a AS (SELECT customer_id, CAST(count(*) FILTER (cob_dt >= DATE '2001-05-31') AS BIGINT) AS n30, count(*) AS n90, CAST(coalesce(sum(amount), 0) AS DECIMAL(18,2)) AS amount90, max(cob_dt) AS last_day
-               FROM account_txn WHERE cob_dt BETWEEN DATE '2001-04-01' AND DATE '2001-06-30' GROUP BY customer_id),
-    ch AS (SELECT customer_id, channel FROM (SELECT customer_id, channel, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, channel) AS k
-           FROM account_txn WHERE cob_dt BETWEEN DATE '2001-04-01' AND DATE '2001-06-30' GROUP BY customer_id, channel) WHERE k = 1),
-    c AS (SELECT customer_id, count(*) AS card_n, CAST(coalesce(sum(CASE WHEN txn_type NOT IN ('REFUND', 'REVERSAL') THEN amount END), 0) AS DECIMAL(18,2)) AS card_amount
-          FROM card_txn WHERE status = 'SUCCESS' AND cob_dt BETWEEN DATE '2001-04-01' AND DATE '2001-06-30' GROUP BY customer_id),
-    l AS (SELECT customer_id, CAST(sum(outstanding) AS DECIMAL(18,2)) AS loans FROM loan GROUP BY customer_id)
-    SELECT d.customer_id, segment, split_part(full_name, ' ', 1) || ' **' AS masked_name, coalesce(n30, 0) AS txn_30d, coalesce(n90, 0) AS txn_90d, CAST(coalesce(amount90, 0) AS DECIMAL(18,2)) AS amount_90d,
-           coalesce(last_day, DATE '1900-01-01') AS last_txn, ch.channel AS primary_channel, coalesce(card_n, 0) AS card_txns, CAST(coalesce(card_amount, 0) AS DECIMAL(18,2)) AS card_amount,
-           CAST(balance + coalesce(loans, 0) AS DECIMAL(18,2)) AS aum, CASE WHEN balance > 0 THEN 1 ELSE 0 END AS has_savings,
-           CASE WHEN DATE '2001-06-30' - coalesce(last_day, DATE '1900-01-01') > 90 THEN 1 ELSE 0 END AS churned
-    FROM dim_customer d LEFT JOIN a USING (customer_id) LEFT JOIN ch USING (customer_id) LEFT JOIN c USING (customer_id) LEFT JOIN l USING (customer_id)""",
+    f"""
+    WITH {_ACTIVITY_SQL}, {_RFM_SQL}, {_HOLDINGS_SQL},
+    ch AS (SELECT customer_id, channel FROM (SELECT customer_id, channel, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, channel) AS k FROM account_txn WHERE cob_dt BETWEEN DATE '2001-05-31' AND DATE '2001-06-30' GROUP BY customer_id, channel) WHERE k = 1),
+    cd AS (SELECT customer_id, count(*) AS cards, count(*) FILTER (card_type = 'CREDIT' AND status = 'ACTIVE') AS credit FROM dim_card GROUP BY customer_id),
+    crm AS (SELECT customer_id, count(*) AS n, max(ts) AS last FROM interaction WHERE cob_dt BETWEEN DATE '2001-04-01' AND DATE '2001-06-30' GROUP BY customer_id),
+    dg AS (SELECT customer_id, count(*) AS n, sum(amount) AS s, count(DISTINCT channel) AS channels, count(DISTINCT device_id) AS devices, max(ts) AS last FROM online WHERE status = 'SUCCESS' AND cob_dt BETWEEN DATE '2001-05-31' AND DATE '2001-06-30' GROUP BY customer_id)
+    SELECT d.customer_id, d.customer_sk, split_part(full_name, ' ', 1) || ' **' AS full_name_masked, CAST(floor((DATE '2001-06-30' - date_of_birth) / 365) AS INTEGER) AS age, gender, d.branch_id AS primary_branch_code, segment AS customer_segment, kyc_status, register_date,
+           total_accounts, coalesce(cards, 0) AS total_cards, total_loans, CASE WHEN coalesce(credit, 0) > 0 THEN 1 ELSE 0 END AS has_credit_card, CASE WHEN deposits > 0 THEN 1 ELSE 0 END AS has_savings, CASE WHEN total_loans > 0 THEN 1 ELSE 0 END AS has_loan,
+           deposits AS total_deposit_balance, owed AS total_loan_outstanding, aum_total, aum_bucket, coalesce(n30, 0) AS txn_count_30d, CAST(coalesce(s30, 0) AS DECIMAL(18,2)) AS txn_amount_30d, coalesce(last30, TIMESTAMP '1900-01-01 00:00:00') AS last_txn_date,
+           {_DAYS_SINCE_SQL.format("last30")} AS days_since_last_txn, coalesce(ch.channel, 'UNKNOWN') AS primary_channel, coalesce(crm.n, 0) AS interaction_count_90d, crm.last AS last_interaction_date,
+           coalesce(dg.n, 0) AS digital_txn_count_30d, CAST(coalesce(dg.s, 0) AS DECIMAL(18,2)) AS digital_txn_amount_30d, coalesce(channels, 0) AS digital_channel_count_30d, coalesce(devices, 0) AS digital_device_count_30d, dg.last AS last_digital_txn_date,
+           CASE WHEN dg.n > 0 THEN 1 ELSE 0 END AS is_digital_active, r_score AS rfm_recency_score, f_score AS rfm_frequency_score, m_score AS rfm_monetary_score, rfm_segment, CASE WHEN {_DAYS_SINCE_SQL.format("last30")} > 90 THEN 1 ELSE 0 END AS churn_flag,
+           CASE WHEN aum_total * 1000 >= 100000000 AND coalesce(credit, 0) = 0 THEN 1 ELSE 0 END AS cross_sell_credit_card_flag, DATE '2001-06-30' AS cob_dt
+    FROM dim_customer d JOIN profile USING (customer_id) JOIN rfm USING (customer_id) JOIN holdings USING (customer_id) LEFT JOIN activity USING (customer_id) LEFT JOIN ch USING (customer_id) LEFT JOIN cd USING (customer_id) LEFT JOIN crm USING (customer_id) LEFT JOIN dg USING (customer_id)""",
 )
 def customer_360(r: Roles) -> DataFrame:
-    recent = business_window(r.account_txn, DAY, 90)
-    account = recent.groupBy("customer_id").agg(
-        F.count_if(F.col("cob_dt") >= F.lit(DAY - dt.timedelta(days=30))).alias("n30"), F.count("*").alias("n90"), zero(F.sum("amount")).alias("amount90"), F.max("cob_dt").alias("last_day")
-    )
-    card = business_window(r.card_txn, DAY, 90).where("status = 'SUCCESS'").groupBy("customer_id").agg(F.count("*").alias("card_n"), zero(F.sum(F.when(~F.col("txn_type").isin("REFUND", "REVERSAL"), F.col("amount")))).alias("c_amount"))
-    loans = r.loan.groupBy("customer_id").agg(zero(F.sum("outstanding")).alias("loans"))
-    joined = r.customer
-    for fact in (account, top_channel(recent, "customer_id", "channel", "primary_channel"), card, loans):
-        joined = joined.join(fact, "customer_id", "left")
-    last = F.coalesce("last_day", F.lit(NEVER))
+    facts = activity(r, 90)
+    contacts = business_window(r.interaction, DAY, 90).groupBy("customer_id").agg(F.count("*").alias("contacts"), F.max("ts").alias("last_contact"))
+    # Distinct channels and devices are counted at their own grain first; few rows reach the second aggregate.
+    seen = business_window(r.online, DAY, 30).where("status = 'SUCCESS'").groupBy("customer_id", "channel", "device_id").agg(F.count("*").alias("n"), F.sum("amount").alias("s"), F.max("ts").alias("last"))
+    digital = seen.groupBy("customer_id").agg(F.sum("n").alias("dn"), F.sum("s").alias("ds"), F.size(F.collect_set("channel")).alias("dc"), F.size(F.collect_set("device_id")).alias("dd"), F.max("last").alias("dl"))
+    channel = top_channel(business_window(r.account_txn, DAY, 30), "customer_id", "channel", "top")
+    joined = r.customer.join(r.profile, "customer_id")
+    for part, how in ((rfm_scores(r, facts), "inner"), (holdings(r), "inner"), (facts, "left"), (channel, "left"), (card_holdings(r), "left"), (contacts, "left"), (digital, "left")):
+        joined = joined.join(part, "customer_id", how)
+    none = lambda c, name: F.coalesce(c, F.lit(0)).alias(name)
+    no_credit = F.coalesce("credit", F.lit(0)) == 0
     return joined.select(
-        "customer_id", "segment", first_token(F.col("full_name")).alias("masked_name"), F.coalesce("n30", F.lit(0)).alias("txn_30d"), F.coalesce("n90", F.lit(0)).alias("txn_90d"), zero(F.col("amount90")).alias("amount_90d"),
-        last.alias("last_txn"), "primary_channel", F.coalesce("card_n", F.lit(0)).alias("card_txns"), zero(F.col("c_amount")).alias("card_amount"), zero(F.col("balance") + F.coalesce("loans", F.lit(0))).alias("aum"),
-        flag(F.col("balance") > 0).alias("has_savings"), flag(F.date_diff(F.lit(DAY), last) > 90).alias("churned"),
+        "customer_id", "customer_sk", first_token(F.col("full_name")).alias("full_name_masked"), F.floor(F.date_diff(F.lit(DAY), F.col("date_of_birth")) / 365).cast("int").alias("age"), "gender", F.col("branch_id").alias("primary_branch_code"),
+        F.col("segment").alias("customer_segment"), "kyc_status", "register_date", "total_accounts", none("cards", "total_cards"), "total_loans", flag(~no_credit).alias("has_credit_card"), flag(F.col("deposits") > 0).alias("has_savings"),
+        flag(F.col("total_loans") > 0).alias("has_loan"), F.col("deposits").alias("total_deposit_balance"), F.col("owed").alias("total_loan_outstanding"), "aum_total", "aum_bucket", none("n30", "txn_count_30d"), zero(F.col("s30")).alias("txn_amount_30d"),
+        F.coalesce(F.col("last30"), F.expr(NEVER_TS)).alias("last_txn_date"), days_since("last30").alias("days_since_last_txn"), F.coalesce("top", F.lit("UNKNOWN")).alias("primary_channel"), none("contacts", "interaction_count_90d"),
+        F.col("last_contact").alias("last_interaction_date"), none("dn", "digital_txn_count_30d"), zero(F.col("ds")).alias("digital_txn_amount_30d"), none("dc", "digital_channel_count_30d"), none("dd", "digital_device_count_30d"),
+        F.col("dl").alias("last_digital_txn_date"), flag(F.col("dn") > 0).alias("is_digital_active"), F.col("r_score").alias("rfm_recency_score"), F.col("f_score").alias("rfm_frequency_score"), F.col("m_score").alias("rfm_monetary_score"), "rfm_segment",
+        flag(days_since("last30") > 90).alias("churn_flag"), flag((F.col("aum_total") * UNIT >= AUM_STEPS[-1][0]) & no_credit).alias("cross_sell_credit_card_flag"), F.lit(DAY).alias("cob_dt"),
     )
 
 
-AUM_STEPS = [(5_000_000, "VIP"), (1_000_000, "HIGH"), (100_000, "MID")]
-
-
-@query(
-    "m2_balance_summary",
-    """
-    WITH l AS (SELECT customer_id, CAST(coalesce(sum(CASE WHEN loan_status = 'ACTIVE' THEN outstanding END), 0) AS DECIMAL(18,2)) AS loans FROM loan GROUP BY customer_id)
-    SELECT customer_id, balance AS deposits, coalesce(loans, 0) AS active_loans, CAST(balance + coalesce(loans, 0) AS DECIMAL(18,2)) AS aum,
-           CASE WHEN balance + coalesce(loans, 0) >= 5000000 THEN 'VIP' WHEN balance + coalesce(loans, 0) >= 1000000 THEN 'HIGH' WHEN balance + coalesce(loans, 0) >= 100000 THEN 'MID' ELSE 'LOW' END AS aum_bucket
-    FROM dim_customer LEFT JOIN l USING (customer_id)""",
-)
+@query("m2_balance_summary", f"WITH {_HOLDINGS_SQL} SELECT customer_id, total_accounts, total_loans, deposits AS total_deposit_balance, owed AS total_loan_outstanding, aum_total, aum_bucket, DATE '2001-06-30' AS cob_dt FROM holdings")
 def balance_summary(r: Roles) -> DataFrame:
-    loans = r.loan.groupBy("customer_id").agg(zero(F.sum(F.when(F.col("loan_status") == "ACTIVE", F.col("outstanding")))).alias("loans"))
-    rows = r.customer.join(loans, "customer_id", "left").withColumn("active_loans", zero(F.col("loans")))
-    rows = rows.withColumn("aum", zero(F.col("balance") + F.col("active_loans")))
-    return rows.select("customer_id", F.col("balance").alias("deposits"), "active_loans", "aum", ladder(F.col("aum"), AUM_STEPS, "LOW").alias("aum_bucket"))
+    return holdings(r).select("customer_id", "total_accounts", "total_loans", F.col("deposits").alias("total_deposit_balance"), F.col("owed").alias("total_loan_outstanding"), "aum_total", "aum_bucket", F.lit(DAY).alias("cob_dt"))
 
 
 @query(
     "m3_card_summary",
     """
-    WITH h AS (SELECT customer_id, count(DISTINCT card_id) AS cards FROM card_txn GROUP BY customer_id),
-    t AS (SELECT customer_id, count(*) AS txns, CAST(coalesce(sum(CASE WHEN txn_type = 'PURCHASE' THEN amount END), 0) AS DECIMAL(18,2)) AS purchases, count(*) FILTER (txn_type = 'REFUND') AS refunds, max(amount) AS largest, count(DISTINCT merchant_id) AS merchants
-          FROM card_txn WHERE status = 'SUCCESS' GROUP BY customer_id)
-    SELECT customer_id, coalesce(cards, 0) AS cards, coalesce(txns, 0) AS txns, CAST(coalesce(purchases, 0) AS DECIMAL(18,2)) AS purchases, coalesce(refunds, 0) AS refunds, largest, coalesce(merchants, 0) AS merchants
+    WITH h AS (SELECT customer_id, count(*) AS cards, count(*) FILTER (card_type = 'CREDIT' AND status = 'ACTIVE') AS credit, count(*) FILTER (card_type = 'DEBIT' AND status = 'ACTIVE') AS debit, max(CASE WHEN card_type = 'CREDIT' THEN credit_limit END) AS max_credit_limit FROM dim_card GROUP BY customer_id),
+    t AS (SELECT customer_id, count(*) AS n, sum(CASE WHEN txn_type NOT IN ('REFUND', 'REVERSAL') THEN amount END) AS s, count(*) FILTER (txn_type NOT IN ('REFUND', 'REVERSAL')) AS k, count(DISTINCT mcc) AS categories, max(txn_ts) AS last
+          FROM card_txn LEFT JOIN merchant USING (merchant_id) WHERE status = 'SUCCESS' AND cob_dt BETWEEN DATE '2001-05-31' AND DATE '2001-06-30' GROUP BY customer_id)
+    SELECT customer_id, customer_sk, coalesce(cards, 0) AS total_cards, coalesce(credit, 0) AS cnt_credit_active, coalesce(debit, 0) AS cnt_debit_active, max_credit_limit, coalesce(n, 0) AS total_card_txn_count_30d, CAST(coalesce(s, 0) AS DECIMAL(18,2)) AS total_card_txn_amount_30d,
+           coalesce(CAST(s AS DOUBLE) / nullif(CAST(k AS DOUBLE), 0), 0) AS avg_card_txn_amount_30d, coalesce(categories, 0) AS distinct_merchant_categories, last AS last_card_txn_date, DATE '2001-06-30' AS cob_dt
     FROM dim_customer LEFT JOIN h USING (customer_id) LEFT JOIN t USING (customer_id)""",
 )
 def card_summary(r: Roles) -> DataFrame:
-    # Two distinct counts in one aggregate would expand each row; each is made distinct at its own grain first.
-    holdings = r.card_txn.select("customer_id", "card_id").distinct().groupBy("customer_id").agg(F.count("*").alias("k"))
-    good = r.card_txn.where("status = 'SUCCESS'")
-    seen = good.groupBy("customer_id", "merchant_id").agg(
-        F.count("*").alias("n"), F.sum(F.when(F.col("txn_type") == "PURCHASE", F.col("amount"))).alias("p"), F.count_if(F.col("txn_type") == "REFUND").alias("f"), F.max("amount").alias("m")
-    )
-    txns = seen.groupBy("customer_id").agg(F.sum("n").alias("n"), zero(F.sum("p")).alias("p"), F.sum("f").alias("f"), F.max("m").alias("largest"), F.count("*").alias("s"))
-    joined = r.customer.join(holdings, "customer_id", "left").join(txns, "customer_id", "left")
-    count = lambda c, name: F.coalesce(c, F.lit(0)).alias(name)
-    return joined.select("customer_id", count("k", "cards"), count("n", "txns"), zero(F.col("p")).alias("purchases"), count("f", "refunds"), "largest", count("s", "merchants"))
+    good = business_window(r.card_txn, DAY, 30).where("status = 'SUCCESS'").join(r.merchant.select("merchant_id", "mcc"), "merchant_id", "left")
+    spent = ~F.col("txn_type").isin(*GIVEN_BACK)
+    seen = good.groupBy("customer_id", "mcc").agg(F.count("*").alias("n"), F.sum(F.when(spent, F.col("amount"))).alias("s"), F.count_if(spent).alias("k"), F.max("txn_ts").alias("last"))
+    txns = seen.groupBy("customer_id").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("k").alias("k"), F.count("mcc").alias("categories"), F.max("last").alias("last"))
+    joined = r.customer.join(card_holdings(r), "customer_id", "left").join(txns, "customer_id", "left")
+    none = lambda c, name: F.coalesce(c, F.lit(0)).alias(name)
+    return joined.select(
+        "customer_id", "customer_sk", none("cards", "total_cards"), none("credit", "cnt_credit_active"), none("debit", "cnt_debit_active"), "max_credit_limit", none("n", "total_card_txn_count_30d"), zero(F.col("s")).alias("total_card_txn_amount_30d"),
+        F.coalesce(ratio(F.col("s"), F.col("k")), F.lit(0.0)).alias("avg_card_txn_amount_30d"), none("categories", "distinct_merchant_categories"), F.col("last").alias("last_card_txn_date"), F.lit(DAY).alias("cob_dt"),
+    )
 
 
 @query(
@@ -151,11 +221,8 @@ def product_summary(r: Roles) -> DataFrame:
     FROM dim_customer LEFT JOIN t USING (customer_id)""",
 )
 def transaction_summary(r: Roles) -> DataFrame:
-    # Two snapshots hold the same transactions; the latest copy of each counts, by partial aggregation.
-    copies = r.account_txn.withColumn("snapshot", F.lit(1)).unionByName(r.account_txn.withColumn("snapshot", F.lit(2)))
-    latest = copies.groupBy("txn_id").agg(F.max_by(F.struct("customer_id", "dc", "amount", "cob_dt"), "snapshot").alias("t")).select("t.*")
     credit = F.col("dc") == "C"
-    facts = latest.groupBy("customer_id").agg(
+    facts = r.account_txn.groupBy("customer_id").agg(
         F.count("*").alias("n"), F.count_if(credit).alias("c"), F.count_if(~credit).alias("d"), zero(F.sum(F.when(credit, F.col("amount")))).alias("ca"), zero(F.sum(F.when(~credit, F.col("amount")))).alias("da"),
         F.min("cob_dt").alias("first_day"), F.max("cob_dt").alias("last_day"),
     )
@@ -164,78 +231,66 @@ def transaction_summary(r: Roles) -> DataFrame:
     return joined.select("customer_id", count("n", "txns"), count("c", "credits"), count("d", "debits"), zero(F.col("ca")).alias("credit_amount"), zero(F.col("da")).alias("debit_amount"), "first_day", "last_day")
 
 
-#: Least totals of the three scores for each segment, from the top (fixed values).
-RFM_STEPS = [(13, "Champions"), (10, "Loyal"), (7, "Potential"), (5, "At Risk"), (3, "Hibernating"), (2, "Lost")]
+@query("m8_rfm_segment", f"WITH {_ACTIVITY_SQL}, {_RFM_SQL} SELECT customer_id, customer_sk, recency_days, frequency, monetary, r_score, f_score, m_score, rfm_score, rfm_segment, DATE '2001-06-30' AS cob_dt FROM rfm JOIN dim_customer USING (customer_id)")
+def rfm_segment(r: Roles) -> DataFrame:
+    scored = rfm_scores(r, activity(r, 90)).join(r.customer.select("customer_id", "customer_sk"), "customer_id")
+    return scored.select("customer_id", "customer_sk", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score", "rfm_score", "rfm_segment", F.lit(DAY).alias("cob_dt"))
 
 
-@query(
-    "m8_rfm_segment",
-    """
-    WITH f AS (SELECT customer_id, max(cob_dt) AS last_day, count(*) AS frequency, sum(amount) AS monetary FROM (
-                 SELECT customer_id, cob_dt, amount FROM account_txn UNION ALL SELECT customer_id, cob_dt, amount FROM card_txn WHERE status = 'SUCCESS' AND txn_type <> 'REFUND')
-               WHERE cob_dt BETWEEN DATE '2001-04-01' AND DATE '2001-06-30' GROUP BY customer_id),
-    b AS (SELECT customer_id, CAST(DATE '2001-06-30' - coalesce(last_day, DATE '1900-01-01') AS INTEGER) AS recency, coalesce(frequency, 0) AS frequency, CAST(coalesce(monetary, 0) AS DECIMAL(18,2)) AS monetary FROM dim_customer LEFT JOIN f USING (customer_id)),
-    s AS (SELECT *, CAST(ntile(5) OVER (ORDER BY recency DESC, customer_id) AS INTEGER) AS r, CAST(ntile(5) OVER (ORDER BY frequency, customer_id) AS INTEGER) AS f, CAST(ntile(5) OVER (ORDER BY monetary, customer_id) AS INTEGER) AS m FROM b)
-    SELECT *, CASE WHEN r + f + m >= 13 THEN 'Champions' WHEN r + f + m >= 10 THEN 'Loyal' WHEN r + f + m >= 7 THEN 'Potential' WHEN r + f + m >= 5 THEN 'At Risk' WHEN r + f + m >= 3 THEN 'Hibernating' WHEN r + f + m >= 2 THEN 'Lost' ELSE 'Unknown' END AS segment FROM s""",
-)
-def rfm_segment(r: Roles) -> DataFrame:
-    """Worst first, so that 5 is best; ties by customer. The three ntiles run over partitions, not in one task."""
-    account = business_window(r.account_txn, DAY, 90).select("customer_id", "cob_dt", "amount")
-    card = business_window(r.card_txn, DAY, 90).where("status = 'SUCCESS' AND txn_type <> 'REFUND'").select("customer_id", "cob_dt", "amount")
-    facts = account.unionByName(card).groupBy("customer_id").agg(F.max("cob_dt").alias("last_day"), F.count("*").alias("n"), F.sum("amount").alias("s"))
-    out = r.customer.select("customer_id").join(facts, "customer_id", "left").select(
-        "customer_id", F.date_diff(F.lit(DAY), F.coalesce("last_day", F.lit(NEVER))).alias("recency"), F.coalesce("n", F.lit(0)).alias("frequency"), zero(F.col("s")).alias("monetary")
-    )
-    out = base = out.persist()  # one row a customer, which each rank reads three times
-    for name, order in (("r", -F.col("recency")), ("f", F.col("frequency")), ("m", F.col("monetary"))):
-        ranks = ntile(base, 5, [order, F.col("customer_id")], name, slices=8).select("customer_id", name)
-        out = out.join(ranks, "customer_id")
-    return out.withColumn("segment", ladder(F.col("r") + F.col("f") + F.col("m"), RFM_STEPS, "Unknown"))
+_CHURN_SQL = f"""churn AS (
+        SELECT *, CASE WHEN days_since_last_txn > 90 THEN 'High' WHEN days_since_last_txn > 60 THEN 'Medium' WHEN days_since_last_txn > 30 THEN 'Low' ELSE 'Active' END AS churn_risk, CASE WHEN days_since_last_txn > 90 THEN 1 ELSE 0 END AS is_churn_candidate FROM (
+          SELECT customer_id, customer_sk, coalesce(n30, 0) AS txn_cnt_30d, coalesce(n90, 0) AS txn_cnt_90d, CAST(coalesce(s30, 0) AS DECIMAL(18,2)) AS txn_amt_30d, CAST(coalesce(s90, 0) AS DECIMAL(18,2)) AS txn_amt_90d, {_DAYS_SINCE_SQL.format("last365")} AS days_since_last_txn
+          FROM dim_customer LEFT JOIN activity USING (customer_id)))"""
 
 
-@query(
-    "m9_churn_rules",
-    """
-    WITH t AS (SELECT customer_id, max(cob_dt) AS last_day, count(*) FILTER (cob_dt BETWEEN DATE '2001-04-01' AND DATE '2001-06-30') AS n90 FROM account_txn WHERE cob_dt <= DATE '2001-06-30' GROUP BY customer_id),
-    d AS (SELECT customer_id, coalesce(n90, 0) AS txn_90d, CAST(DATE '2001-06-30' - coalesce(last_day, DATE '1900-01-01') AS INTEGER) AS idle_days FROM dim_customer LEFT JOIN t USING (customer_id))
-    SELECT *, CASE WHEN idle_days > 90 THEN 'High' WHEN idle_days > 60 THEN 'Medium' WHEN idle_days > 30 THEN 'Low' ELSE 'Active' END AS churn_risk FROM d""",
-)
+@query("m9_churn_rules", f"WITH {_ACTIVITY_SQL}, {_CHURN_SQL} SELECT *, DATE '2001-06-30' AS cob_dt FROM churn")
 def churn_rules(r: Roles) -> DataFrame:
-    upto = r.account_txn.where(F.col("cob_dt") <= F.lit(DAY))
-    facts = upto.groupBy("customer_id").agg(F.max("cob_dt").alias("last_day"), F.count_if(F.col("cob_dt") >= F.lit(DAY - dt.timedelta(days=90))).alias("n90"))
-    rows = r.customer.select("customer_id").join(facts, "customer_id", "left").select("customer_id", F.coalesce("n90", F.lit(0)).alias("txn_90d"), F.date_diff(F.lit(DAY), F.coalesce("last_day", F.lit(NEVER))).alias("idle_days"))
-    return rows.withColumn("churn_risk", ladder(F.col("idle_days"), [(90, "High"), (60, "Medium"), (30, "Low")], "Active", least=False))
+    """By the later of account and card activity of the last year; a customer without any is far beyond each bound."""
+    rows = r.customer.join(activity(r), "customer_id", "left").select(
+        "customer_id", "customer_sk", F.coalesce("n30", F.lit(0)).alias("txn_cnt_30d"), F.coalesce("n90", F.lit(0)).alias("txn_cnt_90d"), zero(F.col("s30")).alias("txn_amt_30d"), zero(F.col("s90")).alias("txn_amt_90d"),
+        days_since("last365").alias("days_since_last_txn"),
+    )
+    idle = F.col("days_since_last_txn")
+    return rows.withColumns({"churn_risk": ladder(idle, CHURN_STEPS, "Active", least=False), "is_churn_candidate": flag(idle > CHURN_STEPS[0][0]), "cob_dt": F.lit(DAY)})
 
 
-@query(
-    "m10_cross_sell",
-    """
-    WITH p AS (SELECT customer_id, count(DISTINCT CASE WHEN txn_type = 'CASH_ADVANCE' THEN card_id END) AS credit, count(DISTINCT CASE WHEN txn_type = 'PURCHASE' THEN card_id END) AS debit FROM card_txn WHERE status = 'SUCCESS' GROUP BY customer_id)
-    SELECT customer_id, coalesce(credit, 0) AS credit_cards, coalesce(debit, 0) AS debit_cards, CASE WHEN coalesce(credit, 0) = 0 THEN 'Credit Card' WHEN coalesce(debit, 0) = 0 THEN 'Debit Card' ELSE 'None' END AS offer
-    FROM dim_customer LEFT JOIN p USING (customer_id)""",
-)
+_OFFERS_SQL = """offers AS (
+        SELECT customer_id, customer_sk, segment AS customer_segment, CASE WHEN coalesce(credit, 0) = 0 THEN 1 ELSE 0 END AS no_credit_card, CASE WHEN coalesce(debit, 0) = 0 THEN 1 ELSE 0 END AS no_debit_card,
+               CASE WHEN coalesce(credit, 0) = 0 THEN 'Credit Card' WHEN coalesce(debit, 0) = 0 THEN 'Debit Card' ELSE 'None' END AS primary_opportunity
+        FROM dim_customer LEFT JOIN (SELECT customer_id, count(*) FILTER (card_type = 'CREDIT' AND status = 'ACTIVE') AS credit, count(*) FILTER (card_type = 'DEBIT' AND status = 'ACTIVE') AS debit FROM dim_card GROUP BY customer_id) USING (customer_id))"""
+
+
+@query("m10_cross_sell", f"WITH {_OFFERS_SQL} SELECT *, DATE '2001-06-30' AS cob_dt FROM offers")
 def cross_sell(r: Roles) -> DataFrame:
-    cards = r.card_txn.where("status = 'SUCCESS'").groupBy("customer_id", "card_id").agg(F.max(flag(F.col("txn_type") == "CASH_ADVANCE")).alias("c"), F.max(flag(F.col("txn_type") == "PURCHASE")).alias("d"))
-    held = cards.groupBy("customer_id").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
-    rows = r.customer.select("customer_id").join(held, "customer_id", "left").select("customer_id", F.coalesce("c", F.lit(0)).alias("credit_cards"), F.coalesce("d", F.lit(0)).alias("debit_cards"))
-    return rows.withColumn("offer", F.when(F.col("credit_cards") == 0, "Credit Card").when(F.col("debit_cards") == 0, "Debit Card").otherwise("None"))
+    lacks = lambda c: F.coalesce(c, F.lit(0)) == 0
+    rows = r.customer.join(card_holdings(r), "customer_id", "left")
+    offer = F.when(lacks("credit"), "Credit Card").when(lacks("debit"), "Debit Card").otherwise("None")
+    return rows.select("customer_id", "customer_sk", F.col("segment").alias("customer_segment"), flag(lacks("credit")).alias("no_credit_card"), flag(lacks("debit")).alias("no_debit_card"), offer.alias("primary_opportunity"), F.lit(DAY).alias("cob_dt"))
 
 
 @query(
     "m11_campaign_target",
-    """
-    WITH t AS (SELECT customer_id, CAST(DATE '2001-06-30' - coalesce(max(cob_dt) FILTER (cob_dt <= DATE '2001-06-30'), DATE '1900-01-01') AS INTEGER) AS idle FROM account_txn GROUP BY customer_id),
-    p AS (SELECT customer_id, max(CASE WHEN txn_type = 'CASH_ADVANCE' THEN 1 ELSE 0 END) AS credit, max(CASE WHEN txn_type = 'PURCHASE' THEN 1 ELSE 0 END) AS debit FROM card_txn WHERE status = 'SUCCESS' GROUP BY customer_id)
-    SELECT customer_id, CASE WHEN coalesce(idle, 99999) > 60 THEN 'Retention' WHEN coalesce(credit, 0) = 0 THEN 'Cross_Sell_CC' WHEN coalesce(debit, 0) = 0 THEN 'Cross_Sell' WHEN balance > 5000 THEN 'Upsell' ELSE 'Awareness' END AS campaign
-    FROM dim_customer LEFT JOIN t USING (customer_id) LEFT JOIN p USING (customer_id)""",
+    f"""
+    WITH {_ACTIVITY_SQL}, {_RFM_SQL}, {_CHURN_SQL}, {_OFFERS_SQL}, {_HOLDINGS_SQL}
+    SELECT customer_id, o.customer_sk, rfm_segment, rfm_score, recency_days, frequency, monetary, churn_risk, is_churn_candidate, days_since_last_txn, customer_segment, aum_total, aum_bucket, branch_id AS primary_branch_code, primary_opportunity, no_credit_card,
+           CASE WHEN is_churn_candidate = 1 AND rfm_segment IN ('At Risk', 'Hibernating') THEN 'Retention' WHEN no_credit_card = 1 AND aum_bucket IN ('AFFLUENT', 'PRIORITY', 'VIP') THEN 'Cross_Sell_CC' WHEN primary_opportunity <> 'None' THEN 'Cross_Sell'
+                WHEN rfm_segment IN ('Champions', 'Loyal Customers') THEN 'Upsell' ELSE 'Awareness' END AS campaign_type, DATE '2001-06-30' AS cob_dt
+    FROM rfm JOIN churn USING (customer_id) JOIN offers o USING (customer_id) JOIN holdings USING (customer_id) JOIN (SELECT customer_id, branch_id FROM dim_customer) USING (customer_id)""",
 )
 def campaign_target(r: Roles) -> DataFrame:
-    risk, offer = churn_rules(r), cross_sell(r)
-    joined = r.customer.join(risk, "customer_id").join(offer, "customer_id")
+    """Four marts of one day, joined on customer and day, so that no other day's rows can multiply them."""
+    keys = ["customer_id", "cob_dt"]
+    assets = holdings(r).join(r.customer.select("customer_id", F.col("branch_id").alias("primary_branch_code")), "customer_id").withColumn("cob_dt", F.lit(DAY))
+    joined = rfm_segment(r).join(churn_rules(r).drop("customer_sk"), keys, "left").join(cross_sell(r).drop("customer_sk"), keys, "left").join(assets, keys, "left")
+    rich = F.col("aum_bucket").isin("AFFLUENT", "PRIORITY", "VIP")
     campaign = (
-        F.when(F.col("churn_risk").isin("High", "Medium"), "Retention").when(F.col("offer") == "Credit Card", "Cross_Sell_CC").when(F.col("offer") == "Debit Card", "Cross_Sell").when(F.col("balance") > 5000, "Upsell").otherwise("Awareness")
-    )
-    return joined.select("customer_id", campaign.alias("campaign"))
+        F.when((F.col("is_churn_candidate") == 1) & F.col("rfm_segment").isin("At Risk", "Hibernating"), "Retention").when((F.col("no_credit_card") == 1) & rich, "Cross_Sell_CC").when(F.col("primary_opportunity") != "None", "Cross_Sell")
+        .when(F.col("rfm_segment").isin("Champions", "Loyal Customers"), "Upsell").otherwise("Awareness")
+    )
+    return joined.select(
+        "customer_id", "customer_sk", "rfm_segment", "rfm_score", "recency_days", "frequency", "monetary", "churn_risk", "is_churn_candidate", "days_since_last_txn", "customer_segment", "aum_total", "aum_bucket", "primary_branch_code", "primary_opportunity",
+        "no_credit_card", campaign.alias("campaign_type"), "cob_dt",
+    )
 
 
 @query(

@@ -4,42 +4,53 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import flag, ladder, ratio, zero
+from tierline.functions.privacy import first_token
 from tierline.functions.time import business_date, business_hour, business_window
 from tierline.plans.customer_marts import top_channel
 from tierline.plans.registry import query
 from tierline.plans.roles import DAY, Roles
 
 
-@query(
-    "m7_merchant_360",
-    """
-    WITH t AS (SELECT * FROM card_txn WHERE status = 'FAILED' AND cob_dt BETWEEN DATE '2001-04-01' AND DATE '2001-06-30'),
-    d AS (SELECT merchant_id, cob_dt, sum(amount) AS revenue, count(*) AS n FROM t GROUP BY merchant_id, cob_dt),
-    g AS (SELECT merchant_id, CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue, CAST(sum(n) AS BIGINT) AS txns, count(*) AS days, CAST(sum(revenue) AS DOUBLE) AS s, CAST(sum(revenue * revenue) AS DOUBLE) AS ss,
+#: Fixed value: days whose revenue varies by less than this share of their mean are a steady cash flow.
+STEADY = 0.5
+
+
+_MERCHANT_360_SQL = """
+    WITH d AS (SELECT merchant_id, cob_dt, CAST(sum(CASE WHEN status = 'SUCCESS' THEN amount ELSE 0 END) AS DECIMAL(18,2)) AS revenue, count(*) FILTER (status = 'SUCCESS') AS n FROM card_txn WHERE cob_dt BETWEEN DATE '2001-04-01' AND DATE '2001-06-30' GROUP BY merchant_id, cob_dt),
+    g AS (SELECT merchant_id, CAST(sum(revenue) AS DECIMAL(18,2)) AS revenue_90d, CAST(sum(n) AS BIGINT) AS txn_count_90d, count(*) AS days, CAST(sum(revenue) AS DOUBLE) AS s, CAST(sum(CAST(revenue AS DECIMAL(18,2)) * revenue) AS DOUBLE) AS ss,
                  CAST(coalesce(sum(CASE WHEN cob_dt > DATE '2001-05-31' THEN revenue END), 0) AS DECIMAL(18,2)) AS last30, CAST(coalesce(sum(CASE WHEN cob_dt > DATE '2001-05-01' AND cob_dt <= DATE '2001-05-31' THEN revenue END), 0) AS DECIMAL(18,2)) AS prev30 FROM d GROUP BY merchant_id),
-    x AS (SELECT merchant_id, merchant_name, CAST(coalesce(revenue, 0) AS DECIMAL(18,2)) AS revenue, coalesce(txns, 0) AS txns, CASE WHEN days > 1 THEN sqrt(greatest(0, (ss - s * s / days) / (days - 1))) / (s / days) END AS cv,
-                 CAST(last30 - prev30 AS DOUBLE) / nullif(CAST(prev30 AS DOUBLE), 0) AS growth FROM merchant LEFT JOIN g USING (merchant_id))
-    SELECT *, CASE WHEN txns = 0 THEN 'Activate' WHEN growth < -0.5 THEN 'Retain' WHEN cv > 1 THEN 'Stabilise' WHEN growth > 0.5 THEN 'Grow' ELSE 'Maintain' END AS advice FROM x""",
-)
+    x AS (SELECT *, s / days AS mean, CASE WHEN days > 1 THEN sqrt(greatest(0, (ss - s * s / days) / (days - 1))) ELSE 0 END AS spread FROM g)
+    SELECT merchant_id, split_part(merchant_name, ' ', 1) || ' **' AS merchant_name_masked, mcc AS mcc_code, city, CAST(coalesce(revenue_90d, 0) AS DECIMAL(18,2)) AS revenue_90d, coalesce(txn_count_90d, 0) AS txn_count_90d, coalesce(mean, 0) AS avg_daily_revenue, coalesce(days, 0) AS active_days_90d,
+           CASE WHEN mean > 0 THEN spread / mean END AS cash_flow_cv, CAST(coalesce(last30, 0) AS DECIMAL(18,2)) AS revenue_last30, CAST(coalesce(prev30, 0) AS DECIMAL(18,2)) AS revenue_prev30, CAST(last30 - prev30 AS DOUBLE) / nullif(CAST(prev30 AS DOUBLE), 0) AS revenue_growth_30d,
+           CASE WHEN last30 > 0 AND last30 > prev30 THEN 'WORKING_CAPITAL_LOAN' WHEN mean > 0 AND spread / mean < 0.5 AND revenue_90d > 0 THEN 'SAVINGS' ELSE 'EXTRA_POS' END AS advisory_product_hint, DATE '2001-06-30' AS cob_dt
+    FROM merchant JOIN branch USING (branch_id) LEFT JOIN x USING (merchant_id)"""
+
+
+@query("m7_merchant_360", _MERCHANT_360_SQL)
 def merchant_360(r: Roles) -> DataFrame:
-    recent = business_window(r.card_txn, DAY, 90).where("status = 'FAILED'")
-    days = recent.groupBy("merchant_id", "cob_dt").agg(F.sum("amount").alias("revenue"), F.count("*").alias("n"))
+    """Successful payments are revenue; days on which all failed are active days without any."""
+    good = F.col("status") == "SUCCESS"
+    days = business_window(r.card_txn, DAY, 90).groupBy("merchant_id", "cob_dt").agg(zero(F.sum(F.when(good, F.col("amount")))).alias("revenue"), F.count_if(good).alias("n"))
     between = lambda a, b: F.when((F.col("cob_dt") > F.lit(DAY - dt.timedelta(days=a))) & (F.col("cob_dt") <= F.lit(DAY - dt.timedelta(days=b))), F.col("revenue"))
     sums = days.groupBy("merchant_id").agg(
         zero(F.sum("revenue")).alias("total"), F.sum("n").alias("n"), F.count("*").alias("days"), F.sum("revenue").cast("double").alias("s"), F.sum(F.col("revenue") * F.col("revenue")).cast("double").alias("ss"),
         zero(F.sum(between(30, 0))).alias("last30"), zero(F.sum(between(60, 30))).alias("prev30"),
     )
     k, s, ss = (F.col(c) for c in ("days", "s", "ss"))
-    out = r.merchant.join(sums, "merchant_id", "left").select(
-        "merchant_id", "merchant_name", zero(F.col("total")).alias("revenue"), F.coalesce("n", F.lit(0)).alias("txns"), F.when(k > 1, F.sqrt(F.greatest(F.lit(0.0), F.try_divide(ss - s * s / k, k - 1))) / (s / k)).alias("cv"),
-        ratio(F.col("last30") - F.col("prev30"), F.col("prev30")).alias("growth"),
+    spread = F.when(k > 1, F.sqrt(F.greatest(F.lit(0.0), F.try_divide(ss - s * s / k, k - 1)))).otherwise(0.0)
+    sums = sums.withColumns({"mean": s / k, "spread": spread})
+    mean, cv = F.col("mean"), F.when(F.col("mean") > 0, F.col("spread") / F.nullif(F.col("mean"), F.lit(0.0)))
+    hint = F.when((F.col("last30") > 0) & (F.col("last30") > F.col("prev30")), "WORKING_CAPITAL_LOAN").when((cv < STEADY) & (F.col("total") > 0), "SAVINGS").otherwise("EXTRA_POS")
+    placed = r.merchant.join(r.branch, "branch_id").join(sums, "merchant_id", "left")
+    return placed.select(
+        "merchant_id", first_token(F.col("merchant_name")).alias("merchant_name_masked"), F.col("mcc").alias("mcc_code"), "city", zero(F.col("total")).alias("revenue_90d"), F.coalesce("n", F.lit(0)).alias("txn_count_90d"),
+        F.coalesce(mean, F.lit(0.0)).alias("avg_daily_revenue"), F.coalesce("days", F.lit(0)).alias("active_days_90d"), cv.alias("cash_flow_cv"), zero(F.col("last30")).alias("revenue_last30"), zero(F.col("prev30")).alias("revenue_prev30"),
+        ratio(F.col("last30") - F.col("prev30"), F.col("prev30")).alias("revenue_growth_30d"), hint.alias("advisory_product_hint"), F.lit(DAY).alias("cob_dt"),
     )
-    advice = F.when(F.col("txns") == 0, "Activate").when(F.col("growth") < -0.5, "Retain").when(F.col("cv") > 1, "Stabilise").when(F.col("growth") > 0.5, "Grow").otherwise("Maintain")
-    return out.withColumn("advice", advice)
 
 
 @query(
@@ -52,7 +63,7 @@ def merchant_360(r: Roles) -> DataFrame:
     FROM k JOIN u USING (branch_name, month) GROUP BY branch_name, month""",
 )
 def branch_monthly(r: Roles) -> DataFrame:
-    owners = r.customer.join(F.broadcast(r.branch), "branch_id").select("customer_id", "branch_name")
+    owners = r.customer.join(r.branch, "branch_id").select("customer_id", "branch_name")
     # The month is computed once, and one aggregation to a fine grain feeds counts, the top channel and distinct customers.
     rows = r.account_txn.withColumn("month", F.date_format("cob_dt", "yyyy-MM")).groupBy("customer_id", "month", "channel").agg(F.count("*").alias("n"), F.sum("amount").alias("s"))
     rows = rows.join(owners, "customer_id").withColumn("place", F.struct("branch_name", "month"))
@@ -64,15 +75,15 @@ def branch_monthly(r: Roles) -> DataFrame:
     return totals.join(people, "place").select("place.branch_name", "place.month", "txns", "amount", "top_channel", "customers", quarter.alias("quarter"))
 
 
-@query(
-    "m17_merchant_daily",
-    """
+_DAILY_SQL = """
     WITH t AS (SELECT *, CAST(ts + INTERVAL 7 HOUR AS DATE) AS day, CAST(hour(ts + INTERVAL 7 HOUR) AS INTEGER) AS h FROM event),
     p AS (SELECT merchant_id, day, h, row_number() OVER (PARTITION BY merchant_id, day ORDER BY count(*) DESC, h) AS k FROM t GROUP BY merchant_id, day, h)
     SELECT merchant_id, day, count(*) AS txns, count(*) FILTER (status = 'SUCCESS') AS successes, CAST(coalesce(sum(CASE WHEN status = 'SUCCESS' THEN amount END), 0) AS DECIMAL(18,2)) AS revenue, count(*) FILTER (pay_channel = 'QR') AS qr,
            CAST(sum(refund_flag) AS DOUBLE) / nullif(CAST(count(*) FILTER (status = 'SUCCESS') AS DOUBLE), 0) AS refund_rate, any_value(p.h) AS peak_hour
-    FROM t JOIN (SELECT merchant_id, day, h FROM p WHERE k = 1) p USING (merchant_id, day) GROUP BY merchant_id, day""",
-)
+    FROM t JOIN (SELECT merchant_id, day, h FROM p WHERE k = 1) p USING (merchant_id, day) GROUP BY merchant_id, day"""
+
+
+@query("m17_merchant_daily", _DAILY_SQL)
 def merchant_daily(r: Roles) -> DataFrame:
     """Refunds count whatever their status, while the rate is over successes (as the reconciliation does not)."""
     rows = r.event.withColumns({"day": business_date(F.col("ts")), "h": business_hour(F.col("ts"))})
@@ -84,36 +95,87 @@ def merchant_daily(r: Roles) -> DataFrame:
     )
 
 
-@query(
-    "m18_merchant_ranking",
-    """
-    WITH m AS (SELECT merchant_id, strftime(cob_dt, '%Y-%m') AS month, CAST(sum(amount) AS DECIMAL(18,2)) AS revenue FROM card_txn WHERE txn_type <> 'REFUND' GROUP BY ALL),
-    g AS (SELECT *, lag(revenue) OVER (PARTITION BY merchant_id ORDER BY month) AS prev FROM m)
-    SELECT merchant_id, mcc, month, revenue, CAST(revenue - prev AS DOUBLE) / nullif(CAST(prev AS DOUBLE), 0) AS growth, CAST(rank() OVER (PARTITION BY mcc, month ORDER BY revenue DESC, merchant_id) AS INTEGER) AS position FROM g JOIN merchant USING (merchant_id)""",
-)
+_MONTHS_SQL = """months AS (SELECT merchant_id, CAST(year(cob_dt) AS INTEGER) AS txn_year, CAST(month(cob_dt) AS INTEGER) AS txn_month, count(*) FILTER (status = 'SUCCESS') AS n, CAST(sum(CASE WHEN status = 'SUCCESS' THEN amount ELSE 0 END) AS DECIMAL(18,2)) AS s
+                     FROM card_txn WHERE cob_dt <= DATE '2001-06-30' GROUP BY ALL)"""
+
+
+def _months(r: Roles) -> DataFrame:
+    """Successful payments of each merchant and month up to DAY; a month in which all failed has none, and is there."""
+    good = F.col("status") == "SUCCESS"
+    rows = r.card_txn.where(F.col("cob_dt") <= F.lit(DAY)).groupBy("merchant_id", F.year("cob_dt").alias("txn_year"), F.month("cob_dt").alias("txn_month"))
+    return rows.agg(F.count_if(good).alias("n"), zero(F.sum(F.when(good, F.col("amount")))).alias("s"))
+
+
+_RANKING_SQL = f"""
+    WITH {_MONTHS_SQL}, g AS (SELECT *, lag(s) OVER (PARTITION BY merchant_id ORDER BY txn_year, txn_month) AS prev FROM months)
+    SELECT merchant_id, split_part(merchant_name, ' ', 1) || ' **' AS merchant_name_masked, mcc AS mcc_code, city, txn_year, txn_month, n AS txn_count, s AS revenue, CAST(coalesce(prev, 0) AS DECIMAL(18,2)) AS prev_revenue, CAST(s - prev AS DOUBLE) / nullif(CAST(prev AS DOUBLE), 0) AS pop_growth_rate,
+           CAST(rank() OVER (PARTITION BY mcc, txn_year, txn_month ORDER BY s DESC, merchant_id) AS INTEGER) AS rank_in_mcc, DATE '2001-06-30' AS cob_dt FROM g JOIN merchant USING (merchant_id) JOIN branch USING (branch_id)"""
+
+
+@query("m18_merchant_ranking", _RANKING_SQL)
 def merchant_ranking(r: Roles) -> DataFrame:
     """Growth over the month observed before, which need not be the calendar's."""
-    months = r.card_txn.where("txn_type <> 'REFUND'").groupBy("merchant_id", F.date_format("cob_dt", "yyyy-MM").alias("month")).agg(zero(F.sum("amount")).alias("revenue"))
-    before = F.lag("revenue").over(Window.partitionBy("merchant_id").orderBy("month"))
-    grown = months.withColumn("prev", before).join(r.merchant.select("merchant_id", "mcc"), "merchant_id")
-    place = F.rank().over(Window.partitionBy("mcc", "month").orderBy(F.desc("revenue"), "merchant_id"))
-    return grown.select("merchant_id", "mcc", "month", "revenue", ratio(F.col("revenue") - F.col("prev"), F.col("prev")).alias("growth"), place.alias("position"))
+    before = F.lag("s").over(Window.partitionBy("merchant_id").orderBy("txn_year", "txn_month"))
+    grown = _months(r).withColumn("prev", before).join(r.merchant.join(r.branch, "branch_id"), "merchant_id")
+    place = F.rank().over(Window.partitionBy("mcc", "txn_year", "txn_month").orderBy(F.desc("s"), "merchant_id"))
+    return grown.select(
+        "merchant_id", first_token(F.col("merchant_name")).alias("merchant_name_masked"), F.col("mcc").alias("mcc_code"), "city", "txn_year", "txn_month", F.col("n").alias("txn_count"), F.col("s").alias("revenue"), zero(F.col("prev")).alias("prev_revenue"),
+        ratio(F.col("s") - F.col("prev"), F.col("prev")).alias("pop_growth_rate"), place.alias("rank_in_mcc"), F.lit(DAY).alias("cob_dt"),
+    )
 
 
 @query(
     "m19_region_monthly",
-    """
-    WITH a AS (SELECT merchant_id, strftime(cob_dt, '%Y-%m') AS month, sum(amount) AS s, count(*) AS n FROM card_txn WHERE txn_type <> 'REFUND' GROUP BY ALL),
-    c AS (SELECT city, month, CAST(sum(s) AS DECIMAL(18,2)) AS revenue, CAST(sum(n) AS BIGINT) AS txns, count(*) AS merchants FROM a JOIN merchant USING (merchant_id) JOIN branch USING (branch_id) GROUP BY city, month)
-    SELECT city, month, revenue, txns, merchants, CAST(revenue - lag(revenue) OVER w AS DOUBLE) / nullif(CAST(lag(revenue) OVER w AS DOUBLE), 0) AS growth, CAST(rank() OVER (PARTITION BY month ORDER BY revenue DESC, city) AS INTEGER) AS position FROM c WINDOW w AS (PARTITION BY city ORDER BY month)""",
+    f"""
+    WITH {_MONTHS_SQL}, c AS (SELECT city, txn_year, txn_month, count(*) AS active_merchants, CAST(sum(n) AS BIGINT) AS txn_count, CAST(sum(s) AS DECIMAL(18,2)) AS revenue FROM months JOIN merchant USING (merchant_id) JOIN branch USING (branch_id) WHERE city IS NOT NULL GROUP BY city, txn_year, txn_month),
+    g AS (SELECT *, lag(revenue) OVER (PARTITION BY city ORDER BY txn_year, txn_month) AS prev FROM c)
+    SELECT city, txn_year, txn_month, active_merchants, txn_count, revenue, CASE WHEN txn_count > 0 THEN CAST(revenue AS DOUBLE) / CAST(txn_count AS DOUBLE) ELSE 0 END AS avg_txn_amount, CAST(coalesce(prev, 0) AS DECIMAL(18,2)) AS prev_revenue,
+           CAST(revenue - prev AS DOUBLE) / nullif(CAST(prev AS DOUBLE), 0) AS mom_growth_rate, CAST(rank() OVER (PARTITION BY txn_year, txn_month ORDER BY revenue DESC, city) AS INTEGER) AS rank_in_month, DATE '2001-06-30' AS cob_dt FROM g""",
 )
 def region_monthly(r: Roles) -> DataFrame:
-    months = r.card_txn.where("txn_type <> 'REFUND'").groupBy("merchant_id", F.date_format("cob_dt", "yyyy-MM").alias("month")).agg(F.sum("amount").alias("s"), F.count("*").alias("n"))
-    places = r.merchant.join(F.broadcast(r.branch), "branch_id").select("merchant_id", "city")
-    cities = months.join(places, "merchant_id").groupBy("city", "month").agg(zero(F.sum("s")).alias("revenue"), F.sum("n").alias("txns"), F.count("*").alias("merchants"))
-    prev = F.lag("revenue").over(Window.partitionBy("city").orderBy("month"))
-    place = F.rank().over(Window.partitionBy("month").orderBy(F.desc("revenue"), "city"))
-    return cities.select("city", "month", "revenue", "txns", "merchants", ratio(F.col("revenue") - prev, prev).alias("growth"), place.alias("position"))
+    places = r.merchant.join(r.branch, "branch_id").where("city IS NOT NULL").select("merchant_id", "city")
+    cities = _months(r).join(places, "merchant_id").groupBy("city", "txn_year", "txn_month").agg(F.count("*").alias("active_merchants"), F.sum("n").alias("txn_count"), zero(F.sum("s")).alias("revenue"))
+    grown = cities.withColumn("prev", F.lag("revenue").over(Window.partitionBy("city").orderBy("txn_year", "txn_month")))
+    place = F.rank().over(Window.partitionBy("txn_year", "txn_month").orderBy(F.desc("revenue"), "city"))
+    return grown.select(
+        "city", "txn_year", "txn_month", "active_merchants", "txn_count", "revenue", F.coalesce(ratio(F.col("revenue"), F.col("txn_count")), F.lit(0.0)).alias("avg_txn_amount"), zero(F.col("prev")).alias("prev_revenue"),
+        ratio(F.col("revenue") - F.col("prev"), F.col("prev")).alias("mom_growth_rate"), place.alias("rank_in_month"), F.lit(DAY).alias("cob_dt"),
+    )
+
+
+@query("m24_daily_kpis", f"WITH daily AS ({_DAILY_SQL}) SELECT day, count(*) AS active_merchants, CAST(sum(successes) AS BIGINT) AS successful_transactions, CAST(sum(revenue) AS DECIMAL(18,2)) AS gross_amount, CASE WHEN sum(successes) > 0 THEN CAST(sum(refunds) AS DOUBLE) / CAST(sum(successes) AS DOUBLE) ELSE 0 END AS refund_rate FROM (SELECT *, CASE WHEN successes > 0 THEN round(refund_rate * successes) ELSE 0 END AS refunds FROM daily) GROUP BY day")
+def daily_kpis(r: Roles) -> DataFrame:
+    """The day's refund rate is the mean of the merchants' rates, weighted by their successes; merchants without any weigh nothing."""
+    rate = weighted_mean(F.round(F.col("refund_rate") * F.col("successes")), F.col("successes"))
+    return merchant_daily(r).groupBy("day").agg(F.count("*").alias("active_merchants"), F.sum("successes").alias("successful_transactions"), zero(F.sum("revenue")).alias("gross_amount"), F.coalesce(rate, F.lit(0.0)).alias("refund_rate"))
+
+
+def weighted_mean(weighted: Column, weight: Column) -> Column:
+    """The aggregate sum(rate * weight) / sum(weight) of ratios that are given times their weight; null where nothing weighs."""
+    return ratio(F.sum(F.when(weight > 0, weighted)), F.sum(weight))
+
+
+@query("ag9_weighted_ratio", f"WITH daily AS ({_DAILY_SQL}) SELECT merchant_id, CAST(sum(CASE WHEN successes > 0 THEN round(refund_rate * successes) ELSE 0 END) AS DOUBLE) / nullif(CAST(sum(successes) AS DOUBLE), 0) AS refund_rate FROM daily GROUP BY merchant_id")
+def weighted_refunds(r: Roles) -> DataFrame:
+    """A merchant's refund rate from its days' rates: each day weighs as much as it has successes."""
+    rate = weighted_mean(F.round(F.col("refund_rate") * F.col("successes")), F.col("successes"))
+    return merchant_daily(r).groupBy("merchant_id").agg(rate.alias("refund_rate"))
+
+
+@query("m24_finance_daily", f"WITH daily AS ({_DAILY_SQL}) SELECT day, CAST(sum(revenue) AS DECIMAL(18,2)) AS gross_amount, CAST(sum(successes) AS BIGINT) AS successful_transactions FROM daily GROUP BY day")
+def finance_daily(r: Roles) -> DataFrame:
+    return merchant_daily(r).groupBy("day").agg(zero(F.sum("revenue")).alias("gross_amount"), F.sum("successes").alias("successful_transactions"))
+
+
+@query("m24_advisory_distribution", f"WITH m AS ({_MERCHANT_360_SQL}) SELECT advisory_product_hint, count(*) AS merchants, CAST(sum(revenue_90d) AS DECIMAL(18,2)) AS revenue_90d FROM m GROUP BY advisory_product_hint")
+def advisory_distribution(r: Roles) -> DataFrame:
+    return merchant_360(r).groupBy("advisory_product_hint").agg(F.count("*").alias("merchants"), zero(F.sum("revenue_90d")).alias("revenue_90d"))
+
+
+@query("m24_top_merchants", f"WITH m AS ({_RANKING_SQL}) SELECT merchant_id, merchant_name_masked, mcc_code, txn_year, txn_month, revenue, rank_in_mcc, pop_growth_rate FROM m ORDER BY revenue DESC, merchant_id, txn_year, txn_month LIMIT 20")
+def top_merchants(r: Roles) -> DataFrame:
+    """A top-k report."""
+    return merchant_ranking(r).select("merchant_id", "merchant_name_masked", "mcc_code", "txn_year", "txn_month", "revenue", "rank_in_mcc", "pop_growth_rate").orderBy(F.desc("revenue"), "merchant_id", "txn_year", "txn_month").limit(20)
 
 
 @query(
@@ -188,16 +250,6 @@ def as_of_event_time(r: Roles) -> DataFrame:
     return t.join(v, on, "left").select("t.txn_id", "t.customer_id", "v.customer_sk", "v.segment")
 
 
-@query(
-    "m28_fact_loan_payment",
-    """SELECT p.payment_id, p.due, p.days_late, p.loan_id, l.customer_id, l.product, c.customer_sk FROM payment p LEFT JOIN loan l USING (loan_id) LEFT JOIN dim_customer c ON l.customer_id = c.customer_id""",
-)
-def fact_loan_payment(r: Roles) -> DataFrame:
-    """A chained lookup: loan, then the loan's customer; rows without either stay."""
-    loans = r.loan.select("loan_id", "customer_id", "product")
-    return r.payment.join(loans, "loan_id", "left").join(r.customer.select("customer_id", "customer_sk"), "customer_id", "left").select("payment_id", "due", "days_late", "loan_id", "customer_id", "product", "customer_sk")
-
-
 @query(
     "ag11_failing_items",
     "SELECT customer_id, string_agg(channel, ',' ORDER BY channel) AS channels FROM (SELECT DISTINCT customer_id, channel FROM account_txn WHERE amount > 300000) GROUP BY customer_id",

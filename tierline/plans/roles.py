@@ -1,6 +1,6 @@
 """Bank tables made from the given star schema, in Spark and, independently written, in DuckDB SQL.
 
-Amounts are cast to decimal before any sum, so that results do not depend on row order. Order dates fall on midnight, so
+Amounts are in thousands, and cast to decimal before any sum, so that results do not depend on row order. Order dates fall on midnight, so
 hours are added to instants by key; business days are those of UTC+7.
 """
 
@@ -30,7 +30,7 @@ class Roles:
 
     @cached_property
     def branch(self) -> DataFrame:
-        return self.table("nation").join(F.broadcast(self.table("region")), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("branch_id"), F.col("n_name").alias("branch_name"), F.col("r_name").alias("city"))
+        return self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("branch_id"), F.col("n_name").alias("branch_name"), F.col("r_name").alias("city"))
 
     @cached_property
     def customer_versions(self) -> DataFrame:
@@ -93,6 +93,65 @@ class Roles:
             money(F.col("l_extendedprice")).alias("scheduled"), money(money(F.col("l_extendedprice")) - money(F.round(F.col("l_discount") * 100))).alias("paid"), money(F.round(F.col("l_tax") * 100)).alias("penalty"), F.col("l_partkey").alias("part_id"), F.col("l_suppkey").alias("teller_id"),
         )
 
+    @cached_property
+    def profile(self) -> DataFrame:
+        """What the customer table lacks of a person, from the key."""
+        k = F.col("c_custkey")
+        day = lambda first, days: F.date_add(F.lit(first), days.cast("int"))
+        return self.table("customer").select(
+            k.alias("customer_id"), F.when(k % 2 == 0, "F").otherwise("M").alias("gender"), day(dt.date(1940, 1, 1), k * 37 % 20_000).alias("date_of_birth"), F.when(k % 4 == 0, "PENDING").otherwise("VERIFIED").alias("kyc_status"),
+            day(dt.date(1990, 1, 1), k % 3000).alias("register_date"),
+        )
+
+    @cached_property
+    def account(self) -> DataFrame:
+        """A current account for each customer, and a deposit for every third, which may be large or overdrawn."""
+        k, open_ = F.col("c_custkey"), lambda closed: F.when(closed, "CLOSED").otherwise("ACTIVE")
+        rows = self.table("customer")
+        current = rows.select((k * 10 + 1).alias("account_id"), k.alias("customer_id"), F.lit("CASA").alias("account_type"), open_(k % 8 == 5).alias("status"), money(F.col("c_acctbal")).alias("balance"))
+        deposit = rows.where(k % 3 == 0).select((k * 10 + 2).alias("account_id"), k.alias("customer_id"), F.lit("TIME_DEPOSIT").alias("account_type"), open_(k % 5 == 1).alias("status"), money(money(F.col("c_acctbal")) * (k % 1000).cast("int")).alias("balance"))
+        return current.unionByName(deposit)
+
+    @cached_property
+    def card(self) -> DataFrame:
+        """Credit cards of most customers and debit cards of most, some of them blocked."""
+        k, open_ = F.col("c_custkey"), lambda blocked: F.when(blocked, "BLOCKED").otherwise("ACTIVE")
+        rows = self.table("customer")
+        credit = rows.where(k % 4 != 0).select((k * 10 + 1).alias("card_id"), k.alias("customer_id"), F.lit("CREDIT").alias("card_type"), open_(k % 6 == 1).alias("status"), ((k % 50 + 1) * 1000).alias("credit_limit"))
+        debit = rows.where(k % 5 != 0).select((k * 10 + 2).alias("card_id"), k.alias("customer_id"), F.lit("DEBIT").alias("card_type"), open_(k % 7 == 2).alias("status"), F.lit(None).cast("long").alias("credit_limit"))
+        return credit.unionByName(debit)
+
+    @cached_property
+    def ledger(self) -> DataFrame:
+        """Order lines as account transactions of the order's day: a customer has several, of different channels and amounts."""
+        line = F.col("l_linenumber").cast("int")
+        orders = self.table("orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_orderdate"), F.when(F.col("o_orderstatus") == "F", "D").otherwise("C").alias("dc"))
+        rows = self.table("lineitem").select(F.col("l_orderkey").alias("order_id"), line.alias("line"), F.col("l_partkey").alias("part_id"), money(money(F.col("l_extendedprice")) * line).alias("amount")).join(orders, "order_id")
+        ts = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), (F.col("order_id") % 24).cast("int"))
+        rows = rows.select((F.col("order_id") * 10 + F.col("line")).alias("txn_id"), "customer_id", "part_id", ts.alias("txn_ts"), "amount", F.concat(F.lit("CH"), F.col("line").cast("string")).alias("channel"), "dc")
+        return rows.withColumns({"cob_dt": business_date(F.col("txn_ts")), "hour": business_hour(F.col("txn_ts"))})
+
+    @cached_property
+    def interaction(self) -> DataFrame:
+        """Pending orders as contacts with a customer."""
+        rows = self.table("orders").where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("interaction_id"), F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("ts"))
+        return rows.withColumn("cob_dt", business_date(F.col("ts")))
+
+    @cached_property
+    def online(self) -> DataFrame:
+        """Events as online payments in the month of DAY: they are moved back by a whole number of days."""
+        k = F.col("event_id")
+        rows = self.table("events").select(
+            k.alias("txn_id"), F.col("user_id").alias("customer_id"), (F.col("ts") - F.make_dt_interval(F.lit(8249))).alias("ts"), money(F.col("value")).alias("amount"), F.col("event_type").alias("channel"),
+            F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCESS").alias("status"), (F.col("user_id") * 3 + k % 3).alias("device_id"), (k % 25).cast("int").alias("location_id"), flag(k % 7 == 0).alias("is_fraud"),
+            F.when(k % 7 == 0, F.when(k % 2 == 0, "STOLEN_CARD").otherwise("ODD_PLACE")).alias("fraud_reason"),
+        )
+        return rows.withColumn("cob_dt", business_date(F.col("ts")))
+
+    @cached_property
+    def location(self) -> DataFrame:
+        return self.table("nation").select(F.col("n_nationkey").alias("location_id"), F.col("n_name").alias("state"), flag(F.col("n_nationkey") % 7 == 0).alias("is_high_risk_area"))
+
     @cached_property
     def event(self) -> DataFrame:
         """Events as online payments: an amount, a merchant, a channel and an outcome from user, value and type."""
@@ -135,6 +194,27 @@ SQL: dict[str, str] = {
                CASE WHEN d >= 300 THEN 'MISSED' WHEN d % 5 = 0 THEN 'LATE' ELSE 'PAID' END AS payment_status, CAST(l_extendedprice AS DECIMAL(18,2)) AS scheduled,
                CAST(CAST(l_extendedprice AS DECIMAL(18,2)) - CAST(round(l_discount * 100) AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS paid, CAST(round(l_tax * 100) AS DECIMAL(18,2)) AS penalty, l_partkey AS part_id, l_suppkey AS teller_id
         FROM (SELECT *, (l_partkey * 7 + l_suppkey * 3 + l_linenumber) % 400 AS d FROM lineitem)""",
+    "profile": """
+        SELECT c_custkey AS customer_id, CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender, DATE '1940-01-01' + CAST(c_custkey * 37 % 20000 AS INTEGER) AS date_of_birth,
+               CASE WHEN c_custkey % 4 = 0 THEN 'PENDING' ELSE 'VERIFIED' END AS kyc_status, DATE '1990-01-01' + CAST(c_custkey % 3000 AS INTEGER) AS register_date FROM customer""",
+    "dim_account": """
+        SELECT c_custkey * 10 + 1 AS account_id, c_custkey AS customer_id, 'CASA' AS account_type, CASE WHEN c_custkey % 8 = 5 THEN 'CLOSED' ELSE 'ACTIVE' END AS status, CAST(c_acctbal AS DECIMAL(18,2)) AS balance FROM customer
+        UNION ALL SELECT c_custkey * 10 + 2, c_custkey, 'TIME_DEPOSIT', CASE WHEN c_custkey % 5 = 1 THEN 'CLOSED' ELSE 'ACTIVE' END, CAST(CAST(c_acctbal AS DECIMAL(18,2)) * CAST(c_custkey % 1000 AS INTEGER) AS DECIMAL(18,2)) FROM customer WHERE c_custkey % 3 = 0""",
+    "dim_card": """
+        SELECT c_custkey * 10 + 1 AS card_id, c_custkey AS customer_id, 'CREDIT' AS card_type, CASE WHEN c_custkey % 6 = 1 THEN 'BLOCKED' ELSE 'ACTIVE' END AS status, (c_custkey % 50 + 1) * 1000 AS credit_limit FROM customer WHERE c_custkey % 4 <> 0
+        UNION ALL SELECT c_custkey * 10 + 2, c_custkey, 'DEBIT', CASE WHEN c_custkey % 7 = 2 THEN 'BLOCKED' ELSE 'ACTIVE' END, NULL FROM customer WHERE c_custkey % 5 <> 0""",
+    "ledger": """
+        SELECT *, CAST(txn_ts + INTERVAL 7 HOUR AS DATE) AS cob_dt, CAST(hour(txn_ts + INTERVAL 7 HOUR) AS INTEGER) AS hour FROM (
+          SELECT l_orderkey * 10 + l_linenumber AS txn_id, o_custkey AS customer_id, l_partkey AS part_id, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS txn_ts,
+                 CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_linenumber AS INTEGER) AS DECIMAL(18,2)) AS amount, 'CH' || l_linenumber AS channel, CASE WHEN o_orderstatus = 'F' THEN 'D' ELSE 'C' END AS dc
+          FROM lineitem JOIN orders ON o_orderkey = l_orderkey)""",
+    "interaction": "SELECT o_orderkey AS interaction_id, o_custkey AS customer_id, o_orderdate AS ts, CAST(o_orderdate + INTERVAL 7 HOUR AS DATE) AS cob_dt FROM orders WHERE o_orderstatus = 'P'",
+    "online": """
+        SELECT *, CAST(ts + INTERVAL 7 HOUR AS DATE) AS cob_dt FROM (
+          SELECT event_id AS txn_id, user_id AS customer_id, ts - INTERVAL 8249 DAY AS ts, CAST(value AS DECIMAL(18,2)) AS amount, event_type AS channel, CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+                 user_id * 3 + event_id % 3 AS device_id, CAST(event_id % 25 AS INTEGER) AS location_id, CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS is_fraud,
+                 CASE WHEN event_id % 7 = 0 THEN CASE WHEN event_id % 2 = 0 THEN 'STOLEN_CARD' ELSE 'ODD_PLACE' END END AS fraud_reason FROM events)""",
+    "location": "SELECT n_nationkey AS location_id, n_name AS state, CASE WHEN n_nationkey % 7 = 0 THEN 1 ELSE 0 END AS is_high_risk_area FROM nation",
     "event": """
         SELECT event_id, ts, user_id AS customer_id, user_id % 20 AS merchant_id, CAST(value AS DECIMAL(18,2)) AS amount, event_type, CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
                CASE WHEN event_id % 3 = 0 THEN 'QR' ELSE 'POS' END AS pay_channel, CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS refund_flag, props FROM events""",

@@ -12,8 +12,9 @@ from tierline.functions.columns import money, zero
 from tierline.functions.time import business_date, business_window
 from tierline.plans.registry import query
 from tierline.plans.roles import DAY, Roles
-from tierline.plans.stream_queries import _shared
+from tierline.plans.stream_queries import _kept, _shared
 from tierline.sources import specs, writes
+from tierline.sources.shared import durable
 
 
 def _week(r: Roles) -> DataFrame:
@@ -24,6 +25,13 @@ def _table() -> str:
     return f"t_{uuid.uuid4().hex}"
 
 
+def _dropped(rows: DataFrame, table: str) -> DataFrame:
+    """A durable copy of what was read from a table, which then goes."""
+    out = durable(rows)
+    rows.sparkSession.sql(f"DROP TABLE {table}")
+    return out
+
+
 @query(
     "snk1_overwrite_days",
     "SELECT txn_id, customer_id, CAST(CASE WHEN cob_dt = DATE '2001-06-30' THEN amount + 1 ELSE amount END AS DECIMAL(18,2)) AS amount, cob_dt FROM account_txn WHERE cob_dt BETWEEN DATE '2001-05-31' AND DATE '2001-06-30'",
@@ -35,7 +43,7 @@ def overwrite_days(r: Roles) -> DataFrame:
     again = _week(r).where(F.col("cob_dt") == F.lit(DAY)).withColumn("amount", money(F.col("amount") + 1))
     for _ in range(2):
         writes.overwrite_days(again, table)
-    return r.spark.table(table)
+    return _dropped(r.spark.table(table), table)
 
 
 @query(
@@ -47,7 +55,7 @@ def schema_evolution(r: Roles) -> DataFrame:
     rows = _week(r).drop("customer_id")
     writes.overwrite_days(rows.where(F.col("cob_dt") < F.lit(DAY)), table)
     writes.overwrite_days(rows.where(F.col("cob_dt") == F.lit(DAY)).withColumn("note", F.lit("new")), table)
-    return r.spark.table(table).select("txn_id", "amount", "note", "cob_dt")
+    return _dropped(r.spark.table(table).select("txn_id", "amount", "note", "cob_dt"), table)
 
 
 @query("snk8_compacted_days", "SELECT CAST(ts + INTERVAL 7 HOUR AS DATE) AS cob_dt, count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS amount FROM event GROUP BY 1")
@@ -57,7 +65,7 @@ def compacted(r: Roles) -> DataFrame:
     days = r.event.select("event_id", "amount", business_date(F.col("ts")).alias("cob_dt"))
     days.repartition(16, "event_id").write.partitionBy("cob_dt").parquet(f"{folder}/many")
     writes.compact(r.spark, f"{folder}/many", f"{folder}/few")
-    return r.spark.read.parquet(f"{folder}/few").groupBy("cob_dt").agg(F.count("*").alias("n"), zero(F.sum("amount")).alias("amount"))
+    return _kept(r.spark.read.parquet(f"{folder}/few").groupBy("cob_dt").agg(F.count("*").alias("n"), zero(F.sum("amount")).alias("amount")), folder)
 
 
 @query("snk10_log_rerun", "SELECT cob_dt, 'volume' AS suite, 'rows' AS check_name, CASE WHEN count(*) >= 5 THEN 'PASS' ELSE 'FAIL' END AS status, CAST(count(*) AS VARCHAR) AS detail FROM account_txn WHERE cob_dt BETWEEN DATE '2001-05-31' AND DATE '2001-06-30' GROUP BY cob_dt")
@@ -70,7 +78,7 @@ def log_rerun(r: Roles) -> DataFrame:
     rows = log_rows(counts, F.col("cob_dt"), "volume", F.lit("rows"), F.when(F.col("n") >= 5, "PASS").otherwise("FAIL"), F.col("n"))
     for _ in range(2):
         writes.replace_log(rows, f"{folder}/log")
-    return r.spark.read.parquet(f"{folder}/log").select("cob_dt", "suite", "check_name", "status", "detail")
+    return _kept(r.spark.read.parquet(f"{folder}/log").select("cob_dt", "suite", "check_name", "status", "detail"), folder)
 
 
 @query("src6_csv_settlement", "SELECT merchant_id, strftime(cob_dt, '%Y-%m') AS month, CAST(sum(amount) AS DECIMAL(18,2)) AS gross, count(*) AS txns, DATE '2001-06-30' AS cob_dt FROM card_txn WHERE status = 'SUCCESS' GROUP BY 1, 2")
@@ -79,10 +87,51 @@ def csv_settlement(r: Roles) -> DataFrame:
     folder = _shared(r)
     rows = r.card_txn.where("status = 'SUCCESS'").groupBy("merchant_id", F.date_format("cob_dt", "yyyy-MM").alias("month")).agg(zero(F.sum("amount")).alias("gross"), F.count("*").alias("txns"))
     rows.write.option("header", True).option("sep", "|").csv(f"{folder}/feed")
-    return specs.read_csv(r.spark, f"{folder}/feed/*.csv", DAY, "merchant_id bigint, month string, gross decimal(18,2), txns bigint", "|")
+    return _kept(specs.read_csv(r.spark, f"{folder}/feed/*.csv", DAY, "merchant_id bigint, month string, gross decimal(18,2), txns bigint", "|"), folder)
 
 
 @query("src5_incremental_load", "SELECT txn_id, amount, cob_dt FROM account_txn WHERE cob_dt BETWEEN DATE '2001-06-01' AND DATE '2001-06-30'")
 def incremental_load(r: Roles) -> DataFrame:
     spec = specs.LoadSpec("account_txn", "orders", "incremental", "txn_ts")
     return specs.load(spec, lambda: r.account_txn.drop("cob_dt"), DAY, dt.date(2001, 6, 1)).select("txn_id", "amount", "cob_dt")
+
+
+@query("snk3_append", "SELECT cob_dt, count(*) * 2 AS n, CAST(sum(amount) * 2 AS DECIMAL(18,2)) AS amount FROM account_txn WHERE cob_dt BETWEEN DATE '2001-05-31' AND DATE '2001-06-30' GROUP BY cob_dt")
+def appended(r: Roles) -> DataFrame:
+    """A month appended twice is there twice."""
+    folder = _shared(r)
+    for _ in range(2):
+        writes.append(_week(r), f"{folder}/log", "cob_dt")
+    return _kept(r.spark.read.parquet(f"{folder}/log").groupBy("cob_dt").agg(F.count("*").alias("n"), zero(F.sum("amount")).alias("amount")), folder)
+
+
+@query("snk5_added_columns", "SELECT txn_id, CASE WHEN cob_dt < DATE '2001-06-15' THEN amount END AS amount, CASE WHEN cob_dt >= DATE '2001-06-15' THEN customer_id END AS customer_id FROM account_txn WHERE cob_dt BETWEEN DATE '2001-05-31' AND DATE '2001-06-30'")
+def added_columns(r: Roles) -> DataFrame:
+    """Two logs with a column of their own each, as one that is written and read back."""
+    folder, late = _shared(r), F.col("cob_dt") >= F.lit(DAY.replace(day=15))
+    old, new = _week(r).where(~late).select("txn_id", "amount"), _week(r).where(late).select("txn_id", "customer_id")
+    writes.add_missing(old, new).write.parquet(f"{folder}/log")
+    return _kept(r.spark.read.parquet(f"{folder}/log"), folder)
+
+
+@query("snk6_repartitioned", "SELECT cob_dt, count(*) AS n, count(*) AS planned FROM account_txn WHERE cob_dt BETWEEN DATE '2001-05-31' AND DATE '2001-06-30' GROUP BY cob_dt")
+def repartitioned(r: Roles) -> DataFrame:
+    """A table without partitions, planned first, then copied into partitions by day."""
+    folder = _shared(r)
+    plan = writes.repartition_table(_week(r), f"{folder}/days", dry_run=True).withColumnRenamed("n", "planned")
+    writes.repartition_table(_week(r), f"{folder}/days")
+    found = r.spark.read.parquet(f"{folder}/days").groupBy("cob_dt").agg(F.count("*").alias("n"))
+    return _kept(found.join(plan, "cob_dt", "left"), folder)
+
+
+@query("snk7_clustered", "SELECT count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS amount, true AS files_are_narrow FROM account_txn WHERE cob_dt BETWEEN DATE '2001-05-31' AND DATE '2001-06-30'")
+def clustered(r: Roles) -> DataFrame:
+    """Files in z-order of two columns: each spans about half of either column's range, where unsorted ones span all."""
+    folder = _shared(r)
+    rows = _week(r).select("txn_id", F.col("amount").cast("double").alias("a"), F.col("customer_id").cast("double").alias("c"), "amount")
+    writes.clustered(rows, ["a", "c"], 16).write.parquet(f"{folder}/z")
+    back = r.spark.read.parquet(f"{folder}/z").withColumn("file", F.input_file_name())
+    span = lambda c: F.max(c) - F.min(c)
+    whole = back.agg(span("a").alias("wa"), span("c").alias("wc"), F.count("*").alias("n"), zero(F.sum("amount")).alias("amount"))
+    files = back.groupBy("file").agg(span("a").alias("fa"), span("c").alias("fc")).agg(F.avg("fa").alias("fa"), F.avg("fc").alias("fc"))
+    return _kept(whole.crossJoin(F.broadcast(files)).select("n", "amount", ((F.col("fa") * F.col("fc")) < F.col("wa") * F.col("wc") / 3).alias("files_are_narrow")), folder)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,17 +10,18 @@ from pyspark.sql import functions as F
 from tierline.functions.columns import zero
 from tierline.plans.registry import query
 from tierline.plans.roles import Roles
+from tierline.sources.shared import durable, remove_folder, shared_folder
 from tierline.streaming import events as ev
 
 SPEC = ev.StreamSpec("online", ("event_id",), {"event_id": "bigint", "customer_id": "bigint", "amount": "decimal(18,2)"}, ("event_id",), "10 minutes", "seg", ("customer_id",))
 
 
 def records(r: Roles) -> DataFrame:
-    """Events as envelopes, with faults by id: tombstones, bad operations, keys and times; each hundredth comes twice."""
+    """Events as envelopes, with faults by id: tombstones, bad operations, keys (none, or no number) and times; each hundredth comes twice."""
     k = F.col("event_id") % 50
     ts = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
     payload = F.struct(
-        F.when(k != 7, F.col("event_id").cast("string")).alias("event_id"), F.col("customer_id").cast("string").alias("customer_id"), F.col("amount").cast("string").alias("amount"),
+        F.when(k != 7, F.col("event_id").cast("string")).when(F.col("event_id") % 100 == 7, F.concat(F.lit("x"), F.col("event_id").cast("string"))).alias("event_id"), F.col("customer_id").cast("string").alias("customer_id"), F.col("amount").cast("string").alias("amount"),
         F.when(k == 8, "x").when(F.col("event_type") == "error", "d").when(F.col("event_type") == "signup", "c").otherwise("u").alias("__op"), F.when(k == 9, "late").otherwise(ts).alias("__ts_ms"),
     )
     rows = r.event.select(
@@ -43,7 +44,7 @@ def validated(r: Roles) -> DataFrame:
     return ev.valid(ev.validate(records(r), SPEC), SPEC)
 
 
-@query("st5_dead_letters", f"WITH {_RECORDS} SELECT o AS kafka_offset, CASE k WHEN 7 THEN 'MISSING_PRIMARY_KEY' WHEN 8 THEN 'INVALID_OPERATION' WHEN 9 THEN 'INVALID_TIMESTAMP' ELSE 'UNPARSEABLE_PAYLOAD' END AS error_type FROM x WHERE k IN (7, 8, 9, 10)")
+@query("st5_dead_letters", f"WITH {_RECORDS} SELECT o AS kafka_offset, CASE k WHEN 7 THEN 'MISSING_PRIMARY_KEY' WHEN 8 THEN 'INVALID_OPERATION' WHEN 9 THEN 'INVALID_TIMESTAMP' ELSE 'PARSE_ERROR' END AS error_type FROM x WHERE k IN (7, 8, 9, 10)")
 def dead(r: Roles) -> DataFrame:
     return ev.dead_letters(ev.validate(records(r), SPEC), "online").select("kafka_offset", "error_type")
 
@@ -61,15 +62,19 @@ def streamed(r: Roles) -> DataFrame:
     records(r).write.parquet(f"{folder}/in")
     job = ev.run_cdc(ev.file_stream(r.spark, f"{folder}/in", files=1000), SPEC, f"{folder}/out", f"{folder}/checkpoint", lambda: r.customer.select("customer_id", "segment"))
     job.awaitTermination()
-    return r.spark.read.parquet(f"{folder}/out/log").groupBy("__cdc_operation").agg(F.count("*").alias("n"), zero(F.sum("amount")).alias("amount"))
+    return _kept(r.spark.read.parquet(f"{folder}/out/log").groupBy("__cdc_operation").agg(F.count("*").alias("n"), zero(F.sum("amount")).alias("amount")), folder)
 
 
 def _shared(r: Roles) -> str:
-    """A new folder where executors and driver both see it; a temporary one only where no shared one is named."""
-    import uuid
+    """A new folder where executors and driver both see it."""
+    return f"{shared_folder(r.spark)}/stream-{uuid.uuid4().hex}"
 
-    shared = r.spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{shared or tempfile.mkdtemp(prefix='spark-')}/stream-{uuid.uuid4().hex}"
+
+def _kept(rows: DataFrame, folder: str) -> DataFrame:
+    """A durable copy of what was read from a folder, which then goes."""
+    out = durable(rows)
+    remove_folder(rows.sparkSession, folder)
+    return out
 
 
 @query("st7_enriched", "SELECT e.event_id, e.customer_id, d.segment AS seg_segment FROM event e LEFT JOIN dim_customer d USING (customer_id)")

@@ -1,4 +1,4 @@
-"""What the bank's layers hold: dimensions, streams and rules as data."""
+"""What the bank's layers hold: dimensions, streams and rules as data. Names, columns and topics are fixed values."""
 
 from __future__ import annotations
 
@@ -11,68 +11,139 @@ from tierline.streaming.events import StreamSpec
 
 @dataclass(frozen=True)
 class Dimension:
-    """tracked columns open a version (type 2); without any, the table is type 1."""
+    """tracked columns open a version (type 2); without any, the table is type 1. parents: (column, table, its column)."""
 
     name: str
     key: str
     columns: tuple[str, ...]
     tracked: tuple[str, ...] = ()
+    required: tuple[str, ...] = ()
+    parents: tuple[tuple[str, str, str], ...] = ()
     close_missing: bool = True
 
+    @property
+    def sk(self) -> str:
+        return f"{self.name.removeprefix('dim_')}_sk"
 
-def dimensions() -> list[Dimension]:
-    """Six dimensions with versions and six without."""
 
-    def of(name: str, columns: str, tracked: str = "") -> Dimension:
-        return Dimension(f"dim_{name}", f"{name}_id", tuple(columns.split()), tuple(tracked.split()))
+_OWNER = ("customer_id", "dim_customer", "customer_id")
+_PRODUCT = ("product_code", "dim_product", "product_code")
+_BRANCH = ("branch_code", "dim_branch", "branch_code")
+_ACCOUNT = ("account_id", "dim_account", "account_id")
 
+
+def dimensions() -> list[Dimension]:
+    """Six dimensions with versions and six without."""
     return [
-        of("customer", "full_name gender date_of_birth phone email address city branch_code customer_segment kyc_status", "address city branch_code customer_segment kyc_status"),
-        of("account", "customer_id account_type branch_code status balance open_date close_date", "status branch_code account_type"),
-        of("branch", "branch_name city region manager status", "branch_name city region manager"),
-        of("product", "product_name category interest_rate status", "product_name category interest_rate status"),
-        of("merchant", "merchant_name merchant_category mcc_code city state risk_category", "merchant_category city risk_category"),
-        of("store", "merchant_id store_name city status", "store_name city status"),
-        of("card", "customer_id card_type status credit_limit"),
-        of("deposit", "customer_id product_code amount interest_rate maturity_date"),
-        of("device", "customer_id device_type os"),
-        of("employee", "full_name branch_code position"),
-        of("loan", "customer_id product_code branch_code loan_status loan_amount outstanding_balance"),
-        of("location", "city state is_high_risk_area"),
+        Dimension(
+            "dim_customer", "customer_id",
+            ("cccd", "full_name", "gender", "date_of_birth", "phone", "email", "address", "city", "district", "branch_code", "customer_segment", "kyc_status", "register_date", "is_active"),
+            ("phone", "email", "address", "city", "district", "customer_segment", "kyc_status", "branch_code"), ("cccd", "full_name"), (_BRANCH,),
+        ),
+        Dimension(
+            "dim_account", "account_id", ("account_no", "customer_id", "product_code", "branch_code", "account_type", "currency", "balance", "open_date", "close_date", "status"),
+            ("balance", "status", "close_date"), ("account_no", "customer_id", "product_code", "branch_code"), (_OWNER, _PRODUCT, _BRANCH),
+        ),
+        Dimension(
+            "dim_branch", "branch_code", ("branch_name", "region", "city", "district", "address", "manager_name", "open_date", "status"),
+            ("branch_name", "region", "city", "district", "address", "manager_name", "open_date", "status"), ("branch_name",),
+        ),
+        Dimension(
+            "dim_product", "product_code", ("product_name", "product_group", "product_type", "currency", "is_active", "launch_date"),
+            ("product_name", "product_group", "product_type", "currency", "is_active", "launch_date"), ("product_name",),
+        ),
+        Dimension(
+            "dim_merchant", "merchant_id", ("merchant_name", "merchant_category", "mcc_code", "city", "state", "risk_category", "is_active"),
+            ("merchant_name", "merchant_category", "mcc_code", "city", "state", "risk_category", "is_active"), ("merchant_name",),
+        ),
+        Dimension(
+            "dim_store", "store_id", ("merchant_id", "store_name", "store_type", "address", "city", "district", "is_active"),
+            ("merchant_id", "store_name", "store_type", "address", "city", "district", "is_active"), ("merchant_id", "store_name"), (("merchant_id", "dim_merchant", "merchant_id"),),
+        ),
+        Dimension("dim_card", "card_id", ("card_no_masked", "customer_id", "account_id", "product_code", "card_type", "card_brand", "credit_limit", "issue_date", "expiry_date", "status"), (), ("customer_id", "card_type"), (_OWNER, _ACCOUNT, _PRODUCT)),
+        Dimension("dim_deposit", "deposit_id", ("account_id", "customer_id", "product_code", "principal_amount", "interest_rate", "term_months", "open_date", "maturity_date", "status"), (), ("account_id", "customer_id"), (_ACCOUNT, _OWNER)),
+        Dimension("dim_device", "device_id", ("customer_id", "device_type", "device_fingerprint", "operating_system", "ip_address", "is_trusted", "first_seen", "last_seen"), (), ("customer_id", "device_type"), (_OWNER,)),
+        Dimension("dim_employee", "employee_id", ("full_name", "branch_code", "role", "hire_date", "salary", "status"), (), ("full_name", "branch_code"), (_BRANCH,)),
+        Dimension("dim_loan", "loan_id", ("customer_id", "product_code", "branch_code", "loan_amount", "outstanding_balance", "interest_rate", "term_months", "disbursement_date", "maturity_date", "loan_status"), (), ("customer_id", "loan_amount"), (_OWNER, _BRANCH)),
+        Dimension("dim_location", "location_id", ("merchant_name", "merchant_category", "city", "state", "latitude", "longitude", "is_high_risk_area"), (), ("city", "state")),
     ]
 
 
-_MONEY, _ID = "decimal(18,2)", "bigint"
+_MONEY, _ID, _TEXT = "decimal(18,2)", "bigint", "string"
+
+
+def _columns(ids: tuple[str, ...], texts: tuple[str, ...], money: tuple[str, ...] = (), ints: tuple[str, ...] = ()) -> dict[str, str]:
+    return {c: _ID for c in ids} | {c: _TEXT for c in texts} | {c: _MONEY for c in money} | {c: "int" for c in ints}
+
+
+#: A payment's columns, the same for both ways to pay online.
+_PAYMENT = _columns(
+    ("transaction_id", "account_id", "device_id", "location_id", "customer_id", "merchant_id", "transaction_date", "created_ts", "last_updated"),
+    ("transaction_type", "channel", "currency", "is_fraud", "fraud_reason", "status", "payment_channel"), ("amount",), ("refund_flag",),
+)
 
 
 def streams() -> list[StreamSpec]:
     """Seven topics; two are deduplicated, one is enriched."""
     return [
-        StreamSpec("core.customer", ("customer_id",), {"customer_id": _ID, "full_name": "string", "email": "string", "date_of_birth": _ID, "register_date": _ID, "is_active": "string", "last_updated": _ID}),
-        StreamSpec("core.account", ("account_id",), {"account_id": _ID, "customer_id": _ID, "account_type": "string", "balance": _MONEY, "status": "string", "open_date": "string"}, lookup="customer", lookup_keys=("customer_id",)),
-        StreamSpec("core.transaction", ("txn_id",), {"txn_id": _ID, "account_id": _ID, "txn_amount": _MONEY, "debit_credit": "string", "txn_date": _ID}),
-        StreamSpec("card.account", ("card_id",), {"card_id": _ID, "customer_id": _ID, "card_type": "string", "status": "string", "credit_limit": _MONEY}),
-        StreamSpec("card.transaction", ("txn_id",), {"txn_id": _ID, "card_id": _ID, "txn_amount": _MONEY, "txn_type": "string", "status": "string"}),
-        StreamSpec("online.transaction", ("transaction_id",), {"transaction_id": _ID, "customer_id": _ID, "merchant_id": _ID, "amount": _MONEY, "status": "string", "transaction_date": _ID}, ("transaction_id", "__ts_ms"), "10 minutes"),
-        StreamSpec("qr.payment", ("transaction_id",), {"transaction_id": _ID, "merchant_id": _ID, "amount": _MONEY, "payment_channel": "string", "refund_flag": "int"}, ("transaction_id", "__ts_ms"), "10 minutes"),
+        StreamSpec("postgresql.banking.core_banking.customer", ("customer_id",), _columns(("customer_id", "date_of_birth", "register_date", "last_updated"), ("cccd", "full_name", "gender", "phone", "email", "address", "city", "district", "branch_code", "customer_segment", "kyc_status", "is_active"))),
+        StreamSpec("postgresql.banking.core_banking.account", ("account_id",), _columns(("account_id", "customer_id", "open_date", "close_date", "last_updated"), ("account_no", "product_code", "branch_code", "account_type", "currency", "status"), ("balance",)), lookup="br", lookup_keys=("branch_code",)),
+        StreamSpec("postgresql.banking.core_banking.txn_account", ("txn_id",), _columns(("txn_id", "account_id", "customer_id", "txn_date", "created_ts", "last_updated"), ("txn_type", "debit_credit", "channel", "description", "counter_account"), ("txn_amount", "balance_after"))),
+        StreamSpec("postgresql.banking.card_crm.card", ("card_id",), _columns(("card_id", "customer_id", "account_id", "issue_date", "expiry_date", "last_updated"), ("card_no_masked", "product_code", "card_type", "card_brand", "status"), ("credit_limit",))),
+        StreamSpec("postgresql.banking.card_crm.card_txn", ("txn_id",), _columns(("txn_id", "card_id", "customer_id", "txn_date", "created_ts", "last_updated"), ("txn_type", "currency", "merchant_name", "merchant_category", "channel", "status"), ("txn_amount",))),
+        StreamSpec("postgresql.banking.digital_banking.online_transaction", ("transaction_id",), _PAYMENT, ("transaction_id",), "10 minutes"),
+        StreamSpec("qr.payment.events", ("transaction_id",), _PAYMENT, ("transaction_id",), "10 minutes"),
     ]
 
 
 def consolidations() -> list[Consolidation]:
     return [
-        Consolidation("customer_current", ("customer_id",), {"date_of_birth": "epoch_days", "register_date": "epoch_days", "is_active": "int", "last_updated": "epoch_micros"}),
-        Consolidation("account_current", ("account_id",), {"open_date": "epoch_days", "balance": "decimal"}),
-        Consolidation("online_transaction_current", ("transaction_id",), {"transaction_date": "epoch_micros"}),
+        Consolidation("dim_customer_current", ("customer_id",), {"date_of_birth": "epoch_days", "register_date": "epoch_days", "is_active": "int", "last_updated": "epoch_micros"}),
+        Consolidation("dim_account_current", ("account_id",), {"open_date": "epoch_days", "close_date": "epoch_days", "balance": "decimal", "last_updated": "epoch_micros"}),
+        Consolidation("fact_online_transaction_current", ("transaction_id",), {"amount": "decimal"}),
     ]
 
 
 def rules(dimension: Dimension) -> list[Check]:
-    """What every dimension must hold: rows, and one current version a key; the columns it tracks should be there."""
+    """What every dimension must hold: rows, its key and what is required of it, and one current version a key."""
     base = [Check("row_count", low=1), Check("not_null", dimension.key), Check("unique", dimension.key)]
-    return base + [Check("not_null", c, severity="WARN") for c in dimension.tracked]
+    return base + [Check("not_null", c) for c in dimension.required] + [Check("not_null", c, severity="WARN") for c in dimension.tracked if c not in dimension.required]
 
 
 def fact_rules(key: str, amount: str, channels: tuple[str, ...] = ()) -> list[Check]:
     """What every fact must hold: rows, keys once, amounts of 0 or more, no future days, and known channels."""
     base = [Check("row_count", low=1), Check("not_null", key), Check("unique", key), Check("range", amount, low=0), Check("not_future", "cob_dt")]
     return base + ([Check("accepted", "channel", values=channels, severity="WARN")] if channels else [])
+
+
+@dataclass(frozen=True)
+class Violation:
+    """Rows of a table that go into quarantine; a condition that is unknown (null) is no violation."""
+
+    table: str
+    name: str
+    severity: str
+    condition: str
+
+
+#: now and today stand for the moment of the check, so that it can be repeated.
+QUARANTINE = (
+    Violation("dim_customer", "null_required_fields", "FAIL", "customer_id IS NULL OR cccd IS NULL OR full_name IS NULL"),
+    Violation("dim_customer", "invalid_phone_format", "WARN", "phone IS NOT NULL AND phone NOT LIKE '0%' AND length(phone) != 10"),
+    Violation("dim_customer", "invalid_email_format", "WARN", "email IS NOT NULL AND email NOT LIKE '%@%'"),
+    Violation("dim_customer", "invalid_cccd_format", "FAIL", "cccd IS NOT NULL AND length(cccd) != 12"),
+    Violation("dim_customer", "future_register_date", "FAIL", "register_date > {today}"),
+    Violation("dim_account", "negative_balance", "WARN", "balance < 0 AND account_type = 'CASA'"),
+    Violation("dim_account", "zero_balance_active", "WARN", "balance = 0 AND status = 'ACTIVE'"),
+    Violation("dim_account", "closed_with_balance", "FAIL", "balance > 0 AND status = 'CLOSED'"),
+    Violation("dim_account", "future_open_date", "FAIL", "open_date > {today}"),
+    Violation("fact_txn_account", "large_transaction", "WARN", "abs(txn_amount) > 1000000000"),
+    Violation("fact_txn_account", "negative_amount", "WARN", "txn_amount < 0 AND txn_type NOT IN ('REFUND', 'REVERSAL')"),
+    Violation("fact_txn_account", "zero_amount", "WARN", "txn_amount = 0"),
+    Violation("fact_txn_account", "future_transaction_date", "FAIL", "txn_date > {now}"),
+    Violation("fact_txn_account", "missing_channel", "WARN", "channel IS NULL OR channel = ''"),
+    Violation("dim_account", "inactive_account", "WARN", "status = 'INACTIVE'"),
+    Violation("dim_account", "closed_account", "INFO", "status = 'CLOSED'"),
+    Violation("dim_branch", "inactive_branch", "INFO", "status = 'INACTIVE' OR status = 'CLOSED'"),
+    Violation("dim_branch", "missing_manager", "WARN", "manager_name IS NULL OR manager_name = ''"),
+)

@@ -39,7 +39,8 @@ def overwrite_days(df: DataFrame, table: str, layout: Sequence[str] = (), files:
     """Replace the days that df has in a Parquet table, which is made if need be; other days stay. Rerunning changes nothing.
 
     New columns are added to the table first (old rows have null); a breaking change of schema stops the write before it
-    begins. With layout, files hold neighbouring rows: by one column a range, by several a z-order.
+    begins. With layout, files hold neighbouring rows: by one column a range, by several a z-order. Else a day is dealt to as
+    many tasks as its size asks for, so that one large day is not one task's.
     """
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
@@ -52,7 +53,7 @@ def overwrite_days(df: DataFrame, table: str, layout: Sequence[str] = (), files:
         rows = df.select(*[F.col(c).cast(t).alias(c) for c, t in kinds.items()])
     else:
         rows = df.select(*[c for c in df.columns if c != DAY_COLUMN], DAY_COLUMN)
-    laid = clustered(rows, layout, files) if layout else rows.repartition(DAY_COLUMN)
+    laid = clustered(rows, layout, files) if layout else by_size(rows, DAY_COLUMN)
     writer = laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format("parquet")
     if spark.catalog.tableExists(table):
         writer.insertInto(table, overwrite=True)
@@ -60,7 +61,13 @@ def overwrite_days(df: DataFrame, table: str, layout: Sequence[str] = (), files:
         writer.partitionBy(DAY_COLUMN).saveAsTable(table)
 
 
+def by_size(df: DataFrame, by: str) -> DataFrame:
+    """Rows of one value of by together, in partitions near the session's advisory size: large ones split, small ones joined."""
+    return df.sparkSession.sql(f"SELECT /*+ REBALANCE(`{by}`) */ * FROM {{df}}", df=df)
+
+
 def append(df: DataFrame, path: str, by: str) -> None:
+    """Rows are added whatever is there: an event log, whose readers tell repeats apart themselves."""
     df.write.mode("append").partitionBy(by).parquet(path)
 
 
@@ -74,13 +81,13 @@ def add_missing(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
-def z_value(columns: Sequence[str], df: DataFrame, bits: int = 10) -> Column:
+def z_value(columns: Sequence[str], df: DataFrame, bits: int = 8) -> Column:
     """A key that is near for rows near in all columns: the bits of their ranks (by approximate quantiles), interleaved."""
-    cuts = df.approxQuantile(list(columns), [i / 32 for i in range(1, 32)], 0.01)
+    cuts = df.approxQuantile(list(columns), [i / 2**bits for i in range(1, 2**bits)], 0.25 / 2**bits)
     out = F.lit(0).cast("bigint")
     for j, (c, points) in enumerate(zip(columns, cuts, strict=True)):
         rank = F.size(F.filter(F.array(*[F.lit(float(p)) for p in points]), lambda p: p <= F.col(c))) if points else F.lit(0)
-        for b in range(min(bits, 5)):
+        for b in range(bits):
             out = out.bitwiseOR(F.shiftleft(F.shiftright(rank.cast("bigint"), b).bitwiseAND(F.lit(1)), b * len(columns) + j))
     return out
 
@@ -108,9 +115,11 @@ def compact(spark: SparkSession, path: str, target: str, by: str = DAY_COLUMN, f
     return plan
 
 
-def repartition_table(df: DataFrame, path: str, by: str = DAY_COLUMN) -> None:
-    """A copy of an unpartitioned table, partitioned; the caller swaps the two."""
-    df.repartition(by).write.mode("overwrite").partitionBy(by).parquet(path)
+def repartition_table(df: DataFrame, path: str, by: str = DAY_COLUMN, dry_run: bool = False) -> DataFrame:
+    """A copy of an unpartitioned table, partitioned; the caller swaps the two. Returns (by, n), and only that if dry_run."""
+    if not dry_run:
+        by_size(df, by).write.mode("overwrite").partitionBy(by).parquet(path)
+    return df.groupBy(by).agg(F.count("*").alias("n"))
 
 
 #: Database types of Spark's simple types (fixed values).

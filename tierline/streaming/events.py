@@ -77,19 +77,22 @@ def deduplicate(records: DataFrame, spec: StreamSpec) -> DataFrame:
 def validate(records: DataFrame, spec: StreamSpec) -> DataFrame:
     """Each record with its payload typed, __cdc_operation, __cdc_timestamp_ms, error_type and error_message (null: valid).
 
-    One pass for good and bad: valid() and dead_letters() split the result.
+    The JSON is parsed once, to the columns of the spec as text; a key must be there as its type, as no merge could match
+    another. One pass for good and bad: valid() and dead_letters() split the result.
     """
-    payload = F.from_json(F.get_json_object(F.col("value").cast("string"), "$.payload"), "map<string,string>")
-    rows = drop_tombstones(records).withColumn("_p", payload)
-    get = lambda k: F.try_element_at("_p", F.lit(k))
+    fields = [*spec.columns, *[k for k in spec.keys if k not in spec.columns], "__op", "__ts_ms"]
+    shape = "payload struct<" + ", ".join(f"`{c}`: string" for c in fields) + ">"
+    rows = drop_tombstones(records).withColumn("_p", F.from_json(F.col("value").cast("string"), shape)["payload"])
+    get = lambda k: F.col("_p")[k]
     op, ts = get("__op"), get("__ts_ms").try_cast("bigint")
+    typed = {c: get(c).try_cast(t) for c, t in spec.columns.items()}
     no_key = F.lit(False)
     for k in spec.keys:
-        no_key = no_key | get(k).isNull()
-    kind = F.when(F.col("_p").isNull(), "UNPARSEABLE_PAYLOAD").when(~F.coalesce(op, F.lit("")).isin(*OPS), "INVALID_OPERATION").when(ts.isNull(), "INVALID_TIMESTAMP").when(no_key, "MISSING_PRIMARY_KEY")
+        no_key = no_key | typed.get(k, get(k)).isNull()
+    # The names of the errors, in the order in which they count.
+    kind = F.when(F.col("_p").isNull(), "PARSE_ERROR").when(~F.coalesce(op, F.lit("")).isin(*OPS), "INVALID_OPERATION").when(ts.isNull(), "INVALID_TIMESTAMP").when(no_key, "MISSING_PRIMARY_KEY")
     message = F.concat_ws(" ", kind, F.lit("op"), F.coalesce(op, F.lit("null")), F.lit("ts"), F.coalesce(get("__ts_ms"), F.lit("null")))
     names = F.create_map(*[F.lit(x) for kv in OPS.items() for x in kv])
-    typed = {c: get(c).try_cast(t) for c, t in spec.columns.items()}
     return rows.withColumns({**typed, "__cdc_operation": F.try_element_at(names, op), "__cdc_timestamp_ms": ts, "error_type": kind, "error_message": F.when(kind.isNotNull(), message)}).drop("_p")
 
 
@@ -184,30 +187,48 @@ def classify_replays(batch: DataFrame, ledger: DataFrame) -> DataFrame:
 # Jobs.
 
 
+def _numbers(spark: SparkSession, path: str) -> set[int]:
+    """The batches that a folder of one partition a batch has."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.listStatus(place) if files.exists(place) else []
+    return {int(n.removeprefix("batch_id=")) for n in (f.getPath().getName() for f in found) if n.startswith("batch_id=")}
+
+
 def run_cdc(records: DataFrame, spec: StreamSpec, out: str, checkpoint: str, dimension: Callable[[], DataFrame] | None = None) -> StreamingQuery:
     """A stream of records into out/log (by batch), out/dead_letters and, with a dimension, out/enriched; all data there is, then ends.
 
     A batch that is redone after a crash overwrites its own partition, so nothing appears twice. The dimension is read anew
-    for each batch; if enriching fails, the log is kept and the batch goes on.
+    for each batch. A batch whose enrichment fails is in the log and not in out/enriched; it is enriched again from the log
+    with each later batch, and before the stream starts, until it succeeds. Other errors end the stream.
     """
+    spark = records.sparkSession
 
     def write(df: DataFrame, name: str, batch: int) -> None:
         df.withColumn("batch_id", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out}/{name}")
 
+    def catch_up() -> None:
+        """Enrich what the log has and out/enriched lacks."""
+        if dimension is None:
+            return
+        for number in sorted(_numbers(spark, f"{out}/log") - _numbers(spark, f"{out}/enriched")):
+            good = spark.read.parquet(f"{out}/log/batch_id={number}")
+            try:
+                joined = enrich(good, dimension(), dict(zip(spec.lookup_keys, spec.lookup_keys, strict=True)), f"{spec.lookup}_")
+                write(joined, "enriched", number)
+            except Exception as e:  # the log is whole without it, and holds the batch for the next turn
+                print(f"{spec.topic}: batch {number} is not enriched yet: {e}")
+
     def each(batch: DataFrame, number: int) -> None:
         checked = validate(batch, spec).persist()
         try:
-            good = valid(checked, spec)
-            write(good, "log", number)
+            write(valid(checked, spec), "log", number)
             write(dead_letters(checked, spec.topic), "dead_letters", number)
-            if dimension is not None:
-                try:
-                    write(enrich(good, dimension(), dict(zip(spec.lookup_keys, spec.lookup_keys, strict=True)), f"{spec.lookup}_"), "enriched", number)
-                except Exception as e:  # the log is whole without it; the next batch tries again
-                    print(f"{spec.topic}: batch {number} is not enriched: {e}")
         finally:
             checked.unpersist()
+        catch_up()
 
+    catch_up()
     return deduplicate(records, spec).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
