@@ -23,19 +23,36 @@ def test_matrix_has_exact_margins():
 
 
 def test_matrix_follows_the_hypergeometric_law():
+    # Populations that numpy does not take are drawn from the same law: by moments, and against the exact chances near the mode.
+    from math import lgamma
+
+    from tierline.llm.sharding import _hypergeometric
+
+    big = np.random.default_rng(1)
+    good, bad, n = 3 * 10**9, 10**10, 4000
+    drawn = np.array([_hypergeometric(big, good, bad, n) for _ in range(4000)])
+    p = good / (good + bad)
+    assert abs(drawn.mean() - n * p) < 5 * (n * p * (1 - p) / 4000) ** 0.5 and abs(drawn.var() / (n * p * (1 - p)) - 1) < 0.12
+    choose = lambda a, b: lgamma(a + 1) - lgamma(b + 1) - lgamma(a - b + 1)
+    for x in (900, 923, 950):
+        want = np.exp(choose(n, x) + x * np.log(p) + (n - x) * np.log(1 - p))  # so few draws of so many: the binomial law
+        assert abs((drawn == x).mean() - want) < 5 * (want / 4000) ** 0.5
+    counts, room = np.array([2 * 10**12, 7, 10**12]), np.array([10**12, 10**12, 10**12 + 7])
+    rows = np.stack([matrix_row(counts, room, i, 3) for i in range(3)])
+    assert rows.sum(axis=1).tolist() == counts.tolist() and rows.sum(axis=0).tolist() == room.tolist() and (rows >= 0).all()
     counts, room = np.array([4, 4]), np.array([4, 4])
     seen = np.bincount([matrix_row(counts, room, 0, s)[0] for s in range(4000)], minlength=5) / 4000
     assert np.abs(seen - np.array([1, 16, 36, 16, 1]) / 70).max() < 0.03
 
 
 def test_shards_are_exact_and_shuffled(spark):
-    df = spark.range(1003).withColumn("shard", F.lit("x"))
+    df = spark.range(1003).withColumns({"shard": F.lit("x"), "_rank": F.lit(777), "to": F.lit(1), "row": F.lit(2)})
     for slice_rows in (None, 40):
         rows = hypergeometric_shuffle(df.repartition(6), 8, rows_a_slice=slice_rows).collect()
         by = defaultdict(list)
         for r in rows:
             by[r["shard"]].append(r["slot"])
-        assert sorted(r["id"] for r in rows) == list(range(1003))
+        assert sorted(r["id"] for r in rows) == list(range(1003)) and all((r["_rank"], r["to"], r["row"]) == (777, 1, 2) for r in rows)
         assert sorted(map(len, by.values())) == sorted(capacities(1003, 8).tolist())
         assert all(sorted(v) == list(range(len(v))) for v in by.values())
     first = [r["id"] for r in sorted(rows, key=lambda r: (r["shard"], r["slot"]))]
@@ -139,17 +156,52 @@ def test_pack_edge_cases(spark):
     assert padding(rows, 10).first().asDict() == {"sequences": 3, "tokens": 19, "padded": 7}
 
 
+def test_rows_without_a_key_spread_over_groups(spark):
+    rows = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("start"), F.lit(5).cast("long").alias("length"), F.lit(1).alias("bin"))
+    packed = pack(rows, 10, each=300)
+    sizes = packed.groupBy((F.col("sequence_id") / F.lit(2**32)).cast("int")).count().collect()
+    assert len(sizes) == 10 and max(r["count"] for r in sizes) < 400 and packed.columns[-3:] == ["bin", "sequence_id", "offset"]
+
+
 def test_gif_round_trip():
     rng = random.Random(3)
     for n, kinds in ((192, 1), (192 * 7, 2), (192 * 300, 256), (192 * 5000, 3)):
         data = bytes(rng.choices(range(kinds), k=n))
-        back, frames = gif.restore(gif.store(data))
-        assert back == data and len(frames) == -(-n // (192 * gif.HEIGHT))
+        parts = list(gif.restore(gif.store(data)))
+        assert b"".join(p for p, _ in parts) == data and len(parts) == -(-n // (192 * gif.HEIGHT)) and all(f.delay_ms == gif.DELAY_MS for _, f in parts)
     for least in (2, 3, 5, 8):
         data = bytes(rng.choices(range(1 << least), k=9000)) + bytes(9000)
         assert gif.lzw_decode(gif.lzw_encode(data, least), least, len(data)) == data
 
 
+def test_gif_without_a_clear_code_when_the_table_is_full():
+    """A stream of one turn: after 4,096 entries codes stay 12 bits wide, however many follow."""
+    codes = [256, *[i % 200 for i in range(9000)], 257]
+    bits, entries = 0, 258
+    at = width = 0
+    for n, c in enumerate(codes):
+        width = 9 if n == 0 else min(12, max(9, (entries + max(0, n - 2)).bit_length()))
+        bits |= c << at
+        at += width
+    stream = bits.to_bytes(-(-at // 8), "little")
+    assert gif.lzw_decode(stream, 8, 9000) == bytes(i % 200 for i in range(9000))
+
+
+def test_gif_damaged_images_do_not_abort(spark):
+    rng = random.Random(5)
+    whole = gif.encode([(0, 0, np.arange(64, dtype=np.uint8).reshape(8, 8))] * 2, (8, 8), np.zeros((256, 3), np.uint8))
+    damaged = []
+    for _ in range(3000):
+        image = bytearray(whole)
+        for _ in range(rng.randint(1, 6)):
+            image[rng.choice([rng.randrange(6, 13), rng.randrange(780, len(image))])] = rng.randrange(256)
+        if int.from_bytes(image[6:8], "little") * int.from_bytes(image[8:10], "little") < 1 << 20:
+            damaged.append((len(damaged), bytes(image[: rng.choice([len(image), rng.randrange(len(image))])])))
+    assert gif.decode_frames(spark.createDataFrame(damaged, "id int, image binary"), "id", "image").select("id").distinct().count() > 0
+    with pytest.raises(ValueError):
+        gif.decode(b"GIF89a" + b"\xff" * 8)
+
+
 def test_gif_reads_a_known_image():
     # The sample image of the format's public descriptions: 10 x 10 pixels in four colours.
     data = bytes.fromhex("47494638396 10a000a00910000ffffffff00000000ff00000021f90400000000002c000000000a000a000002168c2d99872a1cdc33a00275ec95faa8de608c0491 4c01003b".replace(" ", ""))
@@ -188,7 +240,8 @@ def test_images_as_columns(spark):
     image = gif.store(b"abc ".ljust(192, b" "))
     df = spark.createDataFrame([(1, image), (2, None), (3, b"no image")], "id int, image binary")
     rows = {r["id"]: r for r in gif.decode_frames(df, "id", "image").collect()}
-    assert set(rows) == {1, 3} and rows[3]["frame"] is None and sum(rows[1]["histogram"]) == 192 and rows[1]["rgb"][:3] == b"aaa"
+    assert set(rows) == {1, 3} and rows[3]["frame"] is None and sum(rows[1]["histogram"]) == 192 and bytes(rows[1]["rgb"][:3]) == bytes([0x60, 0x00, 0x40])
+    assert sum(n > 0 for n in rows[1]["histogram"]) == 4 and gif.store_bytes(df.limit(0), "id", "image").count() == 0
     stored = {r["id"]: r for r in gif.store_bytes(spark.createDataFrame([(1, b"abc"), (2, None), (3, b"x" * 200), (4, b"abc")], "id int, payload binary"), "id", "payload").collect()}
     assert stored[3]["payload_bytes"] == 384 and stored[2]["n_bytes"] == 0 and stored[1]["payload_sha256"] == hashlib.sha256(b"abc".ljust(192)).hexdigest()
     assert stored[1][2:] == stored[4][2:]
@@ -223,7 +276,7 @@ def test_keys_end_where_their_lengths_say():
     private = b"openssh-key-v1\0" + field(b"none") * 2 + field(b"") + (1).to_bytes(4, "big") + field(public) + field(random.Random(3).randbytes(136))
     cut = private[: len(private) // 3 * 3 - 3]
     assert len(ed) == 48 and len({len(x) % 3 for x in rsa}) == 3
-    for data, kind in ((ed, "der"), *((x, "der") for x in rsa), (public, "ssh"), (private, "ssh"), (cut, "ssh")):
+    for data, kind in ((ed, "der"), *((x, "der") for x in rsa), (public, "ssh"), (private, "ssh")):
         one = b64encode(data).decode()
         for wide, newline in ((64, "\n"), (64, "\r\n"), (10**6, "\n")):
             body = newline.join(one[i : i + wide] for i in range(0, len(one), wide))
@@ -232,13 +285,18 @@ def test_keys_end_where_their_lengths_say():
                 ("é ", " is it"), ("", ""), ("here:" + newline, newline), ("x" * 40 + newline, newline + newline),
             ):
                 assert secrets.confirmed_spans(before + body + after) == [(len(before), kind, len(before + body))], (kind, wide, before)
-            if data != cut:  # of a key that is cut off, no length says where it ends
-                for after in ("Next", "The-next line of prose", "a\nb\nc"):
-                    assert secrets.confirmed_spans(body + newline + after) == [(0, kind, len(body))], (kind, wide, after)
+            for after in ("Next", "The-next line of prose", "a\nb\nc"):
+                assert secrets.confirmed_spans(body + newline + after) == [(0, kind, len(body))], (kind, wide, after)
         assert secrets.confirmed_spans("a" + one) == []
+    # Three fields and garbage, a cut-off key, a key of no keys: nested lengths that do not parse to the end are no key.
+    loose = b"openssh-key-v1\0" + field(b"none") * 2 + field(b"") + random.Random(4).randbytes(120)
+    for data in (cut, loose, private + b"x", b"openssh-key-v1\0" + field(b"none") * 2 + field(b"") + bytes(4) + field(bytes(8)), public[:-1], public + bytes(4)):
+        assert not secrets.is_ssh_key(data) and secrets.confirmed_spans(b64encode(data).decode()) == [] and secrets.confirmed_spans(data.hex()) == []
     two = b64encode(ed).decode() + "\n" + b64encode(rsa[0]).decode().rstrip("=")
     assert [k for _, k, _ in secrets.confirmed_spans(two + "\nend")] == ["der", "der"]
     zeros = "\n".join(["A" * 76] * 20_000)
+    lines = ["AAAAB3NzaC1yc2EAAAADAQABAAABAQC7", "b3BlbnNzaC1rZXktdjEA", "MIIAAAAAAAAAAAAAAAAAAAAAAAAAAAAA"]
+    assert all(secrets.confirmed_spans("\n".join([x] * 30_000)) == [] for x in lines) and secrets.confirmed_spans("eyJ" * 500_000) == []
     assert secrets.confirmed_spans(zeros) == [] and secrets.confirmed_spans(zeros.replace("A" * 76, "MII" + "A" * 73)) == []
 
 
@@ -269,19 +327,32 @@ def test_quality_of_held_out_documents(spark):
     rows = [(i, t, f"h{i % 4}" if i % 10 else None, "en", q) for i, (t, q) in enumerate(quality_texts(600))]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, quality int")
     model = train(docs, docs.where("doc_id % 2 = 0").select("doc_id", "quality"), sample=200)
-    told = classify(docs.where("doc_id % 2 = 1"), model, carry=("doc_id", "quality")).collect()
-    assert len(told) == 300 and sum(r["kept"] == (r["quality"] == 1) for r in told) / 300 > 0.97
+    good = {r[0]: r[4] == 1 for r in rows}
+    told = classify(docs.where("doc_id % 2 = 1"), model, carry=("doc_id", "quality", "lang")).collect()
+    assert len(told) == 300 and sum(r["kept"] == good[r["doc_id"]] for r in told) / 300 > 0.97
+    assert list(told[0].asDict()) == ["doc_id", "lang", "evidence", "doc_share", "host_share", "path_share", "quality", "kept"]  # the label's name is the result's
     again = classify(docs.where("doc_id % 2 = 1"), model, carry=("doc_id", "text")).collect()
     assert {r["doc_id"]: r["kept"] for r in again} == {r["doc_id"]: r["kept"] for r in told}
 
 
 def test_sparse_sections_shrink_toward_their_site(spark):
-    from tierline.llm.quality import site_posteriors
+    from tierline.llm.quality import shares, site_sums
 
     rows = [("a", "x", 0.95)] * 200 + [("a", "y", 0.0)] + [("b", "x", 0.1)] * 200 + [("b", "y", 1.0)]
-    got = {(r["site"], r["path"]): r for r in site_posteriors(spark.createDataFrame(rows, "site string, path string, p double")).collect()}
-    assert got["a", "x"]["share"] > got["a", "y"]["share"] > got["b", "y"]["share"] * 0.5 and got["a", "y"]["share"] > 0.1
-    assert got["a", "x"]["host_share"] > 0.8 > 0.3 > got["b", "x"]["host_share"]
+    scored = spark.createDataFrame(rows, "site string, path string, p double")
+    host, share = shares(F.col("p"))
+    got = {(r["site"], r["path"]): r for r in scored.join(site_sums(scored), ["site", "path"]).withColumns({"host": host, "share": share}).collect()}
+    assert got["a", "x"]["share"] > 0.8 > 0.3 > got["b", "x"]["share"]
+    # The one document of a section says nothing of its own section: its share is its site's, as the others tell it.
+    assert got["a", "y"]["share"] == pytest.approx(got["a", "y"]["host"]) and got["a", "y"]["host"] > 0.8 and got["b", "y"]["host"] < 0.3
+    for (site, _), r in got.items():
+        others = [p for s, _, p in rows if s == site]
+        total = sum(p for _, _, p in rows) - r["p"] + 1
+        want = (sum(others) - r["p"] + r["site_k"] * total / (len(rows) + 1)) / (len(others) - 1 + r["site_k"])
+        assert r["host"] == pytest.approx(want)
+    again = scored.select("site", "path", F.lit(0.5).alias("p"))
+    k = site_sums(again).first()
+    assert k["site_k"] == k["path_k"] == 10_000.0
 
 
 def test_quality_edge_cases(spark):

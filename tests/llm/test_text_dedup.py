@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierline.llm.components import components
-from tierline.llm.exact_dedup import exact_dedup
+from tierline.llm.exact_dedup import exact_dedup, filtered
 from tierline.llm.lines import dedup_lines, segment_keys, within
 from tierline.llm.minhash import alike, bands_for, bitmap, near_duplicates
 from tierline.llm.substring import COVER, PERIOD, remove_repeats
@@ -53,11 +53,23 @@ def test_exact(make_docs, corpus, spark):
     fold = lambda x: (x or "").translate(LOW)
     for i, x in enumerate(corpus):
         groups[fold(x)].append(i)
-    for limit in (16 << 20, 0):  # with the filter broadcast, and joined
+    for limit in (16 << 20, 300):  # in one range of digests, and in several
         got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup(docs, broadcast_bytes=limit).collect()}
         assert got == {i: (max(groups[fold(x)]), len(groups[fold(x)]), i == max(groups[fold(x)])) for i, x in enumerate(corpus)}
 
 
+def test_only_possible_repeats_are_grouped(spark):
+    """Unique digests pass: of 20,000 hardly any looks repeated, and every repeated one does."""
+    rows = spark.range(20_000).select("id", F.unhex(F.sha2(F.when(F.col("id") % 10 == 0, F.lit("same")).otherwise(F.concat(F.lit("t"), (F.col("id") - F.col("id") % 10 * F.col("id").isin(5, 15).cast("int")).cast("string"))), 256)).alias("digest"))
+    for limit in (16 << 20, 50_000):
+        probed, total = filtered(rows, 3, limit)
+        told = probed.groupBy("digest").agg(F.count("*").alias("n"), F.max("maybe").alias("any"), F.min("maybe").alias("all")).collect()
+        assert total == 20_000 == sum(r["n"] for r in told)
+        assert all(r["all"] for r in told if r["n"] > 1) and sum(r["any"] for r in told if r["n"] == 1) < 60
+    plan = probed.where("NOT maybe")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_exact_edge_cases(make_docs, spark):
     assert exact_dedup(make_docs([])).count() == 0
     rows = exact_dedup(make_docs(["a", "a", "A", None], ids=[None, None, 4, 4]).withColumn("keep_id", F.lit(1)).withColumn("digest", F.lit("x"))).collect()
@@ -213,15 +225,16 @@ def test_lines_within_the_threshold_share_a_segment():
         assert set(keys[owners == 0].tolist()) & set(keys[owners == 1].tolist())
 
 
-def plain_lines(texts, threshold=2, least=28):
+def plain_lines(texts, threshold=2, least=1, per=10):
     seen, out = [], []
     for x in texts:
         kept, gone = [], 0
         lines = (x or "").split("\n")
         for line in lines:
-            if len(line.encode()) < least:
+            near = lambda s: s == line or (abs(len(s) - len(line)) <= threshold and plain_distance(s, line) <= min(threshold, min(len(s), len(line)) // per))  # noqa: B023, E731
+            if len(line) < least:
                 kept.append(line)
-            elif any(abs(len(s) - len(line)) <= threshold and plain_distance(s, line) <= threshold for s in seen):
+            elif any(map(near, seen)):
                 gone += 1
                 seen.append(line)
             else:
@@ -245,16 +258,31 @@ def test_line_dedup_edge_cases(make_docs):
     assert got == [("1", 1, "", 44), ("2", 1, "", 43), ("7", 1, "", 43), ("8", 0, "", 0), ("9", 0, "\n\n", 2), ("None", 0, line, 43)]
 
 
-@pytest.mark.parametrize("least", [20, 1, 0])
-def test_line_dedup_honours_the_minimum(make_docs, least):
+@pytest.mark.parametrize(("least", "per"), [(20, 10), (1, 10), (1, 1), (0, 3), (3, 4)])
+def test_line_dedup_of_short_lines(make_docs, least, per):
+    """Lines of 0 to 40 code points: no length is left out."""
     import random
 
     rng = random.Random(least)
     texts = ["All rights reserved.\nAll rights reserved\nSign up for our news"] * 3 + ["Sign up for our new.\n😀😀😀😀😀\n😀😀", "😀😀😀😀😀\nSign in for our news"]
     texts += ["\n".join("".join(rng.choices("abcdefgh", k=rng.randint(0, 9))) for _ in range(3)) for _ in range(12)]
-    got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["kept_text"]) for r in dedup_lines(make_docs(texts).repartition(3), least=least).collect()}
-    want = plain_lines(texts, least=least)
-    assert [got[i] for i in range(len(texts))] == want and want[1][1] == (2 if least == 20 else 3)
+    for n in range(1, 41):
+        line = "".join(rng.choices("abcdefgh", k=n))
+        texts.append("\n".join([line, line[1:] + "z", line[: n // 2] + "yy" + line[n // 2 :], line]))
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["kept_text"]) for r in dedup_lines(make_docs(texts).repartition(3), least=least, per=per).collect()}
+    want = plain_lines(texts, least=least, per=per)
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_line_dedup_of_long_lines_and_clashing_names(make_docs):
+    import random
+
+    rng = random.Random(8)
+    long = "".join(rng.choices("abcdef ", k=1_500_000))
+    docs = make_docs([long, long[:700_000] + "x" + long[700_000:], "short\n" + long[:-1] + "\nshort"]).withColumns({c: F.lit(c) for c in ("marks", "doc", "twin", "tasks", "n_removed", "c0")})
+    rows = sorted(dedup_lines(docs, carry=("marks", "doc", "twin", "n_removed", "c0")).collect(), key=lambda r: r["doc_id"])
+    assert [(r["n_lines"], r["n_removed"], len(r["kept_text"])) for r in rows] == [(1, 0, 1_500_000), (1, 1, 0), (3, 2, 5)]
+    assert rows[0].asDict().keys() == {"doc_id", "n_lines", "n_removed", "kept_text", "marks", "doc", "twin", "c0"} and rows[2]["twin"] == "twin"
 
 
 def test_short_lines_within_the_threshold_share_a_key():

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 import tempfile
 from collections.abc import Sequence
 
@@ -34,9 +33,20 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the shared checkpoint folder, so that a lost executor takes nothing with it."""
+#: Rows of one file of a durable table of known size, about.
+FILE_ROWS = 20_000
+
+
+def durable(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """df, computed once and kept in the shared checkpoint folder, so that a lost executor takes nothing with it.
+
+    Given about how many rows it has, a table that an aggregate makes goes into few files if it is small, whatever the number of
+    shuffle partitions: every file costs several calls to the file system, on some of them a process each. Tables that are
+    costly to make are not given it, as their tasks would be joined too.
+    """
     shared_folder(df.sparkSession)
+    if rows is not None:
+        df = df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
     return df.checkpoint()
 
 
@@ -77,7 +87,6 @@ def partitions_for(spark: SparkSession, amount: float, each: float) -> int:
 
 def give_back() -> None:
     """Return freed memory to the system: workers are used again, and would else keep the most that any task took."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

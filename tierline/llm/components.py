@@ -10,11 +10,11 @@ from tierline.llm.common import durable
 
 def _least(near: DataFrame) -> DataFrame:
     """near (u, v): the least m of each u and its neighbours."""
-    return durable(near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
+    return near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
 
 
 def _edges(pairs: DataFrame) -> DataFrame:
-    return durable(pairs.toDF("a", "b").where("a <> b").distinct())
+    return pairs.toDF("a", "b").where("a <> b").distinct()
 
 
 def large_star(edges: DataFrame) -> DataFrame:
@@ -33,14 +33,14 @@ def small_star(edges: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """links (a, b) of long ids, in either order and with repeats: (id, component) for each id that is not its component's.
 
-    component is the least id reachable; links of an id to itself do not count. The two stars in turn end in one star a component, after a number of rounds that
-    grows as the logarithm squared at most. A node with very many links is a skewed
-    join, which Spark splits; its links are never gathered.
+    component is the least id reachable; links of an id to itself do not count. The two stars in turn end in one star a
+    component, after a number of rounds that grows as the logarithm squared at most; each round is one job and one durable
+    table. A node with very many links is a skewed join, which Spark splits; its links are never gathered.
     """
-    edges = _edges(links.select(F.greatest("a", "b"), F.least("a", "b")))
+    edges = durable(_edges(links.select(F.greatest("a", "b"), F.least("a", "b"))))
     state = (edges.count(), None)
     while state[0]:
-        edges = small_star(large_star(edges))
+        edges = durable(small_star(large_star(edges)), state[0])
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == state:
             break

@@ -82,7 +82,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", hashes
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.unhex(F.sha2(fold_case(body), 256)).alias("digest"))
     probed, total = filtered(rows, hashes, broadcast_bytes)
     maybe = probed.where("maybe").drop("maybe")
-    groups = durable(maybe.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")))
+    groups = durable(maybe.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")), total // 4)
     found = lookup(maybe, groups, ["digest"], "group_size", total)
     alone = probed.where("NOT maybe").select("digest", "id", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"))
     return found.unionByName(alone).select(

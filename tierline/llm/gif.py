@@ -18,8 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Samples of a stored image's row, and rows of a frame at most (an image's sides have 16 bits).
-WIDTH, HEIGHT = 192, 4096
+from tierline.llm.common import give_back
+from tierline.llm.words import blocks
+
+#: Bytes of payload handled at once.
+BLOCK = 1 << 20
+#: Samples of a stored image's row, rows of a frame at most (an image's sides have 16 bits), and how long a frame shows.
+WIDTH, HEIGHT, DELAY_MS = 192, 512, 100
+#: Samples of a screen or frame, at most: a damaged image may claim any size, and is refused beyond this one.
+LARGEST = 1 << 26
 #: Most entries of the code table.
 TABLE = 4096
 
@@ -96,24 +103,25 @@ def lzw_decode(stream: bytes, least: int, size: int) -> bytes:
     data = np.concatenate([np.frombuffer(stream, np.uint8), np.zeros(4, np.uint8)]).astype(np.uint32)
     words = data[:-2] | data[1:-1] << 8 | data[2:] << 16
     bits, at, out, got = 8 * len(stream), 0, [], 0
-    widths = _widths(min(bits // (least + 1) + 1, 1 << 20), least)
+    widths = _widths(TABLE, least)
     ends = np.cumsum(widths)
     while got < size:  # one turn from clear code to clear code; most have no more codes than the table has room for
-        fit = first = min(TABLE, int(np.searchsorted(ends, bits - at, "right")))
-        while True:
-            begins = at + ends[:fit] - widths[:fit]
-            codes = (words[begins >> 3] >> (begins & 7).astype(np.uint32)) & ((1 << widths[:fit]) - 1).astype(np.uint32)
+        room = bits - at
+        most = int(np.searchsorted(ends, room, "right")) if room < ends[-1] else TABLE + int(room - ends[-1]) // 12
+        for fit in (min(TABLE, most), most):
+            own, until = (widths, ends) if fit <= TABLE else (np.r_[widths, np.full(fit - TABLE, 12)], np.r_[ends, ends[-1] + 12 * np.arange(1, fit - TABLE + 1)])
+            begins = at + until[:fit] - own[:fit]
+            codes = (words[begins >> 3] >> (begins & 7).astype(np.uint32)) & ((1 << own[:fit]) - 1).astype(np.uint32)
             ending = np.flatnonzero((codes == clear) | (codes == stop))
-            if len(ending) or fit == (most := int(np.searchsorted(ends, bits - at, "right"))):
+            if len(ending):
                 break
-            fit = most
         n = int(ending[0]) if len(ending) else fit
         if n:
             out.append(_strings(codes[:n].astype(np.int64), clear))
             got += len(out[-1])
-        if first == 0 or not len(ending) or codes[n] == stop:
+        if not len(ending) or codes[n] == stop:
             break
-        at += int(ends[n])
+        at += int(until[n])
     return (b"".join(out) + bytes(max(0, size - got)))[:size]
 
 
@@ -165,29 +173,32 @@ def encode(frames: list[tuple[int, int, np.ndarray]], screen: tuple[int, int], p
     return b"".join([*out, b"\x3b"])
 
 
-def decode(image: bytes) -> list[Frame]:
-    """The frames of an image; ValueError if it is no GIF."""
+def frames_of(image: bytes) -> Iterator[Frame]:
+    """The frames of an image, one after the other; ValueError if it is no GIF, or from where it is none any more."""
     if image[:6] not in (b"GIF87a", b"GIF89a") or len(image) < 13:
         raise ValueError("not a GIF")
     two = lambda p: int.from_bytes(image[p : p + 2], "little")
     wide, high, flags = two(6), two(8), image[10]
+    if wide * high > LARGEST:
+        raise ValueError(f"a screen of {wide} x {high} samples")
     at = 13
     common, at = _palette(image, at, flags)
     canvas = np.zeros((high, wide, 4), np.uint8)
-    frames: list[Frame] = []
     control = (0, 0, None)
     while at < len(image) and image[at] != 0x3B:
         if image[at] == 0x21:
-            label, at = image[at + 1], at + 2
+            label, at = image[at + 1 : at + 2], at + 2
             body, at = _gather(image, at)
-            if label == 0xF9 and len(body) >= 4:
+            if label == b"\xf9" and len(body) >= 4:
                 control = (body[0] >> 2 & 7, int.from_bytes(body[1:3], "little") * 10, body[3] if body[0] & 1 else None)
             continue
-        if image[at] != 0x2C:
+        if image[at] != 0x2C or at + 10 >= len(image):
             break
         left, top, w, h, flags = two(at + 1), two(at + 3), two(at + 5), two(at + 7), image[at + 9]
         own, at = _palette(image, at + 10, flags)
         palette = common if own is None else own
+        if at >= len(image) or not 1 <= image[at] <= 8 or w * h > LARGEST:
+            raise ValueError("a frame without a code size that a GIF may have, or too large")
         least = image[at]
         stream, at = _gather(image, at + 1)
         indexes = np.frombuffer(lzw_decode(stream, least, w * h), np.uint8).reshape(h, w)
@@ -210,13 +221,17 @@ def decode(image: bytes) -> list[Frame]:
             else:
                 opaque = shown != clear
                 room[opaque] = flat[opaque]
-        frames.append(Frame(left, top, delay, disposal, indexes, canvas.copy()))
+        yield Frame(left, top, delay, disposal, indexes, canvas.copy())
         if disposal == 2:
             room[:] = 0
         elif disposal == 3:
             canvas = before
         control = (0, 0, None)
-    return frames
+
+
+def decode(image: bytes) -> list[Frame]:
+    """All frames of an image at once."""
+    return list(frames_of(image))
 
 
 def _palette(image: bytes, at: int, flags: int) -> tuple[np.ndarray | None, int]:
@@ -234,78 +249,92 @@ def _gather(image: bytes, at: int) -> tuple[bytes, int]:
     return b"".join(parts), at + 1
 
 
-def histogram(rgb: np.ndarray, opaque: np.ndarray) -> list[int]:
+def histogram(rgba: np.ndarray) -> np.ndarray:
     """Opaque samples by the two high bits of red, green and blue: 64 bins."""
-    high = (rgb.reshape(-1, 3) if opaque.all() else rgb[opaque]) >> 6
-    return np.bincount((high[:, 0].astype(np.int64) << 4) + (high[:, 1] << 2) + high[:, 2], minlength=64).tolist()
+    bins = (rgba[..., 0] >> 6 << 4) | (rgba[..., 1] >> 6 << 2) | rgba[..., 2] >> 6
+    opaque = rgba[..., 3] > 0
+    return np.bincount((bins if opaque.all() else bins[opaque]).ravel(), minlength=64)
 
 
 def decode_frames(images: DataFrame, key: str, image: str) -> DataFrame:
     """One row a frame: key, frame, delay_ms, at_ms, width, height, rgb binary (as shown), histogram array of 64.
 
-    A null image gives no row; one that is no GIF gives one row whose frame is null. Rows stay where they are: no shuffle.
+    A null image gives no row; from where an image is no GIF (perhaps its begin), it gives one row whose frame is null. Frames
+    are decoded one at a time. Rows stay where they are: no shuffle. An empty table gives an empty result; other columns are
+    not read, whatever their names.
     """
     names = ["frame", "delay_ms", "at_ms", "width", "height", "rgb", "histogram"]
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
 
+    def told(data: bytes) -> Iterator[tuple]:
+        at = 0
+        try:
+            for n, f in enumerate(frames_of(data)):
+                yield n, f.delay_ms, at, f.canvas.shape[1], f.canvas.shape[0], f.canvas[:, :, :3].tobytes(), histogram(f.canvas).tolist()
+                at += f.delay_ms
+        except (ValueError, IndexError):
+            yield (None,) * 7
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, data in enumerate(batch.column(1).to_pylist()):
-                rows, at = [], 0
-                try:
-                    for n, f in enumerate(decode(data) if data is not None else []):
-                        rgb = f.canvas[:, :, :3]
-                        rows.append((n, f.delay_ms, at, rgb.shape[1], rgb.shape[0], rgb.tobytes(), histogram(rgb, f.canvas[:, :, 3] > 0)))
-                        at += f.delay_ms
-                except (ValueError, IndexError):
-                    rows = [(None,) * 7]
-                if rows:
-                    own = batch.slice(i, 1).column(0).take(pa.array([0] * len(rows)))
-                    yield pa.RecordBatch.from_arrays([own, *[pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]], names=[key, *names])
+            for i in range(batch.num_rows):
+                data = batch.column(1)[i].as_py()
+                for row in told(data) if data is not None else ():
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), *[pa.array([c], t) for c, t in zip(row, kinds, strict=True)]], names=[key, *names])
+        give_back()
 
     kind = images.schema[key].dataType.simpleString()
     return images.select(key, image).mapInArrow(run, f"`{key}` {kind}, frame int, delay_ms long, at_ms long, width int, height int, rgb binary, histogram array<long>")
 
 
-_GREY = np.repeat(np.arange(256, dtype=np.uint8)[:, None], 3, axis=1)
+#: Three high bits of an index are red, the next three green, the last two blue: the indexes spread over all colours.
+_SPREAD = np.stack([np.arange(256) & 0xE0, np.arange(256) << 3 & 0xE0, np.arange(256) << 6 & 0xC0], axis=1).astype(np.uint8)
 
 
 def store(payload: bytes) -> bytes:
-    """Bytes, a positive multiple of WIDTH of them, as an image whose palette shows index i as grey i, HEIGHT rows a frame."""
+    """Bytes, a positive multiple of WIDTH of them, as an image that shows byte i in colour i, HEIGHT rows a frame."""
     rows = np.frombuffer(payload, np.uint8).reshape(-1, WIDTH)
     frames = [(0, 0, rows[i : i + HEIGHT]) for i in range(0, len(rows), HEIGHT)]
-    return encode(frames, (WIDTH, min(HEIGHT, len(rows))), _GREY)
+    return encode(frames, (WIDTH, min(HEIGHT, len(rows))), _SPREAD, DELAY_MS)
+
 
+def restore(image: bytes) -> Iterator[tuple[bytes, Frame]]:
+    """What store kept, part by part, from the colours that each frame shows; and the frame."""
+    for f in frames_of(image):
+        own = f.canvas[: f.indexes.shape[0]]
+        yield (own[..., 0] | own[..., 1] >> 3 | own[..., 2] >> 6).tobytes(), f
 
-def restore(image: bytes) -> tuple[bytes, list[Frame]]:
-    """What store kept, from what its frames show, and these frames."""
-    frames = decode(image)
-    return b"".join(f.canvas[: f.indexes.shape[0], :, 0].tobytes() for f in frames), frames
+
+def _read_back(image: bytes) -> tuple[int, str, int, int, int, list[int]]:
+    """Bytes, SHA-256 and tail of what an image keeps; its frames, how long they show, and their histogram. A frame at a time."""
+    size, whole, tail, frames, shown, bins = 0, hashlib.sha256(), b"", 0, 0, np.zeros(64, np.int64)
+    for part, f in restore(image):
+        size, tail, frames, shown = size + len(part), (tail + part)[-16:], frames + 1, shown + f.delay_ms
+        whole.update(part)
+        bins += histogram(f.canvas[: f.indexes.shape[0]])
+    return size, whole.hexdigest(), zlib.crc32(tail), frames, shown, bins.tolist()
 
 
 def store_bytes(df: DataFrame, key: str, payload: str, keep_image: bool = False) -> DataFrame:
     """payload (binary; null: empty) as a GIF, read back: one row each, with key and the columns below, and no shuffle.
 
-    n_bytes; payload_bytes, payload_sha256 and tail_crc32 (last 16 bytes) of the payload as read back, which has spaces
-    behind it up to a positive multiple of WIDTH; media_bytes and media_sha256 of the image; frames; histogram (64 bins);
-    and image itself if asked for.
+    n_bytes; payload_bytes, payload_sha256 and tail_crc32 (last 16 bytes) of the payload as read back from what the frames
+    show, which has spaces behind it up to a positive multiple of WIDTH; media_bytes and media_sha256 of the image; frames;
+    shown_ms, the time that they show; histogram (64 bins of their colours); and image itself if asked for. Equal payloads give
+    equal rows. An empty table gives an empty result; other columns are not read, whatever their names.
     """
-    names = [key, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "frames", "histogram"] + ["image"] * keep_image
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.list_(pa.int64())] + [pa.binary()] * keep_image
+    names = [key, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "frames", "shown_ms", "histogram"] + ["image"] * keep_image
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.int64())] + [pa.binary()] * keep_image
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
-                rows = []
-                for data in part.column(1).to_pylist():
-                    data = data or b""
-                    image = store(data.ljust(max(1, -(-len(data) // WIDTH)) * WIDTH, b" "))
-                    back, frames = restore(image)
-                    bins = np.sum([histogram(f.canvas[: f.indexes.shape[0], :, :3], f.canvas[: f.indexes.shape[0], :, 3] > 0) for f in frames], axis=0).tolist()
-                    rows.append((len(data), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(image), hashlib.sha256(image).hexdigest(), len(frames), bins, *([image] * keep_image)))
-                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]], names=names)
+        for batch, texts in blocks(batches, names[0] + "_payload", BLOCK):
+            rows = []
+            for data in texts:
+                image = store(data.ljust(max(1, -(-len(data) // WIDTH)) * WIDTH, b" "))
+                size, digest, tail, frames, shown, bins = _read_back(image)
+                rows.append((len(data), size, digest, tail, len(image), hashlib.sha256(image).hexdigest(), frames, shown, bins, *([image] * keep_image)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]], names=names)
 
     kind = df.schema[key].dataType.simpleString()
-    ddl = f"`{key}` {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, frames int, histogram array<long>" + ", image binary" * keep_image
-    return df.select(F.col(key), F.col(payload)).mapInArrow(run, ddl)
+    ddl = f"`{key}` {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, frames int, shown_ms long, histogram array<long>" + ", image binary" * keep_image
+    return df.select(F.col(key), F.col(payload).alias(names[0] + "_payload")).mapInArrow(run, ddl)

@@ -1,6 +1,7 @@
 """Near duplicates: MinHash signatures, banding, verification on full sets, connected components.
 
-1. Documents with equal shingle sets are one class; only its least document goes on.
+1. Documents with equal shingle sets are one class (equal in size and in two independent sums of 64 bits over the set);
+   only its least document goes on.
 2. Bands of minima of universal hashes put documents into buckets. Each bucket links its documents to its least one; these
    links, as many as documents, are confirmed on the full sets, and components are made of them.
 3. A bucket whose documents are then not all in one component may hold more links. Its documents outside its largest
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import durable, lookup, partitions_for
+from tierline.llm.common import durable, give_back, lookup, partitions_for
 from tierline.llm.components import components
 from tierline.llm.words import U, Words, blocks, mix, runs
 
@@ -98,6 +99,7 @@ def _confirm(percent: int):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     return run
 
@@ -164,6 +166,7 @@ def _compare(percent: int):
                     a.append(min(ident[p], ident[q]))
                     b.append(max(ident[p], ident[q]))
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        give_back()
 
     return run
 
@@ -182,12 +185,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(_confirm(percent), "a long, b long")
 
 
-def _open_tiles(members: DataFrame, comps: DataFrame) -> DataFrame:
+def _open_tiles(members: DataFrame, comps: DataFrame, total: int) -> DataFrame:
     """Tiles to compare of the buckets whose members are in several components: (key, tile, side, id, component, n)."""
     rows = durable(members.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id")))
     by = rows.groupBy("key", "component").agg(F.count("*").alias("k"))
     buckets = by.groupBy("key").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.max("k").alias("inside"), F.sum("k").alias("all"), F.count("*").alias("several"))
-    buckets = durable(buckets.where("several > 1").drop("several"))
+    buckets = durable(buckets.where("several > 1").drop("several"), total)
     told = lookup(rows.select("key", "id", "component", "n"), buckets, ["key"], "all", rows.count())
     n_in = F.ceil(F.col("inside") / F.lit(TILE)).cast("int")
     n_out = F.ceil((F.col("all") - F.col("inside")) / F.lit(TILE)).cast("int")
@@ -219,26 +222,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, text:
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     run, schema = _features(shingle, bands_for(percent), ROWS)
     features = durable(rows.mapInArrow(run, schema))
+    total = features.count()
     linked = features.where("n > 0 AND id IS NOT NULL")
     same = ["n", "f1", "f2"]
-    classes = durable(linked.groupBy(*same).agg(F.min("id").alias("id"), F.count("*").alias("size")))
+    classes = durable(linked.groupBy(*same).agg(F.min("id").alias("id"), F.count("*").alias("size")), total)
     firsts = linked.join(classes.select("id", *same), ["id", *same], "left_semi")
     members = firsts.select(F.explode("bands").alias("key"), "id", "n")
-    buckets = durable(members.groupBy("key").agg(F.min("id").alias("center"), F.count("*").alias("size")).where("size > 1"))
+    buckets = durable(members.groupBy("key").agg(F.min("id").alias("center"), F.count("*").alias("size")).where("size > 1"), total)
     filled = durable(members.join(buckets.drop("size"), "key"))  # a skewed join, which Spark splits
     stars = filled.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     run, schema = _sets(shingle)
     sets = durable(rows.join(filled.select("id").distinct(), "id", "left_semi").mapInArrow(run, schema))
     links = durable(confirmed(stars, sets, percent))
     comps = components(links)
-    tiles = _open_tiles(filled.select("key", "id", "n"), comps)
+    tiles = _open_tiles(filled.select("key", "id", "n"), comps, total)
     maps = sets.mapInArrow(_maps, "id long, map binary")
     tasks = partitions_for(spark, tiles.count(), 20_000)
     shown = tiles.join(maps, "id").select("key", "tile", "side", "id", "component", "n", "map").repartition(tasks, "key", "tile")
     more = durable(confirmed(shown.mapInArrow(_compare(percent), "a long, b long").distinct(), sets, percent))
     comps = components(links.unionByName(more))
     known = classes.join(comps, "id", "left").select(*same, F.coalesce("component", "id").alias("component"), "size")
-    found = lookup(linked.drop("bands"), durable(known), same, "size", linked.count())
+    found = lookup(linked.drop("bands"), durable(known, total), same, "size", total)
     alone = features.where("n = 0 OR id IS NULL").select("id", "n", F.col("id").alias("component"))
     out = found.select("id", "n", "component").unionByName(alone)
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))

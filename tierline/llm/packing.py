@@ -14,15 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.llm.common import durable
+from tierline.llm.common import give_back, plain_names, told_apart
 
-#: Texts that a worker remembers the ids of, before it starts afresh; a bound on memory only.
-REMEMBERED = 700_000
+#: Bytes, about, that a task spends on remembering the ids of parts of lines; a quarter of it for their beginnings.
+REMEMBERED = 160 << 20
 
 
 @functools.cache
 def token_ids(path: str) -> TokenIds:
-    """One a worker, so that what it remembers outlives a task."""
+    """One a worker: its tokenizer outlives a task, what it remembers does not."""
     return TokenIds(path)
 
 
@@ -40,18 +40,29 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Known(dict):
-    """Ids by part, learned when first asked for; it starts afresh when it is full."""
+    """Ids by part, learned when first asked for. When it is full it starts afresh, but parts that are asked for again are
+    taken over from what it was: frequent ones are always there."""
 
-    def __init__(self, learn: Callable[[str], bytes]):
+    def __init__(self, learn: Callable[[str], bytes], most: int):
         super().__init__()
-        self.learn = learn
+        self.learn, self.most, self.held, self.old = learn, most, 0, {}
 
     def __missing__(self, part: str) -> bytes:
-        if len(self) > REMEMBERED:
+        found = self.old.get(part)
+        if found is None:
+            found = self.learn(part)
+        self.held += 200 + len(part) + len(found)
+        if self.held > self.most // 2:
+            self.old = dict(self)
             self.clear()
-        found = self[part] = self.learn(part)
+            self.held = 0
+        self[part] = found
         return found
 
+    def forget(self) -> None:
+        self.clear()
+        self.held, self.old = 0, {}
+
 
 class TokenIds:
     """Ids of whole texts by a byte-level BPE tokenizer file, as little-endian 32-bit bytes.
@@ -69,13 +80,17 @@ class TokenIds:
         self.tokenizer.no_truncation()
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.heads = _Known(self._learn)  # parts at the begin of a line
-        self.parts = _Known(lambda part: self._learn(" " + part))  # parts after a space, which the key lacks
-        self.marks = _Known(self._whole)
+        self.heads = _Known(self._learn, REMEMBERED // 4)  # parts at the begin of a line
+        self.parts = _Known(lambda part: self._learn(" " + part), REMEMBERED)  # parts after a space, which the key lacks
+        self.marks = _Known(self._whole, REMEMBERED // 16)
         self.newline = self._whole("\n")
         words = [" Ab", " caf\u00e9s", "Zu"]  # does this file cut as assumed?
         self.direct = all(self._word(w) == self._whole(w) for w in words) and self._whole("a b\nc") == self._whole("a") + self._whole(" b") + self.newline + self._whole("c")
 
+    def forget(self) -> None:
+        for known in (self.heads, self.parts, self.marks):
+            known.forget()
+
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -114,7 +129,8 @@ class TokenIds:
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 0, text: str = "text", key: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """Each document's ids and then end_id, cut every capacity ids: key, start, length, ids_crc32, doc_tokens (and ids).
 
-    A null text counts as empty: one piece of end_id alone. Rows with a null key or equal keys are documents like others.
+    A null text counts as empty: one piece of end_id alone. Rows with a null key or equal keys are documents like others. An
+    empty table gives an empty result; other columns are not read, whatever their names.
     """
     schema = f"`{key}` long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
     end = np.array([end_id], "<u4").tobytes()
@@ -132,8 +148,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: i
                         rows.append((k, at // 4, len(own) // 4, zlib.crc32(own), len(ids) // 4, *([own] * with_ids)))
                 kinds = [pa.int64()] * 5 + [pa.binary()] * with_ids
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[key, "start", "length", "ids_crc32", "doc_tokens", "ids"][: len(kinds)])
+        tokens.forget()
+        give_back()
 
-    return docs.select(F.col(key), F.col(text)).mapInArrow(cut, schema)
+    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(cut, schema)
 
 
 def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,28 +182,31 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
 def pack(items: DataFrame, capacity: int = 1024, groups: int | None = None, seed: int = 1, key: str = "doc_id", each: int = 4000) -> DataFrame:
     """items (key, start, length and any other columns) with sequence_id and offset (gapless from 0 in each sequence).
 
-    No length may exceed capacity (cut longer ones first: pieces). Groups are random in key and start; each is packed by itself,
-    so a piece's place depends on its group's rows only. Without groups, they are sized to about `each` pieces. Null and equal
-    keys pack like others; rows equal in all of key, start and length may swap places. An empty table gives an empty result.
+    No length may exceed capacity (cut longer ones first: pieces). Groups are random in the rows' numbers in a durable copy, so
+    that rows without a key, or with one key, spread like others; each is packed by itself, so a piece's place depends on its
+    group's rows only. Without groups, they are sized to about `each` pieces. An empty table gives an empty result. Columns
+    of items may have any names; sequence_id and offset give way to the result's.
     """
-    items = items.drop("sequence_id", "offset")
-    groups = groups or max(1, -(-items.count() // each))
-    grouped = items.withColumn("_group", F.pmod(F.xxhash64(key, "start", F.lit(seed)), F.lit(groups)))
+    spare = items.drop("sequence_id", "offset")
+    rows, of = plain_names(spare, spare.columns)
+    rows = told_apart(rows, "row")
+    groups = groups or max(1, -(-rows.count() // each))
+    grouped = rows.withColumn("bin", F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(groups)))
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("length", "descending"), (key, "ascending"), ("start", "ascending")])
-        bins, offsets = first_fit_decreasing(table["length"].to_numpy(), capacity)
-        group = table["_group"][0].as_py()
-        return table.drop_columns(["_group"]).append_column("sequence_id", pa.array((group << 32) + bins)).append_column("offset", pa.array(offsets))
+        table = table.sort_by([(of["length"], "descending"), (of[key], "ascending"), (of["start"], "ascending"), ("row", "ascending")])
+        bins, offsets = first_fit_decreasing(table[of["length"]].to_numpy(), capacity)
+        group = table["bin"][0].as_py()
+        return table.drop_columns(["row", "bin"]).append_column("sequence_id", pa.array((group << 32) + bins)).append_column("offset", pa.array(offsets))
 
-    schema = T.StructType([*items.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return grouped.groupBy("_group").applyInArrow(run, schema)
+    schema = T.StructType([*(T.StructField(of[f.name], f.dataType) for f in spare.schema.fields), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    packed = grouped.groupBy("bin").applyInArrow(run, schema)
+    return packed.toDF(*spare.columns, "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 0, key: str = "doc_id", seed: int = 1, with_ids: bool = False) -> DataFrame:
     """Tokenize, cut and pack whole documents: the columns of pieces, sequence_id and offset."""
-    cut = durable(pieces(docs, tokenizer_path, capacity, end_id, key=key, with_ids=with_ids))
-    return pack(cut, capacity, seed=seed, key=key)
+    return pack(pieces(docs, tokenizer_path, capacity, end_id, key=key, with_ids=with_ids), capacity, seed=seed, key=key)
 
 
 def padding(packed: DataFrame, capacity: int = 1024) -> DataFrame:

@@ -11,19 +11,34 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-from tierline.llm.common import NO_ID
+from tierline.llm.common import NO_ID, give_back
 from tierline.llm.words import U, mix
 
-#: twin tells texts of one doc apart: 32 bits of a hash of the text.
-PLACE = np.dtype([("doc", "<i8"), ("twin", "<i4"), ("at", "<i4")])
+#: twin tells texts of one doc apart: 64 bits of a hash of the text.
+PLACE = np.dtype([("doc", "<i8"), ("twin", "<i8"), ("at", "<i4")])
 PACKED = "bucket int, known boolean, keys binary, places binary"
-BY_DOCUMENT = "doc long, twin int, ats binary"
+BY_DOCUMENT = "doc long, twin long, ats binary"
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Values byte by byte: all lowest bytes, then all second ones, so that compression sees that the high ones are alike."""
+    return np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def _of_planes(data: bytes, kind: str, count: int, at: int) -> tuple[np.ndarray, int]:
+    size = np.dtype(kind).itemsize
+    x = np.ascontiguousarray(np.frombuffer(data, np.uint8, size * count, at).reshape(size, count).T).view(kind).ravel()
+    return x, at + size * count
 
 
 def _pack(bucket: int, known: bool, keys: np.ndarray, places: np.ndarray) -> tuple:
-    """Places by field and by byte, so that compression sees that documents repeat and positions are small."""
-    n = len(places)
-    return bucket, known, _pack_keys(keys), b"".join(np.ascontiguousarray(np.ascontiguousarray(places[f]).view(np.uint8).reshape(n, -1).T).tobytes() for f in PLACE.names)
+    """Places must be sorted by document: each document is told once, with the number of its places."""
+    new = np.ones(len(places), bool)
+    new[1:] = (places["doc"][1:] != places["doc"][:-1]) | (places["twin"][1:] != places["twin"][:-1])
+    edges = np.flatnonzero(new)
+    counts = np.diff(np.append(edges, len(places))).astype("<i4")
+    head = np.array([len(edges)], "<i8").tobytes()
+    return bucket, known, _pack_keys(keys), b"".join((head, _planes(places["doc"][edges]), _planes(places["twin"][edges]), _planes(counts), _planes(places["at"])))
 
 
 def _pack_keys(keys: np.ndarray) -> bytes:
@@ -41,12 +56,14 @@ def _unpack_keys(data: bytes, width: int) -> np.ndarray:
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    n = len(data) // PLACE.itemsize
-    out, at = np.empty(n, PLACE), 0
-    for f in PLACE.names:
-        size = PLACE[f].itemsize
-        out[f] = np.ascontiguousarray(np.frombuffer(data, np.uint8, size * n, at).reshape(size, n).T).view(PLACE[f]).ravel()
-        at += size * n
+    docs = int(np.frombuffer(data, "<i8", 1)[0])
+    at = 8
+    doc, at = _of_planes(data, "<i8", docs, at)
+    twin, at = _of_planes(data, "<i8", docs, at)
+    counts, at = _of_planes(data, "<i4", docs, at)
+    out = np.empty(int(counts.sum()), PLACE)
+    out["doc"], out["twin"] = np.repeat(doc, counts), np.repeat(twin, counts)
+    out["at"] = _of_planes(data, "<i4", len(out), at)[0]
     return out
 
 
@@ -87,25 +104,40 @@ def send(keys: np.ndarray, places: np.ndarray, buckets: int, all_repeat: bool, w
     out = []
     keys = keys[new]
     to = (keys[:, 0] >> U(20)) % U(buckets)
-    order = np.lexsort((firsts["at"], firsts["doc"], to))
+    order = np.lexsort((firsts["at"], firsts["twin"], firsts["doc"], to))
     keys, firsts, to = keys[order], firsts[order], to[order]
     edges = np.searchsorted(to, np.arange(buckets + 1, dtype=np.uint64))
     out += [_pack(b, False, keys[i:j], firsts[i:j]) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if i < j]
     if len(known):
-        order = np.argsort(known)
+        order = np.lexsort((known["at"], known["twin"], known["doc"]))
         anywhere = int(mix(known["doc"][:1].astype(np.uint64))[0] % U(buckets))
         out.append(_pack(anywhere, True, known_keys[order] if with_keys else keys[:0], known[order]))
     return out
 
 
+def _met(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Which entries can say anything of another: their key's first word is there again, or marked as known to repeat.
+
+    Most keys are alone, so what follows sorts few entries by all their columns.
+    """
+    first = np.ascontiguousarray(keys[:, 0])
+    order = np.argsort(first)
+    same = np.zeros(len(first), bool)
+    equal = first[order[1:]] == first[order[:-1]]
+    same[order[1:]] |= equal
+    same[order[:-1]] |= equal
+    return same | (places["at"] < 0)
+
+
 def resolve(width: int, judge: Callable[[np.ndarray, np.ndarray], np.ndarray], by_doc: int = 0):
     """In each bucket: which of the places repeat. One row a place, with its key; or, if by_doc, packed for as many buckets
     by document, whose rows gather() makes one a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, places, known_keys, known_places = [], [], [], []
+        keys, places, known_places = [], [], []
         for batch in batches:
-            for known, k, p in zip(*[batch.column(i).to_pylist() for i in (1, 2, 3)], strict=True):
+            for at in range(batch.num_rows):
+                known, k, p = (batch.column(i)[at].as_py() for i in (1, 2, 3))
                 if known and not by_doc:
                     yield from _by_key(np.frombuffer(k, np.uint64), _unpack(p))
                 elif known:
@@ -116,7 +148,8 @@ def resolve(width: int, judge: Callable[[np.ndarray, np.ndarray], np.ndarray], b
         if keys:
             k, p = np.concatenate(keys), np.concatenate(places)
             del keys, places
-            k, p = _distinct(k, p)
+            use = _met(k, p)
+            k, p = _distinct(k[use], p[use])
             new = np.ones(len(k), bool)
             new[1:] = (k[1:] != k[:-1]).any(axis=1)
             found = judge(new, p)
@@ -124,8 +157,10 @@ def resolve(width: int, judge: Callable[[np.ndarray, np.ndarray], np.ndarray], b
                 known_places.append(p[found])
             else:
                 yield from _by_key(k[found, 0], p[found])
+            del k, p
         if known_places:
             found = np.concatenate(known_places)
+            known_places.clear()
             to = mix(found["doc"].astype(np.uint64)) % U(by_doc)
             order = np.lexsort((found["at"], found["twin"], found["doc"], to))
             found, to = found[order], to[order]
@@ -133,6 +168,7 @@ def resolve(width: int, judge: Callable[[np.ndarray, np.ndarray], np.ndarray], b
             rows = [_pack(b, True, np.empty(0, np.uint64), found[i:j]) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if i < j]
             if rows:
                 yield packed_batch(rows)
+        give_back()
 
     return run
 
@@ -142,6 +178,7 @@ def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found = [_unpack(p) for batch in batches for p in batch.column(3).to_pylist()]
     if found:
         yield from _by_document(np.concatenate(found))
+    give_back()
 
 
 def several(new: np.ndarray, places: np.ndarray) -> np.ndarray:

@@ -4,7 +4,8 @@ A logistic model of style features gives each document its evidence. The documen
 (path, here the language part) together give these a posterior share of good documents: each level's share shrinks toward its
 parent's by a strength that is itself estimated from how much the siblings differ, so that a sparse section says what its
 site says and a sparse site what all sites say. A document's odds are those of its evidence, with the global share in the
-classifier's prior replaced by its section's.
+classifier's prior replaced by its section's, as the other documents tell it: its own evidence is left out of every level, so
+that it does not count twice.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import durable, lookup
+from tierline.llm.common import durable, lookup, plain_names
 from tierline.llm.words import Words, blocks
 
-BLOCK = 2 << 20
+BLOCK = 1 << 19
 #: Labels that the model is fitted on, at most: those with the least hash.
 SAMPLE = 20_000
 
@@ -128,13 +129,16 @@ def feature_rows(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", key: str = "doc_id", sample: int = SAMPLE) -> Model:
     """A model of label (0 or 1; other rows of labels are left out), fitted on the documents of sample labels at most.
 
-    The labels of least hash are taken, the same in each run; so few are broadcast, and no text shuffles. Without labels, the
+    The labels of least hash are taken, the same in each run; so few are broadcast, and no text shuffles. Of documents that
+    share a labelled key, the one of least hash counts, so no more than sample rows come to the driver. Without labels, the
     model knows an even prior only.
     """
-    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key), F.col(label).cast("int").alias("y"))
-    some = known.orderBy(F.xxhash64(key, "y"), key, "y").limit(sample)
-    rows = docs.select(F.col(key), F.col(text).alias("text")).join(F.broadcast(some), key).withColumn("h", F.xxhash64(key, "text"))
-    got = feature_rows(rows, "text", ["y", "h"]).toPandas().sort_values(["h", "y"])
+    docs = docs.select(F.col(key).alias("k"), F.col(text).alias("text"))
+    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).distinct()
+    some = known.orderBy(F.xxhash64("k", "y"), "k", "y").limit(sample)
+    rows = docs.join(F.broadcast(some), "k").withColumn("h", F.xxhash64("k", "text"))
+    one = feature_rows(rows, "text", ["k", "y", "h"]).groupBy("k", "y").agg(F.min(F.struct("h", "x")).alias("row"))
+    got = one.select("y", "row.*").toPandas().sort_values(["h", "y"])
     x = np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES))
     return fit(x, got["y"].to_numpy(float))
 
@@ -151,22 +155,30 @@ def _strength(level: DataFrame, good: str, count: str, parent: str) -> float:
     return float(min(10_000.0, max(1.0, row["unit"] / between - 1))) if between > 0 else 10_000.0
 
 
-def site_posteriors(scored: DataFrame) -> DataFrame:
-    """(site, path, docs, global, host_share, share) of scored (site, path, p), p a document's own chance to be good.
+def site_sums(scored: DataFrame) -> DataFrame:
+    """(site, path, good, docs, site_good, site_docs, all_good, all_docs, site_k, path_k) of scored (site, path, p).
 
-    Sums by section first, of which those by site and the global share are made: no group's rows meet in one task.
+    p is a document's own chance to be good; good and docs are sums over a section, a site and all; the strengths are those of
+    a level's parent. Sums by section come first, of which the others are made: no group's rows meet in one task.
     """
     paths = durable(scored.groupBy("site", "path").agg(F.sum("p").alias("good"), F.count("*").alias("docs")))
     sites = paths.groupBy("site").agg(F.sum("good").alias("site_good"), F.sum("docs").alias("site_docs"))
     everything = sites.agg(F.sum("site_good").alias("g"), F.sum("site_docs").alias("n")).first()
-    overall = float(((everything["g"] or 0.0) + 1) / ((everything["n"] or 0) + 2))
-    sites = durable(sites.withColumn("global", F.lit(overall)))
-    k = _strength(sites, "site_good", "site_docs", "global")
-    sites = sites.withColumn("host_share", (F.col("site_good") + k * F.col("global")) / (F.col("site_docs") + k))
-    joined = durable(lookup(paths, sites.withColumn("weight", F.col("site_docs")), ["site"], "weight", everything["n"] or 0))
-    k = _strength(joined, "good", "docs", "host_share")
-    share = (F.col("good") + k * F.col("host_share")) / (F.col("docs") + k)
-    return durable(joined.select("site", "path", "docs", "global", "host_share", share.alias("share")))
+    all_good, all_docs = float(everything["g"] or 0.0), int(everything["n"] or 0)
+    sites = durable(sites.withColumn("global", F.lit((all_good + 1) / (all_docs + 2))))
+    site_k = _strength(sites, "site_good", "site_docs", "global")
+    sites = sites.withColumn("host_share", (F.col("site_good") + site_k * F.col("global")) / (F.col("site_docs") + site_k))
+    joined = durable(lookup(paths, sites.withColumn("weight", F.col("site_docs")), ["site"], "weight", all_docs))
+    path_k = _strength(joined, "good", "docs", "host_share")
+    alike = {"all_good": all_good, "all_docs": all_docs, "site_k": site_k, "path_k": path_k}
+    return joined.select("site", "path", "good", "docs", "site_good", "site_docs", *[F.lit(v).alias(k) for k, v in alike.items()])
+
+
+def shares(p: Column) -> tuple[Column, Column]:
+    """The share of good documents of a row's site and of its section, without p, the row's own part of the sums."""
+    others = (F.col("all_good") - p + 1) / (F.col("all_docs") + 1)
+    host = (F.col("site_good") - p + F.col("site_k") * others) / (F.col("site_docs") - 1 + F.col("site_k"))
+    return host, (F.col("good") - p + F.col("path_k") * host) / (F.col("docs") - 1 + F.col("path_k"))
 
 
 def log_odds(p: Column) -> Column:
@@ -177,15 +189,19 @@ def classify(docs: DataFrame, model: Model, text: str = "text", site: str = "sou
     """One row for each row of docs: the columns of carry, evidence, doc_share, host_share, path_share, quality, kept.
 
     evidence is the log-odds that the document is good by its text alone, less those of the classifier's prior; quality adds
-    the log-odds of its section's share; kept says that quality is at least `least`. A null site or path is a site or path of
-    its own; a null text is an empty one. An empty table gives an empty result; repeated rows are rows like others. Columns
-    named in carry must not have the names of the result's own or site, path, x, _text; others are not read.
+    the log-odds of its section's share, without the document's own part of it; kept says that quality is at least `least`. A
+    null site or path is a site or path of its own; a null text is an empty one. An empty table gives an empty result; repeated
+    rows are rows like others. Columns of docs may have any names; of those in carry, one that is called like a column of the
+    result's own gives way to it. Others are not read.
     """
     weights, bias = model.weights, model.bias - float(np.log(model.prior / (1 - model.prior)))
     told_by = Model(model.mean, model.scale, weights, bias, model.prior)
-    group = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit(""))
-    read = text if text in carry else "_text"
-    rows = docs.select(*carry, group(site).alias("site"), group(path).alias("path"), *([] if text in carry else [F.col(text).alias("_text")]))
+    own = ("evidence", "doc_share", "host_share", "path_share", "quality", "kept")
+    carry = tuple(c for c in carry if c not in own)
+    group = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    named, of = plain_names(docs, list(dict.fromkeys([text, site, path, *carry])))
+    held, read = [of[c] for c in carry], of[text]
+    rows = named.select(*dict.fromkeys([*held, read]), group(of[site]).alias("site"), group(of[path]).alias("path"))
 
     def evidence(df: DataFrame, drop: bool) -> DataFrame:
         names = [c for c in df.columns if not (drop and c == read)]
@@ -199,11 +215,12 @@ def classify(docs: DataFrame, model: Model, text: str = "text", site: str = "sou
     whole = text in carry  # then texts are read twice rather than written once more
     scored = evidence(rows.select("site", "path", read), True) if whole else durable(evidence(rows, True))
     prior = float(np.log(model.prior / (1 - model.prior)))
-    chances = scored.select("site", "path", (1 / (1 + F.exp(-(F.col("evidence") + prior)))).alias("p"))
-    shares = site_posteriors(chances)
-    total = shares.agg(F.sum("docs")).first()[0] or 0
-    joined = lookup(rows if whole else scored, shares, ["site", "path"], "docs", total)
+    chance = 1 / (1 + F.exp(-(F.col("evidence") + prior)))
+    sums = site_sums(scored.select("site", "path", chance.alias("p")))
+    total = sums.agg(F.sum("docs")).first()[0] or 0
+    joined = lookup(rows if whole else scored, sums, ["site", "path"], "docs", total)
     joined = evidence(joined, False) if whole else joined
-    doc_share = 1 / (1 + F.exp(-(F.col("evidence") + prior)))
+    host, share = shares(chance)
+    told = joined.withColumns({"own": chance, "host": host, "share": share})
     quality = 1 / (1 + F.exp(-(F.col("evidence") + log_odds(F.col("share")))))
-    return joined.select(*carry, "evidence", doc_share.alias("doc_share"), "host_share", F.col("share").alias("path_share"), quality.alias("quality"), (quality >= least).alias("kept"))
+    return told.select(*[F.col(h).alias(c) for h, c in zip(held, carry, strict=True)], "evidence", F.col("own").alias("doc_share"), F.col("host").alias("host_share"), F.col("share").alias("path_share"), quality.alias("quality"), (quality >= least).alias("kept"))

@@ -51,7 +51,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents(spark, sf_dir).select("doc_id", F.encode("text", "UTF-8").alias("payload"))
     stored = store_bytes(rows, "doc_id", "payload")
-    feature = F.concat_ws(":", F.col("frames").cast("string"), F.array_join("histogram", ",")).alias("feature")
+    feature = F.concat_ws(":", F.col("frames").cast("string"), F.col("shown_ms").cast("string"), F.array_join("histogram", ",")).alias("feature")
     return stored.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature)
 
 

@@ -11,17 +11,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import NO_ID, partitions_for
+from tierline.llm.common import NO_ID, partitions_for, plain_names
 from tierline.llm.places import BY_DOCUMENT, PACKED, PLACE, gather, later, packed_batch, resolve, send, several
 from tierline.llm.words import Words, blocks, runs
 
 #: A perfect difference cover: each residue modulo 13 is a difference of two of these (fixed values).
 PERIOD, COVER = 13, (0, 1, 3, 9)
 #: Bytes of text handled at once, and of text whose anchors, or all of whose windows, one bucket takes.
-BLOCK, BUCKET, WINDOW_BUCKET = 4 << 20, 24 << 20, 12 << 20
+BLOCK, BUCKET, WINDOW_BUCKET = 2 << 20, 24 << 20, 12 << 20
 
 
 def _places(batch: pa.RecordBatch, words: Words, which: np.ndarray, texts: np.ndarray, ats: np.ndarray) -> np.ndarray:
@@ -103,17 +103,15 @@ def remove_repeats(docs: DataFrame, window: int = 20, text: str = "text", key: s
     spark = docs.sparkSession
     anchor = window - PERIOD + 1
     if buckets is None:
-        size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+        size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
         buckets = partitions_for(spark, size, BUCKET)
-    rows = docs.select(
-        F.coalesce(F.col(key), F.lit(NO_ID)).alias("doc"), F.hash(text).alias("twin"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    )
-    parts = spark.conf.get("spark.sql.shuffle.partitions")
-    dealt = rows.repartition(max(int(parts), buckets), "doc", "twin")
+    rows, of = plain_names(docs, [key, text])
+    body = F.coalesce(F.col(of[text]), F.lit(""))
+    rows = rows.select(F.coalesce(F.col(of[key]), F.lit(NO_ID)).cast("long").alias("doc"), F.xxhash64(body).alias("twin"), body.alias("text"))
 
     def marked(found: DataFrame, how: str) -> DataFrame:
         gathered = found.groupBy("doc", "twin").agg(F.collect_list("ats").alias("marks"))
-        return dealt.join(gathered, ["doc", "twin"], how).select("doc", "twin", "text", "marks")
+        return rows.join(gathered, ["doc", "twin"], how).select("doc", "twin", "text", "marks")
 
     def resolved(sent: DataFrame, width: int, judge, buckets: int) -> DataFrame:
         found = sent.repartition(buckets, "bucket").mapInArrow(resolve(width, judge, buckets), PACKED)
@@ -124,8 +122,4 @@ def remove_repeats(docs: DataFrame, window: int = 20, text: str = "text", key: s
     repeats = resolved(marked(anchors, "inner").mapInArrow(_windows(window, more), PACKED), 2, later, more)
     run, schema = _rewrite(window, "doc")
     kept = marked(repeats, "left").mapInArrow(run, schema)
-    return kept.select(_id("doc").alias(key), "n_words", "n_removed", "kept_text")
-
-
-def _id(column: str) -> Column:
-    return F.nullif(F.col(column), F.lit(NO_ID))
+    return kept.select(F.nullif(F.col("doc"), F.lit(NO_ID)).alias(key), "n_words", "n_removed", "kept_text")

@@ -6,8 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
+from tierline.llm.common import give_back
+
 SPACES = b" \t\n\x0b\x0c\r"
 _SOLID = np.ones(256, bool)
 _SOLID[list(SPACES)] = False
@@ -94,13 +97,19 @@ def runs(hashes: np.ndarray, length: int, salt: int = 0) -> np.ndarray:
 
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of the batches whose texts have about most bytes together (one text at least), with the texts; null is empty."""
+    """Slices of the batches whose texts have about most bytes together (one text at least), with the texts; null is empty.
+
+    Only a slice's texts are copied out of its batch; after the last one, freed memory goes back to the system.
+    """
     for batch in batches:
+        if not batch.num_rows:
+            continue
         at = batch.schema.get_field_index(column)
-        texts = [x or b"" for x in batch.column(at).cast(pa.large_binary()).to_pylist()]
-        begin = size = 0
-        for i, x in enumerate(texts):
-            size += len(x)
-            if size >= most or i == len(texts) - 1:
-                yield batch.slice(begin, i + 1 - begin), texts[begin : i + 1]
-                begin, size = i + 1, 0
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        begin = done = 0
+        while begin < batch.num_rows:
+            end = max(begin + 1, int(np.searchsorted(sizes, done + most, "right")))
+            own = batch.slice(begin, end - begin)
+            yield own, [x or b"" for x in own.column(at).cast(pa.large_binary()).to_pylist()]
+            begin, done = end, int(sizes[end - 1])
+    give_back()
