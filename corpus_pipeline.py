@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.llm.common import WORD, durable, plain_names, remove_folder, shared_folder, told_apart
 from tierline.llm.lines import dedup_lines
 from tierline.llm.minhash import near_duplicates
 from tierline.llm.mixing import mix_sources
@@ -16,48 +17,61 @@ from tierline.llm.quality import classify
 from tierline.llm.queries import quality_model, tokenizer_path
 
 
-def _numbered(docs: DataFrame) -> tuple[DataFrame, Callable[[str], str]]:
-    """docs with columns c0, c1, ..., so that none has the name of an operator's own, and which of them one is."""
-    names = docs.columns
-    return docs.toDF(*[f"c{i}" for i in range(len(names))]), lambda name: f"c{names.index(name)}"
+# Each stage takes documents with any columns, whatever their names, and handles nulls, empty texts, texts of any length, repeated
+# rows and empty tables; what it does with them is told by the operator that it calls. Rows are told apart by their number in
+# a durable copy where a decision must find its row again, so null and repeated doc_ids are documents like others.
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of good quality. The classifier is fitted on a bounded sample of the labelled ones."""
-    rows, of = _numbered(docs)
-    told = classify(rows, quality_model(spark, sf_dir), of("text"), of("source"), of("lang"), tuple(rows.columns))
+    """Documents of good quality. The classifier is fitted on a bounded sample of the labelled ones.
+
+    A null text is an empty one, and is judged by its site and section; rows that repeat are judged alike.
+    """
+    rows, of = plain_names(docs, docs.columns)
+    told = classify(rows, quality_model(spark, sf_dir), of["text"], of["source"], of["lang"], tuple(rows.columns))
     return told.where("kept").select(*rows.columns).toDF(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that were in the corpus before; one that has nothing left goes."""
-    rows, of = _numbered(docs)
-    key, text = of("doc_id"), of("text")
+    """Documents without lines that were in the corpus before, in a smaller doc_id; one that has nothing left goes.
+
+    Lines of fewer than 20 characters stay: headings and marks of lists are no boilerplate. n_chars follows the text. A null
+    doc_id comes first; rows that repeat doc_id and text are treated alike; a null text becomes empty, and stays.
+    """
+    rows, of = plain_names(docs, docs.columns)
+    key, text = of["doc_id"], of["text"]
     carry = tuple(c for c in rows.columns if c not in (key, text))
-    kept = dedup_lines(rows, text=text, key=key, carry=carry)
+    kept = dedup_lines(rows, least=20, text=text, key=key, carry=carry)
     kept = kept.where((F.col("n_removed") == 0) | (F.trim("kept_text") != ""))
     out = {c: F.col(c) for c in rows.columns} | {text: F.col("kept_text")}
     if "n_chars" in docs.columns:
-        out[of("n_chars")] = F.when(F.col("n_removed") == 0, F.col(of("n_chars"))).otherwise(F.char_length("kept_text")).cast(docs.schema["n_chars"].dataType)
+        out[of["n_chars"]] = F.when(F.col("n_removed") == 0, F.col(of["n_chars"])).otherwise(F.char_length("kept_text")).cast(docs.schema["n_chars"].dataType)
     return kept.select(*[out[c].alias(c) for c in rows.columns]).toDF(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, a similarity of 0.8 or more."""
-    kept = near_duplicates(docs, shingle=5, percent=80).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """One document of each group of near duplicates: five-word shingles, a similarity of 0.8 or more.
+
+    Of a group the first row of the durable copy stays. Rows that repeat are a group like any other, whatever their doc_id.
+    Documents without words are no one's duplicates.
+    """
+    rows, of = plain_names(docs, docs.columns)
+    rows = told_apart(rows, "row")
+    gone = near_duplicates(rows, shingle=5, percent=80, text=of["text"], key="row").where("NOT kept").select("row")
+    return rows.join(gone, "row", "left_anti").select(*of.values()).toDF(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it."""
-    copies = mix_sources(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    rows, of = _numbered(docs)
-    taken = rows.join(copies, F.col(of("doc_id")).eqNullSafe(F.col("_id")))
-    return taken.withColumn("_turn", F.explode(F.sequence(F.lit(1), "_copies"))).select(*rows.columns).toDF(*docs.columns)
+    """Each document as often as the mix of sources takes it. Null sources are a source; documents without words count 0."""
+    rows, of = plain_names(docs, docs.columns)
+    size = F.coalesce(F.regexp_count(F.col(of["text"]), F.lit(WORD)), F.lit(0))
+    carry = tuple(c for c in rows.columns if c not in (of["doc_id"], of["source"]))
+    taken = mix_sources(rows, size, of["source"], of["doc_id"], carry=carry).where("copies > 0")
+    return taken.withColumn("turn", F.explode(F.sequence(F.lit(1), "copies"))).select(*rows.columns).toDF(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents and their places in sequences of at most 1,024 tokens."""
+    """Pieces of documents and their places in sequences of at most 1,024 tokens. A null text is the end token alone."""
     return pack_documents(docs, tokenizer_path(), capacity=1024, end_id=0)
 
 
@@ -74,12 +88,15 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents. What a stage returns is written to the cluster's shared folder and read again."""
-    from tierline.llm.common import shared_folder
-
+    """All stages over documents. What a stage returns is written to the cluster's shared folder, read again, and deleted
+    once the next stage is written; the result is a durable copy."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if k:
+            remove_folder(spark, f"{folder}/{k - 1}")
+    packed = durable(STAGES[-1][1](spark, docs, sf_dir))
+    remove_folder(spark, folder)
+    return packed
