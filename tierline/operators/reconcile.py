@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import money
+from tierline.functions.time import in_days
 
 #: Outcomes of a comparison and the status that logs have for them (fixed values).
 STATUS = {"MATCHED": "PASS", "MISMATCH": "FAIL", "MISSING_LEFT": "FAIL", "MISSING_RIGHT": "FAIL", "DUPLICATE": "FAIL", "PENDING": "WARN", "NOT_COMPARABLE": "WARN"}
@@ -32,25 +34,36 @@ def control_total(left: DataFrame, right: DataFrame, amount: str, entity: str, t
     return rows.select(F.lit(entity).alias("entity"), "expected", "actual", F.when(F.abs(F.col("expected") - F.col("actual")) <= F.lit(tolerance).cast("decimal(18,2)"), "PASS").otherwise("FAIL").alias("status"))
 
 
-def by_key(paths: dict[str, DataFrame], keys: Sequence[str], metrics: dict[str, Column]) -> DataFrame:
+def by_key(paths: dict[str, DataFrame], keys: Sequence[str], metrics: dict[str, Column], absent: float | None = None, tolerance: float = 0.0) -> DataFrame:
     """Each metric of each key over all paths: keys, metric, a column a path, status. One aggregation of tagged rows.
 
-    A path without the key has null, which is a difference.
+    A path without the key has absent; null is a difference to all but null. The paths may differ from the first by tolerance.
     """
     tagged = None
     for name, df in paths.items():
         part = df.groupBy(*keys).agg(*[m.alias(k) for k, m in metrics.items()]).withColumn("_path", F.lit(name))
         tagged = part if tagged is None else tagged.unionByName(part)
     pivoted = tagged.groupBy(*keys).agg(*[F.max(F.when(F.col("_path") == p, F.col(m))).alias(f"{m}__{p}") for m in metrics for p in paths])
-    rows = F.array(*[F.struct(F.lit(m).alias("metric"), *[F.col(f"{m}__{p}").cast("decimal(18,2)").alias(p) for p in paths]) for m in metrics])
+    told = lambda c: F.coalesce(c, F.lit(absent)).cast("decimal(18,2)")
+    rows = F.array(*[F.struct(F.lit(m).alias("metric"), *[told(F.col(f"{m}__{p}").cast("decimal(18,2)")).alias(p) for p in paths]) for m in metrics])
     out = pivoted.select(*keys, F.explode(rows).alias("r")).select(*keys, "r.*")
     first, *rest = paths
     same = F.lit(True)
     for p in rest:
-        same = same & F.col(first).eqNullSafe(F.col(p))
+        near = F.abs(F.col(first) - F.col(p)) <= F.lit(tolerance).cast("decimal(18,2)")
+        same = same & F.coalesce(near, F.col(first).eqNullSafe(F.col(p)))
     return out.withColumn("status", F.when(same, "PASS").otherwise("FAIL"))
 
 
+#: The ways to pay that source, batch and stream must agree on.
+COHORT_CHANNELS = ("QR", "POS")
+
+
+def cohort(payments: DataFrame, day: dt.date, ts: str = "ts", merchant: str = "merchant_id", channel: str = "pay_channel") -> DataFrame:
+    """The payments that are reconciled: those of a merchant, by the cohort's channels, of one business day."""
+    return payments.where(in_days(F.col(ts), day) & F.col(merchant).isNotNull() & F.col(channel).isin(*COHORT_CHANNELS))
+
+
 def settlement(txns: DataFrame, settled: DataFrame, keys: Sequence[str], tolerance: str = "0.01") -> DataFrame:
     """Transactions aggregated by key against settlement rows: the first of these that holds, or PASS.
 

@@ -154,15 +154,20 @@ def control_total(r: Roles) -> DataFrame:
 
 @query(
     "rc3_merchant_paths",
-    """WITH e AS (SELECT * FROM event WHERE status = 'SUCCESS'), s AS (SELECT merchant_id, pay_channel, count(*) AS n, sum(amount) AS a, sum(refund_flag) AS f FROM e GROUP BY ALL),
-    b AS (SELECT merchant_id, pay_channel, count(*) AS n, sum(amount) AS a, sum(refund_flag) AS f FROM e WHERE NOT (merchant_id = 3 AND event_id % 50 = 0) GROUP BY ALL),
-    j AS (SELECT s.merchant_id, s.pay_channel, CAST(s.n AS DECIMAL(18,2)) AS n1, CAST(b.n AS DECIMAL(18,2)) AS n2, CAST(s.a AS DECIMAL(18,2)) AS a1, CAST(b.a AS DECIMAL(18,2)) AS a2, CAST(s.f AS DECIMAL(18,2)) AS f1, CAST(b.f AS DECIMAL(18,2)) AS f2 FROM s LEFT JOIN b USING (merchant_id, pay_channel))
-    SELECT merchant_id, pay_channel, u.m AS metric, u.x AS source, u.y AS stream, CASE WHEN u.x IS NOT DISTINCT FROM u.y THEN 'PASS' ELSE 'FAIL' END AS status FROM j, LATERAL (VALUES ('txns', n1, n2), ('gross', a1, a2), ('refunds', f1, f2)) AS u(m, x, y)""",
+    """WITH e AS (SELECT *, CASE WHEN merchant_id % 4 = 0 THEN 'USD' ELSE 'VND' END AS currency FROM event WHERE CAST(ts + INTERVAL 7 HOUR AS DATE) = DATE '2024-01-15' AND pay_channel IN ('QR', 'POS') AND merchant_id IS NOT NULL),
+    p AS (SELECT 's' AS path, * FROM e UNION ALL SELECT 'b', * FROM e WHERE NOT (merchant_id = 3 AND event_id % 5 = 0) UNION ALL SELECT 't', * FROM e WHERE merchant_id <> 7),
+    k AS (SELECT path, merchant_id, pay_channel, currency, count(*) FILTER (status = 'SUCCESS') AS n, coalesce(sum(amount) FILTER (status = 'SUCCESS'), 0) AS a, count(*) FILTER (status = 'SUCCESS' AND refund_flag = 1) AS f FROM p GROUP BY ALL),
+    j AS (SELECT merchant_id, pay_channel, currency, u.metric, CAST(coalesce(max(CASE WHEN path = 's' THEN u.v END), 0) AS DECIMAL(18,2)) AS source, CAST(coalesce(max(CASE WHEN path = 'b' THEN u.v END), 0) AS DECIMAL(18,2)) AS batch, CAST(coalesce(max(CASE WHEN path = 't' THEN u.v END), 0) AS DECIMAL(18,2)) AS stream
+          FROM k, LATERAL (VALUES ('success_count', CAST(n AS DECIMAL(18,2))), ('gross_amount', CAST(a AS DECIMAL(18,2))), ('refund_count', CAST(f AS DECIMAL(18,2)))) AS u(metric, v) GROUP BY ALL)
+    SELECT *, CAST(stream - batch AS DECIMAL(18,2)) AS delta, CASE WHEN source = batch AND source = stream THEN 'PASS' ELSE 'FAIL' END AS status FROM j""",
 )
 def merchant_paths(r: Roles) -> DataFrame:
-    good = r.event.where("status = 'SUCCESS'")
-    metrics = {"txns": F.count("*"), "gross": F.sum("amount"), "refunds": F.sum("refund_flag")}
-    return reconcile.by_key({"source": good, "stream": good.where("NOT (merchant_id = 3 AND event_id % 50 = 0)")}, ["merchant_id", "pay_channel"], metrics)
+    """Source, batch fact and current stream state of one business day, by merchant, channel and currency; a key that a path lacks is 0 there."""
+    paid = reconcile.cohort(r.event, dt.date(2024, 1, 15)).withColumn("currency", F.when(F.col("merchant_id") % 4 == 0, "USD").otherwise("VND"))
+    good = F.col("status") == "SUCCESS"
+    metrics = {"success_count": F.count_if(good), "gross_amount": F.sum(F.when(good, F.col("amount"))), "refund_count": F.count_if(good & (F.col("refund_flag") == 1))}
+    paths = {"source": paid, "batch": paid.where("NOT (merchant_id = 3 AND event_id % 5 = 0)"), "stream": paid.where("merchant_id <> 7")}
+    return reconcile.by_key(paths, ["merchant_id", "pay_channel", "currency"], metrics, absent=0).withColumn("delta", money(F.col("stream") - F.col("batch")))
 
 
 def _settled(r: Roles) -> tuple[DataFrame, DataFrame]:

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierline.functions.columns import ratio
 from tierline.plans import customer_marts, merchant_marts, risk_marts
 from tierline.plans.registry import ORACLES, query
 from tierline.plans.roles import DAY, Roles
@@ -95,3 +96,54 @@ def serving_tests(r: Roles) -> DataFrame:
     loans = served(r, "loan_portfolio_risk_current").agg(out_of_range("late_rate", 0, 1).alias("loan_rates_bounded"))
     row = mart.crossJoin(twice).crossJoin(rfm).crossJoin(loans).withColumn("snapshots_aligned", F.col("m_days") + F.col("f_days")).drop("m_days", "f_days")
     return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("test_name"), F.col(c).alias("failures")) for c in row.columns])).alias("t")).select("t.*")
+
+
+# Distributions that dashboards show: counts of a mart by its labels.
+
+
+def _share_sql(mart: str, label: str) -> str:
+    return f"WITH m AS ({ORACLES[mart]}) SELECT {label}, count(*) AS customers, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () AS share FROM m GROUP BY {label}"
+
+
+def shares_by(df: DataFrame, label: str) -> DataFrame:
+    """Rows of each label and their share of all: the total comes from the counts, not from the rows again."""
+    counts = df.groupBy(label).agg(F.count("*").alias("customers"))
+    return counts.crossJoin(F.broadcast(counts.agg(F.sum("customers").alias("_all")))).select(label, "customers", (F.col("customers").cast("double") / F.col("_all")).alias("share"))
+
+
+@query("m25_churn_distribution", _share_sql("m9_churn_rules", "churn_risk"))
+def churn_distribution(r: Roles) -> DataFrame:
+    return shares_by(customer_marts.churn_rules(r), "churn_risk")
+
+
+@query("m25_aum_distribution", _share_sql("m2_balance_summary", "aum_bucket"))
+def aum_distribution(r: Roles) -> DataFrame:
+    return shares_by(customer_marts.balance_summary(r), "aum_bucket")
+
+
+@query(
+    "m25_rfm_distribution",
+    f"WITH m AS ({ORACLES['m8_rfm_segment']}) SELECT rfm_segment, count(*) AS customers, CAST(sum(recency_days) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS mean_recency, CAST(sum(frequency) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS mean_frequency, CAST(sum(monetary) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS mean_monetary FROM m GROUP BY rfm_segment",
+)
+def rfm_distribution(r: Roles) -> DataFrame:
+    n = F.count("*")
+    means = [ratio(F.sum(c), n).alias(f"mean_{name}") for c, name in (("recency_days", "recency"), ("frequency", "frequency"), ("monetary", "monetary"))]
+    return customer_marts.rfm_segment(r).groupBy("rfm_segment").agg(n.alias("customers"), *means)
+
+
+#: Campaigns in the order in which they are chosen.
+CAMPAIGNS = ("Retention", "Cross_Sell_CC", "Cross_Sell", "Upsell", "Awareness")
+
+
+@query(
+    "m25_campaign_by_segment",
+    f"WITH m AS ({ORACLES['m11_campaign_target']}) SELECT rfm_segment, {', '.join(f'count(*) FILTER (campaign_type = {chr(39)}{c}{chr(39)}) AS {c.lower()}' for c in CAMPAIGNS)}, count(*) AS customers FROM m GROUP BY rfm_segment",
+)
+def campaign_by_segment(r: Roles) -> DataFrame:
+    counts = [F.count_if(F.col("campaign_type") == c).alias(c.lower()) for c in CAMPAIGNS]
+    return customer_marts.campaign_target(r).groupBy("rfm_segment").agg(*counts, F.count("*").alias("customers"))
+
+
+@query("m25_opportunities", _share_sql("m10_cross_sell", "primary_opportunity"))
+def opportunities(r: Roles) -> DataFrame:
+    return shares_by(customer_marts.cross_sell(r), "primary_opportunity")
