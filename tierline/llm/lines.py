@@ -356,7 +356,7 @@ def dedup_lines(docs: DataFrame, threshold: int = 2, least: int = 1, per: int =
     text_and = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     carry = tuple(c for c in carry if c not in (key, "n_lines", "n_removed", "kept_text"))
     extra, name_of = plain_names(docs, [key, text, *carry])
-    size = docs.agg(F.sum(F.char_length(text_and) - F.char_length(F.translate(text_and, "\n", "")) + 1).alias("lines"), F.sum(F.octet_length(text_and)).alias("bytes")).first()
+    size = docs.agg(F.sum(F.octet_length(text_and) - F.octet_length(F.replace(text_and, F.lit("\n"), F.lit(""))) + 1).alias("lines"), F.sum(F.octet_length(text_and)).alias("bytes")).first()
     # A line has at most its length in bytes of positions, and about 20 keys.
     buckets = partitions_for(spark, size["lines"] or 0, BUCKET)
     more = partitions_for(spark, 20 * min(size["lines"] or 0, (size["bytes"] or 0) / per), BUCKET)
