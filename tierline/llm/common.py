@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
+import time
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -37,17 +39,31 @@ def shared_folder(spark: SparkSession) -> str:
 FILE_ROWS = 20_000
 
 
+def in_few(df: DataFrame, rows: int) -> DataFrame:
+    """df, of about so many rows, in as few tasks as these ask for, whatever the number of shuffle partitions."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
+
+
 def durable(df: DataFrame, rows: int | None = None) -> DataFrame:
     """df, computed once and kept in the shared checkpoint folder, so that a lost executor takes nothing with it.
 
-    Given about how many rows it has, a table that an aggregate makes goes into few files if it is small, whatever the number of
-    shuffle partitions: every file costs several calls to the file system, on some of them a process each. Tables that are
-    costly to make are not given it, as their tasks would be joined too.
+    Given about how many rows it has, a table that an aggregate makes goes into few files if it is small: every file costs
+    several calls to the file system, on some of them a process each. Tables that are costly to make are not given it, as their
+    tasks would be joined too.
     """
     shared_folder(df.sparkSession)
-    if rows is not None:
-        df = df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
-    return df.checkpoint()
+    return (df if rows is None else in_few(df, rows)).checkpoint()
+
+
+def let_go(spark: SparkSession) -> None:
+    """Have the driver collect its garbage: Spark then deletes the shuffle files of jobs whose results are durable.
+
+    By itself it does so whenever the driver's memory happens to fill, and several copies of the texts lie on disks until then.
+    """
+    for _ in range(2):  # Python's references are released by a thread of their own, and plans hold one another
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(1)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

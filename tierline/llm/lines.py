@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import NO_ID, durable, give_back, lookup, partitions_for, plain_names
+from tierline.llm.common import NO_ID, durable, give_back, let_go, lookup, partitions_for, plain_names
 from tierline.llm.places import BY_DOCUMENT, PACKED, PLACE, gather, later, packed_batch, resolve, send, several
 from tierline.llm.words import U, blocks, mix
 
@@ -375,6 +375,7 @@ def dedup_lines(docs: DataFrame, threshold: int = 2, least: int = 1, per: int =
     met = sent.repartition(more, "bucket").mapInArrow(resolve(1, several), "key long, doc long, twin long, at int")
     by_doc = met.groupBy("doc", "twin").agg(F.collect_list(F.struct("key", "at")).alias("tasks"))
     shown = durable(rows.join(by_doc, ["doc", "twin"]).select("doc", "twin", "text", "tasks").mapInArrow(_attach, "key long, doc long, twin long, at int, size long, line string"))
+    let_go(spark)
     total = shown.agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).first()
     groups = durable(shown.groupBy("key").agg(F.count("*").alias("lines"), F.sum("size").alias("bytes")).where("lines > 1"), total["n"] // 2)
     tiles = F.greatest(F.ceil(F.col("lines") / F.lit(TILE)), F.ceil(F.col("bytes") / F.lit(TILE_BYTES))).cast("int")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import durable, give_back, lookup, partitions_for
+from tierline.llm.common import durable, give_back, let_go, lookup, partitions_for
 from tierline.llm.components import components
 from tierline.llm.words import U, Words, blocks, mix, runs
 
@@ -234,6 +234,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, text:
     run, schema = _sets(shingle)
     sets = durable(rows.join(filled.select("id").distinct(), "id", "left_semi").mapInArrow(run, schema))
     links = durable(confirmed(stars, sets, percent))
+    let_go(spark)
     comps = components(links)
     tiles = _open_tiles(filled.select("key", "id", "n"), comps, total)
     maps = sets.mapInArrow(_maps, "id long, map binary")
