@@ -131,6 +131,13 @@ def test_checks(spark):
     assert rows(found, "violation_type") == [("low",), ("low",), ("odd",)]
 
 
+def test_drift_report_is_a_table(spark):
+    declared = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("gone", T.StringType())])
+    actual = T.StructType([T.StructField("id", T.LongType()), T.StructField("new", T.DateType())])
+    assert rows(checks.drift_report(spark, "t", declared, actual)) == [("t", "gone", "removed", "string", "", "BREAKING"), ("t", "id", "type", "int", "bigint", "ADDITIVE"), ("t", "new", "added", "", "date", "ADDITIVE")]
+    assert checks.drift_report(spark, "t", declared, declared).isEmpty()
+
+
 def test_schema_drift():
     a = T._parse_datatype_string("a int, b decimal(10,2), c string, d date")
     b = T._parse_datatype_string("a bigint, b decimal(18,2), c int, e string")
