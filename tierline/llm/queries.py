@@ -11,6 +11,7 @@ from tierline.llm.common import documents
 from tierline.llm.exact_dedup import exact_dedup
 from tierline.llm.gif import store_bytes
 from tierline.llm.mixing import mix_sources
+from tierline.llm.licenses import LICENSE_WORD, PHRASES, TEMPLATES, label_columns, scan_licenses
 from tierline.llm.lines import dedup_lines
 from tierline.llm.minhash import near_duplicates
 from tierline.llm.packing import pack_documents
@@ -88,11 +89,38 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(documents(spark, sf_dir), quality_model(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mix_sources, op2_near_dedup, op3_shards, op4_line_dedup, op5_gif, op6_repeated_passages, op7_exact_dedup, op8_secrets, op9_packing, op10_quality)}
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = label_columns()
+    return scan_licenses(documents(spark, sf_dir)).select("doc_id", "n_words", *[c.alias(n) for n, c in told.items()], "score")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mix_sources, op2_near_dedup, op3_shards, op4_line_dedup, op5_gif, op6_repeated_passages, op7_exact_dedup, op8_secrets, op9_packing, op10_quality, op13_licenses)}
 
 #: A-Z in lower case and nothing else, as DuckDB has it.
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_quoted = lambda x: "'" + x.replace("'", "''") + "'"
+_listed = lambda rows: ", ".join(f"({', '.join(map(_quoted, r))})" for r in rows)
+
+_LICENSES = f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_FOLD}, '{LICENSE_WORD}') AS w FROM documents),
+         t AS (SELECT row_number() OVER () AS t, label, regexp_extract_all({_FOLD}, '{LICENSE_WORD}') AS w FROM (VALUES {_listed(TEMPLATES)}) v(label, text)),
+         p AS (SELECT label, string_split(phrase, ' ') AS w FROM (VALUES {_listed(PHRASES)}) v(phrase, label)),
+         di AS (SELECT r, i, w[i + 1:i + 2] AS two, w[i + 1:i + 4] AS four FROM (SELECT r, w, unnest(range(len(w))) AS i FROM d)),
+         b AS (SELECT r, i, label FROM di JOIN p ON two = w[1:2] AND four[1:len(w)] = w),
+         bg AS (SELECT r, count(*) AS n, min(i) AS low, max(i) AS high, list(DISTINCT label) AS labels FROM b GROUP BY r),
+         tg AS (SELECT t, label, i AS f, w[i + 1:i + 4] AS g, len(w) - 3 AS n FROM (SELECT *, unnest(range(len(w) - 3)) AS i FROM t)),
+         h AS (SELECT r, i, t, label, f, n, i - f AS diagonal FROM di JOIN tg ON four = g),
+         nw AS (SELECT *, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, t ORDER BY diagonal) > 5, false) AS new FROM h),
+         sp AS (SELECT *, sum(new::int) OVER (PARTITION BY r, t ORDER BY diagonal) AS span FROM nw),
+         sh AS (SELECT r, label, count(DISTINCT f) / any_value(n) AS share FROM sp GROUP BY r, t, label, span),
+         sg AS (SELECT r, max(share) AS score, list(DISTINCT label) FILTER (share >= 0.6) AS labels FROM sh GROUP BY r)
+    SELECT doc_id, len(w) AS n_words, coalesce(bg.n, 0) AS n_base, low AS first_word, high AS last_word,
+           coalesce(array_to_string(list_sort(bg.labels), ','), '') AS base_labels,
+           coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(bg.labels, []), coalesce(sg.labels, [])))), ','), '') AS labels,
+           coalesce(score, 0.0)::double AS score
+    FROM d LEFT JOIN bg ON d.r = bg.r LEFT JOIN sg ON d.r = sg.r"""
+
 ORACLES: dict[str, str] = {
     "op7_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_FOLD} AS t FROM documents)
@@ -108,4 +136,5 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
                sha256(coalesce(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(gone, []), i)), ' '), '')) AS kept_sha256
         FROM d LEFT JOIN r ON d.doc_id = r.doc_id""",
+    "op13_licenses": _LICENSES,
 }
