@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.llm.alignment import align_tokenizers
 from tierline.llm.common import documents
 from tierline.llm.exact_dedup import exact_dedup
 from tierline.llm.gif import store_bytes
@@ -14,6 +15,7 @@ from tierline.llm.mixing import mix_sources
 from tierline.llm.licenses import LICENSE_WORD, PHRASES, TEMPLATES, label_columns, scan_licenses
 from tierline.llm.lines import dedup_lines
 from tierline.llm.minhash import near_duplicates
+from tierline.llm.negatives import hard_negatives
 from tierline.llm.packing import pack_documents
 from tierline.llm.quality import Model, classify, train
 from tierline.llm.secrets import KINDS, scan_secrets
@@ -89,12 +91,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(documents(spark, sf_dir), quality_model(spark, sf_dir))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return hard_negatives(rows.select("vec_id", "embedding", label.alias("label")))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(documents(spark, sf_dir), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))[0]
+
+
 def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = label_columns()
     return scan_licenses(documents(spark, sf_dir)).select("doc_id", "n_words", *[c.alias(n) for n, c in told.items()], "score")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mix_sources, op2_near_dedup, op3_shards, op4_line_dedup, op5_gif, op6_repeated_passages, op7_exact_dedup, op8_secrets, op9_packing, op10_quality, op13_licenses)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mix_sources, op2_near_dedup, op3_shards, op4_line_dedup, op5_gif, op6_repeated_passages, op7_exact_dedup, op8_secrets, op9_packing, op10_quality, op11_hard_negatives, op12_alignment, op13_licenses)}
 
 #: A-Z in lower case and nothing else, as DuckDB has it.
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -137,4 +149,16 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(gone, []), i)), ' '), '')) AS kept_sha256
         FROM d LEFT JOIN r ON d.doc_id = r.doc_id""",
     "op13_licenses": _LICENSES,
+    "op11_hard_negatives": """
+        WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::bigint + 1) % 10 ELSE label::bigint END AS label,
+                          list_transform(embedding, lambda x: floor(256 * x::double)) AS q
+                   FROM embeddings
+                   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.r AS ar, a.vec_id AS anchor_id, a.label AS anchor_label, b.r, b.vec_id, b.label, list_dot_product(a.q, b.q)::bigint AS score
+                   FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+             p AS (SELECT *, row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id, r) AS k FROM s WHERE label = anchor_label),
+             n AS (SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+                          row_number() OVER (PARTITION BY p.ar, k ORDER BY s.score DESC, s.vec_id, s.r) AS rank
+                   FROM p JOIN s ON p.ar = s.ar AND s.label <> p.label AND 80 * p.score <= 100 * s.score AND s.score <= p.score WHERE k <= 5)
+        SELECT anchor_id, positive_id, rank::int AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""",
 }
