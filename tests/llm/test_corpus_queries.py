@@ -31,6 +31,7 @@ def table(spark, tmp_path_factory):
     spark.createDataFrame(rows, schema).repartition(4).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(i, int(len(texts[i] or "") > 20), 0) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([], schema).write.parquet(f"{folder}/empty/documents.parquet")
+    spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/empty/embeddings.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/empty/labels.parquet")
     return folder, texts, [r[3] for r in rows]
 

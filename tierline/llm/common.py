@@ -9,7 +9,7 @@ import time
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word: a run of characters other than the space and tab to carriage return.
@@ -77,6 +77,27 @@ def told_apart(df: DataFrame, name: str) -> DataFrame:
     return durable(df).withColumn(name, F.monotonically_increasing_id())
 
 
+def numbered(df: DataFrame, row: str, columns: Sequence[str], mark: str = "mark", nth: str = "nth") -> DataFrame:
+    """df with a hash of the columns in mark and, among rows that are equal in it, a number from 0 in nth.
+
+    The two depend on what the rows hold and not on how their files are split: rows that change places are equal. row
+    tells rows apart, as told_apart numbers them; df is read several times. Repeated rows are numbered by partition, and these
+    by prefix sums, so that no task meets all copies of a row.
+    """
+    marked = df.withColumn(mark, F.xxhash64(*[F.col(c) for c in columns]))
+    again = durable(marked.groupBy(mark).count().where("count > 1").select(mark))
+    if again.isEmpty():
+        return marked.withColumn(nth, F.lit(0).cast("long"))
+    part = F.shiftright(F.col(row), 33)
+    copies = marked.select(mark, row, part.alias("_part")).join(again, mark, "left_semi")
+    here = Window.partitionBy(mark, "_part")
+    copies = copies.withColumn("_here", F.row_number().over(here.orderBy(row)))
+    sizes = copies.groupBy(mark, "_part").agg(F.count("*").alias("_size"))
+    before = F.sum("_size").over(Window.partitionBy(mark).orderBy("_part")) - F.col("_size")
+    places = copies.join(sizes.select(mark, "_part", before.alias("_before")), [mark, "_part"]).select(row, (F.col("_before") + F.col("_here") - 1).alias(nth))
+    return marked.join(places, row, "left").withColumn(nth, F.coalesce(F.col(nth), F.lit(0).cast("long")))
+
+
 def plain_names(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
     """The columns of df under names (c0, c1, ...) that an operator's own cannot clash with, and the name of each."""
     of = {c: f"c{i}" for i, c in enumerate(columns)}

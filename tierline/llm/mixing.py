@@ -14,8 +14,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tierline.llm.common import NO_ID, WORD, durable, told_apart
+from tierline.llm.common import NO_ID, WORD, durable, numbered, told_apart
 
 EDGE = 1e-9
 
@@ -103,8 +104,9 @@ def mix_sources(docs: DataFrame, size: Column | None = None, source: str = "sour
 
     Sources by code point, null (a source of its own) last, have the weights in turn; targets share the sum of all sizes
     (water_fill). size is by default the number of words of a column text (null: 0). copies is how often the mix takes the
-    document, taken is copies * size. Rows are told apart by their number in a durable copy, so null, repeated and equal keys
-    are rows like others, and a chunk holds about `chunk` rows whatever they are. Reruns over the same files agree. An empty
+    document, taken is copies * size. Chunks and draws hang on what a row holds (key, source, size, column text if there is one,
+    and what is carried) and, among rows equal in all of these, on a number; so reruns agree, however the files are split,
+    null, repeated and equal keys are rows like others, and a chunk holds about `chunk` rows whatever they are. An empty
     table gives an empty result. Other columns are not read; of those in carry, one that is called like a column of the
     result's own gives way to it. One row a source comes to the driver: sources are what a mix is configured by, and more
     than SOURCES of them raise an error.
@@ -113,9 +115,11 @@ def mix_sources(docs: DataFrame, size: Column | None = None, source: str = "sour
     carry = tuple(c for c in carry if c not in own)
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)) if size is None else size
     held = [f"c{i}" for i in range(len(carry))]
-    whole = told_apart(docs.select(F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_ID)).alias("id"), F.col(f"`{source}`").alias("source"), size.cast("long").alias("size"), *[F.col(f"`{c}`").alias(h) for c, h in zip(carry, held, strict=True)]), "row")
-    thin = whole.select("id", "source", "size", "row")
-    thin = durable(thin) if carry else thin  # it is read several times, and what is carried may be large
+    content = F.xxhash64(F.col("`text`") if "text" in docs.columns else F.lit(0))
+    whole = told_apart(docs.select(F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_ID)).alias("id"), F.col(f"`{source}`").alias("source"), size.cast("long").alias("size"), content.alias("content"), *[F.col(f"`{c}`").alias(h) for c, h in zip(carry, held, strict=True)]), "row")
+    hashed = [h for h in held if not isinstance(whole.schema[h].dataType, T.MapType)]
+    thin = numbered(whole.select("id", "source", "size", "content", "row", *hashed), "row", ["id", "source", "size", "content", *hashed])
+    thin = durable(thin.select("id", "source", "size", "row", "mark", "nth"))  # it is read several times, and what is carried may be large
     totals = thin.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).limit(SOURCES + 1).collect()
     if len(totals) > SOURCES:
         raise ValueError(f"more than {SOURCES} sources: group them first")
@@ -128,7 +132,7 @@ def mix_sources(docs: DataFrame, size: Column | None = None, source: str = "sour
     aside = thin.withColumnRenamed("source", "_source")
     told = aside.join(F.broadcast(known), F.col("_source").eqNullSafe(F.col("source")))
     told = told.select(
-        "id", "row", "source", "size", "which", "source_size", "target", "rows", F.floor(rate + EDGE).cast("int").alias("whole"),
+        "id", "row", "mark", "nth", "source", "size", "which", "source_size", "target", "rows", F.floor(rate + EDGE).cast("int").alias("whole"),
         F.when((part < EDGE) | (part > 1 - EDGE), 0.0).otherwise(part).alias("chance"),
     ).withColumn("open", F.col("chance"))
     done = [told.where("open = 0")]
@@ -137,7 +141,7 @@ def mix_sources(docs: DataFrame, size: Column | None = None, source: str = "sour
     turn = 0
     while True:
         last = groups <= chunk
-        mixed = rest.withColumn("chunk", F.pmod(F.xxhash64("row", F.lit(seed + turn)), F.greatest(F.lit(1), F.ceil(F.col("rows") / F.lit(chunk)))).cast("long"))
+        mixed = rest.withColumn("chunk", F.pmod(F.xxhash64("mark", "nth", F.lit(seed + turn)), F.greatest(F.lit(1), F.ceil(F.col("rows") / F.lit(chunk)))).cast("long"))
         moved = mixed.groupBy("which", "chunk").applyInPandas(_fly(chunk, seed, turn), mixed.schema).drop("chunk")
         moved = durable(moved)
         settled = (F.col("open") == 0) | (F.col("open") == 1)
@@ -161,7 +165,7 @@ def _fly(chunk: int, seed: int, turn: int):
     """A chunk's flight; a source with no more rows than one chunk lands at once, as it has this one chunk only."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["size", "id", "row"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
+        rows = rows.sort_values(["size", "id", "mark", "nth"], ascending=[False, True, True, True], kind="stable").reset_index(drop=True)
         close = land if rows["rows"].iloc[0] <= chunk else flight
         draws = (seed, turn, int(rows["which"].iloc[0]), int(rows["chunk"].iloc[0]))
         rows["open"] = close(rows["open"].to_numpy(float), rows["size"].to_numpy(), draws)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.llm.common import give_back, plain_names, told_apart
+from tierline.llm.common import give_back, numbered, plain_names, told_apart
 
 #: Bytes, about, that a task spends on remembering the ids of parts of lines; a quarter of it for their beginnings.
 REMEMBERED = 160 << 20
@@ -182,22 +182,23 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
 def pack(items: DataFrame, capacity: int = 1024, groups: int | None = None, seed: int = 1, key: str = "doc_id", each: int = 4000) -> DataFrame:
     """items (key, start, length and any other columns) with sequence_id and offset (gapless from 0 in each sequence).
 
-    No length may exceed capacity (cut longer ones first: pieces). Groups are random in the rows' numbers in a durable copy, so
-    that rows without a key, or with one key, spread like others; each is packed by itself, so a piece's place depends on its
-    group's rows only. Without groups, they are sized to about `each` pieces. An empty table gives an empty result. Columns
+    No length may exceed capacity (cut longer ones first: pieces). Groups are random in what a row holds and, among equal
+    rows, in a number, so that rows without a key, or that repeat, spread like others, and reruns agree however items are
+    split; each is packed by itself, so a piece's place depends on its group's rows only. Without groups, they are sized to about `each` pieces. An empty table gives an empty result. Columns
     of items may have any names; sequence_id and offset give way to the result's.
     """
     spare = items.drop("sequence_id", "offset")
     rows, of = plain_names(spare, spare.columns)
     rows = told_apart(rows, "row")
     groups = groups or max(1, -(-rows.count() // each))
-    grouped = rows.withColumn("bin", F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(groups)))
+    hashed = [f.name for f in rows.schema.fields if f.name != "row" and not isinstance(f.dataType, T.MapType)]
+    grouped = numbered(rows, "row", hashed).withColumn("bin", F.pmod(F.xxhash64("mark", "nth", F.lit(seed)), F.lit(groups)))
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([(of["length"], "descending"), (of[key], "ascending"), (of["start"], "ascending"), ("row", "ascending")])
+        table = table.sort_by([(of["length"], "descending"), (of[key], "ascending"), (of["start"], "ascending"), ("mark", "ascending"), ("nth", "ascending")])
         bins, offsets = first_fit_decreasing(table[of["length"]].to_numpy(), capacity)
         group = table["bin"][0].as_py()
-        return table.drop_columns(["row", "bin"]).append_column("sequence_id", pa.array((group << 32) + bins)).append_column("offset", pa.array(offsets))
+        return table.drop_columns(["row", "mark", "nth", "bin"]).append_column("sequence_id", pa.array((group << 32) + bins)).append_column("offset", pa.array(offsets))
 
     schema = T.StructType([*(T.StructField(of[f.name], f.dataType) for f in spare.schema.fields), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     packed = grouped.groupBy("bin").applyInArrow(run, schema)

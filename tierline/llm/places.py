@@ -83,6 +83,11 @@ def _distinct(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (keys, places) if new.all() else (keys[new], places[new])
 
 
+def _dealt(places: np.ndarray) -> np.ndarray:
+    """A number a place by its text, so that texts without a doc, or of one doc, spread like others."""
+    return mix(places["doc"].astype(np.uint64) ^ mix(places["twin"].astype(np.uint64)))
+
+
 def send(keys: np.ndarray, places: np.ndarray, buckets: int, all_repeat: bool, with_keys: bool = False) -> list[tuple]:
     """Rows for the buckets. keys: uint64, of shape (n, 1), or (n, 2), of which the second counts by its low half only.
 
@@ -110,7 +115,7 @@ def send(keys: np.ndarray, places: np.ndarray, buckets: int, all_repeat: bool, w
     out += [_pack(b, False, keys[i:j], firsts[i:j]) for b, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if i < j]
     if len(known):
         order = np.lexsort((known["at"], known["twin"], known["doc"]))
-        anywhere = int(mix(known["doc"][:1].astype(np.uint64))[0] % U(buckets))
+        anywhere = int(_dealt(known[:1])[0] % U(buckets))
         out.append(_pack(anywhere, True, known_keys[order] if with_keys else keys[:0], known[order]))
     return out
 
@@ -161,7 +166,7 @@ def resolve(width: int, judge: Callable[[np.ndarray, np.ndarray], np.ndarray], b
         if known_places:
             found = np.concatenate(known_places)
             known_places.clear()
-            to = mix(found["doc"].astype(np.uint64)) % U(by_doc)
+            to = _dealt(found) % U(by_doc)
             order = np.lexsort((found["at"], found["twin"], found["doc"], to))
             found, to = found[order], to[order]
             edges = np.searchsorted(to, np.arange(by_doc + 1, dtype=np.uint64))

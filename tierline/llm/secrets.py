@@ -29,17 +29,25 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 #: Parts of base64 with dots between them, matched once; a token begins at the first "eyJ" ('{"') of a part.
 _PARTS = re.compile(r"[A-Za-z0-9_.-]+")
-#: Base64 of at least 32 characters, also over lines as in key files; and hex of either case.
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
-#: The characters of one line of a run.
-_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+#: What parts two lines: an end of line, as such or escaped as in JSON, and what stands before each line where it is indented, quoted
+#: or commented.
+_END = r"(?:\r?\n|(?:\\r)?\\n)[ \t>#*|]*"
+#: Base64 of at least 32 characters, also over lines as in key files, beginning behind an escape and not inside it; and hex of either case.
+_BASE64 = re.compile(rf"(?:(?<!\\)|(?<=\\n))[A-Za-z0-9+/_-]{{32,}}(?:{_END}[A-Za-z0-9+/_-]+)*={{0,2}}")
+_LINE_END = re.compile(_END)
 #: The marks of PEM files begin and end so; with spaces in their place, a key may stand beside them on one line.
 _DASHES = re.compile(r"-{5,}")
 _HEX_RUN = re.compile(r"(?:[0-9A-Fa-f]{2}){24,}")
-#: Object identifiers of key algorithms, as DER has them: RSA, EC, Ed25519, X25519, DSA, RSA-PSS.
-_KEY_OIDS = {bytes.fromhex(x) for x in ("2a864886f70d010101", "2a8648ce3d0201", "2b6570", "2b656e", "2a8648ce380401", "2a864886f70d01010a")}
+#: Object identifiers of key algorithms, as DER has them: RSA, EC, Ed25519, X25519, Ed448, X448, DSA, RSA-PSS, DH; and of the
+#: encryption of keys: PBES2, PBES1 with MD5 or SHA-1 and DES, and of PKCS #12 with triple DES, two-key triple DES and RC2.
+_KEY_OIDS = {
+    bytes.fromhex(x) for x in (
+        "2a864886f70d010101", "2a8648ce3d0201", "2b6570", "2b656e", "2b6571", "2b656f", "2a8648ce380401", "2a864886f70d01010a", "2a864886f70d010301",
+        "2a864886f70d01050d", "2a864886f70d010503", "2a864886f70d01050a", "2a864886f70d010c0103", "2a864886f70d010c0104", "2a864886f70d010c0105",
+    )
+}
 #: Kinds of public keys and the number of their fields, the name included.
-_SSH_FIELDS = {b"ssh-rsa": 3, b"ssh-dss": 5, b"ssh-ed25519": 2, b"ecdsa-sha2-nistp256": 3, b"ecdsa-sha2-nistp384": 3, b"ecdsa-sha2-nistp521": 3, b"sk-ssh-ed25519@openssh.com": 3}
+_SSH_FIELDS = {b"ssh-rsa": 3, b"ssh-dss": 5, b"ssh-ed25519": 2, b"ecdsa-sha2-nistp256": 3, b"ecdsa-sha2-nistp384": 3, b"ecdsa-sha2-nistp521": 3, b"sk-ssh-ed25519@openssh.com": 3, b"sk-ecdsa-sha2-nistp256@openssh.com": 4}
 _SSH_PRIVATE = b"openssh-key-v1\0"
 #: (at, size) to so many bytes of a key, or fewer where it ends.
 Read = Callable[[int, int], bytes]
@@ -205,13 +213,15 @@ def _tokens(text: str) -> Iterator[tuple[int, int]]:
 
 def _keys_of_run(run: re.Match) -> Iterator[tuple[int, str, int]]:
     """Keys in a run of base64, from the start of a line to the end of a line."""
-    lines = list(_LINE.finditer(run[0]))
-    plain = "".join(x[0] for x in lines).replace("-", "+").replace("_", "/")
+    body = run[0].rstrip("=")
+    ends = [(x.start(), x.end()) for x in _LINE_END.finditer(body)]
+    lines = list(zip([0, *(b for _, b in ends)], [*(a for a, _ in ends), len(body)], strict=True))
+    plain = "".join(body[a:b] for a, b in lines).replace("-", "+").replace("_", "/")
     starts, edges, at = [], {}, 0
-    for x in lines:
-        starts.append((at, run.start() + x.start()))
-        at += len(x[0])
-        edges[at] = run.start() + x.end()
+    for a, b in lines:
+        starts.append((at, run.start() + a))
+        at += b - a
+        edges[at] = run.start() + b
     edges[at] = run.end()  # with padding
     done = 0
     for at, place in starts:
