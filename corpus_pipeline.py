@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
-from tierline.llm.common import WORD, durable, plain_names, remove_folder, shared_folder, told_apart
+from tierline.llm.common import NO_ID, WORD, durable, plain_names, remove_folder, shared_folder, told_apart
 from tierline.llm.lines import dedup_lines
 from tierline.llm.minhash import near_duplicates
 from tierline.llm.mixing import mix_sources
@@ -52,12 +53,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, a similarity of 0.8 or more.
 
-    Of a group the first row of the durable copy stays. Rows that repeat are a group like any other, whatever their doc_id.
-    Documents without words are no one's duplicates.
+    Of a group the row with the smallest doc_id stays (null first); of equal ones the first by a hash of all it holds. Rows
+    that repeat are a group like any other, whatever their doc_id. Documents without words are no one's duplicates.
     """
     rows, of = plain_names(docs, docs.columns)
     rows = told_apart(rows, "row")
-    gone = near_duplicates(rows, shingle=5, percent=80, text=of["text"], key="row").where("NOT kept").select("row")
+    linked = near_duplicates(rows, shingle=5, percent=80, text=of["text"], key="row").select("row", "component_id")
+    hashed = [n for n in of.values() if not isinstance(rows.schema[n].dataType, MapType)]
+    order = F.struct(F.coalesce(F.col(of["doc_id"]).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(*hashed).alias("mark"), F.col("row"))
+    several = linked.groupBy("component_id").count().where("count > 1").select("component_id")
+    linked = durable(linked.join(several, "component_id", "left_semi").join(rows.select("row", order.alias("order")), "row"))
+    stays = linked.groupBy("component_id").agg(F.min("order").alias("stays"))
+    gone = linked.join(stays, "component_id").where("row <> stays.row").select("row")
     return rows.join(gone, "row", "left_anti").select(*of.values()).toDF(*docs.columns)
 
 
