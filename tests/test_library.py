@@ -12,7 +12,7 @@ from tierline.functions import privacy, time
 from tierline.functions.columns import ladder, ratio
 from tierline.operators import checks, drift, ranking, reconcile, scd
 from tierline.plans import layers
-from tierline.sources import catalogues, specs, tables, writes
+from tierline.sources import catalogues, jdbc, specs, tables, writes
 from tierline.streaming import events as ev
 
 D = dt.date
@@ -253,9 +253,9 @@ def test_days_are_overwritten_and_breaks_refused(spark):
     df.write.saveAsTable("flat")
     with pytest.raises(ValueError, match="partitioned"):
         writes.overwrite_days(df, "flat")
-    ddl = writes.table_ddl(df.schema, "s.t", ["id"])
+    ddl = jdbc.table_ddl(df.schema, "s.t", ["id"])
     assert ddl == 'CREATE TABLE IF NOT EXISTS s.t ("id" INTEGER NOT NULL, "v" TEXT, "cob_dt" DATE, PRIMARY KEY ("id"))'
-    assert writes.upsert_sql(df.schema, "t", "s", ["id"]).endswith('ON CONFLICT ("id") DO UPDATE SET "v" = EXCLUDED."v", "cob_dt" = EXCLUDED."cob_dt"')
+    assert jdbc.upsert_sql(df.schema, "t", "s", ["id"]).endswith('ON CONFLICT ("id") DO UPDATE SET "v" = EXCLUDED."v", "cob_dt" = EXCLUDED."cob_dt"')
     z = writes.clustered(spark.range(1000).select((F.col("id") % 32).cast("double").alias("a"), (F.col("id") / 32).alias("b")), ["a", "b"], 4)
     assert z.count() == 1000 and z.columns == ["a", "b"]
 
@@ -341,3 +341,49 @@ def test_replays(spark):
     batch = spark.createDataFrame([("t", 1, "f", 1), ("t", 1, "f", 2), ("t", 2, "f", 3), ("t", 2, "g", 4), ("t", 3, "f", 5), ("t", 4, "f", 6)], "topic string, event_id long, fingerprint string, offset long")
     ledger = spark.createDataFrame([("t", 3, "f"), ("t", 4, "z")], "topic string, event_id long, fingerprint string")
     assert rows(ev.classify_replays(batch, ledger), "offset", "verdict") == [(1, "NEW"), (2, "REPLAY"), (3, "CONFLICT"), (4, "CONFLICT"), (5, "REPLAY"), (6, "CONFLICT")]
+
+
+def test_database_reads_are_parallel_and_pushed(spark):
+    url = jdbc.embedded_url(spark)
+    df = spark.range(1000).select("id", F.expr("TIMESTAMP_NTZ'2026-06-29 12:00:00' + make_dt_interval(0, CAST(id % 24 AS INT))").alias("ts"), F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"))
+    jdbc.copy_table(df, url, "things")
+    spec = specs.LoadSpec("things", "things", "incremental", '"ts"', specs.Split("id", None, None, 4))
+    got = jdbc.read_jdbc(spark, spec, url, D(2026, 6, 30))
+    assert got.rdd.getNumPartitions() == 4 and got.count() == sum(i % 24 >= 5 for i in range(1000)) and {r[0] for r in got.select("cob_dt").distinct().collect()} == {D(2026, 6, 30)}
+    assert all(200 < r["n"] - 0 < 300 or r["n"] < 300 for r in jdbc.day_counts(got).collect())
+    plan = got.where("id < 10").select("name")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [*IsNotNull(id), *LessThan(id,10)]" in plan and "ReadSchema: struct<name:string>" in plan
+    assert jdbc.column_bounds(spark, spec, url, D(2026, 6, 30)) == (5, 999) and jdbc.column_bounds(spark, spec, url, D(2020, 1, 1)) is None
+    assert jdbc.read_jdbc(spark, spec, url, D(2020, 1, 1)).count() == 0
+    jdbc.drop_embedded(spark, url)
+
+
+def test_an_upsert_that_stops_is_repeatable(spark, monkeypatch):
+    url = jdbc.embedded_url(spark)
+    load = lambda rows: spark.createDataFrame(rows, "k string, d date, v double")
+    day = D(2026, 1, 1)
+    assert jdbc.upsert_jdbc(load([("a", day, 1.0), ("b", day, 2.0)]), url, "served", ["k", "d"]) == 2
+    run = jdbc.in_transaction
+
+    def stops(session, to, statements, properties=None):
+        if any(s.startswith("MERGE") for s in statements):
+            run(session, to, statements[:1] + ["NOT SQL"], properties)  # the merge itself is done, its commit is not
+        return run(session, to, statements, properties)
+
+    monkeypatch.setattr(jdbc, "in_transaction", stops)
+    with pytest.raises(Exception, match="Syntax error"):
+        jdbc.upsert_jdbc(load([("b", day, 3.0), ("c", day, None)]), url, "served", ["k", "d"])
+    monkeypatch.setattr(jdbc, "in_transaction", run)
+    served = lambda: sorted(tuple(r) for r in spark.read.format("jdbc").options(url=url, dbtable="served").load().collect())
+    assert served() == [("a", day, 1.0), ("b", day, 2.0)]
+    for _ in range(2):
+        jdbc.upsert_jdbc(load([("b", day, 3.0), ("c", day, None)]), url, "served", ["k", "d"])
+        assert served() == [("a", day, 1.0), ("b", day, 3.0), ("c", day, None)]
+    assert jdbc.upsert_jdbc(load([]), url, "served", ["k", "d"]) == 0
+    for bad in ([("x", day, 1.0), ("x", day, 2.0)], [(None, day, 1.0)]):
+        with pytest.raises(ValueError, match="key"):
+            jdbc.upsert_jdbc(load(bad), url, "served", ["k", "d"])
+    with pytest.raises(ValueError, match="key"):
+        jdbc.upsert_jdbc(load([]), url, "served", ["nothing"])
+    assert len(served()) == 3 and not jdbc.has_table(spark, url, "served__staging")
+    jdbc.drop_embedded(spark, url)

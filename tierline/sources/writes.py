@@ -120,32 +120,3 @@ def repartition_table(df: DataFrame, path: str, by: str = DAY_COLUMN, dry_run: b
     if not dry_run:
         by_size(df, by).write.mode("overwrite").partitionBy(by).parquet(path)
     return df.groupBy(by).agg(F.count("*").alias("n"))
-
-
-#: Database types of Spark's simple types (fixed values).
-_DDL = {"string": "TEXT", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE PRECISION", "float": "REAL", "date": "DATE", "timestamp": "TIMESTAMPTZ", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "binary": "BYTEA"}
-
-
-def table_ddl(schema: T.StructType, table: str, keys: Sequence[str]) -> str:
-    """CREATE TABLE for a served table; nested types are refused."""
-    columns = []
-    for f in schema:
-        kind = f.dataType.simpleString()
-        sql = f"NUMERIC({f.dataType.precision},{f.dataType.scale})" if isinstance(f.dataType, T.DecimalType) else _DDL.get(kind)
-        if sql is None:
-            raise ValueError(f"{f.name}: {kind} cannot be served")
-        columns.append(f'"{f.name}" {sql}' + (" NOT NULL" if f.name in keys else ""))
-    key = ", ".join(f'"{k}"' for k in keys)
-    return f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}, PRIMARY KEY ({key}))"
-
-
-def upsert_sql(schema: T.StructType, table: str, staging: str, keys: Sequence[str]) -> str:
-    names = [f'"{f.name}"' for f in schema]
-    sets = ", ".join(f"{n} = EXCLUDED.{n}" for n in names if n.strip('"') not in keys)
-    conflict = ", ".join(f'"{k}"' for k in keys)
-    return f"INSERT INTO {table} ({', '.join(names)}) SELECT {', '.join(names)} FROM {staging} ON CONFLICT ({conflict}) DO {f'UPDATE SET {sets}' if sets else 'NOTHING'}"
-
-
-def stage_jdbc(df: DataFrame, url: str, staging: str, writers: int = 8) -> None:
-    """The rows to a staging table, in few connections; the database then runs upsert_sql in one transaction."""
-    df.coalesce(writers).write.mode("overwrite").format("jdbc").option("url", url).option("dbtable", staging).option("batchsize", 10_000).save()
