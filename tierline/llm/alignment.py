@@ -23,6 +23,8 @@ from tierline.llm.words import blocks
 
 #: Bytes of text that are aligned at once, about; and entries that a worker remembers before it starts afresh: windows, pairs.
 BLOCK_BYTES, WINDOWS, PAIRS = 1 << 20, 300_000, 1_000_000
+#: Bytes, about, that a worker spends on remembering the ids of parts of texts; a quarter more for the begins of lines.
+REMEMBERED = 144 << 20
 #: Pairs whose counts are sent to all tasks, at most: 12 bytes each.
 COMMON = 1 << 20
 _STORED = "row long, key long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary, times binary"
@@ -34,6 +36,7 @@ class ByteBpe(TokenIds):
 
     def __init__(self, path: str):
         super().__init__(path)
+        self.heads.most, self.parts.most = REMEMBERED // 4, REMEMBERED
         self.tokenizer.encode_special_tokens = True
         letters = {v: k for k, v in self.letters.items()}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -58,9 +61,6 @@ class PieceBpe:
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.model.encode_as_ids(text), "<u4")
 
-    def forget(self) -> None:
-        pass
-
 
 class _Growing:
     """Numbers that are added to in bulk."""
@@ -78,6 +78,28 @@ class _Growing:
         self.size += len(x)
 
 
+def _tuples(ids: list[np.ndarray], firsts: list[np.ndarray]) -> tuple[bytes, list[int]]:
+    """The tuples of ids of all windows in one string, and where each window starts: the number of A's ids, these, and B's."""
+    n = len(firsts[0])
+    counts = [np.diff(np.append(f, len(x))) for f, x in zip(firsts, ids, strict=True)]
+    at = np.arange(n) + firsts[0] + firsts[1]
+    out = np.empty(n + len(ids[0]) + len(ids[1]), "<u4")
+    out[at] = counts[0]
+    out[np.arange(len(ids[0])) + np.repeat(at + 1 - firsts[0], counts[0])] = ids[0]
+    out[np.arange(len(ids[1])) + np.repeat(at + 1 + counts[0] - firsts[1], counts[1])] = ids[1]
+    return out.tobytes(), (np.append(at, len(out)) * 4).tolist()
+
+
+def _in_order(doc: np.ndarray, pair: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """pair, doc and times by doc and pair; sorted as one number each where they fit in one."""
+    p, t = int(pair.max()).bit_length(), int(times.max()).bit_length()
+    if int(doc.max()).bit_length() + p + t > 63:
+        order = np.lexsort((pair, doc))
+        return pair[order], doc[order], times[order]
+    one = np.sort((doc.astype(np.uint64) << np.uint64(p + t)) | (pair << np.uint64(t)) | times.astype(np.uint64))
+    return one >> np.uint64(t) & np.uint64((1 << p) - 1), (one >> np.uint64(p + t)).astype(np.int64), (one & np.uint64((1 << t) - 1)).astype(np.int64)
+
+
 class Aligner:
     """What a worker knows of a pair of tokenizers, and the windows that it has seen."""
 
@@ -94,11 +116,10 @@ class Aligner:
         self.forget()
 
     def forget(self) -> None:
-        self.seen: dict[tuple[bytes, bytes], int] = {}
+        self.seen: dict[bytes, int] = {}
         self.told: list[bytes] = []  # of each window: its groups as text, how many, and its links from first on
-        self.n_groups: list[int] = []
-        self.first: list[int] = [0]
-        self.links = _Growing()
+        self.n_groups, self.links, self.first = _Growing(), _Growing(), _Growing()
+        self.first.append_many(np.zeros(1, np.uint64))
 
     def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Both tokenizers' ids, if they cut space and text whole."""
@@ -110,10 +131,15 @@ class Aligner:
             return None
         return ids[0], ids[1]
 
-    def _learn(self, keys: list[tuple[bytes, bytes]]) -> None:
+    def _learn(self, keys: list[bytes]) -> None:
         """Align windows that are new, all of them end to end: both sides of each have equally many bytes."""
-        ids = [np.frombuffer(b"".join([key[side] for key in keys]), "<u4") for side in (0, 1)]
-        counts = [np.array([len(key[side]) // 4 for key in keys]) for side in (0, 1)]
+        held = np.frombuffer(b"".join(keys), "<u4")
+        size = np.fromiter(map(len, keys), np.int64, len(keys)) // 4
+        begin = np.cumsum(size) - size
+        counts = [held[begin].astype(np.int64), size - 1 - held[begin]]
+        nth = np.arange(len(held)) - np.repeat(begin, size)
+        is_a = nth <= np.repeat(counts[0], size)
+        ids = [held[is_a & (nth > 0)], held[~is_a]]
         ends = [np.cumsum(n[x]) for n, x in zip(self.sizes, ids, strict=True)]
         marks = np.zeros(int(ends[0][-1]) + 1, np.uint8)
         for side in (0, 1):
@@ -122,9 +148,9 @@ class Aligner:
         last = ends[0][np.cumsum(counts[0]) - 1]  # where each window ends
         a, b = (x[np.searchsorted(e, every)] for x, e in zip(ids, ends, strict=True))  # from one end to the next, one token of each side: a link
         first = len(self.links) + np.append(0, np.searchsorted(every, last, "right"))
-        self.first += first[1:].tolist()
+        self.first.append_many(first[1:].astype(np.uint64))
         self.links.append_many(a.astype(np.uint64) * np.uint64(len(self.sides[1].bytes)) + b)
-        self.n_groups += np.diff(np.searchsorted(shared, last, "right"), prepend=0).tolist()
+        self.n_groups.append_many(np.diff(np.searchsorted(shared, last, "right"), prepend=0).astype(np.uint64))
         # A's tokens of a group and then B's, each with what stands behind it; each window without its last mark.
         group = np.concatenate([2 * np.searchsorted(shared, e) + side for side, e in enumerate(ends)])
         shown = np.concatenate([x + self.named[2 * side] + np.where(marks[e] == 3, self.named[2 * side + 1] - self.named[2 * side], 0) for side, (x, e) in enumerate(zip(ids, ends, strict=True))])
@@ -156,26 +182,21 @@ class Aligner:
         for side in (0, 1):
             windows.append(np.flatnonzero(marks[begins[side]] == 3))
         first = np.searchsorted(begins[0][windows[0]], begins[0][np.cumsum(counts[0]) - counts[0]])  # each document's first window
-        edges = [np.append(w, len(x)) * 4 for w, x in zip(windows, ids, strict=True)]
-        raw = [x.tobytes() for x in ids]
-        a, b = raw
-        ea, eb = (e.tolist() for e in edges)
-        keys = [(a[i:j], b[k:n]) for i, j, k, n in zip(ea[:-1], ea[1:], eb[:-1], eb[1:], strict=True)]
-        new = list(dict.fromkeys(key for key in keys if key not in self.seen))
-        if new:
-            self._learn(new)
-        which = list(map(self.seen.__getitem__, keys))
-        del keys, new, raw, a, b
+        raw, edges = _tuples(ids, windows)
+        keys = [raw[i:j] for i, j in zip(edges[:-1], edges[1:], strict=True)]
+        which = list(map(self.seen.get, keys))
+        if None in which:
+            self._learn(list(dict.fromkeys(key for key, w in zip(keys, which, strict=True) if w is None)))
+            which = list(map(self.seen.__getitem__, keys))
+        del keys, raw
         number, doc = np.array(which), np.repeat(np.arange(len(whole)), np.diff(np.append(first, len(which))))
-        n_groups = np.add.reduceat(np.array(self.n_groups)[number], first)
+        n_groups = np.add.reduceat(self.n_groups.held[number], first)
         own, times = np.unique(doc.astype(np.int64) << 32 | number, return_counts=True)
         doc, number = own >> 32, own & 0xFFFFFFFF
-        from_, to = np.array(self.first)[number], np.array(self.first)[number + 1]
+        from_, to = self.first.held[number].astype(np.int64), self.first.held[number + 1].astype(np.int64)
         size = to - from_
-        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(from_, size)
-        pair, doc, times = self.links.held[at], np.repeat(doc, size), np.repeat(times, size)
-        order = np.lexsort((pair, doc))
-        pair, doc, times = pair[order], doc[order], times[order]
+        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - from_, size)
+        pair, doc, times = _in_order(np.repeat(doc, size), self.links.held[at], np.repeat(times, size))
         new = np.ones(len(pair), bool)
         new[1:] = (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1])
         starts = np.flatnonzero(new)
@@ -195,7 +216,7 @@ class Aligner:
 
 @functools.cache
 def aligner(a_path: str, b_path: str) -> Aligner:
-    """One a worker: its tokenizers outlive a task, what they remember does not."""
+    """One a worker: its tokenizers, and what they remember within their bounds, outlive a task."""
     return Aligner(ByteBpe(a_path), PieceBpe(b_path))
 
 
@@ -207,8 +228,6 @@ def _align(a_path: str, b_path: str):
             told = both.align([x.decode() for x in texts])
             columns = [pa.array(c, t) for c, t in zip(zip(*told, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], names=[*_FACTS, "pairs", "times"])
-        both.forget()
-        both.sides[0].forget()
         give_back()
 
     return run
