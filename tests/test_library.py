@@ -387,3 +387,24 @@ def test_an_upsert_that_stops_is_repeatable(spark, monkeypatch):
         jdbc.upsert_jdbc(load([]), url, "served", ["nothing"])
     assert len(served()) == 3 and not jdbc.has_table(spark, url, "served__staging")
     jdbc.drop_embedded(spark, url)
+
+
+def test_last_two_without_a_sort(spark):
+    data = [(1, 5, 1), (1, 5, 9), (1, 3, 7), (2, 4, 4), (3, 6, 2), (3, 6, 2), (4, 0, 0), (4, 0, 0), (4, 0, 0), (None, 2, 1), (None, 1, 1)]
+    df = spark.createDataFrame(data, "k long, a long, b long")
+    last = ranking.last_two(df, "k", [("a", 6), ("b", 19)], F.sum("b").alias("s"))
+    got = {r["k"]: (r["last"] and tuple(r["last"]), r["prior"] and tuple(r["prior"]), r["s"]) for r in last.collect()}
+    assert got == {1: ((5, 9), (5, 1), 17), 2: ((4, 4), None, 4), 3: ((6, 2), (6, 2), 4), 4: ((0, 0), (0, 0), 0)}
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and plan.count("Exchange hashpartitioning") == 2, plan  # one exchange, used again
+    for bad in ([(1, None, 1)], [(1, 1_000_000, 1)], [(1, -1, 1)]):
+        with pytest.raises(Exception, match="no number of 6 digits"):
+            ranking.last_two(spark.createDataFrame(bad, "k long, a long, b long"), "k", [("a", 6), ("b", 19)]).collect()
+
+
+def test_latest_copy_moves_only_rows_with_copies(spark):
+    data = [(1, 10, D(2026, 1, 1)), (1, 11, D(2026, 1, 2)), (1, 12, D(2026, 1, 4)), (2, 20, D(2026, 1, 1)), (3, 30, D(2026, 1, 2)), (3, 31, D(2026, 1, 2)), (None, 1, D(2026, 1, 1)), (None, 2, D(2026, 1, 1)), (4, 40, D(2026, 1, 5))]
+    df = spark.createDataFrame(data, "k int, v int, cob_dt date")
+    newest = scd.latest_copy(df, ["k"], "cob_dt", D(2026, 1, 3), ["v"])
+    assert sorted((r["k"] or 0, r["v"]) for r in newest.collect()) == [(0, 1), (0, 2), (1, 11), (2, 20), (3, 31)]
+    assert scd.latest_copy(df.limit(0), ["k"], "cob_dt", D(2026, 1, 3)).count() == 0

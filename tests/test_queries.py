@@ -36,6 +36,11 @@ def test_query(spark, duck, name):
 #: Columns that would hold of nothing, or prove nothing, were all their values one; and what each must take.
 BOTH = {
     "m1_customer_360": {"has_credit_card": 2, "has_savings": 2, "is_digital_active": 2, "churn_flag": 2, "cross_sell_credit_card_flag": 2, "aum_bucket": 4, "rfm_segment": 5},
+    "m4_loan_summary": {"active_loans": 2, "overdue_loans": 2, "written_off_loans": 2, "missed_payment_count": 2, "loan_to_deposit_ratio IS NULL": 2},
+    "m5_product_summary": {"cnt_casa_active": 2, "cnt_td_active": 2, "cnt_credit_cards": 2, "cnt_debit_cards": 2, "has_credit_card": 2, "total_cards": 3},
+    "m6_transaction_summary": {"acct_credit_count_30d": 2, "card_txn_count_30d": 2, "last_txn_date": 3},
+    "m14_loan_delinquency": {"dpd_bucket": 6, "prev_dpd_bucket": 6, "debt_group": 6, "is_npl": 2, "ever_30_plus": 2, "ever_90_plus": 2, "last_due_date IS NULL": 2, "branch_code IS NULL": 2, "months_on_book < 0": 2},
+    "m15_loan_portfolio": {"branch_name = 'UNK'": 2, "branch_code IS NULL": 2, "late_payment_rate": 3}, "m20_roll_rate": {"from_bucket": 5, "to_bucket": 6}, "m21_loan_vintage": {"ever_90_plus_rate": 3},
     "m7_merchant_360": {"advisory_product_hint": 2}, "m9_churn_rules": {"churn_risk": 4}, "m10_cross_sell": {"primary_opportunity": 3}, "m11_campaign_target": {"campaign_type": 5},
     "m12_fraud_risk": {"night_flag": 2, "high_amount_flag": 2, "neg_balance_flag": 2, "anomaly_flag": 2, "is_fraud": 2}, "m18_merchant_ranking": {"txn_count": 2},
     "m13_aml_monitoring": {"high_value_flag": 2, "structuring_flag": 2, "velocity_flag": 2, "multi_channel_flag": 2, "geo_velocity_flag": 2, "alert_generated": 2, "is_fraud": 2, "risk_level": 4},

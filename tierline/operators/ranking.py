@@ -88,3 +88,36 @@ def quantiles(df: DataFrame, column: str, at: Sequence[float]) -> list[float | N
     wanted = sorted({int(s) + k for s in spots for k in (1, 2) if int(s) + k <= n})
     found = {r["rn"]: r["v"] for r in ranked(rows, [F.col("v")], "rn", slices_for(n)).where(F.col("rn").isin(wanted)).collect()}
     return [found[int(s) + 1] + (s - int(s)) * (found.get(int(s) + 2, found[int(s) + 1]) - found[int(s) + 1]) for s in spots]
+
+
+def last_two(df: DataFrame, key: str, order: Sequence[tuple[str, int]], *more: Column) -> DataFrame:
+    """key, last and prior (structs of the order columns), and the aggregates in more: a key's last row and the one before it.
+
+    order are whole numbers from 0, each with the decimal digits that it has at most, 38 together: a row becomes one decimal
+    number, whose maximum is kept in place while rows stream by, where a window would sort them. Rows are dealt by key once;
+    the last is the maximum, and the one before it the maximum of what is below, or the last again if two rows have it.
+    prior is null for a key of one row; rows without a key are left out. An order column that is null or has more digits raises
+    an error.
+    """
+    digits = sum(n for _, n in order)
+    if digits > 38:
+        raise ValueError(f"{digits} digits do not fit one number")
+    parts = []
+    for c, n in order:
+        sound = F.col(c).between(F.lit(0), F.lit(min(10**n, 2**63) - 1))
+        wrong = F.raise_error(F.concat(F.lit(f"{c} is no number of {n} digits: "), F.coalesce(F.col(c).cast("string"), F.lit("null"))))
+        parts.append(F.when(sound, F.lpad(F.col(c).cast("string"), n, "0")).otherwise(wrong))
+    rows = df.select(key, F.concat(*parts).cast("decimal(38,0)").alias("_row"), *[c for c in df.columns if c != key]).where(F.col(key).isNotNull()).repartition(key)
+    first = rows.groupBy(key).agg(F.max("_row").alias("_last"), *more)
+    rest = rows.select(key, "_row").join(first.select(key, "_last").hint("shuffle_hash"), key).groupBy(key).agg(F.max(F.when(F.col("_row") < F.col("_last"), F.col("_row"))).alias("_below"), F.count_if(F.col("_row") == F.col("_last")).alias("_top"))
+    both = first.join(rest.hint("shuffle_hash"), key).withColumn("_prior", F.when(F.col("_top") > 1, F.col("_last")).otherwise(F.col("_below")))
+
+    def unpacked(number: str) -> Column:
+        parts, below = [], digits
+        for c, n in order:
+            below -= n
+            parts.append(F.substring(F.lpad(F.col(number).cast("string"), digits, "0"), digits - below - n + 1, n).cast("long").alias(c))
+        return F.when(F.col(number).isNotNull(), F.struct(*parts))
+
+    names = [c for c in first.columns if c not in (key, "_last")]
+    return both.select(key, unpacked("_last").alias("last"), unpacked("_prior").alias("prior"), *names)

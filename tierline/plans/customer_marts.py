@@ -11,6 +11,7 @@ from tierline.functions.columns import flag, ladder, money, ratio, zero
 from tierline.functions.privacy import first_token
 from tierline.functions.time import business_date, business_window
 from tierline.operators.ranking import ntile
+from tierline.operators.scd import latest_copy
 from tierline.plans.registry import query
 from tierline.plans.roles import DAY, Roles
 from tierline.sources.shared import durable
@@ -171,64 +172,103 @@ def card_summary(r: Roles) -> DataFrame:
 @query(
     "m4_loan_summary",
     """
-    WITH p AS (SELECT loan_id, count(*) AS n, count(*) FILTER (payment_status = 'LATE') AS late, count(*) FILTER (payment_status = 'MISSED') AS missed FROM payment GROUP BY loan_id),
-    l AS (SELECT customer_id, count(*) AS loans, CAST(sum(outstanding) AS DECIMAL(18,2)) AS outstanding, count(DISTINCT product) AS products, CAST(coalesce(sum(n), 0) AS BIGINT) AS payments, CAST(coalesce(sum(late), 0) AS BIGINT) AS late, CAST(coalesce(sum(missed), 0) AS BIGINT) AS missed
-          FROM loan LEFT JOIN p USING (loan_id) GROUP BY customer_id)
-    SELECT customer_id, coalesce(loans, 0) AS loans, CAST(coalesce(outstanding, 0) AS DECIMAL(18,2)) AS outstanding, coalesce(products, 0) AS products,
-           coalesce(CAST(late AS DOUBLE) / nullif(CAST(payments AS DOUBLE), 0), 0) AS late_rate, coalesce(CAST(missed AS DOUBLE) / nullif(CAST(payments AS DOUBLE), 0), 0) AS missed_rate,
-           CAST(coalesce(outstanding, 0) AS DOUBLE) / nullif(CAST(balance AS DOUBLE), 0) AS loan_to_deposit
-    FROM dim_customer LEFT JOIN l USING (customer_id)""",
+    WITH l AS (
+      SELECT customer_id, count(*) AS total_loans, count(*) FILTER (loan_status = 'ACTIVE') AS active_loans, count(*) FILTER (loan_status = 'OVERDUE') AS overdue_loans,
+             count(*) FILTER (loan_status = 'WRITTEN_OFF') AS written_off_loans, CAST(sum(loan_amount) AS DECIMAL(18,2)) AS amount, CAST(sum(outstanding) AS DECIMAL(18,2)) AS outstanding,
+             CAST(sum(interest_rate) AS DOUBLE) / count(interest_rate) AS rate, max(term_months) AS term
+      FROM loan_terms GROUP BY customer_id),
+    p AS (
+      SELECT customer_id, count(*) AS n, count(*) FILTER (payment_status = 'LATE' OR days_late % 7 = 0) AS late, count(*) FILTER (payment_status = 'MISSED') AS missed,
+             CAST(sum(paid) AS DECIMAL(18,2)) AS paid, CAST(sum(penalty) AS DECIMAL(18,2)) AS penalty
+      FROM payment JOIN loan USING (loan_id) GROUP BY customer_id),
+    d AS (SELECT customer_id, coalesce(sum(CASE WHEN status = 'ACTIVE' THEN balance END), 0) AS deposits FROM dim_account GROUP BY customer_id)
+    SELECT customer_id, customer_sk, coalesce(total_loans, 0) AS total_loans, coalesce(active_loans, 0) AS active_loans, coalesce(overdue_loans, 0) AS overdue_loans, coalesce(written_off_loans, 0) AS written_off_loans,
+           CAST(coalesce(amount, 0) AS DECIMAL(18,2)) AS total_loan_amount, CAST(coalesce(outstanding, 0) AS DECIMAL(18,2)) AS total_loan_outstanding, round(coalesce(rate, 0), 4) AS avg_loan_interest_rate,
+           coalesce(term, 0) AS max_loan_term_months, coalesce(n, 0) AS payment_count, coalesce(late, 0) AS late_payment_count, coalesce(missed, 0) AS missed_payment_count,
+           CAST(coalesce(paid, 0) AS DECIMAL(18,2)) AS total_amount_paid, CAST(coalesce(penalty, 0) AS DECIMAL(18,2)) AS total_penalty,
+           CASE WHEN coalesce(n, 0) = 0 THEN 0.0::DOUBLE ELSE CAST(late AS DOUBLE) / n END AS late_payment_rate, CASE WHEN coalesce(n, 0) = 0 THEN 0.0::DOUBLE ELSE CAST(missed AS DOUBLE) / n END AS missed_payment_rate,
+           CASE WHEN coalesce(deposits, 0) = 0 THEN NULL ELSE round(CAST(coalesce(outstanding, 0) AS DOUBLE) / CAST(deposits AS DOUBLE), 6) END AS loan_to_deposit_ratio, DATE '2001-06-30' AS cob_dt
+    FROM dim_customer LEFT JOIN l USING (customer_id) LEFT JOIN p USING (customer_id) LEFT JOIN d USING (customer_id)""",
 )
 def loan_summary(r: Roles) -> DataFrame:
-    paid = r.payment.groupBy("loan_id").agg(F.count("*").alias("n"), F.count_if(F.col("payment_status") == "LATE").alias("late"), F.count_if(F.col("payment_status") == "MISSED").alias("missed"))
-    loans = r.loan.join(paid, "loan_id", "left").groupBy("customer_id").agg(
-        F.count("*").alias("k"), zero(F.sum("outstanding")).alias("o"), F.count_distinct("product").alias("products"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("late"), F.lit(0)).alias("late"), F.coalesce(F.sum("missed"), F.lit(0)).alias("missed")
-    )
-    joined = r.customer.join(loans, "customer_id", "left")
+    """Loans, repayments and deposits of each customer, each summed to the customer before it is joined."""
+    is_ = lambda s: F.count_if(F.col("loan_status") == s)
+    late = (F.col("payment_status") == "LATE") | (F.col("days_late") % 7 == 0)  # the second is the source's own late flag
+    paid = r.payment.groupBy("loan_id").agg(F.count("*").alias("n"), F.count_if(late).alias("late"), F.count_if(F.col("payment_status") == "MISSED").alias("missed"), F.sum("paid").alias("paid"), F.sum("penalty").alias("penalty"))
+    loans = r.loan_terms.join(paid, "loan_id", "left").groupBy("customer_id").agg(
+        F.count("*").alias("k"), is_("ACTIVE").alias("active"), is_("OVERDUE").alias("overdue"), is_("WRITTEN_OFF").alias("gone"), F.sum("loan_amount").alias("amount"), F.sum("outstanding").alias("outstanding"),
+        ratio(F.sum("interest_rate"), F.count("interest_rate")).alias("rate"), F.max("term_months").alias("term"), *[F.sum(c).alias(c) for c in ("n", "late", "missed", "paid", "penalty")],
+    )
+    deposits = r.account.groupBy("customer_id").agg(F.sum(F.when(F.col("status") == "ACTIVE", F.col("balance"))).alias("deposits"))
+    joined = r.customer.join(loans, "customer_id", "left").join(deposits, "customer_id", "left")
+    none = lambda c, name: F.coalesce(c, F.lit(0)).alias(name)
     rate = lambda c: F.coalesce(ratio(F.col(c), F.col("n")), F.lit(0.0))
     return joined.select(
-        "customer_id", F.coalesce("k", F.lit(0)).alias("loans"), zero(F.col("o")).alias("outstanding"), F.coalesce("products", F.lit(0)).alias("products"), rate("late").alias("late_rate"), rate("missed").alias("missed_rate"),
-        ratio(zero(F.col("o")), F.col("balance")).alias("loan_to_deposit"),
+        "customer_id", "customer_sk", none("k", "total_loans"), none("active", "active_loans"), none("overdue", "overdue_loans"), none("gone", "written_off_loans"), zero(F.col("amount")).alias("total_loan_amount"),
+        zero(F.col("outstanding")).alias("total_loan_outstanding"), F.round(F.coalesce("rate", F.lit(0.0)), 4).alias("avg_loan_interest_rate"), none("term", "max_loan_term_months"), none("n", "payment_count"), none("late", "late_payment_count"),
+        none("missed", "missed_payment_count"), zero(F.col("paid")).alias("total_amount_paid"), zero(F.col("penalty")).alias("total_penalty"), rate("late").alias("late_payment_rate"), rate("missed").alias("missed_payment_rate"),
+        F.round(ratio(zero(F.col("outstanding")), F.col("deposits")), 6).alias("loan_to_deposit_ratio"), F.lit(DAY).alias("cob_dt"),
     )
 
 
 @query(
     "m5_product_summary",
     """
-    WITH a AS (SELECT customer_id, count(DISTINCT channel) AS channels FROM account_txn GROUP BY customer_id), c AS (SELECT customer_id, count(DISTINCT card_id) AS cards FROM card_txn GROUP BY customer_id),
-    l AS (SELECT customer_id, count(*) AS loans, count(*) FILTER (loan_status = 'ACTIVE') AS active_loans FROM loan GROUP BY customer_id)
-    SELECT customer_id, coalesce(channels, 0) AS channels, coalesce(cards, 0) AS cards, coalesce(loans, 0) AS loans, coalesce(active_loans, 0) AS active_loans
+    WITH a AS (SELECT customer_id, count(*) AS n, count(*) FILTER (account_type = 'CASA' AND status = 'ACTIVE') AS casa, count(*) FILTER (account_type = 'TIME_DEPOSIT' AND status = 'ACTIVE') AS td FROM dim_account GROUP BY customer_id),
+    c AS (SELECT customer_id, count(*) AS n, count(*) FILTER (card_type = 'CREDIT' AND status = 'ACTIVE') AS credit, count(*) FILTER (card_type = 'DEBIT' AND status = 'ACTIVE') AS debit FROM dim_card GROUP BY customer_id),
+    l AS (SELECT customer_id, count(*) AS n FROM loan GROUP BY customer_id)
+    SELECT customer_id, customer_sk, coalesce(a.n, 0) AS total_accounts, coalesce(casa, 0) AS cnt_casa_active, coalesce(td, 0) AS cnt_td_active, coalesce(c.n, 0) AS total_cards, coalesce(credit, 0) AS cnt_credit_cards,
+           coalesce(debit, 0) AS cnt_debit_cards, CASE WHEN credit > 0 THEN 1 ELSE 0 END AS has_credit_card, CASE WHEN a.n > 0 THEN 1 ELSE 0 END AS has_savings, CASE WHEN l.n > 0 THEN 1 ELSE 0 END AS has_loan, DATE '2001-06-30' AS cob_dt
     FROM dim_customer LEFT JOIN a USING (customer_id) LEFT JOIN c USING (customer_id) LEFT JOIN l USING (customer_id)""",
 )
 def product_summary(r: Roles) -> DataFrame:
-    sources = (
-        r.account_txn.select("customer_id", "channel").distinct().groupBy("customer_id").agg(F.count("*").alias("channels")),
-        r.card_txn.select("customer_id", "card_id").distinct().groupBy("customer_id").agg(F.count("*").alias("cards")),
-        r.loan.groupBy("customer_id").agg(F.count("*").alias("loans"), F.count_if(F.col("loan_status") == "ACTIVE").alias("active_loans")),
-    )
-    joined = r.customer.select("customer_id")
-    for s in sources:
-        joined = joined.join(s, "customer_id", "left")
-    return joined.na.fill(0)
+    """Accounts, cards and loans that each customer holds."""
+    active = lambda kind: F.count_if((F.col("account_type") == kind) & (F.col("status") == "ACTIVE"))
+    accounts = r.account.groupBy("customer_id").agg(F.count("*").alias("accounts"), active("CASA").alias("casa"), active("TIME_DEPOSIT").alias("td"))
+    joined = r.customer.join(accounts, "customer_id", "left").join(card_holdings(r), "customer_id", "left").join(r.loan.groupBy("customer_id").agg(F.count("*").alias("loans")), "customer_id", "left")
+    none = lambda c, name: F.coalesce(c, F.lit(0)).alias(name)
+    return joined.select(
+        "customer_id", "customer_sk", none("accounts", "total_accounts"), none("casa", "cnt_casa_active"), none("td", "cnt_td_active"), none("cards", "total_cards"), none("credit", "cnt_credit_cards"), none("debit", "cnt_debit_cards"),
+        flag(F.col("credit") > 0).alias("has_credit_card"), flag(F.col("accounts") > 0).alias("has_savings"), flag(F.col("loans") > 0).alias("has_loan"), F.lit(DAY).alias("cob_dt"),
+    )
+
+
+_LAST_COPY_SQL = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY cob_dt DESC, txn_ts DESC, amount DESC, {1} DESC) AS rn FROM {0} WHERE cob_dt <= DATE '2001-06-30') WHERE rn = 1"
 
 
 @query(
     "m6_transaction_summary",
-    """
-    WITH t AS (SELECT customer_id, count(*) AS n, count(*) FILTER (dc = 'C') AS credits, count(*) FILTER (dc = 'D') AS debits, CAST(coalesce(sum(CASE WHEN dc = 'C' THEN amount END), 0) AS DECIMAL(18,2)) AS credit_amount,
-                      CAST(coalesce(sum(CASE WHEN dc = 'D' THEN amount END), 0) AS DECIMAL(18,2)) AS debit_amount, min(cob_dt) AS first_day, max(cob_dt) AS last_day FROM account_txn GROUP BY customer_id)
-    SELECT customer_id, coalesce(n, 0) AS txns, coalesce(credits, 0) AS credits, coalesce(debits, 0) AS debits, CAST(coalesce(credit_amount, 0) AS DECIMAL(18,2)) AS credit_amount, CAST(coalesce(debit_amount, 0) AS DECIMAL(18,2)) AS debit_amount, first_day, last_day
-    FROM dim_customer LEFT JOIN t USING (customer_id)""",
+    f"""
+    WITH a AS (
+      SELECT customer_id, count(*) AS n, sum(abs(amount)) AS s, count(*) FILTER (dc = 'C') AS credits, count(*) FILTER (dc = 'D') AS debits, max(txn_ts) AS last
+      FROM ({_LAST_COPY_SQL.format("account_copies", "channel")}) WHERE CAST(txn_ts + INTERVAL 7 HOUR AS DATE) BETWEEN DATE '2001-05-31' AND DATE '2001-06-30' GROUP BY customer_id),
+    c AS (
+      SELECT customer_id, count(*) AS n, sum(CASE WHEN txn_type NOT IN ('REFUND', 'REVERSAL') THEN amount ELSE 0 END) AS s, max(txn_ts) AS last
+      FROM ({_LAST_COPY_SQL.format("card_copies", "card_id")}) WHERE status = 'SUCCESS' AND CAST(txn_ts + INTERVAL 7 HOUR AS DATE) BETWEEN DATE '2001-05-31' AND DATE '2001-06-30' GROUP BY customer_id)
+    SELECT customer_id, customer_sk, coalesce(a.n, 0) AS acct_txn_count_30d, CAST(coalesce(a.s, 0) AS DECIMAL(18,2)) AS acct_txn_amount_30d, coalesce(credits, 0) AS acct_credit_count_30d, coalesce(debits, 0) AS acct_debit_count_30d,
+           coalesce(c.n, 0) AS card_txn_count_30d, CAST(coalesce(c.s, 0) AS DECIMAL(18,2)) AS card_txn_amount_30d, coalesce(a.n, 0) + coalesce(c.n, 0) AS total_txn_count_30d,
+           CAST(coalesce(a.s, 0) + coalesce(c.s, 0) AS DECIMAL(18,2)) AS total_txn_amount_30d, greatest(coalesce(a.last, TIMESTAMP '1900-01-01 00:00:00'), coalesce(c.last, TIMESTAMP '1900-01-01 00:00:00')) AS last_txn_date, DATE '2001-06-30' AS cob_dt
+    FROM dim_customer LEFT JOIN a USING (customer_id) LEFT JOIN c USING (customer_id)""",
 )
 def transaction_summary(r: Roles) -> DataFrame:
-    credit = F.col("dc") == "C"
-    facts = r.account_txn.groupBy("customer_id").agg(
-        F.count("*").alias("n"), F.count_if(credit).alias("c"), F.count_if(~credit).alias("d"), zero(F.sum(F.when(credit, F.col("amount")))).alias("ca"), zero(F.sum(F.when(~credit, F.col("amount")))).alias("da"),
-        F.min("cob_dt").alias("first_day"), F.max("cob_dt").alias("last_day"),
+    """Account and card transactions of 30 business days, each in its newest copy as of DAY."""
+    recent = F.col("day").between(F.lit(DAY - dt.timedelta(days=30)), F.lit(DAY))
+    # A copy keeps its transaction's time, so older transactions need no resolution: the days are cut first.
+    newest = lambda rows, tie: latest_copy(rows.withColumn("day", business_date(F.col("txn_ts"))).where(recent), ["txn_id"], "cob_dt", DAY, ["txn_ts", "amount", tie])
+    accounts = newest(r.account_copies.select("txn_id", "customer_id", "txn_ts", "amount", "dc", "channel", "cob_dt"), "channel").groupBy("customer_id").agg(
+        F.count("*").alias("an"), F.sum(F.abs("amount")).alias("as"), F.count_if(F.col("dc") == "C").alias("credits"), F.count_if(F.col("dc") == "D").alias("debits"), F.max("txn_ts").alias("al")
+    )
+    cards = newest(r.card_copies.select("txn_id", "customer_id", "txn_ts", "amount", "txn_type", "status", "card_id", "cob_dt"), "card_id").where("status = 'SUCCESS'").groupBy("customer_id").agg(
+        F.count("*").alias("cn"), F.sum(F.when(~F.col("txn_type").isin(*GIVEN_BACK), F.col("amount"))).alias("cs"), F.max("txn_ts").alias("cl")
+    )
+    joined = r.customer.join(accounts, "customer_id", "left").join(cards, "customer_id", "left")
+    none = lambda c: F.coalesce(c, F.lit(0))
+    last = lambda c: F.coalesce(c, F.expr(NEVER_TS))
+    return joined.select(
+        "customer_id", "customer_sk", none("an").alias("acct_txn_count_30d"), zero(F.col("as")).alias("acct_txn_amount_30d"), none("credits").alias("acct_credit_count_30d"), none("debits").alias("acct_debit_count_30d"),
+        none("cn").alias("card_txn_count_30d"), zero(F.col("cs")).alias("card_txn_amount_30d"), (none("an") + none("cn")).alias("total_txn_count_30d"), money(zero(F.col("as")) + zero(F.col("cs"))).alias("total_txn_amount_30d"),
+        F.greatest(last("al"), last("cl")).alias("last_txn_date"), F.lit(DAY).alias("cob_dt"),
     )
-    joined = r.customer.join(facts, "customer_id", "left")
-    count = lambda c, name: F.coalesce(c, F.lit(0)).alias(name)
-    return joined.select("customer_id", count("n", "txns"), count("c", "credits"), count("d", "debits"), zero(F.col("ca")).alias("credit_amount"), zero(F.col("da")).alias("debit_amount"), "first_day", "last_day")
 
 
 @query("m8_rfm_segment", f"WITH {_ACTIVITY_SQL}, {_RFM_SQL} SELECT customer_id, customer_sk, recency_days, frequency, monetary, r_score, f_score, m_score, rfm_score, rfm_segment, DATE '2001-06-30' AS cob_dt FROM rfm JOIN dim_customer USING (customer_id)")

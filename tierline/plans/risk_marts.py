@@ -103,74 +103,6 @@ def aml_monitoring(r: Roles) -> DataFrame:
     )
 
 
-#: Days past due from which a debt is in groups 5 to 2 (fixed values).
-DEBT_STEPS = [(360, 5), (180, 4), (90, 3), (10, 2)]
-
-
-@query(
-    "m14_loan_delinquency",
-    """
-    WITH p AS (SELECT loan_id, days_late, row_number() OVER (PARTITION BY loan_id ORDER BY due DESC, payment_id DESC, days_late DESC) AS k FROM payment WHERE due <= DATE '2001-06-30'),
-    n AS (SELECT loan_id, max(CASE WHEN k = 1 THEN days_late END) AS dpd, max(CASE WHEN k = 2 THEN days_late END) AS dpd_prev FROM p WHERE k <= 2 GROUP BY loan_id),
-    l AS (SELECT loan_id, customer_id, loan_status, outstanding, CASE WHEN loan_status = 'WRITTEN_OFF' THEN NULL ELSE coalesce(dpd, 0) END AS dpd, dpd_prev FROM loan LEFT JOIN n USING (loan_id))
-    SELECT *, CASE WHEN loan_status = 'WRITTEN_OFF' THEN 5 WHEN dpd >= 360 THEN 5 WHEN dpd >= 180 THEN 4 WHEN dpd >= 90 THEN 3 WHEN dpd >= 10 THEN 2 ELSE 1 END AS debt_group,
-           CASE WHEN dpd_prev >= 360 THEN 5 WHEN dpd_prev >= 180 THEN 4 WHEN dpd_prev >= 90 THEN 3 WHEN dpd_prev >= 10 THEN 2 WHEN dpd_prev IS NULL THEN NULL ELSE 1 END AS prev_group FROM l""",
-)
-def loan_delinquency(r: Roles) -> DataFrame:
-    order = Window.partitionBy("loan_id").orderBy(F.desc("due"), F.desc("payment_id"), F.desc("days_late"))
-    due = r.payment.where(F.col("due") <= F.lit(DAY)).withColumn("k", F.row_number().over(order)).where("k <= 2")
-    nth = lambda k: F.max(F.when(F.col("k") == k, F.col("days_late")))
-    last = due.groupBy("loan_id").agg(nth(1).alias("d1"), nth(2).alias("dpd_prev"))
-    gone = F.col("loan_status") == "WRITTEN_OFF"
-    out = r.loan.join(last, "loan_id", "left").select("loan_id", "customer_id", "loan_status", "outstanding", F.when(~gone, F.coalesce("d1", F.lit(0))).alias("dpd"), "dpd_prev")
-    group = lambda c: ladder(F.col(c), DEBT_STEPS, 1)
-    return out.withColumns({"debt_group": F.when(gone, 5).otherwise(group("dpd")), "prev_group": F.when(F.col("dpd_prev").isNotNull(), group("dpd_prev"))})
-
-
-@query(
-    "m15_loan_portfolio",
-    """
-    WITH p AS (SELECT loan_id, count(*) AS n, count(*) FILTER (payment_status = 'LATE') AS late, sum(penalty) AS penalty FROM payment GROUP BY loan_id)
-    SELECT branch_name, product, count(*) AS loans, CAST(sum(outstanding) AS DECIMAL(18,2)) AS outstanding, CAST(coalesce(sum(CASE WHEN loan_status IN ('OVERDUE', 'WRITTEN_OFF') THEN outstanding END), 0) AS DECIMAL(18,2)) AS npl_proxy,
-           CAST(coalesce(sum(penalty), 0) AS DECIMAL(18,2)) AS penalty, CAST(coalesce(sum(late), 0) AS DOUBLE) / nullif(CAST(sum(n) AS DOUBLE), 0) AS late_rate
-    FROM loan JOIN dim_customer USING (customer_id) JOIN branch USING (branch_id) LEFT JOIN p USING (loan_id) GROUP BY branch_name, product""",
-)
-def loan_portfolio(r: Roles) -> DataFrame:
-    paid = r.payment.groupBy("loan_id").agg(F.count("*").alias("n"), F.count_if(F.col("payment_status") == "LATE").alias("late"), F.sum("penalty").alias("penalty"))
-    rows = r.loan.join(r.customer.select("customer_id", "branch_id"), "customer_id").join(r.branch, "branch_id").join(paid, "loan_id", "left")
-    bad = F.col("loan_status").isin("OVERDUE", "WRITTEN_OFF")
-    return rows.groupBy("branch_name", "product").agg(
-        F.count("*").alias("loans"), zero(F.sum("outstanding")).alias("outstanding"), zero(F.sum(F.when(bad, F.col("outstanding")))).alias("npl_proxy"), zero(F.sum("penalty")).alias("penalty"),
-        ratio(F.coalesce(F.sum("late"), F.lit(0)), F.sum("n")).alias("late_rate"),
-    )
-
-
-@query(
-    "m20_roll_rate",
-    """
-    WITH p AS (SELECT loan_id, CASE WHEN days_late >= 360 THEN 5 WHEN days_late >= 180 THEN 4 WHEN days_late >= 90 THEN 3 WHEN days_late >= 10 THEN 2 ELSE 1 END AS g, row_number() OVER (PARTITION BY loan_id ORDER BY due DESC, payment_id DESC, days_late DESC) AS k FROM payment WHERE due <= DATE '2001-06-30'),
-    n AS (SELECT loan_id, max(CASE WHEN k = 1 THEN g END) AS to_group, max(CASE WHEN k = 2 THEN g END) AS from_group FROM p GROUP BY loan_id)
-    SELECT from_group, CASE WHEN loan_status = 'WRITTEN_OFF' THEN 5 ELSE to_group END AS to_group, count(*) AS loans, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY from_group) AS roll_rate
-    FROM n JOIN loan USING (loan_id) WHERE from_group IS NOT NULL GROUP BY 1, 2""",
-)
-def roll_rate(r: Roles) -> DataFrame:
-    pairs = loan_delinquency(r).where("prev_group IS NOT NULL").groupBy(F.col("prev_group").alias("from_group"), F.col("debt_group").alias("to_group")).agg(F.count("*").alias("loans"))
-    total = F.sum("loans").over(Window.partitionBy("from_group"))
-    return pairs.withColumn("roll_rate", F.col("loans").cast("double") / total)
-
-
-@query(
-    "m21_loan_vintage",
-    """
-    SELECT strftime(disbursed, '%Y-%m') AS vintage, count(*) AS loans, CAST(sum(loan_amount) AS DECIMAL(18,2)) AS disbursed, count(*) FILTER (loan_status = 'OVERDUE') AS overdue,
-           CAST(count(*) FILTER (loan_status = 'OVERDUE') AS DOUBLE) / CAST(count(*) AS DOUBLE) AS overdue_rate FROM loan WHERE loan_status <> 'WRITTEN_OFF' GROUP BY 1""",
-)
-def loan_vintage(r: Roles) -> DataFrame:
-    overdue = F.count_if(F.col("loan_status") == "OVERDUE")
-    rows = r.loan.where("loan_status <> 'WRITTEN_OFF'").groupBy(F.date_format("disbursed", "yyyy-MM").alias("vintage"))
-    return rows.agg(F.count("*").alias("loans"), zero(F.sum("loan_amount")).alias("disbursed"), overdue.alias("overdue"), ratio(overdue, F.count("*")).alias("overdue_rate"))
-
-
 @query(
     "ml2_credit_features",
     """
@@ -234,15 +166,3 @@ def kpi_status(r: Roles) -> DataFrame:
     past = lambda c: F.col("value") * sign > F.col(c) * sign
     joined = semantic_metrics(r).join(F.broadcast(limits), "metric")
     return joined.select("metric", "dimension", "value", F.when(past("critical"), "CRITICAL").when(past("warning"), "WARNING").otherwise("OK").alias("status"))
-
-
-@query(
-    "ag7_latest_two_payments",
-    """
-    WITH p AS (SELECT loan_id, due, row_number() OVER (PARTITION BY loan_id ORDER BY due DESC, payment_id DESC, days_late DESC) AS k FROM payment)
-    SELECT loan_id, max(CASE WHEN k = 1 THEN due END) AS last_due, max(CASE WHEN k = 2 THEN due END) AS prior_due FROM p GROUP BY loan_id""",
-)
-def latest_two_payments(r: Roles) -> DataFrame:
-    order = Window.partitionBy("loan_id").orderBy(F.desc("due"), F.desc("payment_id"), F.desc("days_late"))
-    nth = lambda k: F.max(F.when(F.col("k") == k, F.col("due")))
-    return r.payment.withColumn("k", F.row_number().over(order)).groupBy("loan_id").agg(nth(1).alias("last_due"), nth(2).alias("prior_due"))

@@ -70,6 +70,20 @@ class Roles:
         owners = self.table("orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"))
         return lines.join(owners, "order_id").withColumns({"cob_dt": business_date(F.col("txn_ts")), "hour": business_hour(F.col("txn_ts"))})
 
+    def _with_copies(self, rows: DataFrame) -> DataFrame:
+        """As a store of daily snapshots has them: some rows come again on a later day, corrected, and some of these twice."""
+        k = F.col("txn_id")
+        again = lambda some, days: rows.where(some).withColumns({"amount": money(F.col("amount") + days), "cob_dt": F.date_add("cob_dt", days)})
+        return rows.unionByName(again(k % 10 == 3, 1)).unionByName(again(k % 50 == 13, 2))
+
+    @cached_property
+    def account_copies(self) -> DataFrame:
+        return self._with_copies(self.account_txn)
+
+    @cached_property
+    def card_copies(self) -> DataFrame:
+        return self._with_copies(self.card_txn)
+
     @cached_property
     def merchant(self) -> DataFrame:
         return self.table("supplier").select(F.col("s_suppkey").alias("merchant_id"), F.col("s_name").alias("merchant_name"), F.col("s_nationkey").alias("branch_id"), (F.col("s_nationkey") % 5).alias("mcc"))
@@ -83,6 +97,12 @@ class Roles:
             money(money(F.col("o_totalprice")) * (F.col("o_orderkey") % 7).cast("int")).alias("outstanding"), F.col("o_orderdate").cast("date").alias("disbursed"),
         )
 
+    @cached_property
+    def loan_terms(self) -> DataFrame:
+        """Loans with what a branch adds to them: its code (null or unknown for some), a rate and a term."""
+        k = F.col("loan_id")
+        return self.loan.withColumns({"branch_code": F.when(k % 13 != 0, k % 27), "interest_rate": ((k % 120) / F.lit(10)).cast("decimal(5,2)"), "term_months": (k % 10 * 6 + 6).cast("int")})
+
     @cached_property
     def payment(self) -> DataFrame:
         """Order lines as loan instalments."""
@@ -161,6 +181,11 @@ class Roles:
         )
 
 
+def _copies_sql(rows: str) -> str:
+    again = lambda some, days: f"SELECT * REPLACE (CAST(amount + {days} AS DECIMAL(18,2)) AS amount, CAST(cob_dt + {days} AS DATE) AS cob_dt) FROM {rows} WHERE {some}"
+    return f"SELECT * FROM {rows} UNION ALL {again('txn_id % 10 = 3', 1)} UNION ALL {again('txn_id % 50 = 13', 2)}"
+
+
 #: The same tables for DuckDB, by name; each may use those before it.
 SQL: dict[str, str] = {
     "branch": "SELECT n_nationkey AS branch_id, n_name AS branch_name, r_name AS city FROM nation JOIN region ON n_regionkey = r_regionkey",
@@ -184,11 +209,16 @@ SQL: dict[str, str] = {
                  CASE WHEN l_linestatus = 'F' THEN 'SUCCESS' ELSE 'FAILED' END AS status, CASE WHEN l_linenumber % 2 = 0 THEN 'QR' ELSE 'POS' END AS pay_channel,
                  l_linenumber AS line, CAST(l_quantity AS INTEGER) AS quantity, l_discount AS discount, o_custkey AS customer_id
           FROM lineitem JOIN orders ON o_orderkey = l_orderkey)""",
+    "account_copies": _copies_sql("account_txn"),
+    "card_copies": _copies_sql("card_txn"),
     "merchant": "SELECT s_suppkey AS merchant_id, s_name AS merchant_name, s_nationkey AS branch_id, s_nationkey % 5 AS mcc FROM supplier",
     "loan": """
         SELECT o_orderkey AS loan_id, o_custkey AS customer_id, o_orderpriority AS product,
                CASE WHEN o_orderkey % 11 = 0 THEN 'WRITTEN_OFF' WHEN o_orderstatus = 'F' THEN 'CLOSED' WHEN o_orderstatus = 'P' THEN 'OVERDUE' ELSE 'ACTIVE' END AS loan_status,
                CAST(o_totalprice AS DECIMAL(18,2)) AS loan_amount, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * CAST(o_orderkey % 7 AS INTEGER) AS DECIMAL(18,2)) AS outstanding, CAST(o_orderdate AS DATE) AS disbursed FROM orders""",
+    "loan_terms": """
+        SELECT *, CASE WHEN loan_id % 13 <> 0 THEN loan_id % 27 END AS branch_code, CAST(CAST(loan_id % 120 AS DOUBLE) / 10 AS DECIMAL(5,2)) AS interest_rate,
+               CAST(loan_id % 10 * 6 + 6 AS INTEGER) AS term_months FROM loan""",
     "payment": """
         SELECT l_orderkey * 10 + l_linenumber AS payment_id, l_orderkey AS loan_id, CAST(l_shipdate AS DATE) AS due, CAST(d AS INTEGER) AS days_late,
                CASE WHEN d >= 300 THEN 'MISSED' WHEN d % 5 = 0 THEN 'LATE' ELSE 'PAID' END AS payment_status, CAST(l_extendedprice AS DECIMAL(18,2)) AS scheduled,

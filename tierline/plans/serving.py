@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import ratio
-from tierline.plans import customer_marts, merchant_marts, risk_marts
+from tierline.plans import credit_marts, customer_marts, merchant_marts, risk_marts
 from tierline.plans.registry import ORACLES, query
 from tierline.plans.roles import DAY, Roles
 from tierline.sources.tables import serve_slice
@@ -29,10 +29,10 @@ SERVED: dict[str, tuple[Callable[[Roles], DataFrame], str]] = {
     "campaign_target_current": (customer_marts.campaign_target, "m11_campaign_target"),
     "fraud_risk_txn_current": (risk_marts.fraud_risk, "m12_fraud_risk"),
     "aml_monitoring_current": (risk_marts.aml_monitoring, "m13_aml_monitoring"),
-    "loan_delinquency_current": (risk_marts.loan_delinquency, "m14_loan_delinquency"),
-    "loan_portfolio_risk_current": (risk_marts.loan_portfolio, "m15_loan_portfolio"),
-    "loan_roll_rate_current": (risk_marts.roll_rate, "m20_roll_rate"),
-    "loan_vintage_current": (risk_marts.loan_vintage, "m21_loan_vintage"),
+    "loan_delinquency_current": (credit_marts.loan_delinquency, "m14_loan_delinquency"),
+    "loan_portfolio_risk_current": (credit_marts.loan_portfolio, "m15_loan_portfolio"),
+    "loan_roll_rate_current": (credit_marts.roll_rate, "m20_roll_rate"),
+    "loan_vintage_current": (credit_marts.loan_vintage, "m21_loan_vintage"),
     "merchant_ranking_current": (merchant_marts.merchant_ranking, "m18_merchant_ranking"),
     "region_monthly_summary_current": (merchant_marts.region_monthly, "m19_region_monthly"),
 }
@@ -65,7 +65,7 @@ def _customer_tests_sql() -> str:
     UNION ALL SELECT 'no_duplicate_customers', (SELECT count(*) FROM (SELECT customer_id FROM m GROUP BY customer_id HAVING count(*) > 1))
     UNION ALL SELECT 'customer_360_complete', CAST((SELECT CASE WHEN count(*) < 1000 OR count(*) FILTER (customer_segment = 'BUILDING') = 0 OR count(*) FILTER (customer_segment = 'VIP') = 0 OR count(*) FILTER (kyc_status = 'VERIFIED') = 0 THEN 1 ELSE 0 END FROM m) AS BIGINT)
     UNION ALL SELECT 'rfm_scores_valid', count(*) FROM f WHERE rfm_score < 1 OR rfm_score > 100 OR rfm_segment IS NULL
-    UNION ALL SELECT 'loan_rates_bounded', count(*) FROM l WHERE late_rate < 0 OR late_rate > 1
+    UNION ALL SELECT 'loan_rates_bounded', count(*) FROM l WHERE late_payment_rate < 0 OR late_payment_rate > 1
     UNION ALL SELECT 'rfm_is_reachable', CAST((SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM f) AS BIGINT)
     UNION ALL SELECT 'snapshots_aligned', CAST((SELECT count(*) FILTER (cob_dt <> DATE '{DAY}') FROM m) + (SELECT count(*) FILTER (cob_dt <> DATE '{DAY}') FROM f) AS BIGINT)
     UNION ALL SELECT 'age_in_range', count(*) FROM m WHERE age < 0 OR age > 60
@@ -93,7 +93,7 @@ def serving_tests(r: Roles) -> DataFrame:
     )
     twice = served(r, "mart_customer_360_current").groupBy("customer_id").count().where("count > 1").agg(F.count("*").alias("no_duplicate_customers"))
     rfm = served(r, "rfm_segment_current").agg((out_of_range("rfm_score", *SCORES) + F.count_if(F.col("rfm_segment").isNull())).alias("rfm_scores_valid"), failed(F.count("*") == 0).alias("rfm_is_reachable"), F.count_if(day).alias("f_days"))
-    loans = served(r, "loan_portfolio_risk_current").agg(out_of_range("late_rate", 0, 1).alias("loan_rates_bounded"))
+    loans = served(r, "loan_portfolio_risk_current").agg(out_of_range("late_payment_rate", 0, 1).alias("loan_rates_bounded"))
     row = mart.crossJoin(twice).crossJoin(rfm).crossJoin(loans).withColumn("snapshots_aligned", F.col("m_days") + F.col("f_days")).drop("m_days", "f_days")
     return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("test_name"), F.col(c).alias("failures")) for c in row.columns])).alias("t")).select("t.*")
 

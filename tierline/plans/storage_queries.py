@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tierline.functions.columns import money, zero
 from tierline.functions.time import business_date, business_window
+from tierline.operators import scd
 from tierline.plans.registry import query
 from tierline.plans.roles import DAY, Roles
 from tierline.plans.stream_queries import _kept, _shared
@@ -135,3 +136,16 @@ def clustered(r: Roles) -> DataFrame:
     whole = back.agg(span("a").alias("wa"), span("c").alias("wc"), F.count("*").alias("n"), zero(F.sum("amount")).alias("amount"))
     files = back.groupBy("file").agg(span("a").alias("fa"), span("c").alias("fc")).agg(F.avg("fa").alias("fa"), F.avg("fc").alias("fc"))
     return _kept(whole.crossJoin(F.broadcast(files)).select("n", "amount", ((F.col("fa") * F.col("fc")) < F.col("wa") * F.col("wc") / 3).alias("files_are_narrow")), folder)
+
+
+@query(
+    "wn1_latest_copy",
+    "SELECT txn_id, customer_id, amount, cob_dt FROM (SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY cob_dt DESC) AS rn FROM account_copies WHERE cob_dt BETWEEN DATE '2001-06-01' AND DATE '2001-06-30') WHERE rn = 1",
+)
+def newest_copies(r: Roles) -> DataFrame:
+    """A month of stored days, some of whose rows came again, corrected, on a later day; a day after the month is stored too."""
+    folder = _shared(r)
+    rows = r.account_copies.where(F.col("cob_dt").between(F.lit(dt.date(2001, 6, 1)), F.lit(dt.date(2001, 7, 3))))
+    writes.append(rows.select("txn_id", "customer_id", "amount", "cob_dt"), f"{folder}/days", "cob_dt")
+    stored = r.spark.read.parquet(f"{folder}/days")
+    return _kept(scd.latest_copy(stored, ["txn_id"], "cob_dt", DAY).select("txn_id", "customer_id", "amount", "cob_dt"), folder)
