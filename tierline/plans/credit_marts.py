@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import flag, ladder, ratio, zero
+from tierline.operators.metrics import Catalogue, Measure, Metric, Model
 from tierline.operators.ranking import last_two
 from tierline.plans.registry import query
 from tierline.plans.roles import DAY, Roles
@@ -136,3 +137,92 @@ def latest_two_payments(r: Roles) -> DataFrame:
     last = last_two(r.payment.select("loan_id", F.unix_date("due").alias("day"), "payment_id"), "loan_id", [("day", 6), ("payment_id", 19)])
     date = lambda c: F.date_from_unix_date(F.col(c).cast("int"))
     return last.select("loan_id", date("last.day").alias("last_due"), date("prior.day").alias("prior_due"))
+
+
+def catalogue(r: Roles) -> Catalogue:
+    """The bank's metrics of credit; NPL is what is overdue by days, not by a loan's status."""
+    loans = Model(
+        "loan_delinquency", lambda: loan_delinquency(r), "loan", {"loan": "loan_id", "customer": "customer_id"},
+        {c: c for c in ("cob_dt", "dpd_bucket", "prev_dpd_bucket", "debt_group", "loan_status", "vintage_month", "branch_code", "product_code")},
+        {
+            "loan_count": Measure("count", "loan_id"), "outstanding": Measure("sum", "outstanding_balance"), "on_book_outstanding": Measure("sum", "CASE WHEN debt_group IS NOT NULL THEN outstanding_balance ELSE 0 END"),
+            "npl_outstanding": Measure("sum", "CASE WHEN is_npl = 1 THEN outstanding_balance ELSE 0 END"), "npl_loans": Measure("sum", "is_npl"), "ever_30_plus_loans": Measure("sum", "ever_30_plus"), "ever_90_plus_loans": Measure("sum", "ever_90_plus"),
+        },
+    )
+    portfolio = Model(
+        "loan_portfolio_risk", lambda: loan_portfolio(r), "branch_product", {"branch_product": "concat_ws('|', branch_code, product_code)"}, {c: c for c in ("cob_dt", "branch_code", "product_code")},
+        {"payment_count": Measure("sum", "payment_count"), "late_payment_count": Measure("sum", "late_payment_count")},
+    )
+    customers = Model("customer", lambda: r.customer, "customer", {"customer": "customer_id"}, {"segment": "segment"})
+    simple = {n: Metric(n) for n in ("loan_count", "on_book_outstanding", "npl_outstanding", "ever_30_plus_loans", "ever_90_plus_loans", "payment_count", "late_payment_count")}
+    return Catalogue(
+        [loans, portfolio, customers],
+        simple | {
+            "total_outstanding": Metric("outstanding"), "npl_loan_count": Metric("npl_loans"), "npl_ratio": Metric("npl_outstanding", "on_book_outstanding"), "ever_30_plus_rate": Metric("ever_30_plus_loans", "loan_count"),
+            "ever_90_plus_rate": Metric("ever_90_plus_loans", "loan_count"), "late_payment_rate": Metric("late_payment_count", "payment_count"),
+        },
+    )
+
+
+_SUMS_SQL = """count(loan_id) AS loan_count, CAST(sum(outstanding_balance) AS DOUBLE) AS outstanding, CAST(sum(CASE WHEN debt_group IS NOT NULL THEN outstanding_balance ELSE 0 END) AS DOUBLE) AS on_book,
+             CAST(sum(CASE WHEN is_npl = 1 THEN outstanding_balance ELSE 0 END) AS DOUBLE) AS npl, CAST(sum(is_npl) AS DOUBLE) AS npl_loans, CAST(sum(ever_30_plus) AS DOUBLE) AS e30, CAST(sum(ever_90_plus) AS DOUBLE) AS e90"""
+
+
+@query(
+    "m26_semantic_metrics",
+    f"""
+    WITH {_DELINQUENCY_SQL},
+    g AS (
+      SELECT concat_ws(',', CASE WHEN grouping(loan_status) = 0 THEN 'loan_status' END, CASE WHEN grouping(product_code) = 0 THEN 'product_code' END, CASE WHEN grouping(segment) = 0 THEN 'customer__segment' END) AS grain,
+             loan_status, product_code, segment AS customer__segment, {_SUMS_SQL}
+      FROM delinquency LEFT JOIN dim_customer USING (customer_id) GROUP BY GROUPING SETS ((), (loan_status), (product_code), (segment), (product_code, segment)))
+    SELECT metric, grain, loan_status, product_code, customer__segment, value FROM g, LATERAL (VALUES
+      ('npl_ratio', npl / nullif(on_book, 0)), ('ever_30_plus_rate', e30 / nullif(loan_count, 0)), ('ever_90_plus_rate', e90 / nullif(loan_count, 0)), ('loan_count', CAST(loan_count AS DOUBLE)),
+      ('npl_loan_count', npl_loans), ('total_outstanding', outstanding), ('npl_outstanding', npl), ('on_book_outstanding', on_book)) AS v(metric, value)""",
+)
+def semantic_metrics(r: Roles) -> DataFrame:
+    """Eight metrics of loans by three dimensions, one of them of the customer, one by one, two together and in total: one scan of loans."""
+    names = ["npl_ratio", "ever_30_plus_rate", "ever_90_plus_rate", "loan_count", "npl_loan_count", "total_outstanding", "npl_outstanding", "on_book_outstanding"]
+    status, product, segment = by = ["loan_status", "product_code", "customer__segment"]
+    return catalogue(r).query(names, by, [(), (status,), (product,), (segment,), (product, segment)])
+
+
+@query(
+    "m26_metrics_of_two_models",
+    f"""
+    WITH {_DELINQUENCY_SQL},
+    l AS (SELECT CASE WHEN grouping(product_code) = 0 THEN 'product_code' ELSE '' END AS grain, product_code, {_SUMS_SQL} FROM delinquency GROUP BY GROUPING SETS ((), (product_code))),
+    p AS (SELECT CASE WHEN grouping(product) = 0 THEN 'product_code' ELSE '' END AS grain, product AS product_code, CAST(count(payment_id) AS DOUBLE) AS n, CAST(count(*) FILTER (payment_status = 'LATE') AS DOUBLE) AS late
+          FROM loan JOIN payment USING (loan_id) GROUP BY GROUPING SETS ((), (product)))
+    SELECT metric, l.grain, l.product_code, value FROM l JOIN p ON l.grain = p.grain AND l.product_code IS NOT DISTINCT FROM p.product_code, LATERAL (VALUES
+      ('npl_ratio', npl / nullif(on_book, 0)), ('late_payment_rate', late / nullif(n, 0)), ('payment_count', n)) AS v(metric, value)""",
+)
+def metrics_of_two_models(r: Roles) -> DataFrame:
+    """Metrics of loans and of the portfolio side by side; a late rate is made from counts, not from rates of branches."""
+    return catalogue(r).query(["npl_ratio", "late_payment_rate", "payment_count"], ["product_code"], [(), ("product_code",)])
+
+
+#: (metric, warning, critical, which side is bad).
+THRESHOLDS = [("npl_ratio", 0.50, 0.75, "above"), ("late_payment_rate", 0.10, 0.12, "above"), ("loan_count", 3_000.0, 2_950.0, "below")]
+_LIMITS_SQL = ", ".join(f"('{m}', {w}::DOUBLE, {c}::DOUBLE, '{s}')" for m, w, c, s in THRESHOLDS)
+
+
+@query(
+    "m27_kpi_status",
+    f"""
+    WITH {_DELINQUENCY_SQL},
+    l AS (SELECT product_code, {_SUMS_SQL} FROM delinquency GROUP BY 1),
+    p AS (SELECT product AS product_code, CAST(count(payment_id) AS DOUBLE) AS n, CAST(count(*) FILTER (payment_status = 'LATE') AS DOUBLE) AS late FROM loan JOIN payment USING (loan_id) GROUP BY 1),
+    m AS (SELECT metric, product_code, value FROM l JOIN p USING (product_code), LATERAL (VALUES ('npl_ratio', npl / nullif(on_book, 0)), ('late_payment_rate', late / nullif(n, 0)), ('loan_count', CAST(loan_count AS DOUBLE))) AS v(metric, value)),
+    t AS (SELECT * FROM (VALUES {_LIMITS_SQL}) AS v(metric, warning, critical, side))
+    SELECT metric, product_code, value, CASE WHEN (side = 'above' AND value > critical) OR (side = 'below' AND value < critical) THEN 'CRITICAL'
+                                             WHEN (side = 'above' AND value > warning) OR (side = 'below' AND value < warning) THEN 'WARNING' ELSE 'OK' END AS status
+    FROM m JOIN t USING (metric)""",
+)
+def kpi_status(r: Roles) -> DataFrame:
+    """Each metric against its two limits, above or below which it is bad."""
+    limits = r.spark.createDataFrame(THRESHOLDS, "metric string, warning double, critical double, side string")
+    sign = F.when(F.col("side") == "above", 1.0).otherwise(-1.0)
+    past = lambda c: F.col("value") * sign > F.col(c) * sign
+    joined = catalogue(r).query([m for m, *_ in THRESHOLDS], ["product_code"]).join(F.broadcast(limits), "metric")
+    return joined.select("metric", "product_code", "value", F.when(past("critical"), "CRITICAL").when(past("warning"), "WARNING").otherwise("OK").alias("status"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from tierline.plans.registry import query
 from tierline.plans.roles import Roles
 from tierline.sources.shared import durable, remove_folder, shared_folder
 from tierline.streaming import events as ev
+from tierline.streaming import stateful
 
 SPEC = ev.StreamSpec("online", ("event_id",), {"event_id": "bigint", "customer_id": "bigint", "amount": "decimal(18,2)"}, ("event_id",), "10 minutes", "seg", ("customer_id",))
 
@@ -106,3 +108,53 @@ def replays(r: Roles) -> DataFrame:
     batch = rows.unionByName(again).withColumn("fingerprint", ev.fingerprint(F.col("body")))
     ledger = rows.where("event_id % 7 = 0").select("topic", "event_id", ev.fingerprint(F.when(F.col("event_id") % 3 == 0, "changed").otherwise(F.col("body"))).alias("fingerprint"))
     return ev.classify_replays(batch, ledger).select("offset", "verdict")
+
+
+_PAYMENT = "event_id bigint, ts timestamp_ntz, merchant_id bigint, amount decimal(18,2), pay_channel string, status string"
+
+
+@query(
+    "st10_latest_payment_stream",
+    "SELECT merchant_id, event_id, ts, amount, pay_channel FROM (SELECT *, row_number() OVER (PARTITION BY merchant_id ORDER BY ts DESC, event_id DESC) AS k FROM event WHERE status = 'SUCCESS') WHERE k = 1",
+)
+def latest_payment_stream(r: Roles) -> DataFrame:
+    """Payments in three parts of mixed times, each a micro-batch of a stream that is started again for it."""
+    folder = _shared(r)
+    for part in range(3):
+        r.event.where(F.col("event_id") % 3 == part).select(*[c.split(" ")[0] for c in _PAYMENT.split(", ")]).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stateful.run_latest_payments(ev.file_stream(r.spark, f"{folder}/in", _PAYMENT), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return _kept(stateful.read_latest_payments(r.spark, f"{folder}/out"), folder)
+
+
+@query(
+    "st12_once_each",
+    """WITH b AS (SELECT event_id, event_id % 3 AS part FROM events),
+    again AS (SELECT event_id, part + 1 AS part, CASE WHEN event_id % 20 = 0 THEN 'CONFLICT' ELSE 'REPLAY' END AS verdict FROM b WHERE event_id % 10 = 0 AND part < 2)
+    SELECT event_id, part AS batch, 'NEW' AS verdict FROM b UNION ALL SELECT event_id, part, verdict FROM again""",
+)
+def once_each(r: Roles) -> DataFrame:
+    """Events in three batches; some come again in a later one, as they were or changed. The second batch stops between its
+    effect and its record, and is redone."""
+    folder = _shared(r)
+    rows = r.table("events").select(F.lit("online").alias("topic"), "event_id", F.col("event_type").alias("payload"), F.col("event_id").alias("offset"), (F.col("event_id") % 3).alias("part"))
+    again = rows.where("event_id % 10 = 0 AND part < 2").withColumns({"part": F.col("part") + 1, "offset": F.col("offset") + 1_000_000, "payload": F.when(F.col("event_id") % 20 == 0, "other").otherwise(F.col("payload"))})
+    stops = [1]
+
+    def effect(new: DataFrame, number: int) -> None:
+        new.select("event_id").write.mode("overwrite").parquet(f"{folder}/effects/batch={number}")
+        if number in stops:
+            stops.remove(number)
+            raise RuntimeError("stopped")
+
+    for part in range(3):
+        rows.unionByName(again).where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        for _ in range(2):
+            stream = ev.file_stream(r.spark, f"{folder}/in", "topic string, event_id bigint, payload string, offset bigint")
+            try:
+                stateful.run_once_each(stream, f"{folder}/ledger", f"{folder}/out", f"{folder}/checkpoint", effect).awaitTermination()
+                break
+            except StreamingQueryException:  # as a scheduler would, start it again
+                pass
+    done = r.spark.read.parquet(f"{folder}/effects").select("event_id", F.col("batch").cast("long").alias("batch"), F.lit("NEW").alias("verdict"))
+    rejected = r.spark.read.parquet(f"{folder}/out/rejected").select("event_id", F.col("batch_id").cast("long").alias("batch"), "verdict")
+    return _kept(done.unionByName(rejected), folder)
