@@ -192,7 +192,7 @@ def test_quantiles_are_exact(spark):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(5)
     at = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     assert ranking.quantiles(df, "v", at) == pytest.approx(np.quantile(values, at).tolist())
-    assert ranking.quantiles(df.limit(0), "v", at) == [None] * 6 and ranking.slices_for(10**9) == 256 and ranking.slices_for(1) == 1
+    assert ranking.quantiles(df.limit(0), "v", at) == [None] * 6 and ranking.slices_for(10**9) == 4000 and ranking.slices_for(1) == 1
 
 
 def test_merchants_with_a_steady_cash_flow_are_told_to_save(spark):
@@ -408,3 +408,41 @@ def test_latest_copy_moves_only_rows_with_copies(spark):
     newest = scd.latest_copy(df, ["k"], "cob_dt", D(2026, 1, 3), ["v"])
     assert sorted((r["k"] or 0, r["v"]) for r in newest.collect()) == [(0, 1), (0, 2), (1, 11), (2, 20), (3, 31)]
     assert scd.latest_copy(df.limit(0), ["k"], "cob_dt", D(2026, 1, 3)).count() == 0
+
+
+def test_quantiles_and_slices_of_repeated_values(spark):
+    values = [7.0] * 400 + [float(i % 90) for i in range(700)] + [0.5 * i for i in range(300)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(5)
+    at = [0.0, 0.1, 0.25, 1 / 3, 0.5, 0.75, 0.99, 1.0]
+    assert ranking.quantiles(df, "v", at) == pytest.approx(np.quantile(values, at).tolist())
+    points = ranking.split_points(df.where("v IS NOT NULL"), [F.col("v")], 16, len(values))
+    assert len(points) == len(set(points)) >= 8
+    kinds = df.select(F.struct(F.col("v").alias("k0")).alias("k")).schema["k"].dataType
+    sizes = df.where("v IS NOT NULL").groupBy(ranking.slice_of(F.struct(F.col("v").alias("k0")), points, kinds).alias("s")).agg(F.count("*").alias("n"), F.max(F.when(F.col("v") == 7, 1).otherwise(0)).alias("hot")).collect()
+    assert max(r["n"] for r in sizes if not r["hot"]) < 250  # no slice but that of the value that many share is large
+
+
+def test_checks_read_a_table_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(i % 50, i % 7, None if i % 9 == 0 else i) for i in range(100)], "a int, b int, c int").write.parquet(path)
+    df = spark.read.parquet(path)
+    found = checks.run_checks(df, "t", [checks.Check("unique", "a"), checks.Check("unique", "b"), checks.Check("unique", "c"), checks.Check("not_null", "c"), checks.Check("row_count", low=1)])
+    assert {r["check_name"]: r["failed"] for r in found.collect()} == {"unique:a": 50, "unique:b": 93, "unique:c": 11, "not_null:c": 12, "row_count": 0}
+    initial = found._jdf.queryExecution().sparkPlan().toString()
+    assert initial.count("FileScan parquet") == 1
+
+
+def test_metrics_are_refused_where_they_mean_nothing(spark):
+    from tierline.operators.metrics import Catalogue, Measure, Metric, Model
+
+    sales = spark.createDataFrame([(1, "x", 10, 4), (2, "x", 20, 1), (3, "y", 5, 5), (None, "y", 7, 0)], "shop int, kind string, n int, bad int")
+    shops = spark.createDataFrame([(1, "north"), (2, "south")], "id int, area string")
+    model = Model("sales", lambda: sales, "sale", {"sale": "concat(shop, kind)", "shop": "shop"}, {"kind": "kind"}, {"n": Measure("sum", "n"), "bad": Measure("sum", "bad")})
+    shop = Model("shops", lambda: shops, "shop", {"shop": "id"}, {"area": "area"})
+    metrics = Catalogue([model, shop], {"n": Metric("n"), "bad_rate": Metric("bad", "n")})
+    got = {(r["grain"], r["kind"], r["shop__area"]): r["value"] for r in metrics.query(["bad_rate"], ["kind", "shop__area"], [(), ("kind",), ("shop__area",)]).collect()}
+    assert got == {("", None, None): 10 / 42, ("kind", "x", None): 5 / 30, ("kind", "y", None): 5 / 12, ("shop__area", None, "north"): 0.4, ("shop__area", None, "south"): 0.05, ("shop__area", None, None): 5 / 12}
+    assert metrics.query(["n"]).collect()[0]["value"] == 42.0
+    for bad in (lambda: metrics.query(["nothing"]), lambda: metrics.query(["n"], ["shop__name"]), lambda: metrics.query(["n"], ["kind"], [("other",)]), lambda: Catalogue([model], {"x": Metric("y")}), lambda: Catalogue([model, model], {})):
+        with pytest.raises(ValueError):
+            bad()

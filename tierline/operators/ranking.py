@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import bisect
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierline.sources.shared import durable
+
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rn", slices: int = 64) -> DataFrame:
     """df with name, 1 for the first row in order, and so on; order must be total, or ties fall either way.
@@ -21,13 +25,34 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rn",
     return local.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_local")).drop("_part", "_local", "_before")
 
 
-def split_points(df: DataFrame, order: Sequence[Column], slices: int) -> list:
-    """At most slices - 1 rows of order values that part df about evenly, from a sample of bounded size."""
+def split_points(df: DataFrame, order: Sequence[Column], slices: int, rows: int) -> list:
+    """At most slices - 1 rows of order values that part df, of so many rows, about evenly, from a sample of bounded size.
+
+    The sample is of rows, so a value that many rows share is as often in it; points that repeat are one, and such a value's
+    rows are a slice of their own.
+    """
+    want = min(50 * slices, SAMPLE)
     keys = df.select(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]).alias("k"))
-    hashed = keys.orderBy(F.xxhash64("k")).limit(50 * slices)
-    rows = [r["k"] for r in hashed.orderBy("k").collect()]
-    step = max(1, len(rows) // slices)
-    return rows[step::step][: slices - 1]
+    some = keys if rows <= want else keys.sample(min(1.0, 1.2 * want / rows), seed=1)
+    found = [r["k"] for r in some.limit(2 * want).orderBy("k").collect()]
+    step = max(1, len(found) // slices)
+    points = found[step::step][: slices - 1]
+    return [p for n, p in enumerate(points) if not n or p != points[n - 1]]
+
+
+def slice_of(key: Column, points: Sequence, kinds) -> Column:
+    """How many of the sorted points are at or below key, by halving them."""
+    if not points:
+        return F.lit(0)
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        fixed = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(points[middle], kinds.fields, strict=True)])
+        return F.when(key >= fixed, between(middle + 1, high)).otherwise(between(low, middle))
+
+    return between(0, len(points))
 
 
 def ranked(df: DataFrame, order: Sequence[Column], name: str = "rn", slices: int | None = None, of: DataFrame | None = None) -> DataFrame:
@@ -38,14 +63,10 @@ def ranked(df: DataFrame, order: Sequence[Column], name: str = "rn", slices: int
     that is cheaper to read twice than df, such as a durable copy of what df was made from.
     """
     of = df if of is None else of
-    slices = slices_for(of.count()) if slices is None else slices
-    points = split_points(of, order, slices)
+    total = of.count()
+    points = split_points(of, order, slices_for(total) if slices is None else slices, total)
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
-    kinds = df.select(key.alias("k")).schema["k"].dataType
-    slice_ = F.lit(0)
-    for p in points:
-        fixed = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(p, kinds.fields, strict=True)])
-        slice_ = slice_ + F.when(key >= fixed, 1).otherwise(0)
+    slice_ = slice_of(key, points, df.select(key.alias("k")).schema["k"].dataType)
     rows = df.withColumn("_slice", slice_)
     counts = of.groupBy(slice_.alias("_slice")).agg(F.count("*").alias("_rows"))
     before = counts.select("_slice", (F.sum("_rows").over(Window.orderBy("_slice")) - F.col("_rows")).alias("_before"))
@@ -61,8 +82,8 @@ def tile_of(rank: Column, rows: Column, tiles: int) -> Column:
     return F.when(r < wide, F.floor(r / (base + 1)) + 1).otherwise(extra + F.floor((r - wide) / F.greatest(base, F.lit(1))) + 1).cast("int")
 
 
-#: Rows of a slice, and slices of a table, at most: each slice is one comparison a row.
-SLICE_ROWS, SLICES = 250_000, 256
+#: Rows of a slice, about; slices of a table, at most; and rows of the sample that parts it. A row is compared with log2(slices) points.
+SLICE_ROWS, SLICES, SAMPLE = 250_000, 4096, 50_000
 
 
 def slices_for(rows: int) -> int:
@@ -78,15 +99,28 @@ def ntile(df: DataFrame, tiles: int, order: Sequence[Column], name: str, rows: i
 def quantiles(df: DataFrame, column: str, at: Sequence[float]) -> list[float | None]:
     """Exact quantiles, between two values in proportion: the values at the wanted ranks, of which there are two each at most.
 
-    Only these come to the driver; no task holds more than a slice of the column.
+    Rows are first counted by value, so a value that a third of them have is one row. The values are parted in slices, whose
+    counts are added up before them, and only slices that hold a wanted rank are sorted.
     """
-    rows = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    n = rows.count()
-    if not n:
+    counts = durable(df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull()).groupBy("v").agg(F.count("*").alias("n")))
+    distinct = counts.count()
+    if not distinct:
         return [None] * len(at)
+    key = F.struct(F.col("v").alias("k0"))
+    points = split_points(counts, [F.col("v")], slices_for(distinct), distinct)
+    sliced = counts.withColumn("_slice", slice_of(key, points, counts.select(key.alias("k")).schema["k"].dataType))
+    sums = sorted(sliced.groupBy("_slice").agg(F.sum("n").alias("n")).collect())  # one row a slice
+    ends = list(itertools.accumulate(n for _, n in sums))
+    n = ends[-1]
     spots = [q * (n - 1) for q in at]
     wanted = sorted({int(s) + k for s in spots for k in (1, 2) if int(s) + k <= n})
-    found = {r["rn"]: r["v"] for r in ranked(rows, [F.col("v")], "rn", slices_for(n)).where(F.col("rn").isin(wanted)).collect()}
+    holding = {bisect.bisect_left(ends, w) for w in wanted}
+    before = {sums[h][0]: ends[h] - sums[h][1] for h in holding}
+    run = Window.partitionBy("_slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ahead = F.coalesce(*[F.when(F.col("_slice") == k, F.lit(b)) for k, b in before.items()])
+    own = sliced.where(F.col("_slice").isin(*before)).withColumn("_upto", ahead + F.sum("n").over(run))
+    held = F.filter(F.array(*map(F.lit, wanted)), lambda w: (w <= F.col("_upto")) & (w > F.col("_upto") - F.col("n")))
+    found = {r["rank"]: r["v"] for r in own.select("v", F.explode(held).alias("rank")).collect()}
     return [found[int(s) + 1] + (s - int(s)) * (found.get(int(s) + 2, found[int(s) + 1]) - found[int(s) + 1]) for s in spots]
 
 
