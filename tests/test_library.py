@@ -446,3 +446,19 @@ def test_metrics_are_refused_where_they_mean_nothing(spark):
     for bad in (lambda: metrics.query(["nothing"]), lambda: metrics.query(["n"], ["shop__name"]), lambda: metrics.query(["n"], ["kind"], [("other",)]), lambda: Catalogue([model], {"x": Metric("y")}), lambda: Catalogue([model, model], {})):
         with pytest.raises(ValueError):
             bad()
+
+
+def test_layers_are_counted_from_footers(spark, tmp_path):
+    from tierline.operators import invariants
+
+    rows = spark.createDataFrame([(i, D(2026, 1, 1 + i % 3), dt.datetime(2026, 1, 1 + i % 3, 12)) for i in range(90)], "id int, cob_dt date, ts timestamp_ntz")
+    path = str(tmp_path / "layer")
+    rows.unionByName(rows.where("id = 5")).write.partitionBy("cob_dt").parquet(path)
+    counts = invariants.footer_counts(spark, path, "cob_dt")
+    assert {r["cob_dt"].day: r["n"] for r in counts.collect()} == {1: 30, 2: 30, 3: 31}
+    assert "PushedAggregation: [COUNT(*)]" in counts._jdf.queryExecution().toString() and spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    layers = [invariants.Layer(n, path, ("id",), "cob_dt", whole=w, ts=t, expected=e) for n, w, t, e in (("facts", True, "ts", 91), ("mart", False, None, None), ("short", True, None, 7))]
+    got = {r["layer"]: r.asDict() for r in invariants.layer_report(spark, layers, D(2026, 1, 3)).collect()}
+    assert (got["facts"]["rows"], got["facts"]["distinct_keys"], got["facts"]["repeated_keys"], got["facts"]["diverging"], got["facts"]["status"]) == (91, 90, 1, 0, "OK")
+    assert got["mart"]["rows"] == 31 and got["mart"]["status"] == "REPEATED" and got["short"]["status"] == "COUNT"
+    assert {r["status"] for r in invariants.layer_report(spark, layers, D(2026, 1, 9)).collect()} == {"NO_DAY"}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tierline.functions.columns import money, zero
 from tierline.functions.time import business_date, business_window
-from tierline.operators import scd
+from tierline.operators import invariants, scd
 from tierline.plans.registry import query
 from tierline.plans.roles import DAY, Roles
 from tierline.plans.stream_queries import _kept, _shared
@@ -149,3 +149,40 @@ def newest_copies(r: Roles) -> DataFrame:
     writes.append(rows.select("txn_id", "customer_id", "amount", "cob_dt"), f"{folder}/days", "cob_dt")
     stored = r.spark.read.parquet(f"{folder}/days")
     return _kept(scd.latest_copy(stored, ["txn_id"], "cob_dt", DAY).select("txn_id", "customer_id", "amount", "cob_dt"), folder)
+
+
+_LAYERS_SQL = """
+    WITH b AS (SELECT * FROM account_copies WHERE cob_dt BETWEEN DATE '2001-06-01' AND DATE '2001-06-30'),
+    k AS (SELECT txn_id, count(*) AS n FROM b GROUP BY 1),
+    s AS (SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY cob_dt DESC) AS rn FROM b),
+    g AS (SELECT customer_id, max(cob_dt) AS last FROM s WHERE rn = 1 GROUP BY 1)
+    SELECT 'bronze.txn_account' AS layer, (SELECT count(*) FROM b) AS rows, count(*) AS distinct_keys, count(*) FILTER (n > 1) AS repeated_keys, (SELECT max(cob_dt) FROM account_copies WHERE cob_dt BETWEEN DATE '2001-06-01' AND DATE '2001-07-02') AS newest_day,
+           (SELECT count(*) FROM b WHERE cob_dt = DATE '2001-06-30') > 0 AS has_day,
+           (SELECT count(*) FROM b WHERE CAST(txn_ts + INTERVAL 7 HOUR AS DATE) <> cob_dt) AS diverging, CAST(NULL AS BIGINT) AS expected,
+           CASE WHEN (SELECT count(*) FROM b WHERE cob_dt = DATE '2001-06-30') = 0 THEN 'NO_DAY' WHEN (SELECT count(*) FROM b WHERE CAST(txn_ts + INTERVAL 7 HOUR AS DATE) <> cob_dt) > 0 THEN 'DIVERGING' ELSE 'OK' END AS status FROM k
+    UNION ALL SELECT 'silver.fact_txn_account', count(*), count(DISTINCT txn_id), 0, max(cob_dt), count(*) FILTER (cob_dt = DATE '2001-06-30') > 0, NULL, (SELECT count(*) FROM k),
+           CASE WHEN count(*) FILTER (cob_dt = DATE '2001-06-30') > 0 THEN 'OK' ELSE 'NO_DAY' END FROM s WHERE rn = 1
+    UNION ALL SELECT 'silver.dim_customer', (SELECT count(*) FROM customer_versions), count(*), 0, NULL, NULL, NULL, count(*) + 1, 'COUNT' FROM customer_versions WHERE is_current = 1
+    UNION ALL SELECT 'gold.spenders', count(*), count(*), 0, DATE '2001-06-30', true, NULL, NULL, 'OK' FROM g
+    UNION ALL SELECT 'gold.stale', 0, 0, 0, DATE '2001-06-29', false, NULL, NULL, 'NO_DAY'"""
+
+
+@query("dq23_layer_metrics", _LAYERS_SQL)
+def layer_metrics(r: Roles) -> DataFrame:
+    """A month through three layers, a mart whose day is missing, and a dimension of another size than expected."""
+    folder = _shared(r)
+    rows = r.account_copies.where(F.col("cob_dt").between(F.lit(dt.date(2001, 6, 1)), F.lit(dt.date(2001, 7, 2)))).select("txn_id", "customer_id", "txn_ts", "amount", "cob_dt")
+    writes.append(rows, f"{folder}/bronze", "cob_dt")
+    writes.append(scd.latest_copy(r.spark.read.parquet(f"{folder}/bronze"), ["txn_id"], "cob_dt", DAY), f"{folder}/fact", "cob_dt")
+    r.customer_versions.write.parquet(f"{folder}/dimension")
+    spent = r.spark.read.parquet(f"{folder}/fact").groupBy("customer_id").agg(zero(F.sum("amount")).alias("amount"))
+    writes.append(spent.withColumn("cob_dt", F.lit(DAY)), f"{folder}/mart", "cob_dt")
+    writes.append(spent.withColumn("cob_dt", F.lit(DAY - dt.timedelta(days=1))), f"{folder}/stale", "cob_dt")
+    keys = rows.where(F.col("cob_dt") <= F.lit(DAY)).select("txn_id").distinct().count()
+    customers = r.customer_versions.where("is_current = 1").count()
+    layers = [
+        invariants.Layer("bronze.txn_account", f"{folder}/bronze", ("txn_id",), "cob_dt", whole=True, ts="txn_ts"), invariants.Layer("silver.fact_txn_account", f"{folder}/fact", ("txn_id",), "cob_dt", whole=True, expected=keys),
+        invariants.Layer("silver.dim_customer", f"{folder}/dimension", ("customer_id",), current="is_current = 1", expected=customers + 1), invariants.Layer("gold.spenders", f"{folder}/mart", ("customer_id",), "cob_dt"),
+        invariants.Layer("gold.stale", f"{folder}/stale", ("customer_id",), "cob_dt"),
+    ]
+    return _kept(invariants.layer_report(r.spark, layers, DAY), folder)
