@@ -6,8 +6,9 @@ more. Pass 2 probes these blocks: a document with a cell that is not in its bloc
 through. Only the others, possibly repeated, are grouped by their digest. Texts never shuffle, and neither do digests that no
 other document has.
 
-The filter is built and probed for one range of digests after the other, each as large as one broadcast may be. The digests
-are written once, sorted within their files, so that a range reads its own part of each file only.
+Pass 1 is one job for the whole table, and what it leaves is in proportion to the repeated texts. Where this is more than one
+broadcast may hold, pass 2 takes it by ranges of blocks. Blocks go by the first bits of a hash of the digest, and the digests
+are written once, sorted by this hash within their files, so that a range reads its own part of each file only.
 """
 
 from __future__ import annotations
@@ -31,11 +32,13 @@ def fold_case(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
-def placed(digests: DataFrame, blocks: int, hashes: int) -> DataFrame:
-    """digests with the block of each and its pattern, of hashes cells or fewer."""
+def placed(digests: DataFrame, bits: int, hashes: int) -> DataFrame:
+    """digests (with their hash in range) with the block of each, by the first bits of range, and its pattern, of hashes cells or fewer."""
     cell = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64("digest", F.lit(i)), F.lit(CELLS)).cast("int"))
     pattern = reduce(lambda a, b: a.bitwiseOR(b), [cell(i) for i in range(hashes)])
-    return digests.withColumns({"block": F.pmod(F.xxhash64("digest", F.lit(hashes)), F.lit(blocks)), "pattern": pattern})
+    upward = F.col("range").bitwiseXOR(F.lit(-(2**63)))  # in the order of unsigned numbers
+    block = F.shiftrightunsigned(upward, 64 - bits) if bits else F.lit(0).cast("long")
+    return digests.withColumns({"block": block, "pattern": pattern})
 
 
 def repeated_cells(digests: DataFrame) -> DataFrame:
@@ -52,19 +55,21 @@ def probe(digests: DataFrame, filter_: DataFrame) -> DataFrame:
 
 
 def filtered(rows: DataFrame, hashes: int, broadcast_bytes: int) -> tuple[DataFrame, int]:
-    """rows (id, digest) with maybe, and their number: both passes, range by range."""
+    """rows (id, digest) with maybe, and their number: pass 1 at once, pass 2 by as many ranges as its filter takes."""
     spark = rows.sparkSession
     folder = f"{shared_folder(spark)}/exact-{uuid.uuid4().hex}"
     rows.withColumn("range", F.xxhash64("digest")).sortWithinPartitions("range").write.parquet(folder)
     digests = spark.read.schema("id long, digest binary, `range` long").parquet(folder)
     total = digests.count()
-    ranges = -(-total * BLOCK_BYTES // ROWS_A_BLOCK // broadcast_bytes) or 1
-    edges = [-(2**63) + 2**64 * i // ranges for i in range(ranges)] + [2**63]
-    blocks = -(-total // ROWS_A_BLOCK // ranges) or 1
+    bits = max(0, (total // ROWS_A_BLOCK).bit_length())
+    own = placed(digests, bits, hashes)
+    cells = durable(repeated_cells(own), total // 8)
+    ranges = min(-(-cells.count() * BLOCK_BYTES // broadcast_bytes) or 1, 1 << bits)
+    edges = [(i << bits) // ranges for i in range(ranges + 1)]
     out = []
     for low, high in zip(edges[:-1], edges[1:], strict=True):
-        own = placed(digests.where(F.col("range").between(low, high - 1)), blocks, hashes)
-        out.append(durable(probe(own, repeated_cells(own))))
+        hashed = F.col("range").between(F.lit((low << 64 - bits) - 2**63), F.lit((high << 64 - bits) - 2**63 - 1))
+        out.append(durable(probe(own.where(hashed), cells.where(F.col("block").between(low, high - 1)))))
     remove_folder(spark, folder)
     return reduce(DataFrame.unionByName, out), total
 
@@ -76,7 +81,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", hashes
     key stays (keep_id; null is the smallest key, so keep_id is null only where all keys are). Rows that repeat both text
     and key count in group_size and are all kept, as nothing tells them apart. An empty table gives an empty result; other
     columns of docs are not read, whatever their names. broadcast_bytes bounds the part of the filter that is broadcast at
-    once: larger tables take more ranges of digests, one after the other, and nothing else changes.
+    once: tables with more repeated texts take more ranges, one after the other, and nothing else changes.
     """
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.unhex(F.sha2(fold_case(body), 256)).alias("digest"))
