@@ -55,15 +55,17 @@ def slice_of(key: Column, points: Sequence, kinds) -> Column:
     return between(0, len(points))
 
 
-def ranked(df: DataFrame, order: Sequence[Column], name: str = "rn", slices: int | None = None, of: DataFrame | None = None) -> DataFrame:
+def ranked(df: DataFrame, order: Sequence[Column], name: str = "rn", slices: int | None = None, of: DataFrame | None = None, total: int | None = None) -> DataFrame:
     """As global_row_number, for ascending order columns, with partitions that do not depend on how a shuffle is redone.
 
     The slice of a row is the number of split points at or below it, so a rerun of any task puts each row where it was.
     Slices follow from the number of rows unless they are given. of is a table with the same values of the order columns
-    that is cheaper to read twice than df, such as a durable copy of what df was made from.
+    that is cheaper to read twice than df, such as a durable copy of what df was made from; total is its number of rows.
     """
     of = df if of is None else of
-    total = of.count()
+    total = of.count() if total is None else total
+    if (slices_for(total) if slices is None else slices) == 1:  # no more rows than one task sorts
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
     points = split_points(of, order, slices_for(total) if slices is None else slices, total)
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
     slice_ = slice_of(key, points, df.select(key.alias("k")).schema["k"].dataType)
@@ -93,7 +95,7 @@ def slices_for(rows: int) -> int:
 def ntile(df: DataFrame, tiles: int, order: Sequence[Column], name: str, rows: int | None = None, of: DataFrame | None = None) -> DataFrame:
     """NTILE(tiles) OVER (ORDER BY order) on a table of any size; rows is its number of rows, counted if not given."""
     rows = (df if of is None else of).count() if rows is None else rows
-    return ranked(df, order, "_rank", slices_for(rows), of).withColumn(name, tile_of(F.col("_rank"), F.lit(rows), tiles)).drop("_rank")
+    return ranked(df, order, "_rank", of=of, total=rows).withColumn(name, tile_of(F.col("_rank"), F.lit(rows), tiles)).drop("_rank")
 
 
 def quantiles(df: DataFrame, column: str, at: Sequence[float]) -> list[float | None]:

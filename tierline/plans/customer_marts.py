@@ -119,7 +119,7 @@ def card_holdings(r: Roles) -> DataFrame:
     FROM dim_customer d JOIN profile USING (customer_id) JOIN rfm USING (customer_id) JOIN holdings USING (customer_id) LEFT JOIN activity USING (customer_id) LEFT JOIN ch USING (customer_id) LEFT JOIN cd USING (customer_id) LEFT JOIN crm USING (customer_id) LEFT JOIN dg USING (customer_id)""",
 )
 def customer_360(r: Roles) -> DataFrame:
-    facts = activity(r, 90)
+    facts = durable(activity(r, 90))  # the scores and the mart itself read it
     contacts = business_window(r.interaction, DAY, 90).groupBy("customer_id").agg(F.count("*").alias("contacts"), F.max("ts").alias("last_contact"))
     # Distinct channels and devices are counted at their own grain first; few rows reach the second aggregate.
     seen = business_window(r.online, DAY, 30).where("status = 'SUCCESS'").groupBy("customer_id", "channel", "device_id").agg(F.count("*").alias("n"), F.sum("amount").alias("s"), F.max("ts").alias("last"))
@@ -272,8 +272,8 @@ def transaction_summary(r: Roles) -> DataFrame:
 
 
 @query("m8_rfm_segment", f"WITH {_ACTIVITY_SQL}, {_RFM_SQL} SELECT customer_id, customer_sk, recency_days, frequency, monetary, r_score, f_score, m_score, rfm_score, rfm_segment, DATE '2001-06-30' AS cob_dt FROM rfm JOIN dim_customer USING (customer_id)")
-def rfm_segment(r: Roles) -> DataFrame:
-    scored = rfm_scores(r, activity(r, 90)).join(r.customer.select("customer_id", "customer_sk"), "customer_id")
+def rfm_segment(r: Roles, facts: DataFrame | None = None) -> DataFrame:
+    scored = rfm_scores(r, activity(r, 90) if facts is None else facts).join(r.customer.select("customer_id", "customer_sk"), "customer_id")
     return scored.select("customer_id", "customer_sk", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score", "rfm_score", "rfm_segment", F.lit(DAY).alias("cob_dt"))
 
 
@@ -284,9 +284,9 @@ _CHURN_SQL = f"""churn AS (
 
 
 @query("m9_churn_rules", f"WITH {_ACTIVITY_SQL}, {_CHURN_SQL} SELECT *, DATE '2001-06-30' AS cob_dt FROM churn")
-def churn_rules(r: Roles) -> DataFrame:
+def churn_rules(r: Roles, facts: DataFrame | None = None) -> DataFrame:
     """By the later of account and card activity of the last year; a customer without any is far beyond each bound."""
-    rows = r.customer.join(activity(r), "customer_id", "left").select(
+    rows = r.customer.join(activity(r) if facts is None else facts, "customer_id", "left").select(
         "customer_id", "customer_sk", F.coalesce("n30", F.lit(0)).alias("txn_cnt_30d"), F.coalesce("n90", F.lit(0)).alias("txn_cnt_90d"), zero(F.col("s30")).alias("txn_amt_30d"), zero(F.col("s90")).alias("txn_amt_90d"),
         days_since("last365").alias("days_since_last_txn"),
     )
@@ -321,7 +321,8 @@ def campaign_target(r: Roles) -> DataFrame:
     """Four marts of one day, joined on customer and day, so that no other day's rows can multiply them."""
     keys = ["customer_id", "cob_dt"]
     assets = holdings(r).join(r.customer.select("customer_id", F.col("branch_id").alias("primary_branch_code")), "customer_id").withColumn("cob_dt", F.lit(DAY))
-    joined = rfm_segment(r).join(churn_rules(r).drop("customer_sk"), keys, "left").join(cross_sell(r).drop("customer_sk"), keys, "left").join(assets, keys, "left")
+    facts = durable(activity(r))  # a year's figures hold those of the shorter windows
+    joined = rfm_segment(r, facts).join(churn_rules(r, facts).drop("customer_sk"), keys, "left").join(cross_sell(r).drop("customer_sk"), keys, "left").join(assets, keys, "left")
     rich = F.col("aum_bucket").isin("AFFLUENT", "PRIORITY", "VIP")
     campaign = (
         F.when((F.col("is_churn_candidate") == 1) & F.col("rfm_segment").isin("At Risk", "Hibernating"), "Retention").when((F.col("no_credit_card") == 1) & rich, "Cross_Sell_CC").when(F.col("primary_opportunity") != "None", "Cross_Sell")

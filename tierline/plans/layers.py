@@ -7,6 +7,7 @@ Between the days some columns of some keys change, some keys go, and some come.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -16,6 +17,7 @@ from tierline.operators.scd import OPEN_END, apply_scd2, as_of, upsert
 from tierline.plans.registry import query
 from tierline.plans.roles import DAY, Roles
 from tierline.sources.catalogues import QUARANTINE, Dimension, dimensions
+from tierline.sources.shared import shared_folder
 
 FIRST, SECOND = dt.date(2001, 6, 1), dt.date(2001, 6, 30)
 _MONEY = "DECIMAL(18,2)"
@@ -142,10 +144,19 @@ def with_keys(fact: DataFrame, lookups: list[tuple[DataFrame, str, list[str]]])
     return fact
 
 
+def stored(r: Roles, d: Dimension) -> DataFrame:
+    """The dimension as its loads have left it in the shared folder; where they have not run in this session, they do so now."""
+    path = f"{shared_folder(r.spark)}/dimensions-{hashlib.sha256(r.folder.encode()).hexdigest()[:16]}/{d.name}"
+    place = r.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not place.getFileSystem(r.spark._jsc.hadoopConfiguration()).exists(place):
+        dimension(r, d).write.mode("overwrite").parquet(path)
+    return r.spark.read.parquet(path)
+
+
 def _current(r: Roles, name: str) -> DataFrame:
-    """The versions of a dimension that hold on DAY."""
+    """The versions of a dimension that hold on DAY, from the stored dimension."""
     d = next(x for x in dimensions() if x.name == name)
-    rows = dimension(r, d)
+    rows = stored(r, d)
     return as_of(rows, DAY) if d.tracked else rows
 
 

@@ -9,6 +9,7 @@ from tierline.functions.columns import flag, ladder, money, ratio, score, zero
 from tierline.functions.time import business_window
 from tierline.plans.registry import query
 from tierline.plans.roles import DAY, Roles
+from tierline.sources.shared import durable
 
 #: Role amounts are in thousands, the bounds below are not.
 UNIT = 1000
@@ -38,7 +39,8 @@ def _txns(r: Roles) -> DataFrame:
     """Account transactions up to DAY, each with its customer's segment and the balance after it."""
     rows = r.ledger.where(F.col("cob_dt") <= F.lit(DAY)).join(r.customer.select("customer_id", "segment", "balance"), "customer_id", "left")
     after = money(F.col("balance") + F.when(F.col("dc") == "C", F.col("amount")).otherwise(-F.col("amount")))
-    return rows.select("txn_id", "part_id", "customer_id", "cob_dt", "hour", "amount", "channel", "dc", "segment", after.alias("balance_after"))
+    told = rows.select("txn_id", "part_id", "customer_id", "cob_dt", "hour", "amount", "channel", "dc", "segment", after.alias("balance_after"))
+    return durable(told)  # each mart both aggregates it and joins the figures back
 
 
 @query(
