@@ -308,15 +308,15 @@ def cross_sell(r: Roles) -> DataFrame:
     return rows.select("customer_id", "customer_sk", F.col("segment").alias("customer_segment"), flag(lacks("credit")).alias("no_credit_card"), flag(lacks("debit")).alias("no_debit_card"), offer.alias("primary_opportunity"), F.lit(DAY).alias("cob_dt"))
 
 
-@query(
-    "m11_campaign_target",
-    f"""
+_CAMPAIGN_SQL = f"""
     WITH {_ACTIVITY_SQL}, {_RFM_SQL}, {_CHURN_SQL}, {_OFFERS_SQL}, {_HOLDINGS_SQL}
     SELECT customer_id, o.customer_sk, rfm_segment, rfm_score, recency_days, frequency, monetary, churn_risk, is_churn_candidate, days_since_last_txn, customer_segment, aum_total, aum_bucket, branch_id AS primary_branch_code, primary_opportunity, no_credit_card,
            CASE WHEN is_churn_candidate = 1 AND rfm_segment IN ('At Risk', 'Hibernating') THEN 'Retention' WHEN no_credit_card = 1 AND aum_bucket IN ('AFFLUENT', 'PRIORITY', 'VIP') THEN 'Cross_Sell_CC' WHEN primary_opportunity <> 'None' THEN 'Cross_Sell'
                 WHEN rfm_segment IN ('Champions', 'Loyal Customers') THEN 'Upsell' ELSE 'Awareness' END AS campaign_type, DATE '2001-06-30' AS cob_dt
-    FROM rfm JOIN churn USING (customer_id) JOIN offers o USING (customer_id) JOIN holdings USING (customer_id) JOIN (SELECT customer_id, branch_id FROM dim_customer) USING (customer_id)""",
-)
+    FROM rfm JOIN churn USING (customer_id) JOIN offers o USING (customer_id) JOIN holdings USING (customer_id) JOIN (SELECT customer_id, branch_id FROM dim_customer) USING (customer_id)"""
+
+
+@query("m11_campaign_target", _CAMPAIGN_SQL)
 def campaign_target(r: Roles) -> DataFrame:
     """Four marts of one day, joined on customer and day, so that no other day's rows can multiply them."""
     keys = ["customer_id", "cob_dt"]
@@ -334,19 +334,48 @@ def campaign_target(r: Roles) -> DataFrame:
     )
 
 
+#: Segments that are a risk, and those that may want another account; days idle that are a risk; the highest assets.
+HIGHEST = ("PRIORITY", "VIP")
+RISKY, SAVERS, IDLE = ("At Risk", "About to Sleep", "Hibernating", "Lost"), ("Loyal Customers", "Potential Loyalists"), 60
+
+
+@query(
+    "m23_risk_scores",
+    f"""
+    WITH t AS ({_CAMPAIGN_SQL})
+    SELECT customer_id, churn_risk, is_churn_candidate, rfm_segment, rfm_score, days_since_last_txn,
+           concat_ws('; ', CASE WHEN is_churn_candidate = 1 THEN 'Churn candidate' END, CASE WHEN days_since_last_txn > 60 THEN 'Inactive for ' || days_since_last_txn || ' days' END,
+                     CASE WHEN rfm_segment IN ('At Risk', 'About to Sleep', 'Hibernating', 'Lost') THEN 'RFM segment: ' || rfm_segment END, CASE WHEN churn_risk = 'High' THEN 'High churn risk' END) AS risk_factors, cob_dt
+    FROM t""",
+)
+def risk_scores(r: Roles) -> DataFrame:
+    """What a lookup says of the risk of one customer, for all of them at once."""
+    idle = F.col("days_since_last_txn")
+    factors = F.array(
+        F.when(F.col("is_churn_candidate") == 1, "Churn candidate"), F.when(idle > IDLE, F.concat(F.lit("Inactive for "), idle.cast("string"), F.lit(" days"))),
+        F.when(F.col("rfm_segment").isin(*RISKY), F.concat(F.lit("RFM segment: "), F.col("rfm_segment"))), F.when(F.col("churn_risk") == "High", "High churn risk"),
+    )
+    return campaign_target(r).select("customer_id", "churn_risk", "is_churn_candidate", "rfm_segment", "rfm_score", "days_since_last_txn", F.array_join(factors, "; ").alias("risk_factors"), "cob_dt")
+
+
 @query(
     "m23_recommendations",
-    """
-    WITH x AS (SELECT customer_id, CAST(DATE '2001-06-30' - coalesce(max(cob_dt) FILTER (cob_dt <= DATE '2001-06-30'), DATE '1900-01-01') AS INTEGER) AS idle, count(*) AS n FROM account_txn GROUP BY customer_id)
-    SELECT customer_id, concat_ws(',', CASE WHEN coalesce(idle, 99999) > 90 THEN 'inactive' END, CASE WHEN balance < 0 THEN 'negative balance' END, CASE WHEN coalesce(n, 0) < 5 THEN 'few transactions' END) AS risk_factors
-    FROM dim_customer LEFT JOIN x USING (customer_id)""",
+    f"""
+    WITH t AS ({_CAMPAIGN_SQL}), f AS (SELECT *, CASE WHEN no_credit_card = 1 AND aum_bucket <> 'MASS' THEN 1 ELSE 0 END AS flag FROM t)
+    SELECT customer_id, flag AS cross_sell_credit_card_flag, primary_opportunity, rfm_segment, aum_bucket, campaign_type,
+           concat_ws('; ', CASE WHEN flag = 1 THEN 'Credit Card' END, CASE WHEN primary_opportunity <> 'None' AND NOT (flag = 1 AND primary_opportunity = 'Credit Card') THEN primary_opportunity END,
+                     CASE WHEN aum_bucket IN ('PRIORITY', 'VIP') THEN 'Priority Banking Package' END, CASE WHEN rfm_segment IN ('Loyal Customers', 'Potential Loyalists') THEN 'Savings Account Premium' END) AS recommended_products, cob_dt
+    FROM f""",
 )
 def recommendations(r: Roles) -> DataFrame:
-    """What a lookup would say of one customer, for all of them at once."""
-    seen = r.account_txn.groupBy("customer_id").agg(F.max(F.when(F.col("cob_dt") <= F.lit(DAY), F.col("cob_dt"))).alias("last_day"), F.count("*").alias("n"))
-    rows = r.customer.join(seen, "customer_id", "left").withColumn("idle", F.date_diff(F.lit(DAY), F.coalesce("last_day", F.lit(NEVER))))
-    factors = F.array(F.when(F.col("idle") > 90, "inactive"), F.when(F.col("balance") < 0, "negative balance"), F.when(F.coalesce("n", F.lit(0)) < 5, "few transactions"))
-    return rows.select("customer_id", F.array_join(F.filter(factors, lambda x: x.isNotNull()), ",").alias("risk_factors"))
+    """Products for every customer, in order of preference and each once."""
+    rich = F.col("aum_bucket") != "MASS"
+    flagged = flag((F.col("no_credit_card") == 1) & rich)
+    products = F.array(
+        F.when(flagged == 1, "Credit Card"), F.when(F.col("primary_opportunity") != "None", F.col("primary_opportunity")), F.when(F.col("aum_bucket").isin(*HIGHEST), "Priority Banking Package"), F.when(F.col("rfm_segment").isin(*SAVERS), "Savings Account Premium")
+    )
+    told = F.array_join(F.array_distinct(F.filter(products, lambda x: x.isNotNull())), "; ")
+    return campaign_target(r).select("customer_id", flagged.alias("cross_sell_credit_card_flag"), "primary_opportunity", "rfm_segment", "aum_bucket", "campaign_type", told.alias("recommended_products"), "cob_dt")
 
 
 @query(

@@ -56,42 +56,81 @@ def merchant_360(r: Roles) -> DataFrame:
 @query(
     "m16_branch_monthly",
     """
-    WITH t AS (SELECT branch_name, strftime(cob_dt, '%Y-%m') AS month, channel, count(*) AS n, sum(amount) AS s FROM account_txn JOIN dim_customer USING (customer_id) JOIN branch USING (branch_id) GROUP BY ALL),
-    k AS (SELECT *, row_number() OVER (PARTITION BY branch_name, month ORDER BY n DESC, channel) AS i FROM t),
-    u AS (SELECT branch_name, strftime(cob_dt, '%Y-%m') AS month, count(DISTINCT customer_id) AS customers FROM account_txn JOIN dim_customer USING (customer_id) JOIN branch USING (branch_id) GROUP BY ALL)
-    SELECT branch_name, month, CAST(sum(n) AS BIGINT) AS txns, CAST(sum(s) AS DECIMAL(18,2)) AS amount, max(CASE WHEN i = 1 THEN channel END) AS top_channel, any_value(customers) AS customers, 'Q' || CAST((CAST(right(month, 2) AS INTEGER) + 2) // 3 AS VARCHAR) AS quarter
-    FROM k JOIN u USING (branch_name, month) GROUP BY branch_name, month""",
+    WITH t AS (SELECT branch_id, year(cob_dt) AS y, month(cob_dt) AS m, t.* FROM account_txn t JOIN dim_customer USING (customer_id) WHERE cob_dt <= DATE '2001-06-30'),
+    k AS (SELECT branch_id, y, m, channel, row_number() OVER (PARTITION BY branch_id, y, m ORDER BY count(*) DESC, channel) AS rn FROM t GROUP BY branch_id, y, m, channel),
+    g AS (
+      SELECT branch_id, y, m, count(DISTINCT customer_id) AS active_customers, count(*) AS txn_count, sum(abs(amount)) AS total, sum(CASE WHEN dc = 'C' THEN amount ELSE 0 END) AS credit, sum(CASE WHEN dc = 'D' THEN amount ELSE 0 END) AS debit
+      FROM t GROUP BY branch_id, y, m)
+    SELECT branch_id AS branch_code, branch_name, city AS region, city, CAST(y AS INTEGER) AS txn_year, CAST(m AS INTEGER) AS txn_month, CAST((m + 2) // 3 AS INTEGER) AS txn_quarter, active_customers, txn_count,
+           CAST(total AS DECIMAL(18,2)) AS total_txn_amount, CAST(total AS DOUBLE) / txn_count AS avg_txn_amount, CAST(credit AS DECIMAL(18,2)) AS total_credit_amount, CAST(debit AS DECIMAL(18,2)) AS total_debit_amount,
+           channel AS top_channel, DATE '2001-06-30' AS cob_dt
+    FROM g LEFT JOIN branch USING (branch_id) LEFT JOIN (SELECT * FROM k WHERE rn = 1) USING (branch_id, y, m)""",
 )
 def branch_monthly(r: Roles) -> DataFrame:
-    owners = r.customer.join(r.branch, "branch_id").select("customer_id", "branch_name")
-    # The month is computed once, and one aggregation to a fine grain feeds counts, the top channel and distinct customers.
-    rows = r.account_txn.withColumn("month", F.date_format("cob_dt", "yyyy-MM")).groupBy("customer_id", "month", "channel").agg(F.count("*").alias("n"), F.sum("amount").alias("s"))
-    rows = rows.join(owners, "customer_id").withColumn("place", F.struct("branch_name", "month"))
-    by_channel = rows.groupBy("place", "channel").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    """One row a branch and calendar month; one aggregation to a fine grain feeds sums, the top channel and distinct customers."""
+    debit = F.col("dc") == "D"
+    fine = r.account_txn.where(F.col("cob_dt") <= F.lit(DAY)).groupBy("customer_id", F.year("cob_dt").alias("txn_year"), F.month("cob_dt").alias("txn_month"), "channel").agg(
+        F.count("*").alias("n"), F.sum(F.abs("amount")).alias("s"), F.sum(F.when(F.col("dc") == "C", F.col("amount"))).alias("c"), F.sum(F.when(debit, F.col("amount"))).alias("d")
+    )
+    place = ["branch_id", "txn_year", "txn_month"]
+    rows = fine.join(r.customer.select("customer_id", "branch_id"), "customer_id")
+    by_channel = rows.groupBy(*place, "channel").agg(*[F.sum(x).alias(x) for x in ("n", "s", "c", "d")])
     top = F.min_by("channel", F.struct((-F.col("n")).alias("n"), F.col("channel")))
-    totals = by_channel.groupBy("place").agg(F.sum("n").alias("txns"), zero(F.sum("s")).alias("amount"), top.alias("top_channel"))
-    people = rows.select("place", "customer_id").distinct().groupBy("place").agg(F.count("*").alias("customers"))
-    quarter = F.concat(F.lit("Q"), F.floor((F.right(F.col("place.month"), F.lit(2)).cast("int") + 2) / 3).cast("string"))
-    return totals.join(people, "place").select("place.branch_name", "place.month", "txns", "amount", "top_channel", "customers", quarter.alias("quarter"))
+    totals = by_channel.groupBy(*place).agg(F.sum("n").alias("txn_count"), zero(F.sum("s")).alias("total_txn_amount"), zero(F.sum("c")).alias("total_credit_amount"), zero(F.sum("d")).alias("total_debit_amount"), top.alias("top_channel"))
+    people = rows.select(*place, "customer_id").distinct().groupBy(*place).agg(F.count("*").alias("active_customers"))
+    named = totals.join(people, place).join(r.branch, "branch_id", "left")
+    return named.select(
+        F.col("branch_id").alias("branch_code"), "branch_name", F.col("city").alias("region"), "city", "txn_year", "txn_month", F.ceil(F.col("txn_month") / 3).cast("int").alias("txn_quarter"), "active_customers", "txn_count", "total_txn_amount",
+        ratio(F.col("total_txn_amount"), F.col("txn_count")).alias("avg_txn_amount"), "total_credit_amount", "total_debit_amount", "top_channel", F.lit(DAY).alias("cob_dt"),
+    )
+
+
+@query(
+    "m17_merchant_daily",
+    """
+    WITH t AS (SELECT *, CAST(hour(transaction_date + INTERVAL 7 HOUR) AS INTEGER) AS h FROM merchant_txn WHERE merchant_id IS NOT NULL AND payment_channel IN ('QR', 'POS') AND cob_dt BETWEEN DATE '2001-06-29' AND DATE '2001-06-30'),
+    d AS (
+      SELECT merchant_id, cob_dt AS txn_date, count(*) FILTER (status = 'SUCCESS') AS txn_count, CAST(sum(CASE WHEN status = 'SUCCESS' THEN amount ELSE 0 END) AS DECIMAL(18,2)) AS gross,
+             count(*) FILTER (refund_flag = 1) AS refunds, count(*) FILTER (payment_channel = 'QR') AS qr_count, count(*) FILTER (payment_channel = 'POS') AS pos_count
+      FROM t GROUP BY merchant_id, cob_dt),
+    p AS (SELECT merchant_id, cob_dt AS txn_date, h, row_number() OVER (PARTITION BY merchant_id, cob_dt ORDER BY count(*) DESC, h) AS rn FROM t WHERE status = 'SUCCESS' GROUP BY merchant_id, cob_dt, h)
+    SELECT d.merchant_id, split_part(merchant_name, ' ', 1) || ' **' AS merchant_name_masked, mcc AS mcc_code, city, d.txn_date, CAST(year(d.txn_date) AS INTEGER) AS txn_year, CAST(month(d.txn_date) AS INTEGER) AS txn_month, txn_count,
+           gross AS gross_amount, coalesce(CAST(gross AS DOUBLE) / nullif(txn_count, 0), 0) AS avg_txn_amount, CASE WHEN txn_count > 0 THEN CAST(refunds AS DOUBLE) / txn_count ELSE 0 END AS refund_rate, qr_count, pos_count, p.h AS peak_hour, DATE '2001-06-30' AS cob_dt
+    FROM d JOIN merchant USING (merchant_id) JOIN branch USING (branch_id) LEFT JOIN p ON d.merchant_id = p.merchant_id AND d.txn_date = p.txn_date AND p.rn = 1""",
+)
+def merchant_daily(r: Roles) -> DataFrame:
+    """A merchant's payments by QR and at a POS on DAY and the day before. The peak hour is one of successes; refunds count
+    whatever their status."""
+    good = F.col("status") == "SUCCESS"
+    rows = business_window(r.merchant_txn, DAY, 1).where(F.col("merchant_id").isNotNull() & F.col("payment_channel").isin("QR", "POS"))
+    hours = rows.groupBy("merchant_id", F.col("cob_dt").alias("txn_date"), business_hour(F.col("transaction_date")).alias("h")).agg(
+        F.count_if(good).alias("ok"), F.sum(F.when(good, F.col("amount"))).alias("s"), F.sum("refund_flag").alias("refunds"), F.count_if(F.col("payment_channel") == "QR").alias("qr"), F.count_if(F.col("payment_channel") == "POS").alias("pos")
+    )
+    peak = F.min_by(F.when(F.col("ok") > 0, F.col("h")), F.struct((-F.col("ok")).alias("n"), F.col("h")))
+    days = hours.groupBy("merchant_id", "txn_date").agg(F.sum("ok").alias("txn_count"), zero(F.sum("s")).alias("gross_amount"), F.sum("refunds").alias("refunds"), F.sum("qr").alias("qr_count"), F.sum("pos").alias("pos_count"), peak.alias("peak_hour"))
+    none = lambda c: F.coalesce(c, F.lit(0.0))
+    return days.join(r.merchant.join(r.branch, "branch_id"), "merchant_id").select(
+        "merchant_id", first_token(F.col("merchant_name")).alias("merchant_name_masked"), F.col("mcc").alias("mcc_code"), "city", "txn_date", F.year("txn_date").alias("txn_year"), F.month("txn_date").alias("txn_month"), "txn_count", "gross_amount",
+        none(ratio(F.col("gross_amount"), F.col("txn_count"))).alias("avg_txn_amount"), none(ratio(F.col("refunds"), F.col("txn_count"))).alias("refund_rate"), "qr_count", "pos_count", "peak_hour", F.lit(DAY).alias("cob_dt"),
+    )
 
 
 _DAILY_SQL = """
     WITH t AS (SELECT *, CAST(ts + INTERVAL 7 HOUR AS DATE) AS day, CAST(hour(ts + INTERVAL 7 HOUR) AS INTEGER) AS h FROM event),
     p AS (SELECT merchant_id, day, h, row_number() OVER (PARTITION BY merchant_id, day ORDER BY count(*) DESC, h) AS k FROM t GROUP BY merchant_id, day, h)
     SELECT merchant_id, day, count(*) AS txns, count(*) FILTER (status = 'SUCCESS') AS successes, CAST(coalesce(sum(CASE WHEN status = 'SUCCESS' THEN amount END), 0) AS DECIMAL(18,2)) AS revenue, count(*) FILTER (pay_channel = 'QR') AS qr,
-           CAST(sum(refund_flag) AS DOUBLE) / nullif(CAST(count(*) FILTER (status = 'SUCCESS') AS DOUBLE), 0) AS refund_rate, any_value(p.h) AS peak_hour
+           CAST(sum(refund_flag) AS BIGINT) AS refunds, CAST(sum(refund_flag) AS DOUBLE) / nullif(CAST(count(*) FILTER (status = 'SUCCESS') AS DOUBLE), 0) AS refund_rate, any_value(p.h) AS peak_hour
     FROM t JOIN (SELECT merchant_id, day, h FROM p WHERE k = 1) p USING (merchant_id, day) GROUP BY merchant_id, day"""
 
 
-@query("m17_merchant_daily", _DAILY_SQL)
-def merchant_daily(r: Roles) -> DataFrame:
-    """Refunds count whatever their status, while the rate is over successes (as the reconciliation does not)."""
+def merchant_days(r: Roles) -> DataFrame:
+    """Every merchant and business day there is. Refunds count whatever their status, while the rate is over successes (as the reconciliation does not)."""
     rows = r.event.withColumns({"day": business_date(F.col("ts")), "h": business_hour(F.col("ts"))})
     good = F.col("status") == "SUCCESS"
     hours = rows.groupBy("merchant_id", "day", "h").agg(F.count("*").alias("n"), F.count_if(good).alias("ok"), F.sum(F.when(good, F.col("amount"))).alias("s"), F.count_if(F.col("pay_channel") == "QR").alias("qr"), F.sum("refund_flag").alias("f"))
     peak = F.min_by("h", F.struct((-F.col("n")).alias("n"), F.col("h")))
     return hours.groupBy("merchant_id", "day").agg(
-        F.sum("n").alias("txns"), F.sum("ok").alias("successes"), zero(F.sum("s")).alias("revenue"), F.sum("qr").alias("qr"), ratio(F.sum("f"), F.sum("ok")).alias("refund_rate"), peak.alias("peak_hour")
+        F.sum("n").alias("txns"), F.sum("ok").alias("successes"), zero(F.sum("s")).alias("revenue"), F.sum("qr").alias("qr"), F.sum("f").alias("refunds"), ratio(F.sum("f"), F.sum("ok")).alias("refund_rate"), peak.alias("peak_hour")
     )
 
 
@@ -143,28 +182,29 @@ def region_monthly(r: Roles) -> DataFrame:
     )
 
 
-@query("m24_daily_kpis", f"WITH daily AS ({_DAILY_SQL}) SELECT day, count(*) AS active_merchants, CAST(sum(successes) AS BIGINT) AS successful_transactions, CAST(sum(revenue) AS DECIMAL(18,2)) AS gross_amount, CASE WHEN sum(successes) > 0 THEN CAST(sum(refunds) AS DOUBLE) / CAST(sum(successes) AS DOUBLE) ELSE 0 END AS refund_rate FROM (SELECT *, CASE WHEN successes > 0 THEN round(refund_rate * successes) ELSE 0 END AS refunds FROM daily) GROUP BY day")
+@query("m24_daily_kpis", f"WITH daily AS ({_DAILY_SQL}) SELECT day, count(*) AS active_merchants, CAST(sum(successes) AS BIGINT) AS successful_transactions, CAST(sum(revenue) AS DECIMAL(18,2)) AS gross_amount, CASE WHEN sum(successes) > 0 THEN CAST(sum(refunds) AS DOUBLE) / CAST(sum(successes) AS DOUBLE) ELSE 0 END AS refund_rate FROM (SELECT * REPLACE (CASE WHEN successes > 0 THEN refunds ELSE 0 END AS refunds) FROM daily) GROUP BY day")
 def daily_kpis(r: Roles) -> DataFrame:
     """The day's refund rate is the mean of the merchants' rates, weighted by their successes; merchants without any weigh nothing."""
-    rate = weighted_mean(F.round(F.col("refund_rate") * F.col("successes")), F.col("successes"))
-    return merchant_daily(r).groupBy("day").agg(F.count("*").alias("active_merchants"), F.sum("successes").alias("successful_transactions"), zero(F.sum("revenue")).alias("gross_amount"), F.coalesce(rate, F.lit(0.0)).alias("refund_rate"))
+    rate = weighted_mean(F.col("refunds"), F.col("successes"))
+    return merchant_days(r).groupBy("day").agg(F.count("*").alias("active_merchants"), F.sum("successes").alias("successful_transactions"), zero(F.sum("revenue")).alias("gross_amount"), F.coalesce(rate, F.lit(0.0)).alias("refund_rate"))
 
 
-def weighted_mean(weighted: Column, weight: Column) -> Column:
-    """The aggregate sum(rate * weight) / sum(weight) of ratios that are given times their weight; null where nothing weighs."""
-    return ratio(F.sum(F.when(weight > 0, weighted)), F.sum(weight))
+def weighted_mean(over: Column, weight: Column) -> Column:
+    """The mean of ratios over / weight, each weighted by its weight, from the numerators that they are made of: exact, where
+    rate times weight would be rounded. Null where nothing weighs."""
+    return ratio(F.sum(F.when(weight > 0, over)), F.sum(weight))
 
 
-@query("ag9_weighted_ratio", f"WITH daily AS ({_DAILY_SQL}) SELECT merchant_id, CAST(sum(CASE WHEN successes > 0 THEN round(refund_rate * successes) ELSE 0 END) AS DOUBLE) / nullif(CAST(sum(successes) AS DOUBLE), 0) AS refund_rate FROM daily GROUP BY merchant_id")
+@query("ag9_weighted_ratio", f"WITH daily AS ({_DAILY_SQL}) SELECT merchant_id, CAST(sum(CASE WHEN successes > 0 THEN refunds ELSE 0 END) AS DOUBLE) / nullif(CAST(sum(successes) AS DOUBLE), 0) AS refund_rate FROM daily GROUP BY merchant_id")
 def weighted_refunds(r: Roles) -> DataFrame:
     """A merchant's refund rate from its days' rates: each day weighs as much as it has successes."""
-    rate = weighted_mean(F.round(F.col("refund_rate") * F.col("successes")), F.col("successes"))
-    return merchant_daily(r).groupBy("merchant_id").agg(rate.alias("refund_rate"))
+    rate = weighted_mean(F.col("refunds"), F.col("successes"))
+    return merchant_days(r).groupBy("merchant_id").agg(rate.alias("refund_rate"))
 
 
 @query("m24_finance_daily", f"WITH daily AS ({_DAILY_SQL}) SELECT day, CAST(sum(revenue) AS DECIMAL(18,2)) AS gross_amount, CAST(sum(successes) AS BIGINT) AS successful_transactions FROM daily GROUP BY day")
 def finance_daily(r: Roles) -> DataFrame:
-    return merchant_daily(r).groupBy("day").agg(zero(F.sum("revenue")).alias("gross_amount"), F.sum("successes").alias("successful_transactions"))
+    return merchant_days(r).groupBy("day").agg(zero(F.sum("revenue")).alias("gross_amount"), F.sum("successes").alias("successful_transactions"))
 
 
 @query("m24_advisory_distribution", f"WITH m AS ({_MERCHANT_360_SQL}) SELECT advisory_product_hint, count(*) AS merchants, CAST(sum(revenue_90d) AS DECIMAL(18,2)) AS revenue_90d FROM m GROUP BY advisory_product_hint")

@@ -168,6 +168,17 @@ class Roles:
         )
         return rows.withColumn("cob_dt", business_date(F.col("ts")))
 
+    @cached_property
+    def merchant_txn(self) -> DataFrame:
+        """Events as payments at merchants around DAY; some have no merchant, and some are neither by QR nor at a POS."""
+        k, ts = F.col("event_id"), F.col("ts") - F.expr("INTERVAL 8249 DAY")
+        channel = F.when(k % 19 == 0, "WEB").when(k % 3 == 0, "QR").otherwise("POS")
+        rows = self.table("events").select(
+            k.alias("transaction_id"), F.when(k % 17 != 0, F.col("user_id") % 20).alias("merchant_id"), ts.alias("transaction_date"), money(F.col("value")).alias("amount"), channel.alias("payment_channel"),
+            F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCESS").alias("status"), flag(F.col("event_type") == "signup").alias("refund_flag"),
+        )
+        return rows.withColumn("cob_dt", business_date(F.col("transaction_date")))
+
     @cached_property
     def location(self) -> DataFrame:
         return self.table("nation").select(F.col("n_nationkey").alias("location_id"), F.col("n_name").alias("state"), flag(F.col("n_nationkey") % 7 == 0).alias("is_high_risk_area"))
@@ -244,6 +255,11 @@ SQL: dict[str, str] = {
           SELECT event_id AS txn_id, user_id AS customer_id, ts - INTERVAL 8249 DAY AS ts, CAST(value AS DECIMAL(18,2)) AS amount, event_type AS channel, CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
                  user_id * 3 + event_id % 3 AS device_id, CAST(event_id % 25 AS INTEGER) AS location_id, CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS is_fraud,
                  CASE WHEN event_id % 7 = 0 THEN CASE WHEN event_id % 2 = 0 THEN 'STOLEN_CARD' ELSE 'ODD_PLACE' END END AS fraud_reason FROM events)""",
+    "merchant_txn": """
+        SELECT *, CAST(transaction_date + INTERVAL 7 HOUR AS DATE) AS cob_dt FROM (
+          SELECT event_id AS transaction_id, CASE WHEN event_id % 17 <> 0 THEN user_id % 20 END AS merchant_id, ts - INTERVAL 8249 DAY AS transaction_date, CAST(value AS DECIMAL(18,2)) AS amount,
+                 CASE WHEN event_id % 19 = 0 THEN 'WEB' WHEN event_id % 3 = 0 THEN 'QR' ELSE 'POS' END AS payment_channel, CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+                 CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS refund_flag FROM events)""",
     "location": "SELECT n_nationkey AS location_id, n_name AS state, CASE WHEN n_nationkey % 7 = 0 THEN 1 ELSE 0 END AS is_high_risk_area FROM nation",
     "event": """
         SELECT event_id, ts, user_id AS customer_id, user_id % 20 AS merchant_id, CAST(value AS DECIMAL(18,2)) AS amount, event_type, CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
