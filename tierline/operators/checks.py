@@ -13,7 +13,11 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Check:
-    """kind: row_count, not_null, unique, range, accepted, positive, not_future. A warning never fails a table."""
+    """kind: row_count, not_null, unique, range, accepted, positive, not_future, fresh. A warning never fails a table.
+
+    unique may name several columns, with commas between them: no two rows share all of these. fresh: the newest day is no
+    more than high days old.
+    """
 
     kind: str
     column: str | None = None
@@ -27,11 +31,12 @@ class Check:
         return f"{self.kind}:{self.column}" if self.column else self.kind
 
 
-KINDS = ("row_count", "not_null", "unique", "range", "accepted", "positive", "not_future")
+KINDS = ("row_count", "not_null", "unique", "range", "accepted", "positive", "not_future", "fresh")
 
 
 def _failed(check: Check, now: dt.date | None) -> Column:
-    c = F.col(check.column) if check.column else None
+    several = check.kind == "unique" and "," in (check.column or "")
+    c = F.struct(*check.column.split(",")) if several else F.col(check.column) if check.column else None
     if check.kind == "row_count":
         n = F.count("*")
         out = F.lit(False)
@@ -53,6 +58,8 @@ def _failed(check: Check, now: dt.date | None) -> Column:
         return F.count_if(out)
     if check.kind == "accepted":
         return F.count_if(~c.isin(*check.values))
+    if check.kind == "fresh":
+        return F.when(F.coalesce(F.date_diff(F.lit(now), F.max(c)) > F.lit(check.high), F.lit(True)), 1).otherwise(0).cast("bigint")
     if check.kind == "positive":
         return F.count_if(c <= 0)
     return F.count_if(c > F.lit(now))
@@ -64,7 +71,7 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check], now: dt.date
     A column that the table lacks fails its check; a kind that is not known is skipped. The table is read once: of several
     distinct counts Spark makes two aggregations over rows expanded by column, values counted in each task first.
     """
-    known = [c for c in checks if c.kind in KINDS and (c.column is None or c.column in df.columns)]
+    known = [c for c in checks if c.kind in KINDS and (c.column is None or all(x in df.columns for x in (c.column.split(",") if c.kind == "unique" else [c.column])))]
     row = df.agg(F.count("*").alias("total"), *[F.coalesce(_failed(c, now), F.lit(0)).alias(f"x{i}") for i, c in enumerate(known)])
     told = [F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), F.col(f"x{i}").cast("bigint").alias("failed"), F.lit("").alias("note")) for i, c in enumerate(known)]
     for c in checks:

@@ -7,17 +7,20 @@ Between the days some columns of some keys change, some keys go, and some come.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import hashlib
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierline.operators import contracts
 from tierline.operators.scd import OPEN_END, apply_scd2, as_of, upsert
-from tierline.plans.registry import query
+from tierline.plans import customer_marts, merchant_marts
+from tierline.plans.registry import ORACLES, query
 from tierline.plans.roles import DAY, Roles
-from tierline.sources.catalogues import QUARANTINE, Dimension, dimensions
-from tierline.sources.shared import shared_folder
+from tierline.sources.catalogues import GOLD_RULES, QUARANTINE, SILVER_RULES, Dimension, dimensions
+from tierline.sources.shared import durable, shared_folder
 
 FIRST, SECOND = dt.date(2001, 6, 1), dt.date(2001, 6, 30)
 _MONEY = "DECIMAL(18,2)"
@@ -254,3 +257,64 @@ def references(r: Roles) -> DataFrame:
             told = lost.agg(F.lit(d.name).alias("table_name"), F.lit(column).alias("column_name"), F.lit(parent).alias("parent"), F.count("*").alias("orphans"))
             out = told if out is None else out.unionByName(told)
     return out
+
+
+#: Facts and marts that the catalogue's rules are held against, with the query of each; the dimensions are the stored ones.
+_RULED = {
+    "fact_txn_account": ("m28_fact_txn_account", fact_txn_account), "fact_card_txn": ("m28_fact_card_txn", fact_card_txn), "fact_crm_interaction": ("m28_fact_crm_interaction", fact_crm_interaction),
+    "fact_online_transaction": ("m28_fact_online_transaction", fact_online_transaction), "fact_support_ticket": ("m28_fact_support_ticket", fact_support_ticket), "customer_balance_summary": ("m2_balance_summary", customer_marts.balance_summary),
+    "customer_card_summary": ("m3_card_summary", customer_marts.card_summary), "customer_product_summary": ("m5_product_summary", customer_marts.product_summary), "mart_branch_monthly_summary": ("m16_branch_monthly", merchant_marts.branch_monthly),
+    "cross_sell_segment": ("m10_cross_sell", customer_marts.cross_sell),
+}
+_HELD = {d.name for d in dimensions()}
+_RULES = [c for c in (*SILVER_RULES, *GOLD_RULES) if c.table in _RULED or c.table in _HELD]
+_SOURCES = {"core_customer": ("dim_customer", "customer_id"), "core_txn_account": ("account_txn", "txn_id")}
+
+
+def _rules_sql() -> str:
+    """Every rule of the catalogue as a row: what fails it and of how many."""
+    held, parts = {}, []
+
+    def of(name: str) -> str:
+        held.setdefault(name, _as_of_sql(name) if name in _HELD else f"{name}_held AS ({ORACLES[_RULED[name][0]]})")
+        return f"{name}_held"
+
+    columns = {c.table: set(_columns_of(c.table)) for c in _RULES}
+    for c in _RULES:
+        table, told = of(c.table), []
+        for check in c.checks:
+            failed = {
+                "row_count": "CASE WHEN count(*) < 1 THEN 1 ELSE 0 END", "not_null": f"count(*) FILTER ({check.column} IS NULL)", "range": f"count(*) FILTER ({check.column} < 0)",
+                "unique": f"count(*) - count(DISTINCT {check.column}) - max(CASE WHEN {check.column} IS NULL THEN 1 ELSE 0 END)",
+            }[check.kind]
+            told.append((check.name, check.severity, failed if check.column is None or check.column in columns[c.table] else "NULL"))
+        parts += [f"SELECT '{c.table}' AS table_name, '{n}' AS check_name, '{s}' AS severity, CAST({f} AS BIGINT) AS failed, count(*) AS total FROM {table}" for n, s, f in told]
+        for x in c.references:
+            parts.append(f"SELECT '{c.table}', '{x.name}', '{x.severity}', count(*) FILTER ({x.column} NOT IN (SELECT {x.parent_column} FROM {of(x.parent)})), count(*) FROM {table} WHERE {x.column} IS NOT NULL")
+        for x in c.reconciliations:
+            source, key = _SOURCES[x.source]
+            keys = f"(SELECT count(DISTINCT {key}) FROM {source})"
+            parts.append(f"SELECT '{c.table}', '{x.name}', '{x.severity}', CAST(CASE WHEN abs({keys} - count(DISTINCT {x.column})) * 100 > {keys} * {x.percent} THEN 1 ELSE 0 END AS BIGINT), count(DISTINCT {x.column}) FROM {table}")
+    rows = " UNION ALL ".join(parts)
+    return f"WITH {', '.join(held.values())} SELECT table_name, check_name, severity, CASE WHEN failed = 0 THEN 'PASS' WHEN severity = 'WARN' THEN 'WARN' ELSE 'FAIL' END AS status, failed, total FROM ({rows})"
+
+
+def _columns_of(table: str) -> tuple[str, ...]:
+    """Columns that a ruled table has, as far as rules name them."""
+    lacks = {"fact_txn_account": ("txn_date",), "fact_card_txn": ("txn_date",), "fact_support_ticket": ("status",)}.get(table, ())
+    d = next((x for x in dimensions() if x.name == table), None)
+    named = {c.column for r in _RULES if r.table == table for c in r.checks if c.column}
+    return tuple(c for c in named if c not in lacks and (d is None or c == d.key or c in d.columns))
+
+
+@query("dq8_rule_catalogue", _rules_sql())
+def rule_catalogue(r: Roles) -> DataFrame:
+    """The rules of the layers' tables in one report; some facts lack a column that a rule names, which fails it."""
+
+    @functools.cache
+    def tables(name: str) -> DataFrame | None:
+        if name in _SOURCES:
+            return {"core_customer": r.customer, "core_txn_account": r.account_txn}[name]
+        return _current(r, name) if name in _HELD else durable(_RULED[name][1](r)) if name in _RULED else None
+
+    return contracts.enforce_all(_RULES, tables, DAY)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import flag, zero
-from tierline.operators import checks, reconcile
+from tierline.operators import checks, contracts, reconcile
 from tierline.plans.registry import query
 from tierline.plans.roles import DAY, Roles
 from tierline.plans.stream_queries import SPEC, _shared, records
@@ -112,3 +112,24 @@ def penalty_by_late_rate(r: Roles) -> DataFrame:
 
     loans = r.payment.groupBy("loan_id").agg(ratio(F.count_if(F.col("payment_status") == "LATE"), F.count("*")).alias("rate"), F.sum("penalty").alias("penalty"))
     return loans.groupBy(ladder(F.col("rate"), [(0.5, "high"), (0.2, "middle")], "low", least=False).alias("late_rate")).agg(F.count("*").alias("loans"), zero(F.sum("penalty")).alias("penalty"))
+
+
+@query(
+    "dq17_whole_contract",
+    """WITH x AS (
+      SELECT count(*) AS n, count(*) FILTER (customer_id IS NULL) AS a, count(*) - count(DISTINCT (customer_id, txn_ts, channel)) AS b, count(*) FILTER (cob_dt > DATE '2001-06-30') AS c,
+             CASE WHEN DATE '2001-06-30' - max(cob_dt) > 2 THEN 1 ELSE 0 END AS d, count(*) FILTER (amount < 1000 OR amount > 400000) AS e, count(*) FILTER (customer_id NOT IN (SELECT customer_id FROM dim_customer)) AS f
+      FROM account_txn)
+    SELECT 'account_txn' AS table_name, k AS check_name, severity, CASE WHEN failed = 0 THEN 'PASS' WHEN severity = 'WARN' THEN 'WARN' ELSE 'FAIL' END AS status, failed, total
+    FROM x, LATERAL (VALUES ('row_count', 'FAIL', CAST(CASE WHEN n < 100 THEN 1 ELSE 0 END AS BIGINT), n), ('not_null:customer_id', 'FAIL', a, n), ('not_null:branch_code', 'FAIL', NULL, n), ('unique:customer_id,txn_ts,channel', 'WARN', b, n),
+      ('not_future:cob_dt', 'FAIL', c, n), ('fresh:cob_dt', 'FAIL', CAST(d AS BIGINT), n), ('range:amount', 'WARN', e, n), ('references:customer_id', 'FAIL', f, n), ('references:channel', 'FAIL', NULL, NULL)) AS v(k, severity, failed, total)""",
+)
+def whole_contract(r: Roles) -> DataFrame:
+    """Required columns, rows, a key of several columns, days not ahead and not too old, amounts, and keys in other tables, one of
+    which is not there."""
+    checks_ = (
+        checks.Check("row_count", low=100), checks.Check("not_null", "customer_id"), checks.Check("not_null", "branch_code"), checks.Check("unique", "customer_id,txn_ts,channel", severity="WARN"), checks.Check("not_future", "cob_dt"),
+        checks.Check("fresh", "cob_dt", high=2), checks.Check("range", "amount", low=1000, high=400_000, severity="WARN"),
+    )
+    contract = contracts.Contract("account_txn", checks_, (contracts.Reference("customer_id", "customer", "customer_id"), contracts.Reference("channel", "channels", "channel")))
+    return contracts.enforce(contract, {"account_txn": r.account_txn, "customer": r.customer}.get, DAY)

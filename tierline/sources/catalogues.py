@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from tierline.operators.checks import Check
+from tierline.operators.contracts import Contract, Reconciliation, Reference
 from tierline.streaming.consolidate import Consolidation
 from tierline.streaming.events import StreamSpec
 
@@ -116,6 +117,42 @@ def fact_rules(key: str, amount: str, channels: tuple[str, ...] = ()) -> list[Ch
     return base + ([Check("accepted", "channel", values=channels, severity="WARN")] if channels else [])
 
 
+def _contract(table: str, key: str, required: str = "", warned: str = "", amount: str = "", references: tuple[Reference, ...] = (), reconciliations: tuple[Reconciliation, ...] = ()) -> Contract:
+    """Rows, required columns, a key that is unique, columns that should be there, and an amount of 0 or more."""
+    base = [Check("row_count", low=1), Check("not_null", key), *[Check("not_null", c) for c in required.split()], Check("unique", key)]
+    base += [Check("not_null", c, severity="WARN") for c in warned.split()] + ([Check("range", amount, low=0, severity="WARN")] if amount else [])
+    return Contract(table, tuple(base), references, reconciliations)
+
+
+_CUSTOMER, _OF_ACCOUNT = Reference("customer_id", "dim_customer", "customer_id"), Reference("account_id", "dim_account", "account_id")
+_OF_PRODUCT, _OF_BRANCH = Reference("product_code", "dim_product", "product_code"), Reference("branch_code", "dim_branch", "branch_code")
+
+#: What must hold of each table of the layers.
+SILVER_RULES = (
+    _contract("dim_customer", "customer_id", "cccd full_name", "phone email address city district branch_code", references=(Reference("branch_code", "dim_branch", "branch_code", "WARN"),), reconciliations=(Reconciliation("core_customer", "customer_id", 5),)),
+    _contract("dim_account", "account_id", "account_no customer_id product_code branch_code", amount="balance", references=(_CUSTOMER, _OF_PRODUCT, _OF_BRANCH)),
+    _contract("dim_product", "product_code", "product_name"),
+    _contract("dim_branch", "branch_code", "branch_name"),
+    _contract("dim_card", "card_id", "customer_id card_type", references=(_CUSTOMER, _OF_ACCOUNT, _OF_PRODUCT)),
+    _contract("dim_employee", "employee_id", "full_name branch_code", references=(_OF_BRANCH,)),
+    _contract("dim_device", "device_id", "customer_id device_type", references=(_CUSTOMER,)),
+    _contract("dim_location", "location_id", "merchant_name"),
+    _contract("fact_txn_account", "txn_id", "account_id customer_id txn_date txn_amount", amount="txn_amount", references=(_OF_ACCOUNT, _CUSTOMER), reconciliations=(Reconciliation("core_txn_account", "txn_id", 5, "WARN"),)),
+    _contract("fact_card_txn", "txn_id", "card_id customer_id txn_date txn_amount", amount="txn_amount", references=(Reference("card_id", "dim_card", "card_id"), _CUSTOMER)),
+    _contract("fact_crm_interaction", "interaction_id", "customer_id interaction_date", references=(_CUSTOMER,)),
+    _contract("fact_online_transaction", "transaction_id", "customer_id transaction_date amount", amount="amount", references=(_CUSTOMER,)),
+    _contract("fact_support_ticket", "ticket_id", "customer_id issue_type priority status", references=(_CUSTOMER,)),
+)
+#: Marts that must have rows, each with this column; and logs that must have rows.
+GOLD_RULES = tuple(
+    Contract(table, (Check("row_count", low=1), Check("not_null", column))) for table, column in (
+        ("mart_customer_360", "customer_id"), ("customer_balance_summary", "customer_id"), ("customer_card_summary", "customer_id"), ("customer_product_summary", "customer_id"), ("customer_transaction_summary", "customer_id"),
+        ("mart_branch_monthly_summary", "branch_code"), ("rfm_segment", "customer_id"), ("churn_prediction", "customer_id"), ("cross_sell_segment", "customer_id"), ("campaign_target", "customer_id"),
+    )
+)
+LOG_RULES = tuple(Contract(t, (Check("row_count", low=1),)) for t in ("core_account_cdc", "core_customer_cdc", "core_transaction_cdc", "card_account_cdc", "card_transaction_cdc", "online_transaction_cdc"))
+
+
 @dataclass(frozen=True)
 class Violation:
     """Rows of a table that go into quarantine; a condition that is unknown (null) is no violation."""
