@@ -92,6 +92,14 @@ def credit_model(r: Roles) -> DataFrame:
     return models.confusion(models.scores(model, test, ["customer_id", "label"]), "label")
 
 
+@query("ml3_credit_evaluation")
+def credit_evaluation(r: Roles) -> DataFrame:
+    """Rates of held-out customers, and the area under the ROC curve."""
+    test, model = _credit(r)
+    scored = durable(models.scores(model, test, ["customer_id", "label"]))
+    return models.evaluation(scored, "label").withColumn("auc", F.lit(models.auc(scored, "label")))
+
+
 @query("ml3_credit_importances")
 def credit_importances(r: Roles) -> DataFrame:
     _, model = _credit(r)

@@ -12,6 +12,7 @@ from tierline.functions.columns import zero
 from tierline.plans.registry import query
 from tierline.plans.roles import Roles
 from tierline.sources.shared import durable, remove_folder, shared_folder
+from tierline.sources.catalogues import streams
 from tierline.streaming import events as ev
 from tierline.streaming import stateful
 
@@ -158,3 +159,38 @@ def once_each(r: Roles) -> DataFrame:
     done = r.spark.read.parquet(f"{folder}/effects").select("event_id", F.col("batch").cast("long").alias("batch"), F.lit("NEW").alias("verdict"))
     rejected = r.spark.read.parquet(f"{folder}/out/rejected").select("event_id", F.col("batch_id").cast("long").alias("batch"), "verdict")
     return _kept(done.unionByName(rejected), folder)
+
+
+def topic_records(r: Roles, spec: ev.StreamSpec) -> DataFrame:
+    """Events as envelopes of a topic, with its own columns and the faults of records()."""
+    k, n = F.col("event_id") % 50, F.col("event_id").cast("string")
+    kinds = {"bigint": n, "int": (F.col("event_id") % 2).cast("string"), "string": F.col("event_type")}
+    fields = [F.when(k != 7, n).alias(c) if c in spec.keys else kinds.get(t, F.col("amount").cast("string")).alias(c) for c, t in spec.columns.items()]
+    ts = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    payload = F.struct(*fields, F.when(k == 8, "x").otherwise("u").alias("__op"), F.when(k == 9, "late").otherwise(ts).alias("__ts_ms"))
+    return r.event.select(
+        n.alias("key"), F.when(k != 6, F.when(k == 10, '{"payload": 5}').otherwise(F.to_json(F.struct(payload.alias("payload"))))).alias("value"), F.lit(spec.topic).alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+
+
+_TOPICS = ", ".join(f"('{s.topic}', {bool(s.dedup_keys)})" for s in streams())
+
+
+@query(
+    "st15_stream_catalogue",
+    f"""SELECT topic, count(*) FILTER (event_id % 50 NOT IN (6, 7, 8, 9, 10)) AS logged, count(*) FILTER (event_id % 50 IN (8, 9) OR (event_id % 50 IN (7, 10) AND NOT once)) + CASE WHEN once THEN 1 ELSE 0 END AS dead
+    FROM events, (VALUES {_TOPICS}) AS t(topic, once) GROUP BY topic, once""",
+)
+def stream_catalogue(r: Roles) -> DataFrame:
+    """Each of the catalogue's topics as a stream of its own: read, deduplicated where it says so (records without a key
+    are then one), validated, split, logged."""
+    folder, out = _shared(r), None
+    for i, spec in enumerate(streams()):
+        own = f"{folder}/{i}"
+        topic_records(r, spec).write.parquet(f"{own}/in")
+        ev.run_cdc(ev.file_stream(r.spark, f"{own}/in", files=1000), spec, f"{own}/out", f"{own}/checkpoint").awaitTermination()
+        count = lambda name, alias: r.spark.read.parquet(f"{own}/out/{name}").agg(F.count("*").alias(alias))  # noqa: B023, E731
+        told = count("log", "logged").crossJoin(count("dead_letters", "dead")).select(F.lit(spec.topic).alias("topic"), "logged", "dead")  # one row each
+        out = told if out is None else out.unionByName(told)
+    return _kept(out, folder)
