@@ -314,6 +314,11 @@ def never_active(r: Roles) -> DataFrame:
     return r.customer.select("customer_id", "full_name").join(r.account_txn, "customer_id", "left_anti")
 
 
+@query("jn5_never_contacted", "SELECT customer_id, full_name FROM dim_customer WHERE customer_id NOT IN (SELECT customer_id FROM interaction WHERE cob_dt <= DATE '2001-06-30')")
+def never_contacted(r: Roles) -> DataFrame:
+    return r.customer.select("customer_id", "full_name").join(r.interaction.where(F.col("cob_dt") <= F.lit(DAY)), "customer_id", "left_anti")
+
+
 @query("so1_source_alignment", "SELECT 'account' AS source, count(*) AS n, max(cob_dt) AS last_day FROM account_txn UNION ALL SELECT 'card', count(*), max(cob_dt) FROM card_txn UNION ALL SELECT 'online', count(*), max(CAST(ts + INTERVAL 7 HOUR AS DATE)) FROM event")
 def source_alignment(r: Roles) -> DataFrame:
     parts = [("account", r.account_txn, F.col("cob_dt")), ("card", r.card_txn, F.col("cob_dt")), ("online", r.event, business_date(F.col("ts")))]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tierline.functions.columns import money, zero
 from tierline.functions.time import business_date, business_window
 from tierline.operators import invariants, scd
+from tierline.operators.checks import drift_report as drift_of
 from tierline.plans.registry import query
 from tierline.plans.roles import DAY, Roles
 from tierline.plans.stream_queries import _kept, _shared
@@ -186,3 +188,53 @@ def layer_metrics(r: Roles) -> DataFrame:
         invariants.Layer("gold.stale", f"{folder}/stale", ("customer_id",), "cob_dt"),
     ]
     return _kept(invariants.layer_report(r.spark, layers, DAY), folder)
+
+
+@query(
+    "dq15_drift_report",
+    """SELECT 'account_txn' AS table_name, * FROM (VALUES ('amount', 'type', 'decimal(18,2)', 'decimal(20,2)', 'ADDITIVE'), ('channel', 'removed', 'string', '', 'BREAKING'), ('customer_id', 'type', 'bigint', 'string', 'BREAKING'),
+      ('note', 'added', '', 'string', 'ADDITIVE')) AS v(column_name, change, declared, actual, severity)""",
+)
+def drift_report(r: Roles) -> DataFrame:
+    """A table as it was declared against what its newest files hold: a column went, one came, one is wider, one means another thing."""
+    folder = _shared(r)
+    declared = r.account_txn.select("txn_id", "customer_id", "amount", "channel")
+    now = declared.select("txn_id", F.col("customer_id").cast("string").alias("customer_id"), F.col("amount").cast("decimal(20,2)").alias("amount"), F.lit("x").alias("note"))
+    now.write.parquet(f"{folder}/t")
+    return _kept(drift_of(r.spark, "account_txn", declared.schema, r.spark.read.parquet(f"{folder}/t").schema), folder)
+
+
+def _refused(run: Callable[[], object], error: type[Exception] = ValueError) -> bool:
+    try:
+        run()
+    except error:
+        return True
+    return False
+
+
+@query(
+    "snk2_guarded_writes",
+    "SELECT count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS amount, true AS flat_refused, true AS lost_column_refused, true AS changed_type_refused FROM account_txn WHERE cob_dt BETWEEN DATE '2001-05-31' AND DATE '2001-06-30'",
+)
+def guarded_writes(r: Roles) -> DataFrame:
+    """Writes that would replace a whole table, lose a column or change what one means are refused, and leave the table as it was."""
+    table, flat = _table(), _table()
+    rows = _week(r)
+    writes.overwrite_days(rows, table)
+    rows.write.saveAsTable(flat)
+    told = [_refused(lambda: writes.overwrite_days(rows, flat)), _refused(lambda: writes.overwrite_days(rows.drop("customer_id"), table), writes.SchemaBreak), _refused(lambda: writes.overwrite_days(rows.withColumn("amount", F.lit("x")), table), writes.SchemaBreak)]
+    names = ("flat_refused", "lost_column_refused", "changed_type_refused")
+    r.spark.sql(f"DROP TABLE {flat}")
+    return _dropped(r.spark.table(table).agg(F.count("*").alias("n"), zero(F.sum("amount")).alias("amount")).withColumns({n: F.lit(t) for n, t in zip(names, told, strict=True)}), table)
+
+
+@query(
+    "mrg6_load_guards",
+    "SELECT count(*) AS versions, CAST(sum(is_current) AS BIGINT) AS current_versions, true AS empty_refused, true AS earlier_refused FROM customer_versions",
+)
+def load_guards(r: Roles) -> DataFrame:
+    """A load of nothing would close every version, and one of a day before the last would rewrite what is known: both are refused."""
+    dimension, source = r.customer_versions, r.customer.select("customer_id", "segment")
+    empty = _refused(lambda: scd.check_load(dimension, source.limit(0), DAY))
+    earlier = _refused(lambda: scd.check_load(dimension, source, dt.date(1995, 1, 1)))
+    return dimension.agg(F.count("*").alias("versions"), F.sum("is_current").cast("bigint").alias("current_versions")).withColumns({"empty_refused": F.lit(empty), "earlier_refused": F.lit(earlier)})
