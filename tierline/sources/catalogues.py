@@ -70,31 +70,46 @@ def dimensions() -> list[Dimension]:
     ]
 
 
-_MONEY, _ID, _TEXT = "decimal(18,2)", "bigint", "string"
-
-
-def _columns(ids: tuple[str, ...], texts: tuple[str, ...], money: tuple[str, ...] = (), ints: tuple[str, ...] = ()) -> dict[str, str]:
-    return {c: _ID for c in ids} | {c: _TEXT for c in texts} | {c: _MONEY for c in money} | {c: "int" for c in ints}
-
-
-#: A payment's columns, the same for both ways to pay online.
-_PAYMENT = _columns(
-    ("transaction_id", "account_id", "device_id", "location_id", "customer_id", "merchant_id", "transaction_date", "created_ts", "last_updated"),
-    ("transaction_type", "channel", "currency", "is_fraud", "fraud_reason", "status", "payment_channel"), ("amount",), ("refund_flag",),
-)
+def _columns(contract: str) -> dict[str, str]:
+    """Columns by name, in the contract's order: a name alone is a text, name:long a number, name:decimal an amount, name:int a flag."""
+    kinds = {"": "string", "long": "bigint", "decimal": "decimal(18,2)", "int": "int"}
+    return {name: kinds[kind] for name, _, kind in (c.partition(":") for c in contract.split())}
+
+
+#: The columns of each topic's payload.
+_CUSTOMER_COLUMNS = _columns("""
+    customer_id:long cccd full_name gender date_of_birth:long phone email address city district branch_code customer_segment kyc_status
+    register_date:long is_active last_updated:long""")
+_ACCOUNT_COLUMNS = _columns("""
+    account_id:long account_no customer_id:long product_code branch_code account_type currency balance:decimal open_date:long close_date:long
+    status last_updated:long""")
+_TRANSACTION_COLUMNS = _columns("""
+    txn_id:long account_id:long customer_id:long txn_date:long txn_amount:decimal txn_type debit_credit balance_after:decimal channel description
+    counter_account created_ts:long last_updated:long""")
+_CARD_COLUMNS = _columns("""
+    card_id:long card_no_masked customer_id:long account_id:long product_code card_type card_brand credit_limit:decimal issue_date:long
+    expiry_date:long status last_updated:long""")
+_CARD_TRANSACTION_COLUMNS = _columns("""
+    txn_id:long card_id:long customer_id:long txn_date:long txn_amount:decimal txn_type currency merchant_name merchant_category channel status
+    created_ts:long last_updated:long""")
+#: The same for both ways to pay online.
+_PAYMENT_COLUMNS = _columns("""
+    transaction_id:long account_id:long device_id:long location_id:long customer_id:long transaction_type channel amount:decimal currency is_fraud
+    fraud_reason status merchant_id:long payment_channel refund_flag:int transaction_date:long created_ts:long last_updated:long""")
 
 
 def streams() -> list[StreamSpec]:
     """Seven topics; two are deduplicated, one is enriched."""
+    once = (("transaction_id",), "10 minutes")
     return [
-        StreamSpec("postgresql.banking.core_banking.customer", ("customer_id",), _columns(("customer_id", "date_of_birth", "register_date", "last_updated"), ("cccd", "full_name", "gender", "phone", "email", "address", "city", "district", "branch_code", "customer_segment", "kyc_status", "is_active"))),
-        StreamSpec("postgresql.banking.core_banking.account", ("account_id",), _columns(("account_id", "customer_id", "open_date", "close_date", "last_updated"), ("account_no", "product_code", "branch_code", "account_type", "currency", "status"), ("balance",)), lookup="br", lookup_keys=("branch_code",)),
-        StreamSpec("postgresql.banking.core_banking.txn_account", ("txn_id",), _columns(("txn_id", "account_id", "customer_id", "txn_date", "created_ts", "last_updated"), ("txn_type", "debit_credit", "channel", "description", "counter_account"), ("txn_amount", "balance_after"))),
-        StreamSpec("postgresql.banking.card_crm.card", ("card_id",), _columns(("card_id", "customer_id", "account_id", "issue_date", "expiry_date", "last_updated"), ("card_no_masked", "product_code", "card_type", "card_brand", "status"), ("credit_limit",))),
-        StreamSpec("postgresql.banking.card_crm.card_txn", ("txn_id",), _columns(("txn_id", "card_id", "customer_id", "txn_date", "created_ts", "last_updated"), ("txn_type", "currency", "merchant_name", "merchant_category", "channel", "status"), ("txn_amount",))),
-        StreamSpec("postgresql.banking.digital_banking.online_transaction", ("transaction_id",), _PAYMENT, ("transaction_id",), "10 minutes"),
-        StreamSpec("qr.payment.events", ("transaction_id",), _PAYMENT, ("transaction_id",), "10 minutes"),
-    ]
+        StreamSpec("postgresql.banking.core_banking.customer", ("customer_id",), _CUSTOMER_COLUMNS),
+        StreamSpec("postgresql.banking.core_banking.account", ("account_id",), _ACCOUNT_COLUMNS, lookup="br", lookup_keys=("branch_code",)),
+        StreamSpec("postgresql.banking.core_banking.txn_account", ("txn_id",), _TRANSACTION_COLUMNS),
+        StreamSpec("postgresql.banking.card_crm.card", ("card_id",), _CARD_COLUMNS),
+        StreamSpec("postgresql.banking.card_crm.card_txn", ("txn_id",), _CARD_TRANSACTION_COLUMNS),
+        StreamSpec("postgresql.banking.digital_banking.online_transaction", ("transaction_id",), _PAYMENT_COLUMNS, *once),
+        StreamSpec("qr.payment.events", ("transaction_id",), _PAYMENT_COLUMNS, *once),
+    ]
 
 
 def consolidations() -> list[Consolidation]:
