@@ -259,8 +259,8 @@ def histogram(rgba: np.ndarray) -> np.ndarray:
 def decode_frames(images: DataFrame, key: str, image: str) -> DataFrame:
     """One row a frame: key, frame, delay_ms, at_ms, width, height, rgb binary (as shown), histogram array of 64.
 
-    A null image gives no row; from where an image is no GIF (perhaps its begin), it gives one row whose frame is null. Frames
-    are decoded one at a time. Rows stay where they are: no shuffle. An empty table gives an empty result; other columns are
+    A null image gives no row; from where an image is no GIF (perhaps its begin), it gives one row whose frame is null; so does a
+    screen or frame of more than LARGEST samples, as a damaged image may claim any size. Frames are decoded one at a time. Rows stay where they are: no shuffle. An empty table gives an empty result; other columns are
     not read, whatever their names.
     """
     names = ["frame", "delay_ms", "at_ms", "width", "height", "rgb", "histogram"]
