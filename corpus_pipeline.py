@@ -20,7 +20,8 @@ from tierline.llm.queries import quality_model, tokenizer_path
 
 # Each stage takes documents with any columns, whatever their names, and handles nulls, empty texts, texts of any length, repeated
 # rows and empty tables; what it does with them is told by the operator that it calls. Rows are told apart by their number in
-# a durable copy where a decision must find its row again, so null and repeated doc_ids are documents like others.
+# a durable copy where a decision must find its row again, so null and repeated doc_ids are documents like others; what is decided
+# hangs on what rows hold, and not on these numbers.
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,7 +79,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents and their places in sequences of at most 1,024 tokens. A null text is the end token alone."""
+    """Pieces of documents and their places in sequences of at most 1,024 tokens. A null text is the end token alone.
+
+    Rows that repeat, and rows with null or equal doc_ids, are documents like others. The columns are the pieces' own, whatever
+    those of the input are called; an empty table gives an empty result. Which sequence a piece is in hangs on what it holds.
+    """
     return pack_documents(docs, tokenizer_path(), capacity=1024, end_id=0)
 
 
