@@ -344,16 +344,16 @@ RISKY, SAVERS, IDLE = ("At Risk", "About to Sleep", "Hibernating", "Lost"), ("Lo
     f"""
     WITH t AS ({_CAMPAIGN_SQL})
     SELECT customer_id, churn_risk, is_churn_candidate, rfm_segment, rfm_score, days_since_last_txn,
-           concat_ws('; ', CASE WHEN is_churn_candidate = 1 THEN 'Churn candidate' END, CASE WHEN days_since_last_txn > 60 THEN 'Inactive for ' || days_since_last_txn || ' days' END,
-                     CASE WHEN rfm_segment IN ('At Risk', 'About to Sleep', 'Hibernating', 'Lost') THEN 'RFM segment: ' || rfm_segment END, CASE WHEN churn_risk = 'High' THEN 'High churn risk' END) AS risk_factors, cob_dt
+           concat_ws('; ', CASE WHEN is_churn_candidate = 1 THEN 'Churn candidate — high risk of attrition' END, CASE WHEN days_since_last_txn > 60 THEN 'Inactive for ' || days_since_last_txn || ' days' END,
+                     CASE WHEN rfm_segment IN ('At Risk', 'About to Sleep', 'Hibernating', 'Lost') THEN 'RFM segment: ' || rfm_segment END, CASE WHEN churn_risk = 'High' THEN 'High churn risk score' END) AS risk_factors, cob_dt
     FROM t""",
 )
 def risk_scores(r: Roles) -> DataFrame:
     """What a lookup says of the risk of one customer, for all of them at once."""
     idle = F.col("days_since_last_txn")
     factors = F.array(
-        F.when(F.col("is_churn_candidate") == 1, "Churn candidate"), F.when(idle > IDLE, F.concat(F.lit("Inactive for "), idle.cast("string"), F.lit(" days"))),
-        F.when(F.col("rfm_segment").isin(*RISKY), F.concat(F.lit("RFM segment: "), F.col("rfm_segment"))), F.when(F.col("churn_risk") == "High", "High churn risk"),
+        F.when(F.col("is_churn_candidate") == 1, "Churn candidate — high risk of attrition"), F.when(idle > IDLE, F.concat(F.lit("Inactive for "), idle.cast("string"), F.lit(" days"))),
+        F.when(F.col("rfm_segment").isin(*RISKY), F.concat(F.lit("RFM segment: "), F.col("rfm_segment"))), F.when(F.col("churn_risk") == "High", "High churn risk score"),
     )
     return campaign_target(r).select("customer_id", "churn_risk", "is_churn_candidate", "rfm_segment", "rfm_score", "days_since_last_txn", F.array_join(factors, "; ").alias("risk_factors"), "cob_dt")
 
