@@ -16,13 +16,13 @@ from pyspark.sql import types as T
 
 from tierline.llm.common import give_back, numbered, plain_names, told_apart
 
-#: Bytes, about, that a task spends on remembering the ids of parts of lines; a quarter of it for their beginnings.
+#: Bytes, about, that a worker spends on remembering the ids of parts of lines; a quarter of it for their beginnings.
 REMEMBERED = 160 << 20
 
 
 @functools.cache
 def token_ids(path: str) -> TokenIds:
-    """One a worker: its tokenizer outlives a task, what it remembers does not."""
+    """One a worker: its tokenizer, and what it remembers within its bounds, outlive a task: tasks share most of their words."""
     return TokenIds(path)
 
 
@@ -59,10 +59,6 @@ class _Known(dict):
         self[part] = found
         return found
 
-    def forget(self) -> None:
-        self.clear()
-        self.held, self.old = 0, {}
-
 
 class TokenIds:
     """Ids of whole texts by a byte-level BPE tokenizer file, as little-endian 32-bit bytes.
@@ -87,10 +83,6 @@ class TokenIds:
         words = [" Ab", " caf\u00e9s", "Zu"]  # does this file cut as assumed?
         self.direct = all(self._word(w) == self._whole(w) for w in words) and self._whole("a b\nc") == self._whole("a") + self._whole(" b") + self.newline + self._whole("c")
 
-    def forget(self) -> None:
-        for known in (self.heads, self.parts, self.marks):
-            known.forget()
-
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -148,7 +140,6 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: i
                         rows.append((k, at // 4, len(own) // 4, zlib.crc32(own), len(ids) // 4, *([own] * with_ids)))
                 kinds = [pa.int64()] * 5 + [pa.binary()] * with_ids
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[key, "start", "length", "ids_crc32", "doc_tokens", "ids"][: len(kinds)])
-        tokens.forget()
         give_back()
 
     return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(cut, schema)
