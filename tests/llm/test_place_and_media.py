@@ -4,6 +4,7 @@ import random
 import zlib
 from base64 import b64encode, urlsafe_b64encode
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -131,6 +132,35 @@ def test_ids_are_the_tokenizers(tokenizer, corpus):
         assert ids.text(x) == np.array(ids.tokenizer.encode(x, add_special_tokens=False).ids, "<u4").tobytes(), x
 
 
+def test_parts_are_tokenized_many_at_once_and_once_only(tokenizer):
+    ids = TokenIds(str(tokenizer))
+    encode, calls = ids.encode, []
+    ids.encode = lambda x: calls.append(x) or encode(x)
+    words = [f"wo{i:x}" for i in range(5000)]
+    texts = [" ".join(words), "  ".join(words[::-1]), "", "\n\n".join(words), " " + " ".join(words)]
+    assert ids.texts([x.encode() for x in texts]) == [np.array(ids.tokenizer.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    assert len(calls) < 30
+    ids.texts([" ".join(words[1:]).encode()])
+    assert len(calls) < 32 and sum(map(len, calls)) < 4 * len(texts[0])
+
+
+def test_odd_white_space_between_parts(tokenizer):
+    ids, rng = TokenIds(str(tokenizer)), random.Random(5)
+    signs = ["a", "é", " ", "  ", "\n", "\t", "\r", "\xa0", "\u3000", "\u2003", "\x85", "\x1c", ".", "'s", "1", "日", "の", "“", "😀", "<|endoftext|>", "\u0301", "\x00", "\u200b", "\u180e"]
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 12))) for _ in range(3000)]
+    assert ids.direct and ids.texts([x.encode() for x in texts]) == [np.array(ids.tokenizer.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+
+
+def test_a_tokenizer_whose_tokens_run_on_over_white_space_gets_whole_texts(tokenizer, tmp_path):
+    told = json.loads(Path(tokenizer).read_text())
+    told["pre_tokenizer"]["use_regex"] = False
+    told["model"]["vocab"][".Ċ"] = 50257
+    told["model"]["merges"].append([".", "Ċ"] if isinstance(told["model"]["merges"][0], list) else ". Ċ")
+    (tmp_path / "runs_on.json").write_text(json.dumps(told))
+    ids = TokenIds(str(tmp_path / "runs_on.json"))
+    assert not ids.direct and 50257 in np.frombuffer(ids.text("a.\nb c"), "<u4") and ids.text("a.\nb c") == np.array(ids.tokenizer.encode("a.\nb c").ids, "<u4").tobytes()
+
+
 def test_packed_documents(make_docs, corpus, tokenizer):
     docs = make_docs([*corpus, "long text " * 3000])
     rows = pack_documents(docs, str(tokenizer), with_ids=True).collect()

@@ -18,13 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm.common import durable, give_back, plain_names
-from tierline.llm.packing import TokenIds, _byte_letters
+from tierline.llm.packing import TokenIds
 from tierline.llm.words import blocks
 
 #: Bytes of text that are aligned at once, about; and entries that a worker remembers before it starts afresh: windows, pairs.
 BLOCK_BYTES, WINDOWS, PAIRS = 1 << 20, 300_000, 1_000_000
-#: Bytes, about, that a worker spends on remembering the ids of parts of texts; a quarter more for the begins of lines.
-REMEMBERED = 144 << 20
+#: Bytes, about, that a worker spends on remembering the ids of parts of texts.
+REMEMBERED = 180 << 20
 #: Pairs whose counts are sent to all tasks, at most: 12 bytes each.
 COMMON = 1 << 20
 _STORED = "row long, key long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary, times binary"
@@ -32,17 +32,12 @@ _FACTS = ("row", "key", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
 
 
 class ByteBpe(TokenIds):
-    """Ids of a byte-level BPE file, where the strings of special tokens are plain text; and the bytes of each id."""
+    """Ids of a byte-level BPE file, where the strings of special tokens are plain text."""
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.heads.most, self.parts.most = REMEMBERED // 4, REMEMBERED
+        self.known.most = REMEMBERED
         self.tokenizer.encode_special_tokens = True
-        letters = {v: k for k, v in self.letters.items()}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.bytes = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            self.bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.text(" " + text), "<u4")

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import functools
-import re
-import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,10 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.llm.common import give_back, numbered, plain_names, told_apart
+from tierline.llm.common import numbered, plain_names, told_apart
+from tierline.llm.parts import Known, ids_of_parts, parted, parts_of
+from tierline.llm.words import blocks
 
-#: Bytes, about, that a worker spends on remembering the ids of parts of lines; a quarter of it for their beginnings.
-REMEMBERED = 160 << 20
+#: Bytes of text that are tokenized at once, about; and bytes, about, that a worker spends on remembering the ids of their parts.
+BLOCK_BYTES, REMEMBERED = 4 << 20, 200 << 20
 
 
 @functools.cache
@@ -26,12 +26,6 @@ def token_ids(path: str) -> TokenIds:
     return TokenIds(path)
 
 
-#: Latin letters, perhaps after a space, and plain marks behind them: two pieces to any byte-level BPE of this family.
-_PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?|]*)")
-#: Two white-space characters in a row: what they are cut into depends on what is around them.
-_RUN = re.compile(r"\s\s")
-
-
 def _byte_letters() -> dict[int, str]:
     """The printable character that stands for each byte in such vocabularies: itself, or, if not printable, from U+0100 on."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -39,33 +33,11 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class _Known(dict):
-    """Ids by part, learned when first asked for. When it is full it starts afresh, but parts that are asked for again are
-    taken over from what it was: frequent ones are always there."""
-
-    def __init__(self, learn: Callable[[str], bytes], most: int):
-        super().__init__()
-        self.learn, self.most, self.held, self.old = learn, most, 0, {}
-
-    def __missing__(self, part: str) -> bytes:
-        found = self.old.get(part)
-        if found is None:
-            found = self.learn(part)
-        self.held += 200 + len(part) + len(found)
-        if self.held > self.most // 2:
-            self.old = dict(self)
-            self.clear()
-            self.held = 0
-        self[part] = found
-        return found
-
-
 class TokenIds:
-    """Ids of whole texts by a byte-level BPE tokenizer file, as little-endian 32-bit bytes.
+    """Ids of whole texts by a byte-level BPE tokenizer file, as little-endian 32-bit bytes; and the bytes of each id.
 
-    A space or newline between two characters that are not white space always parts pieces of such a tokenizer, a space as
-    the begin of the next piece, a newline as a piece of its own. So a text's ids are those of its parts, and parts repeat.
-    Parts of Latin letters go to the vocabulary model directly, all others through the whole tokenizer.
+    Such a tokenizer begins a piece wherever white space follows another character, so a text's ids are those of its parts
+    (`parts.py`). A file that does not cut so gets whole texts.
     """
 
     def __init__(self, path: str):
@@ -74,48 +46,35 @@ class TokenIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.model = self.tokenizer.model
-        self.letters = _byte_letters()
-        self.heads = _Known(self._learn, REMEMBERED // 4)  # parts at the begin of a line
-        self.parts = _Known(lambda part: self._learn(" " + part), REMEMBERED)  # parts after a space, which the key lacks
-        self.marks = _Known(self._whole, REMEMBERED // 16)
-        self.newline = self._whole("\n")
-        words = [" Ab", " caf\u00e9s", "Zu"]  # does this file cut as assumed?
-        self.direct = all(self._word(w) == self._whole(w) for w in words) and self._whole("a b\nc") == self._whole("a") + self._whole(" b") + self.newline + self._whole("c")
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        shown = word.encode().decode("latin-1").translate(self.letters)
-        ids = [t.id for t in self.model.tokenize(shown)]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _learn(self, part: str) -> bytes:
-        plain = _PLAIN.fullmatch(part)
-        if not plain:
-            return self._whole(part)
-        return self._word(plain[1]) + self.marks[plain[2]] if plain[2] else self._word(plain[1])
-
-    def _line(self, line: str) -> bytes:
-        parts = line.split(" ")
-        head = self.heads[parts[0]]
-        del parts[0]
-        return head + b"".join(map(self.parts.__getitem__, parts))
+        letters = {v: k for k, v in _byte_letters().items()}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            self.bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        self.sizes = np.array([len(x) for x in self.bytes], np.int64)
+        self.known = Known(self._learn, REMEMBERED)
+        probe = " Ab caf\u00e9s, x.\n\n \ty  z\u00a0  1!\n- it's  "  # does this file cut as assumed?
+        self.direct = parted(self.bytes) and np.array_equal(np.concatenate([self.encode(x) for x in parts_of([probe.encode()])[0]]), self.encode(probe.encode()))
+
+    def encode(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, parts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        order, ids, counts = ids_of_parts(parts, self.encode, self.sizes)
+        raw, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+        return ((parts[n], raw[i:j]) for n, i, j in zip(order, [0, *ends], ends))  # noqa: B905
+
+    def texts(self, texts: list[bytes]) -> list[bytes]:
+        parts, which, firsts = parts_of(texts, self.direct)
+        if not parts:
+            return [b""] * len(texts)
+        told = pa.array(self.known.of(parts), pa.large_binary()).take(pa.array(which))
+        _, at, raw = told.buffers()
+        at, raw = np.frombuffer(at, np.int64)[firsts].tolist(), raw.to_pybytes()
+        return [raw[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
 
     def text(self, text: str) -> bytes:
-        if not self.direct:
-            return self._whole(text)
-        if not _RUN.search(text):
-            return self.newline.join(map(self._line, text.split("\n")))
-        parts = text.split(" ")
-        joined = [parts[0]]  # join the parts between which no piece need start
-        for part in parts[1:]:
-            if joined[-1][-1:].isspace() or not joined[-1]:
-                joined[-1] += " " + part
-            else:
-                joined.append(part)
-        return self.heads[joined[0]] + b"".join(map(self.parts.__getitem__, joined[1:]))
+        return self.texts([text.encode()])[0]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 0, text: str = "text", key: str = "doc_id", with_ids: bool = False) -> DataFrame:
@@ -129,20 +88,17 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: i
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = token_ids(tokenizer_path)
-        for batch in batches:
-            for low in range(0, batch.num_rows, 64):
-                part = batch.slice(low, 64)
-                rows = []
-                for k, ids in zip(part.column(0).to_pylist(), [tokens.text(x or "") for x in part.column(1).to_pylist()], strict=True):
-                    ids += end
-                    for at in range(0, len(ids), 4 * capacity):
-                        own = ids[at : at + 4 * capacity]
-                        rows.append((k, at // 4, len(own) // 4, zlib.crc32(own), len(ids) // 4, *([own] * with_ids)))
-                kinds = [pa.int64()] * 5 + [pa.binary()] * with_ids
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[key, "start", "length", "ids_crc32", "doc_tokens", "ids"][: len(kinds)])
-        give_back()
-
-    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(cut, schema)
+        for part, texts in blocks(batches, "text", BLOCK_BYTES):
+            rows = []
+            for k, ids in zip(part.column(0).to_pylist(), tokens.texts(texts), strict=True):
+                ids += end
+                for at in range(0, len(ids), 4 * capacity):
+                    own = ids[at : at + 4 * capacity]
+                    rows.append((k, at // 4, len(own) // 4, zlib.crc32(own), len(ids) // 4, *([own] * with_ids)))
+            kinds = [pa.int64()] * 5 + [pa.binary()] * with_ids
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[key, "start", "length", "ids_crc32", "doc_tokens", "ids"][: len(kinds)])
+
+    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(cut, schema)
 
 
 def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
