@@ -177,6 +177,40 @@ def test_windows_are_remembered(tokenizers):
     both.forget()
 
 
+def test_parts_are_cut_many_at_once_and_aligned_once(tokenizers, monkeypatch):
+    """Whatever white space stands around them; texts that are not cut whole stand beside others."""
+    from tierline.llm import alignment
+
+    paths, _, plain = tokenizers
+    both = alignment.Aligner(alignment.ByteBpe(paths[0]), alignment.PieceBpe(paths[1]))
+    calls = []
+    for side in both.sides:
+        monkeypatch.setattr(side, "encode", lambda x, encode=side.encode: calls.append(x) or encode(x))
+    rng = random.Random(8)
+    words = [f"wo{i:x}" for i in range(400)]
+    texts = [" ".join(words), "\n".join(words), "  ".join(words), "", " ".join(words[:50]) + "▁x", " ".join(words[::-1])]
+    assert [x[:5] for x in both.align(texts)] == [x[:4] + x[6:] for x in plain_alignment(texts, both, plain)]
+    n = len(calls)
+    assert n < 60 and both.align([" ".join(words[1:])])[0][0] > 400 and len(calls) <= n + 2
+    signs = ["a", "é", " ", "  ", "\n", "\t", "\r", "\xa0", "\u3000", "\u2003", "\x85", "\x1c", ".", "'s", ")", "日", "“", "😀", "<|endoftext|>", "</s>", "\u0301", "\x00", "un", "▁"]
+    texts = ["".join(rng.choices(signs[: rng.choice([23, 24])], k=rng.randint(0, 12))) for _ in range(500)]
+    assert [x[:5] for x in both.align(texts)] == [x[:4] + x[6:] for x in plain_alignment(texts, both, plain)]
+
+
+def test_what_is_forgotten_is_learned_again(tokenizers, corpus, monkeypatch):
+    from tierline.llm import alignment
+
+    paths, both, _ = tokenizers
+    texts = [*corpus[:120], *ODD]
+    both.forget()
+    want = both.align(texts)
+    monkeypatch.setattr(alignment, "REMEMBERED", 40_000)
+    few = alignment.Aligner(*both.sides)
+    for _ in range(3):
+        assert [x for i in range(0, len(texts), 7) for x in few.align(texts[i : i + 7])] == want
+    assert 0 < len(few.told) < len(both.told) and len(few.seen) == len(few.told) and few.held < 200_000
+
+
 LICENSE_WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 

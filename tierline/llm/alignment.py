@@ -1,8 +1,7 @@
 """Two tokenizers aligned over whole documents: groups that end together, overlapping pairs, and how common each pair is.
 
-Both tokenizers cut the same bytes. Where both have a token that begins with a space, and so both a token that ends before it,
-a document is split into windows of token ids; words repeat, so windows do, and the alignment of a window is worked out once and
-remembered by its two tuples of ids. A pair's count is the number of documents that hold it linked. Counts are summed in each task
+Both tokenizers cut the same bytes, and both cut where parts of a text begin (`parts.py`), so a document is aligned part by part.
+Words repeat, so parts do: a part is tokenized by both and aligned once, and remembered. A pair's count is the number of documents that hold it linked. Counts are summed in each task
 and then by pair; the most common pairs, a bounded number of them, are sent to all tasks, and the rest are joined by pair.
 """
 
@@ -19,12 +18,13 @@ from pyspark.sql import functions as F
 
 from tierline.llm.common import durable, give_back, plain_names
 from tierline.llm.packing import TokenIds
+from tierline.llm.parts import ids_of_parts, parted, parts_of
 from tierline.llm.words import blocks
 
-#: Bytes of text that are aligned at once, about; and entries that a worker remembers before it starts afresh: windows, pairs.
-BLOCK_BYTES, WINDOWS, PAIRS = 1 << 20, 300_000, 1_000_000
-#: Bytes, about, that a worker spends on remembering the ids of parts of texts.
-REMEMBERED = 180 << 20
+#: Bytes of text that are aligned at once, about; and pairs that a task holds before it counts them.
+BLOCK_BYTES, PAIRS = 1 << 20, 1_000_000
+#: Bytes, about, that a worker spends on remembering parts of texts.
+REMEMBERED = 240 << 20
 #: Pairs whose counts are sent to all tasks, at most: 12 bytes each.
 COMMON = 1 << 20
 _STORED = "row long, key long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary, times binary"
@@ -36,12 +36,8 @@ class ByteBpe(TokenIds):
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.known.most = REMEMBERED
         self.tokenizer.encode_special_tokens = True
 
-    def ids(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.text(" " + text), "<u4")
-
 
 class PieceBpe:
     """Ids of a sentence-piece model, which puts a space before the text itself; and the bytes of each id."""
@@ -52,9 +48,15 @@ class PieceBpe:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.sizes = np.array([len(x) for x in self.bytes], np.int64)
+        self.lead = self.model.encode_as_ids(".")
+        self.direct = parted(self.bytes)
 
-    def ids(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode_as_ids(text), "<u4")
+    def encode(self, part: bytes) -> np.ndarray:
+        """Ids of a part. The model puts a space before it itself, but before nothing; a dot is, and is cut off, where it must not."""
+        if part[:1] == b" " and len(part) > 1:
+            return np.array(self.model.encode_as_ids(part[1:].decode()), "<u4")
+        return np.array(self.model.encode_as_ids("." + part.decode())[len(self.lead) :], "<u4")
 
 
 class _Growing:
@@ -73,18 +75,6 @@ class _Growing:
         self.size += len(x)
 
 
-def _tuples(ids: list[np.ndarray], firsts: list[np.ndarray]) -> tuple[bytes, list[int]]:
-    """The tuples of ids of all windows in one string, and where each window starts: the number of A's ids, these, and B's."""
-    n = len(firsts[0])
-    counts = [np.diff(np.append(f, len(x))) for f, x in zip(firsts, ids, strict=True)]
-    at = np.arange(n) + firsts[0] + firsts[1]
-    out = np.empty(n + len(ids[0]) + len(ids[1]), "<u4")
-    out[at] = counts[0]
-    out[np.arange(len(ids[0])) + np.repeat(at + 1 - firsts[0], counts[0])] = ids[0]
-    out[np.arange(len(ids[1])) + np.repeat(at + 1 + counts[0] - firsts[1], counts[1])] = ids[1]
-    return out.tobytes(), (np.append(at, len(out)) * 4).tolist()
-
-
 def _in_order(doc: np.ndarray, pair: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """pair, doc and times by doc and pair; sorted as one number each where they fit in one."""
     p, t = int(pair.max()).bit_length(), int(times.max()).bit_length()
@@ -96,12 +86,12 @@ def _in_order(doc: np.ndarray, pair: np.ndarray, times: np.ndarray) -> tuple[np.
 
 
 class Aligner:
-    """What a worker knows of a pair of tokenizers, and the windows that it has seen."""
+    """What a worker knows of a pair of tokenizers, and the parts that it has seen."""
 
     def __init__(self, a: ByteBpe, b: PieceBpe):
         self.sides = (a, b)
-        self.sizes = [np.array([len(x) for x in s.bytes], np.int64) for s in self.sides]
-        self.spaced = [np.array([x.startswith(b" ") for x in s.bytes]) for s in self.sides]
+        self.sizes = [s.sizes for s in self.sides]
+        self.direct = a.direct and b.direct
         self.names: list[bytes] = []  # each id with the marks that may stand behind it
         self.named: list[int] = []
         for side, marks in enumerate((b",|", b",;")):
@@ -112,81 +102,100 @@ class Aligner:
 
     def forget(self) -> None:
         self.seen: dict[bytes, int] = {}
-        self.told: list[bytes] = []  # of each window: its groups as text, how many, and its links from first on
-        self.n_groups, self.links, self.first = _Growing(), _Growing(), _Growing()
+        self.told: list[bytes] = []  # of each part: its groups as text, how many, how many ids of each side, and its links from first on
+        self.n_a, self.n_b, self.n_groups, self.links, self.first = (_Growing() for _ in range(5))
+        self.whole, self.uses = _Growing(), _Growing()  # whether both sides cut it whole; blocks that had it
         self.first.append_many(np.zeros(1, np.uint64))
-
-    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Both tokenizers' ids, if they cut space and text whole."""
-        if not text:
-            return None
-        ids = [s.ids(text) for s in self.sides]
-        whole = (" " + text).encode()
-        if any(b"".join(map(s.bytes.__getitem__, x.tolist())) != whole for s, x in zip(self.sides, ids, strict=True)):
-            return None
-        return ids[0], ids[1]
-
-    def _learn(self, keys: list[bytes]) -> None:
-        """Align windows that are new, all of them end to end: both sides of each have equally many bytes."""
-        held = np.frombuffer(b"".join(keys), "<u4")
-        size = np.fromiter(map(len, keys), np.int64, len(keys)) // 4
-        begin = np.cumsum(size) - size
-        counts = [held[begin].astype(np.int64), size - 1 - held[begin]]
-        nth = np.arange(len(held)) - np.repeat(begin, size)
-        is_a = nth <= np.repeat(counts[0], size)
-        ids = [held[is_a & (nth > 0)], held[~is_a]]
+        self.held = 0
+
+    def _shed(self) -> None:
+        """Forget the rarer half of the parts, or more."""
+        n = len(self.told)
+        keep = np.flatnonzero(self.uses.held[:n] > np.median(self.uses.held[:n]))
+        names, told = list(self.seen), self.told  # in the order of their numbers
+        from_, to = self.first.held[keep].astype(np.int64), self.first.held[keep + 1].astype(np.int64)
+        size = to - from_
+        links = self.links.held[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - from_, size)]
+        old = [x.held[keep] for x in (self.n_a, self.n_b, self.n_groups, self.whole, self.uses)]
+        self.forget()
+        self._hold([names[i] for i in keep.tolist()], [told[i] for i in keep.tolist()], links, size, *old[:4])
+        self.uses.held[: len(keep)] = old[4] // np.uint64(2)
+
+    def _hold(self, parts: list[bytes], told: list[bytes], links: np.ndarray, size: np.ndarray, *numbers: np.ndarray) -> None:
+        self.seen.update(zip(parts, range(len(self.told), len(self.told) + len(parts)), strict=True))
+        self.told += told
+        self.first.append_many((len(self.links) + np.cumsum(size)).astype(np.uint64))
+        self.links.append_many(links)
+        for held, x in zip((self.n_a, self.n_b, self.n_groups, self.whole), numbers, strict=True):
+            held.append_many(x)
+        self.uses.append_many(np.zeros(len(parts), np.uint64))
+        self.held += 250 * len(parts) + sum(map(len, parts)) + sum(map(len, told)) + 8 * len(links)
+
+    def _cut(self, parts: list[bytes]) -> tuple[list[int], np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """An order of parts; in it, whether both sides cut each whole; and, of those, each side's ids and their numbers."""
+        ids, counts = [], []
+        for s in self.sides:
+            order, own, n = ids_of_parts(parts, s.encode, s.sizes)  # in the same order for both
+            ids.append(own)
+            counts.append(n)
+        parts = [parts[i] for i in order]
+        whole, text = np.ones(len(parts), bool), b"".join(parts)
+        for s, own, n in zip(self.sides, ids, counts, strict=True):
+            tokens = list(map(s.bytes.__getitem__, own.tolist()))
+            if b"".join(tokens) != text:
+                ends = np.cumsum(n).tolist()
+                whole &= np.array([b"".join(tokens[i:j]) == p for p, i, j in zip(parts, [0, *ends[:-1]], ends, strict=True)])
+        ids = [own[np.repeat(whole, n)] for own, n in zip(ids, counts, strict=True)]
+        return order, whole, ids, [n[whole] for n in counts]
+
+    def _learn(self, parts: list[bytes]) -> None:
+        """Align parts that are new, all of them end to end: both sides of each have equally many bytes."""
+        order, whole, ids, counts = self._cut(parts)
+        other = [parts[i] for i, w in zip(order, whole.tolist(), strict=True) if not w]
+        parts = [parts[i] for i, w in zip(order, whole.tolist(), strict=True) if w]
+        if other:
+            none = np.zeros(len(other), np.uint64)
+            self._hold(other, [b""] * len(other), none[:0], none, none, none, none, none)
+        if not parts:
+            return
         ends = [np.cumsum(n[x]) for n, x in zip(self.sizes, ids, strict=True)]
         marks = np.zeros(int(ends[0][-1]) + 1, np.uint8)
         for side in (0, 1):
             marks[ends[side]] |= 1 << side
         every, shared = np.flatnonzero(marks), np.flatnonzero(marks == 3)
-        last = ends[0][np.cumsum(counts[0]) - 1]  # where each window ends
+        last = ends[0][np.cumsum(counts[0]) - 1]  # where each part ends
         a, b = (x[np.searchsorted(e, every)] for x, e in zip(ids, ends, strict=True))  # from one end to the next, one token of each side: a link
-        first = len(self.links) + np.append(0, np.searchsorted(every, last, "right"))
-        self.first.append_many(first[1:].astype(np.uint64))
-        self.links.append_many(a.astype(np.uint64) * np.uint64(len(self.sides[1].bytes)) + b)
-        self.n_groups.append_many(np.diff(np.searchsorted(shared, last, "right"), prepend=0).astype(np.uint64))
-        # A's tokens of a group and then B's, each with what stands behind it; each window without its last mark.
+        size = np.diff(np.searchsorted(every, last, "right"), prepend=0)
+        links = a.astype(np.uint64) * np.uint64(len(self.sides[1].bytes)) + b
+        n_groups = np.diff(np.searchsorted(shared, last, "right"), prepend=0)
+        # A's tokens of a group and then B's, each with what stands behind it; each part without its last mark.
         group = np.concatenate([2 * np.searchsorted(shared, e) + side for side, e in enumerate(ends)])
         shown = np.concatenate([x + self.named[2 * side] + np.where(marks[e] == 3, self.named[2 * side + 1] - self.named[2 * side], 0) for side, (x, e) in enumerate(zip(ids, ends, strict=True))])
-        parts = [self.names[x] for x in shown[np.argsort(group, kind="stable")].tolist()]
+        names = [self.names[x] for x in shown[np.argsort(group, kind="stable")].tolist()]
         edges = np.append(0, np.cumsum(counts[0] + counts[1])).tolist()
-        for key, i, j in zip(keys, edges[:-1], edges[1:], strict=True):
-            self.seen[key] = len(self.told)
-            self.told.append(b"".join(parts[i:j])[:-1])
+        told = [b"".join(names[i:j])[:-1] for i, j in zip(edges[:-1], edges[1:], strict=True)]
+        self._hold(parts, told, links, size, *(x.astype(np.uint64) for x in (*counts, n_groups, np.ones(len(parts)))))
 
     def align(self, texts: list[str]) -> list[tuple]:
         """n_a, n_b, n_groups, n_links, groups_sha256, distinct pairs and how often each, for each text."""
-        found = [self.tokens(x) for x in texts]
-        whole = [i for i, x in enumerate(found) if x]
         none = (0, 0, 0, 0, "", b"", b"")
-        if not whole:
-            return [none] * len(texts)
-        counts, ids, begins, windows = [], [], [], []
-        for side in (0, 1):
-            own = [found[i][side] for i in whole]
-            counts.append(np.array([len(x) for x in own]))
-            ids.append(np.concatenate(own))
-        total = int(self.sizes[0][ids[0]].sum())
-        marks = np.zeros(total + 1, np.uint8)
-        for side in (0, 1):
-            begins.append(np.cumsum(self.sizes[side][ids[side]]) - self.sizes[side][ids[side]])
-            may = self.spaced[side][ids[side]]
-            may[np.cumsum(counts[side]) - counts[side]] = True  # a document's first token
-            marks[begins[side][may]] |= 1 << side
-        for side in (0, 1):
-            windows.append(np.flatnonzero(marks[begins[side]] == 3))
-        first = np.searchsorted(begins[0][windows[0]], begins[0][np.cumsum(counts[0]) - counts[0]])  # each document's first window
-        raw, edges = _tuples(ids, windows)
-        keys = [raw[i:j] for i, j in zip(edges[:-1], edges[1:], strict=True)]
-        which = list(map(self.seen.get, keys))
-        if None in which:
-            self._learn(list(dict.fromkeys(key for key, w in zip(keys, which, strict=True) if w is None)))
-            which = list(map(self.seen.__getitem__, keys))
-        del keys, raw
-        number, doc = np.array(which), np.repeat(np.arange(len(whole)), np.diff(np.append(first, len(which))))
-        n_groups = np.add.reduceat(self.n_groups.held[number], first)
-        own, times = np.unique(doc.astype(np.int64) << 32 | number, return_counts=True)
+        out, asked = [none] * len(texts), [i for i, x in enumerate(texts) if x]
+        if not asked:
+            return out
+        parts, which, firsts = parts_of([b" " + texts[i].encode() for i in asked], self.direct)
+        numbers = list(map(self.seen.get, parts))
+        if None in numbers:
+            self._learn([p for p, x in zip(parts, numbers, strict=True) if x is None])
+            numbers = list(map(self.seen.__getitem__, parts))
+        numbers = np.array(numbers)
+        self.uses.held[numbers] += np.uint64(1)
+        first, which = firsts[:-1], numbers[which]
+        n_a, n_b, n_groups = (np.add.reduceat(x.held[which], first).astype(np.int64).tolist() for x in (self.n_a, self.n_b, self.n_groups))
+        is_whole = np.minimum.reduceat(self.whole.held[which], first) == 1
+        doc = np.repeat(np.arange(len(asked)), np.diff(firsts))
+        own, times = np.unique((doc << 32 | which)[is_whole[doc]], return_counts=True)
+        if not len(own):
+            return out
         doc, number = own >> 32, own & 0xFFFFFFFF
         from_, to = self.first.held[number].astype(np.int64), self.first.held[number + 1].astype(np.int64)
         size = to - from_
@@ -196,16 +205,15 @@ class Aligner:
         new[1:] = (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1])
         starts = np.flatnonzero(new)
         times, pair, doc = np.add.reduceat(times, starts), pair[starts], doc[starts]
-        n_links = np.bincount(doc, times, len(whole)).astype(np.int64)
-        cut = np.searchsorted(doc, np.arange(len(whole) + 1))
-        out = [none] * len(texts)
-        ends = np.append(first, len(which)).tolist()
-        for n, i in enumerate(whole):
+        n_links = np.bincount(doc, times, len(asked)).astype(np.int64).tolist()
+        cut = np.searchsorted(doc, np.arange(len(asked) + 1)).tolist()
+        ends, which = firsts.tolist(), which.tolist()
+        for n in np.flatnonzero(is_whole).tolist():
             told = hashlib.sha256(b";".join(map(self.told.__getitem__, which[ends[n] : ends[n + 1]]))).hexdigest()
             own = slice(cut[n], cut[n + 1])
-            out[i] = (int(counts[0][n]), int(counts[1][n]), int(n_groups[n]), int(n_links[n]), told, pair[own].astype("<u8").tobytes(), times[own].astype("<u4").tobytes())
-        if len(self.told) > WINDOWS:
-            self.forget()
+            out[asked[n]] = (n_a[n], n_b[n], n_groups[n], n_links[n], told, pair[own].astype("<u8").tobytes(), times[own].astype("<u4").tobytes())
+        if self.held > REMEMBERED:
+            self._shed()
         return out
 
 

@@ -57,29 +57,26 @@ def ids_of_parts(parts: list[bytes], encode: Callable[[bytes], np.ndarray], size
     """An order of all parts, their ids in it end to end, and how many are each part's. sizes: the bytes of each id.
 
     Parts are encoded many at a time, where each ends before white space that cannot belong to it, and the ids are told apart by
-    their bytes; if these do not meet the parts' ends, one by one.
+    their bytes; if these do not meet the parts' ends, by halves.
     """
     joined = [i for i, p in enumerate(parts) if p[0] in b" \n" and (32 < p[-1] < 128 or not _MAY_BE_WHITE.search(p))]
-    order = joined + sorted(set(range(len(parts))).difference(joined))
+    alone = sorted(set(range(len(parts))).difference(joined))
     found, counts = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
-    low = 0
-    while low < len(order):
-        own = [parts[i] for i in order[low : min(low + TOGETHER, max(low + 1, len(joined)))]]
-        low += len(own)
-        ids = encode(b"".join(own))
-        if len(own) > 1:
-            ends, want = np.cumsum(sizes[ids]), np.cumsum(list(map(len, own)))
-            at = np.searchsorted(ends, want)
-            if len(ends) and ends[-1] == want[-1] and np.array_equal(ends[at], want):
-                found.append(ids)
-                counts.append(np.diff(at, prepend=-1))
-                continue
-            each = list(map(encode, own))
-        else:
-            each = [ids]
-        found += each
-        counts.append(np.array(list(map(len, each))))
-    return order, np.concatenate(found), np.concatenate(counts)
+
+    def cut(own: list[int]) -> None:
+        ids = encode(b"".join(parts[i] for i in own))
+        ends, want = np.cumsum(sizes[ids]), np.cumsum([len(parts[i]) for i in own])
+        at = np.searchsorted(ends, want)
+        if len(own) > 1 and not (len(ends) and ends[-1] == want[-1] and np.array_equal(ends[at], want)):
+            cut(own[: len(own) // 2])
+            cut(own[len(own) // 2 :])
+            return
+        found.append(ids)
+        counts.append(np.diff(at, prepend=-1) if len(own) > 1 else np.array([len(ids)]))
+
+    for own in [*(joined[low : low + TOGETHER] for low in range(0, len(joined), TOGETHER)), *([i] for i in alone)]:
+        cut(own)
+    return joined + alone, np.concatenate(found), np.concatenate(counts)
 
 
 class Known:
