@@ -1,18 +1,22 @@
+import gc
 import hashlib
 import json
 import random
+import tracemalloc
 import zlib
 from base64 import b64encode, urlsafe_b64encode
 from collections import defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tierline.llm import gif, secrets
+from tierline.llm import gif, parts, secrets
 from tierline.llm.mixing import flight, land, mix_sources, water_fill
 from tierline.llm.packing import TokenIds, first_fit_decreasing, pack, pack_documents, padding
+from tierline.llm.parts import Known
 from tierline.llm.quality import FEATURES, classify, fit, train
 from tierline.llm.sharding import capacities, hypergeometric_shuffle, matrix_row
 
@@ -144,6 +148,43 @@ def test_parts_are_tokenized_many_at_once_and_once_only(tokenizer):
     assert len(calls) < 32 and sum(map(len, calls)) < 4 * len(texts[0])
 
 
+def test_what_a_worker_remembers_takes_few_bytes_a_part(tokenizer):
+    ids = TokenIds(str(tokenizer))
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    for k in range(5):
+        ids.texts([" ".join(f"w{i:x}" for i in range(20_000 * k, 20_000 * (k + 1))).encode()])
+    gc.collect()
+    took = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert took < 100 * 100_000
+
+
+def test_a_full_memory_forgets_the_rarer_parts_and_stays_right(tokenizer):
+    ids = TokenIds(str(tokenizer))
+    ids.known = Known(ids._learn, 100_000)
+    encode, rng = ids.encode, random.Random(4)
+    common = [f"often{i}" for i in range(300)]
+    for k in range(20):
+        words = [*common, *(f"{'long' * rng.choice([0, 1, 20])}{rng.getrandbits(30):x}é" for _ in range(500))]
+        rng.shuffle(words)
+        text = " ".join(["a", *words])
+        assert ids.text(text) == np.array(ids.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert ids.known.held <= 100_000 and len(ids.known.parts) == len(ids.known.told) == len(ids.known.hashes) and (np.diff(ids.known.hashes.astype(object)) >= 0).all()
+    ids.encode = lambda x: pytest.fail("asked again for what is common")
+    ids.text("a " + " ".join(common))
+    ids.encode = encode
+    ids.known.most = 10
+    assert ids.text("x yy") == np.array(ids.tokenizer.encode("x yy").ids, "<u4").tobytes() and not len(ids.known.parts)
+
+
+def test_parts_of_one_hash_are_told_apart(tokenizer, monkeypatch):
+    monkeypatch.setattr(parts, "_hashes", lambda x: np.zeros(len(x), np.uint64))
+    ids = TokenIds(str(tokenizer))
+    for text in ("one two three", "three two one four", "", "five one one"):
+        assert ids.text(text) == np.array(ids.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_odd_white_space_between_parts(tokenizer):
     ids, rng = TokenIds(str(tokenizer)), random.Random(5)
     signs = ["a", "é", " ", "  ", "\n", "\t", "\r", "\xa0", "\u3000", "\u2003", "\x85", "\x1c", ".", "'s", "1", "日", "の", "“", "😀", "<|endoftext|>", "\u0301", "\x00", "\u200b", "\u180e"]

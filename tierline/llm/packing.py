@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.llm.common import numbered, plain_names, told_apart
-from tierline.llm.parts import Known, ids_of_parts, parted, parts_of
+from tierline.llm.common import give_back, numbered, plain_names, told_apart
+from tierline.llm.parts import Known, distinct_parts, ids_of_parts, parted, parts_of
 from tierline.llm.words import blocks
 
 #: Bytes of text that are tokenized at once, about; and bytes, about, that a worker spends on remembering the ids of their parts.
-BLOCK_BYTES, REMEMBERED = 4 << 20, 200 << 20
+BLOCK_BYTES, REMEMBERED = 2 << 20, 32 << 20
 
 
 @functools.cache
@@ -59,16 +59,17 @@ class TokenIds:
     def encode(self, text: bytes) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, parts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    def _learn(self, parts: list[bytes]) -> pa.LargeBinaryArray:
         order, ids, counts = ids_of_parts(parts, self.encode, self.sizes)
-        raw, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
-        return ((parts[n], raw[i:j]) for n, i, j in zip(order, [0, *ends], ends))  # noqa: B905
+        ends = np.append(0, 4 * np.cumsum(counts))
+        told = pa.Array.from_buffers(pa.large_binary(), len(parts), [None, pa.py_buffer(ends), pa.py_buffer(ids.astype("<u4"))])
+        return told.take(pa.array(np.argsort(order)))
 
     def texts(self, texts: list[bytes]) -> list[bytes]:
-        parts, which, firsts = parts_of(texts, self.direct)
-        if not parts:
+        parts, which, firsts = distinct_parts(texts, self.direct)
+        if not len(parts):
             return [b""] * len(texts)
-        told = pa.array(self.known.of(parts), pa.large_binary()).take(pa.array(which))
+        told = self.known.of(parts).take(pa.array(which))
         _, at, raw = told.buffers()
         at, raw = np.frombuffer(at, np.int64)[firsts].tolist(), raw.to_pybytes()
         return [raw[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
@@ -97,6 +98,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: i
                     rows.append((k, at // 4, len(own) // 4, zlib.crc32(own), len(ids) // 4, *([own] * with_ids)))
             kinds = [pa.int64()] * 5 + [pa.binary()] * with_ids
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[key, "start", "length", "ids_crc32", "doc_tokens", "ids"][: len(kinds)])
+            give_back()
 
     return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(cut, schema)
 

@@ -7,10 +7,13 @@ apart cut there too, so a text's ids are those of its parts. Parts repeat: each
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+
+from tierline.llm.words import LONG, hashes
 
 #: Bytes at whose end white space may stand: nothing is cut behind them. (Beyond ASCII, some other characters are taken for it.)
 _MAY_BE_WHITE = re.compile(rb"(?:[\x00-\x20]|\xc2[\x85\xa0]|[\xe1-\xe3]..)\Z", re.S)
@@ -35,11 +38,11 @@ def parted(tokens: list[bytes]) -> bool:
     return not any(len(_begins(x)) for x in tokens if x)
 
 
-def parts_of(texts: list[bytes], cut: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def distinct_parts(texts: list[bytes], cut: bool = True) -> tuple[pa.LargeBinaryArray, np.ndarray, np.ndarray]:
     """The distinct parts of texts (whole texts, unless cut); the number of each part, text by text; how many begin before each text."""
     data = b"".join(texts)
     if not data:
-        return [], np.empty(0, np.int64), np.zeros(len(texts) + 1, np.int64)
+        return pa.array([], pa.large_binary()), np.empty(0, np.int64), np.zeros(len(texts) + 1, np.int64)
     ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
     begin = np.zeros(len(data) + 1, bool)
     if cut:
@@ -48,9 +51,20 @@ def parts_of(texts: list[bytes], cut: bool = True) -> tuple[list[bytes], np.ndar
     begin[ends] = True
     edges = np.flatnonzero(begin)
     parts = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(data)]).dictionary_encode()
-    _, at, held = parts.dictionary.buffers()
-    at, held = np.frombuffer(at, np.int64)[: len(parts.dictionary) + 1].tolist(), held.to_pybytes()
-    return [held[i:j] for i, j in zip(at[:-1], at[1:], strict=True)], parts.indices.to_numpy(), np.searchsorted(edges, np.append(0, ends))
+    return parts.dictionary, parts.indices.to_numpy(), np.searchsorted(edges, np.append(0, ends))
+
+
+def parts_of(texts: list[bytes], cut: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The same, the parts as a list."""
+    parts, which, firsts = distinct_parts(texts, cut)
+    return parts.to_pylist(), which, firsts
+
+
+def _hashes(parts: pa.LargeBinaryArray) -> np.ndarray:
+    _, at, held = parts.buffers()
+    at = np.frombuffer(at, np.int64)[parts.offset : parts.offset + len(parts) + 1]
+    data = np.append(np.frombuffer(held or b"", np.uint8)[: at[-1]], np.zeros(LONG, np.uint8))
+    return hashes(data, at[:-1], at[1:])
 
 
 def ids_of_parts(parts: list[bytes], encode: Callable[[bytes], np.ndarray], sizes: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
@@ -80,24 +94,50 @@ def ids_of_parts(parts: list[bytes], encode: Callable[[bytes], np.ndarray], size
 
 
 class Known:
-    """What was learned of parts, in some bytes at most. When half of them are full they become the old half; what is asked for
-    again is taken over from there: frequent parts are always known."""
+    """What was learned of parts, in some bytes at most: end to end in a few arrays, as objects of their own would take several
+    times that. When they are full, the rarer half of the parts is forgotten."""
 
-    def __init__(self, learn: Callable[[list[bytes]], Iterator[tuple[bytes, bytes]]], most: int):
-        self.learn, self.most, self.held = learn, most, 0
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+    def __init__(self, learn: Callable[[list[bytes]], pa.LargeBinaryArray], most: int):
+        self.learn, self.most = learn, most
+        self.parts = self.told = pa.array([], pa.large_binary())
+        self.uses = np.empty(0, np.uint32)
+        self.hashes, self.number = np.empty(0, np.uint64), np.empty(0, np.int32)  # in the order of hashes
 
-    def of(self, parts: list[bytes]) -> list[bytes]:
+    @property
+    def held(self) -> int:
+        return self.parts.nbytes + self.told.nbytes + self.uses.nbytes + self.hashes.nbytes + self.number.nbytes
+
+    def of(self, parts: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
         """What is known of each of some distinct parts."""
-        found = list(map(self.new.get, parts))
-        if None in found:
-            missed = [p for p, x in zip(parts, found, strict=True) if x is None]
-            more = {p: x for p, x in zip(missed, map(self.old.get, missed), strict=True) if x is not None}
-            more.update(self.learn([p for p in missed if p not in more]))
-            self.new.update(more)
-            self.held += 200 * len(more) + sum(map(len, more)) + sum(map(len, more.values()))
-            found = list(map(self.new.__getitem__, parts))
-            if self.held > self.most // 2:
-                self.old, self.new, self.held = self.new, {}, 0
+        own = _hashes(parts)
+        number = np.full(len(parts), -1, np.int64)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, own), len(self.hashes) - 1)
+            met = np.flatnonzero(self.hashes[at] == own)
+            at = self.number[at[met]]
+            same = pc.equal(self.parts.take(pa.array(at)), parts.take(pa.array(met))).to_numpy(zero_copy_only=False)
+            number[met[same]] = at[same]
+            self.uses[at[same]] += np.uint32(1)
+        missed = np.flatnonzero(number < 0)
+        if len(missed):
+            number[missed] = len(self.parts) + np.arange(len(missed))
+            self._hold(new := parts.take(pa.array(missed)), self.learn(new.to_pylist()), np.zeros(len(missed), np.uint32), own[missed])
+        found = self.told.take(pa.array(number))
+        while self.held > self.most:
+            self._shed()
         return found
+
+    def _hold(self, parts: pa.LargeBinaryArray, told: pa.LargeBinaryArray, uses: np.ndarray, own: np.ndarray) -> None:
+        order = np.argsort(own)
+        own, number = np.append(self.hashes, own[order]), np.append(self.number, (len(self.parts) + order).astype(np.int32))
+        order = np.argsort(own, kind="stable")  # two runs in order
+        self.hashes, self.number = own[order], number[order]
+        self.parts, self.told = pa.concat_arrays([self.parts, parts]), pa.concat_arrays([self.told, told])
+        self.uses = np.append(self.uses, uses)
+
+    def _shed(self) -> None:
+        keep = self.uses > np.median(self.uses)
+        kept = keep[self.number]
+        self.hashes, self.number = self.hashes[kept], (np.cumsum(keep, dtype=np.int32) - 1)[self.number[kept]]
+        self.parts, self.told = self.parts.filter(pa.array(keep)), self.told.filter(pa.array(keep))
+        self.uses = self.uses[keep] // np.uint32(2)

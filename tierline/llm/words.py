@@ -29,6 +29,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each of some ranges of data, which goes on for LONG bytes or more behind the last."""
+    sizes = ends - begins
+    eights = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    out = mix(sizes.astype(np.uint64) * U(0x9E3779B97F4A7C15))
+    todo = np.flatnonzero(sizes <= LONG)
+    at = 0
+    while len(todo):
+        part = eights[begins[todo] + at] & _LOW_BYTES[np.minimum(sizes[todo] - at, 8)]
+        out[todo] = mix(out[todo] ^ part)
+        at += 8
+        todo = todo[sizes[todo] > at]
+    for i in np.flatnonzero(sizes > LONG):
+        out[i] = xxhash.xxh64_intdigest(data[begins[i] : ends[i]].tobytes())
+    return out
+
+
 class Words:
     """The words of a block of texts: starts and ends in data, the number of each text's words, and a hash a word."""
 
@@ -51,22 +68,7 @@ class Words:
         self.ends = np.flatnonzero(ends) + 1
         self.first = np.searchsorted(self.begins, self.edges)  # of each text, among all words
         self.counts = np.diff(self.first)
-        self.hashes = self._hash()
-
-    def _hash(self) -> np.ndarray:
-        sizes = self.ends - self.begins
-        eights = np.ndarray((len(self.data) - 7,), "<u8", self.data, strides=(1,))
-        out = mix(sizes.astype(np.uint64) * U(0x9E3779B97F4A7C15))
-        todo = np.flatnonzero(sizes <= LONG)
-        at = 0
-        while len(todo):
-            part = eights[self.begins[todo] + at] & _LOW_BYTES[np.minimum(sizes[todo] - at, 8)]
-            out[todo] = mix(out[todo] ^ part)
-            at += 8
-            todo = todo[sizes[todo] > at]
-        for i in np.flatnonzero(sizes > LONG):
-            out[i] = xxhash.xxh64_intdigest(self.data[self.begins[i] : self.ends[i]].tobytes())
-        return out
+        self.hashes = hashes(self.data, self.begins, self.ends)
 
     def text_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.texts)), self.counts)
