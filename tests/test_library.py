@@ -422,6 +422,17 @@ def test_quantiles_and_slices_of_repeated_values(spark):
     assert max(r["n"] for r in sizes if not r["hot"]) < 250  # no slice but that of the value that many share is large
 
 
+def test_quartiles_are_exact_at_any_number_of_rows(spark, monkeypatch):
+    n = 300_000
+    df = spark.range(1, n + 1).select((F.col("id") * 7919 % (n + 1)).cast("decimal(18,2)").alias("v"))
+    assert [tuple(map(int, r)) for r in rows(checks.quartiles(df, "v"))] == [(n // 4, n // 2, 3 * n // 4)]
+    assert checks.iqr_outliers(df, "v", 0.25).count() == n // 4 - 1  # below n / 8, above 7 n / 8
+    monkeypatch.setattr(ranking, "SLICE_ROWS", 3)  # several slices
+    some = spark.createDataFrame([("a", i % 5) for i in range(9)] + [("b", None)] * 3 + [(None, 4), (None, None), ("c", 1), ("c", 2)] + [("d", 7)] * 40, "g string, v int")
+    assert {tuple(r) for r in checks.quartiles(some, "v", ["g"]).collect()} == {("a", 1, 2, 3), ("b", None, None, None), (None, 4, 4, 4), ("c", 1, 1, 2), ("d", 7, 7, 7)}
+    assert rows(checks.quartiles(some.limit(0), "v")) == [(None, None, None)] and checks.quartiles(some.limit(0), "v", ["g"]).isEmpty()
+
+
 def test_checks_read_a_table_once(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.createDataFrame([(i % 50, i % 7, None if i % 9 == 0 else i) for i in range(100)], "a int, b int, c int").write.parquet(path)

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierline.operators.ranking import discrete_quantiles
+
 
 @dataclass(frozen=True)
 class Check:
@@ -130,15 +132,14 @@ def outliers(df: DataFrame, column: str, by: Sequence[str], z: float) -> DataFra
     return df.join(stats, list(by)).where((n > 1) & (F.abs(c.cast("double") - s / n) > spread * z)).drop("_n", "_s", "_q")
 
 
-def quartiles(df: DataFrame, column: str, by: Sequence[str] = (), accuracy: int = 100_000) -> DataFrame:
-    """by, q1, q2, q3: values of the column, at ranks that are off by one in accuracy rows at most. One pass, in small memory."""
-    q = F.percentile_approx(column, [0.25, 0.5, 0.75], accuracy)
-    return df.groupBy(*by).agg(q.alias("_q")).select(*by, *[F.col("_q")[i].alias(f"q{i + 1}") for i in range(3)])
+def quartiles(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """by, q1, q2, q3: exact values of the column, on a table of any size."""
+    return discrete_quantiles(df, column, by, 4)
 
 
-def iqr_outliers(df: DataFrame, column: str, factor: float = 1.5, accuracy: int = 100_000) -> DataFrame:
+def iqr_outliers(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
     """Rows outside the quartiles by factor times their distance."""
-    q = quartiles(df, column, (), accuracy).select(F.col("q1").cast("double").alias("_a"), F.col("q3").cast("double").alias("_b"))
+    q = quartiles(df, column).select(F.col("q1").cast("double").alias("_a"), F.col("q3").cast("double").alias("_b"))
     reach = (F.col("_b") - F.col("_a")) * factor
     c = F.col(column).cast("double")
     return df.crossJoin(F.broadcast(q)).where((c < F.col("_a") - reach) | (c > F.col("_b") + reach)).drop("_a", "_b")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import bisect
 import itertools
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -126,6 +128,31 @@ def quantiles(df: DataFrame, column: str, at: Sequence[float]) -> list[float | N
     return [found[int(s) + 1] + (s - int(s)) * (found.get(int(s) + 2, found[int(s) + 1]) - found[int(s) + 1]) for s in spots]
 
 
+def discrete_quantiles(df: DataFrame, column: str, by: Sequence[str], parts: int) -> DataFrame:
+    """by, q1 to q{parts - 1}: of each group, the exact least values that a part, two parts and so on of its rows do not exceed
+    (PERCENTILE_DISC); nulls do not count, and a group without values has null.
+
+    Rows are first counted by group and value. Groups and values are parted in slices, whose counts are added up before them in
+    each group, and only slices that hold a wanted rank are sorted. Nothing passes through the driver but the slices' ends.
+    """
+    counts = durable(df.groupBy(*by, F.col(column).alias("_v")).agg(F.count(column).alias("_n")))
+    distinct = counts.count()
+    order = [F.col(c) for c in (*by, "_v")]
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    points = split_points(counts, order, slices_for(distinct), distinct)
+    sliced = counts.withColumn("_slice", slice_of(key, points, counts.select(key.alias("k")).schema["k"].dataType))
+    group = Window.partitionBy(*by)
+    sums = sliced.groupBy(*by, "_slice").agg(F.sum("_n").alias("_rows"))
+    ends = sums.withColumns({"_end": F.sum("_rows").over(group.orderBy("_slice")), "_all": F.sum("_rows").over(group)})
+    ranks = [F.expr(f"(_all * {i} + {parts - 1}) div {parts}") for i in range(1, parts)]  # rounded up
+    wanted = reduce(or_, [(r <= F.col("_end")) & (r > F.col("_end") - F.col("_rows")) for r in ranks], F.col("_all") == 0)
+    s, h = sliced.alias("s"), ends.where(wanted).alias("h")
+    on = reduce(and_, [F.col(f"s.{c}").eqNullSafe(F.col(f"h.{c}")) for c in by], F.col("s._slice") == F.col("h._slice"))
+    run = Window.partitionBy("_slice", *by).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    own = s.join(h, on).select("s.*", "h._end", "h._rows", "h._all").withColumn("_upto", F.col("_end") - F.col("_rows") + F.sum("_n").over(run))
+    return own.groupBy(*by).agg(*[F.max(F.when((r <= F.col("_upto")) & (r > F.col("_upto") - F.col("_n")), F.col("_v"))).alias(f"q{i + 1}") for i, r in enumerate(ranks)])
+
+
 def last_two(df: DataFrame, key: str, order: Sequence[tuple[str, int]], *more: Column) -> DataFrame:
     """key, last and prior (structs of the order columns), and the aggregates in more: a key's last row and the one before it.
 
