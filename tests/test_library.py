@@ -105,6 +105,14 @@ def test_latest_change_and_guarded_merge(spark):
     assert scd.plan_read(None, 3)[0] == "full" and scd.plan_read(3, 3)[0] == "skip" and scd.plan_read(1, 3) == ("incremental", 1, 3) and scd.plan_read(None, None)[0] == "skip"
 
 
+def test_a_merge_breaks_ties_of_time_as_the_log_does(spark):
+    schema = "id long, email string, op string, ts long, off long"
+    state = spark.createDataFrame([(1, "new", "UPDATE", 5, 9), (2, "old", "UPDATE", 5, 1), (3, "none", "UPDATE", 5, None), (4, "kept", "UPDATE", 5, 1)], schema)
+    changes = spark.createDataFrame([(1, "old", "UPDATE", 5, 8), (2, "new", "UPDATE", 5, 2), (3, "new", "UPDATE", 5, 0), (4, "older", "UPDATE", 4, 7)], schema)
+    merged = lambda order: rows(scd.merge_current(state, changes, ["id"], "op", "ts", order), "id", "email")
+    assert merged(["ts", "off"]) == [(1, "new"), (2, "new"), (3, "new"), (4, "kept")] and merged([])[0] == (1, "old")
+
+
 def test_cdc_casts(spark):
     df = spark.createDataFrame([("7000", "1790726400000000", "12.5"), ("", "", ""), (None, None, "x"), ("0", "0", "0")], "a string, b string, c string")
     got = df.select(*[scd.cdc_cast(k, F.col(c)).alias(c) for k, c in (("epoch_days", "a"), ("epoch_micros", "b"), ("decimal", "c"))]).collect()

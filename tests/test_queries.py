@@ -58,5 +58,19 @@ def test_each_branch_is_taken(name):
         assert len(con.execute(f"SELECT DISTINCT {column} FROM result").fetchall()) >= least, column
 
 
+@pytest.mark.parametrize("name", ["mrg12_consolidated_state"])
+def test_events_numbered_beyond_a_million(spark, tmp_path, name):
+    """Ids below and above 1,000,000, and customers whose events share their times."""
+    duckdb = pytest.importorskip("duckdb")
+    kind = "element_at(array('click', 'view', 'purchase', 'signup', 'error'), CAST(id * 7 % 5 AS INT) + 1)"
+    events = spark.range(999_000, 1_003_000).selectExpr("id AS event_id", "timestamp_millis(1704067200000 + id * 31 % 4)::timestamp_ntz AS ts", "id * 13 % 97 AS user_id", f"{kind} AS event_type", "CAST(id % 100 AS DOUBLE) AS value", "'{}' AS props")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    df = entry.queries()[name](spark, str(tmp_path))
+    want = con.execute(f'SELECT {", ".join(chr(34) + c + chr(34) for c in df.columns)} FROM ({entry.oracle_sql()[name]})').fetchall()
+    assert sorted([plain(v) for v in r] for r in df.collect()) == sorted([plain(v) for v in x] for x in want)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

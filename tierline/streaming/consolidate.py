@@ -52,8 +52,9 @@ def consolidate(spark: SparkSession, log: DataFrame, folder: str, spec: Consolid
     if plan[0] == "skip":
         return None
     events = typed(scd.read_changes(log, plan, spec.batch), spec)
-    changes = scd.latest_change(events, spec.keys, order or (spec.ts, spec.batch, spec.offset))
-    state = changes if mark is None else scd.merge_current(spark.read.parquet(mark[1]), changes, spec.keys, spec.op, spec.ts)
+    order = order or (spec.ts, spec.batch, spec.offset)
+    changes = scd.latest_change(events, spec.keys, order)
+    state = changes if mark is None else scd.merge_current(spark.read.parquet(mark[1]), changes, spec.keys, spec.op, spec.ts, order)
     path = f"{folder}/{spec.name}/{uuid.uuid4().hex}"
     state.write.parquet(path)
     spark.createDataFrame([(spec.name, head, path)], "name string, last_batch bigint, state string").write.mode("append").parquet(f"{folder}/marks")
